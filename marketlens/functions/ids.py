@@ -38,7 +38,7 @@ def posting_id_normalize(c) -> Column:
 
 def int_lenient(c) -> Column:
     """Integer, or NULL when the text is not an integer."""
-    return F.try_cast(_col(c).cast("string"), "bigint")
+    return (_col(c).cast("string")).try_cast("bigint")
 
 
 def first_present(*cols, default=None) -> Column:

@@ -29,14 +29,14 @@ def _normalized(c: Column) -> Column:
 
 
 def _strict(text: Column, shown: Column) -> Column:
-    parsed = F.try_cast(text, MONEY)
+    parsed = (text).try_cast(MONEY)
     return F.coalesce(parsed, F.raise_error(F.concat(F.lit("invalid money value: "), F.coalesce(shown, F.lit("NULL")))).cast(MONEY))
 
 
 def money_lenient(c) -> Column:
     """NULL -> 0; spaces dropped, ',' -> '.'; unparseable -> 0."""
     c = _col(c)
-    return F.coalesce(F.try_cast(_normalized(c), MONEY), ZERO)
+    return F.coalesce((_normalized(c)).try_cast(MONEY), ZERO)
 
 
 def money_strict(c) -> Column:

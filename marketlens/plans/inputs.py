@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.functions.money import MONEY
+from marketlens.operators import fees as fees_ops
+from marketlens.operators import flatten, resolve, upsert
 from marketlens.operators import orders as ops_orders
 from marketlens.sources import testdata as td
 
@@ -45,3 +47,55 @@ class Inputs:
 
     def customers(self) -> DataFrame:
         return ops_orders.customer_aggregates(self.orders())
+
+    # --- fees ------------------------------------------------------------------
+
+    def postings(self) -> DataFrame:
+        return td.postings(self.spark, self.sf_dir)
+
+    def finance_operations(self) -> DataFrame:
+        return td.finance_operations(self.spark, self.sf_dir)
+
+    def finance_resolved(self) -> DataFrame:
+        """P20 service rows resolved to orders (J05) against the landed orders."""
+        svc = flatten.finance_service_rows(self.finance_operations())
+        return resolve.resolve_order_id(svc, self.orders_landed(), "cand")
+
+    def finance_fees(self) -> DataFrame:
+        """finance_api fee rows, upserted by uid (U06: last arrival wins)."""
+        rows = flatten.finance_fee_rows(self.finance_resolved())
+        rows = rows.withColumn("_ord", F.struct("_ordinal", "pos")).drop("_ordinal", "pos")
+        return upsert.last_write_wins(rows, "uid", "_ord")
+
+    def posting_fees(self) -> DataFrame:
+        return flatten.flatten_posting_fees(self.postings())
+
+    def accrual_fees(self) -> DataFrame:
+        return flatten.flatten_accruals(td.accrual_rows(self.spark, self.sf_dir))
+
+    def fees(self) -> DataFrame:
+        """order_fee_items: the three sources (U00), with NULL group / source
+        injected on sku residues so three-valued logic is exercised."""
+        u = fees_ops.fee_union(self.posting_fees(), self.finance_fees(), self.accrual_fees())
+        sku = F.col("sku")
+        return u.withColumn("fee_group", F.when(F.coalesce(sku % 89, F.lit(1)) != 0, F.col("fee_group"))) \
+                .withColumn("source", F.when(F.coalesce(sku % 83, F.lit(1)) != 0, F.col("source")))
+
+    # --- ads -----------------------------------------------------------------------
+
+    def attribution_raw(self) -> DataFrame:
+        return td.attribution_rows(self.spark, self.sf_dir)
+
+    def attribution(self) -> DataFrame:
+        """order_attribution: P23 rows resolved by prefix (J04), insert-ignore by
+        content key (U10) into an empty table."""
+        fields = flatten.attribution_fields(self.attribution_raw())
+        res = resolve.resolve_order_id(fields, self.orders_landed(), "cand", exact=False)
+        rows = flatten.attribution_rows(res).drop("_ordinal")
+        return rows.dropDuplicates(["row_key"])
+
+    def daily(self) -> DataFrame:
+        return flatten.flatten_campaign_daily(td.daily_rows(self.spark, self.sf_dir))
+
+    def campaigns_raw(self) -> DataFrame:
+        return td.campaign_rows(self.spark, self.sf_dir)

@@ -155,3 +155,7 @@ def q_customer_aggregates(spark, d):
 @query("first_order_flag")
 def q_first_order_flag(spark, d):
     return Inputs(spark, d).orders().select("order_id", "customer_id", "order_date", "is_first_order")
+
+
+# Queries of the other domains register themselves on import.
+from marketlens.plans import q_fees  # noqa: E402,F401

@@ -60,6 +60,14 @@ def order_id_expr(custkey="o_custkey", orderkey="o_orderkey") -> Column:
     return F.concat(s(custkey), F.lit("-"), s(orderkey), F.lit("-1"))
 
 
+def line_ordinal() -> Column:
+    """Arrival order of lineitem-derived rows. (l_orderkey, l_linenumber) is
+    not unique in the test data, so the remaining columns complete a total
+    order; rows equal in all of them are identical."""
+    return F.struct("o_orderkey", "l_linenumber", "sku", "l_suppkey", "quantity", "price", "disc",
+                    "tax", "l_shipdate")
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem joined to its order (one row per lineitem)."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -178,6 +186,7 @@ def finance_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("posting_number"),
         F.lit(None).cast("string").alias("order_id"),
         services.alias("services"),
+        line_ordinal().alias("_ordinal"),
     )
 
 
@@ -248,6 +257,7 @@ def attribution_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         localized_money(F.col("disc") * F.lit(100), F.lit(False)).alias("bidPercent"),
         s(F.col("quantity").cast("bigint")).alias("quantity"),
         null.alias("qty"),
+        line_ordinal().alias("_ordinal"),
     )
 
 
@@ -269,7 +279,7 @@ def daily_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", F.concat(F.lit("Campaign "), F.col("id")).alias("title"),
         F.date_format("d", "yyyy-MM-dd").alias("date"),
         s("views").alias("views"), s("clicks").alias("clicks"),
-        localized_money(F.col("spend"), F.dayofmonth("d") % 2 == 0).alias("moneySpent"),
+        localized_money(F.col("spend"), F.lit(False)).alias("moneySpent"),
         localized_money(F.col("max_bid"), F.lit(False)).alias("avgBid"),
         s("orders").alias("orders"),
         localized_money(F.col("orders_money"), F.lit(False)).alias("ordersMoney"),

@@ -109,3 +109,138 @@ SELECT customer_id, first_order_date, last_order_date, CAST(orders_count AS BIGI
        CAST(total_revenue AS {D}) AS total_revenue FROM fx_customers""", "fx_customers")
 
 sql("first_order_flag", "SELECT order_id, customer_id, order_date, is_first_order FROM fx_orders", "fx_orders")
+
+
+# --- fees ------------------------------------------------------------------------
+FEE_SEL = f"""uid, order_id, ext_order_id, fee_group, fee_name, CAST(amount AS {D}) AS amount,
+  CAST(percent AS {D}) AS percent, product_id, sku, operation_type, occurred_at, source"""
+
+sql("flatten_posting_fees", f"SELECT {FEE_SEL} FROM fx_posting_fees", "fx_posting_fees")
+sql("flatten_finance_services", f"SELECT {FEE_SEL} FROM fx_fin_rows", "fx_fin_rows")
+sql("resolve_order_id", "SELECT cand, order_id, ext_order_id FROM fx_fin_resolved", "fx_fin_resolved")
+sql("resolve_exact", """
+SELECT c.cand, e.cand IS NOT NULL AS "exists" FROM fx_fin_cands c LEFT JOIN fx_fin_exact e ON e.cand = c.cand""",
+    "fx_fin_cands", "fx_fin_exact")
+sql("latest_per_key", """
+SELECT customer_id, order_id AS latest_order_id FROM (
+  SELECT customer_id, order_id, ROW_NUMBER() OVER (PARTITION BY customer_id
+         ORDER BY order_date DESC NULLS FIRST, order_id DESC) AS rn
+  FROM fx_orders_landed WHERE customer_id IS NOT NULL) t WHERE rn = 1""", "fx_orders_landed")
+sql("last_write_wins", f"SELECT {FEE_SEL} FROM fx_fin_fees", "fx_fin_fees")
+sql("fee_union", f"SELECT {FEE_SEL} FROM fx_fees", "fx_fees")
+sql("fee_dedup_filter", f"""
+SELECT order_id, fee_group, source, CAST(amount AS {D}) AS amount FROM fx_fees
+WHERE NOT (source = 'finance_api' AND fee_group = 'Вознаграждение Ozon')""", "fx_fees")
+
+# UPDATE ... FROM as LEFT JOIN: unmatched orders keep NULL (their old value).
+F04 = "NOT (source = 'finance_api' AND fee_group = 'Вознаграждение Ozon')"
+sql("sales_report", f"""
+SELECT o.order_id, CAST(COALESCE(s.sales, CASE WHEN s.order_id IS NOT NULL THEN 0 END) AS {D}) AS sales_report
+FROM fx_orders o LEFT JOIN (
+  SELECT order_id, SUM(amount) AS sales FROM fx_fees
+  WHERE order_id IS NOT NULL AND fee_group = 'Продажи' GROUP BY order_id) s ON s.order_id = o.order_id""",
+    "fx_orders", "fx_fees")
+sql("order_fees_total", f"""
+SELECT o.order_id, CAST(CASE WHEN f.order_id IS NOT NULL THEN COALESCE(f.fees, 0) END AS {D}) AS fees_total
+FROM fx_orders o LEFT JOIN (
+  SELECT order_id, SUM(amount) AS fees FROM fx_fees
+  WHERE order_id IS NOT NULL AND {F04} GROUP BY order_id) f ON f.order_id = o.order_id""",
+    "fx_orders", "fx_fees")
+sql("order_payout", f"""
+WITH s AS (SELECT order_id, SUM(amount) AS sales FROM fx_fees
+           WHERE order_id IS NOT NULL AND fee_group = 'Продажи' GROUP BY order_id),
+f AS (SELECT order_id, SUM(amount) AS fees FROM fx_fees
+      WHERE order_id IS NOT NULL AND {F04} GROUP BY order_id)
+SELECT o.order_id,
+       CAST(CASE WHEN s.order_id IS NOT NULL THEN COALESCE(s.sales, 0) END AS {D}) AS sales_report,
+       CAST(CASE WHEN f.order_id IS NOT NULL THEN COALESCE(f.fees, 0) END AS {D}) AS fees_total,
+       CAST(COALESCE(o.revenue, 0) + COALESCE(CASE WHEN f.order_id IS NOT NULL THEN COALESCE(f.fees, 0) END, 0) AS {D}) AS payout
+FROM fx_orders o LEFT JOIN s ON s.order_id = o.order_id LEFT JOIN f ON f.order_id = o.order_id""",
+    "fx_orders", "fx_fees")
+sql("fee_breakdown", f"""
+WITH sums AS (
+  SELECT order_id, SUM(amount) AS fees_total,
+    SUM(CASE WHEN fee_group = 'Услуги доставки' THEN amount ELSE 0 END) AS delivery_fee,
+    SUM(CASE WHEN fee_group = 'Услуги агентов' THEN amount ELSE 0 END) AS acquiring_fee,
+    SUM(CASE WHEN fee_group = 'Продвижение и реклама' THEN amount ELSE 0 END) AS ads_fee,
+    SUM(CASE WHEN fee_group = 'Вознаграждение Ozon' THEN amount ELSE 0 END) AS sale_commission,
+    SUM(CASE WHEN fee_group = 'Скидки' THEN amount ELSE 0 END) AS discount,
+    SUM(CASE WHEN fee_group NOT IN ('Услуги доставки', 'Услуги агентов', 'Продвижение и реклама',
+                                    'Вознаграждение Ozon', 'Скидки') THEN amount ELSE 0 END) AS other_fee
+  FROM fx_fees WHERE order_id IS NOT NULL AND {F04} GROUP BY order_id)
+SELECT o.order_id, CAST(o.revenue AS {D}) AS revenue,
+  CAST(CASE WHEN s.order_id IS NOT NULL THEN COALESCE(s.fees_total, 0) END AS {D}) AS fees_total,
+  CAST(CASE WHEN s.order_id IS NOT NULL THEN COALESCE(s.delivery_fee, 0) END AS {D}) AS delivery_fee,
+  CAST(CASE WHEN s.order_id IS NOT NULL THEN COALESCE(s.acquiring_fee, 0) END AS {D}) AS acquiring_fee,
+  CAST(CASE WHEN s.order_id IS NOT NULL THEN COALESCE(s.ads_fee, 0) END AS {D}) AS ads_fee,
+  CAST(CASE WHEN s.order_id IS NOT NULL THEN COALESCE(s.sale_commission, 0) END AS {D}) AS sale_commission,
+  CAST(CASE WHEN s.order_id IS NOT NULL THEN COALESCE(s.discount, 0) END AS {D}) AS discount,
+  CAST(CASE WHEN s.order_id IS NOT NULL THEN COALESCE(s.other_fee, 0) END AS {D}) AS other_fee,
+  CAST(CASE WHEN s.order_id IS NOT NULL THEN COALESCE(o.revenue, 0) + COALESCE(s.fees_total, 0) END AS {D}) AS profit
+FROM fx_orders o LEFT JOIN sums s ON s.order_id = o.order_id""", "fx_orders", "fx_fees")
+
+UNLINKED = """source = 'finance_api' AND order_id IS NULL AND occurred_at IS NOT NULL
+  AND occurred_at >= TIMESTAMP '{lo}' AND occurred_at < TIMESTAMP '{hi}'"""
+sql("unlinked_costs_filter", f"""
+SELECT uid, fee_group, fee_name, occurred_at, CAST(amount AS {D}) AS amount FROM fx_fees
+WHERE {UNLINKED.format(lo='1995-01-01', hi='2002-01-01')}""", "fx_fees")
+sql("period_costs", f"""
+SELECT CAST(occurred_at AS DATE) AS cost_date, fee_group, fee_name, CAST(SUM(amount) AS {D}) AS amount
+FROM fx_fees WHERE {UNLINKED.format(lo='1995-01-01', hi='2002-01-01')} GROUP BY 1, 2, 3""", "fx_fees")
+sql("replace_range_period_costs", f"""
+WITH old AS (
+  SELECT CAST(occurred_at AS DATE) AS cost_date, fee_group, fee_name, SUM(amount) AS amount
+  FROM fx_fees WHERE {UNLINKED.format(lo='1995-01-01', hi='2002-01-01')} GROUP BY 1, 2, 3),
+new AS (
+  SELECT CAST(occurred_at AS DATE) AS cost_date, fee_group, fee_name, SUM(amount * 2) AS amount
+  FROM fx_fees WHERE {UNLINKED.format(lo='1998-01-01', hi='1999-01-01')} GROUP BY 1, 2, 3)
+SELECT cost_date, fee_group, fee_name, CAST(amount AS {D}) AS amount FROM old
+WHERE NOT ((cost_date >= DATE '1998-01-01' AND cost_date < DATE '1999-01-01') OR cost_date IS NULL)
+UNION ALL
+SELECT cost_date, fee_group, fee_name, CAST(amount AS {D}) FROM new""", "fx_fees")
+
+sql("upsert_fees_by_uid", f"""
+WITH old AS (SELECT * FROM fx_fin_fees WHERE occurred_at < TIMESTAMP '2000-01-01'),
+new AS (
+  SELECT uid, order_id, ext_order_id, fee_group, fee_name, amount - 1 AS amount, percent, product_id, sku,
+         operation_type, occurred_at, source FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY uid ORDER BY o_orderkey DESC, l_linenumber DESC, line_sku DESC,
+           l_suppkey DESC, quantity DESC, price DESC, disc DESC, tax DESC, l_shipdate DESC) AS rn
+    FROM fx_fin_rows WHERE occurred_at >= TIMESTAMP '1999-07-01') t WHERE rn = 1)
+SELECT {FEE_SEL} FROM old WHERE uid NOT IN (SELECT uid FROM new)
+UNION ALL SELECT {FEE_SEL} FROM new""", "fx_fin_fees", "fx_fin_rows")
+
+sql("replace_source_accruals", f"""
+SELECT {FEE_SEL} FROM fx_fees WHERE NOT COALESCE(source = 'finance_report', FALSE)
+UNION ALL
+SELECT uid, order_id, ext_order_id, fee_group, fee_name, CAST(amount * 2 AS {D}), CAST(percent AS {D}), product_id,
+       sku, operation_type, occurred_at, source FROM fx_accrual_fees""", "fx_fees", "fx_accrual_fees")
+
+sql("replace_fees_by_order_source", f"""
+WITH scope AS (SELECT order_id FROM fx_orders_landed WHERE order_date >= TIMESTAMP '1999-01-01')
+SELECT {FEE_SEL} FROM fx_fees f
+WHERE NOT (COALESCE(f.source = 'posting_financial', FALSE) AND f.order_id IN (SELECT order_id FROM scope))
+UNION ALL
+SELECT uid, order_id, ext_order_id, fee_group, fee_name, CAST(amount + 1 AS {D}), CAST(percent AS {D}), product_id,
+       sku, operation_type, occurred_at, source
+FROM fx_posting_fees WHERE order_id IN (SELECT order_id FROM scope)""",
+    "fx_fees", "fx_posting_fees", "fx_orders_landed")
+
+sql("dq_primary_key", "SELECT uid, CAST(COUNT(*) AS BIGINT) AS n FROM fx_fin_rows WHERE uid IS NOT NULL GROUP BY uid HAVING COUNT(*) > 1",
+    "fx_fin_rows")
+sql("dq_counts_by_source", "SELECT source, CAST(COUNT(*) AS BIGINT) AS n FROM fx_fees GROUP BY source", "fx_fees")
+sql("conform_schema", f"""
+SELECT CAST(NULL AS VARCHAR) AS uid, order_id, CAST(NULL AS VARCHAR) AS ext_order_id, fee_group, fee_name,
+       CAST(amount AS {D}) AS amount, CAST(NULL AS {D}) AS percent, CAST(NULL AS VARCHAR) AS product_id,
+       CAST(NULL AS BIGINT) AS sku, CAST(NULL AS VARCHAR) AS operation_type, CAST(NULL AS TIMESTAMP) AS occurred_at,
+       'posting_financial' AS source FROM fx_posting_fees""", "fx_posting_fees")
+sql("drop_keyless_rows", f"""
+SELECT cand, {__import__('oracle.fixtures', fromlist=['normalize_sql']).normalize_sql('name')} AS fee_name,
+       CAST(amount AS {D}) AS amount FROM fx_fin_raw WHERE cand IS NOT NULL AND cand <> ''""", "fx_fin_raw")
+sql("backfill_window_counts", """
+WITH x AS (SELECT CAST(FLOOR(datediff('day', DATE '1995-01-01', CAST(occurred_at AS DATE)) / 10) AS BIGINT) AS window_no
+           FROM fx_fees WHERE source = 'finance_api' AND CAST(occurred_at AS DATE) >= DATE '1995-01-01'
+             AND CAST(occurred_at AS DATE) < DATE '2002-01-01')
+SELECT window_no, CAST(DATE '1995-01-01' + CAST(window_no * 10 AS INTEGER) AS DATE) AS window_start,
+       CAST(DATE '1995-01-01' + CAST((window_no + 1) * 10 AS INTEGER) AS DATE) AS window_end,
+       CAST(COUNT(*) AS BIGINT) AS n FROM x GROUP BY window_no""", "fx_fees")
