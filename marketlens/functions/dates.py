@@ -16,7 +16,7 @@ LENIENT_FORMATS = ["yyyy-M-d", "d.M.yyyy", "yyyy-M-d'T'H:m:s", "yyyy-M-d'T'H:m:s
 
 
 def _first_parse(s: Column, formats) -> Column:
-    return F.coalesce(*[F.try_to_date(s, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(s, f) for f in formats])
 
 
 def date_any(c) -> Column:

@@ -182,7 +182,7 @@ def flatten_campaign_daily(rows: DataFrame) -> DataFrame:
     """Daily rows; blank campaign ids are skipped."""
     cid = strip(F.coalesce(F.col("id"), F.lit("")))
     d = F.col("date")
-    stat_date = F.coalesce(F.try_to_date(d, F.lit("yyyy-MM-dd")),
+    stat_date = F.coalesce(F.try_to_date(d, "yyyy-MM-dd"),
                            F.raise_error(F.concat(F.lit("bad date: "), F.coalesce(d, F.lit("NULL")))).cast("date"))
     daily_money = lambda c: money_localized(F.col(c), strip_nbsp=False)
     return rows.filter(cid != F.lit("")).select(

@@ -16,8 +16,9 @@ def posting_revenue(products="products") -> Column:
     """A01 (in-row): sum of price x quantity over a posting's products; 0 if none."""
     arr = F.coalesce(F.col(products) if isinstance(products, str) else products,
                      F.array().cast("array<struct<sku:string,name:string,quantity:string,price:string>>"))
-    return F.aggregate(arr, ZERO.cast("decimal(38,4)"),
-                       lambda acc, x: acc + money_lenient(x["price"]) * money_lenient(x["quantity"])
+    acc_t = "decimal(38,4)"
+    return F.aggregate(arr, ZERO.cast(acc_t),
+                       lambda acc, x: (acc + money_lenient(x["price"]) * money_lenient(x["quantity"])).cast(acc_t)
                        ).cast(MONEY)
 
 
@@ -28,8 +29,8 @@ def posting_totals(fin_products="financial_data.products") -> tuple[Column, Colu
         "array<struct<product_id:string,commission_amount:string,commission_percent:string,"
         "payout:string,total_discount_value:string,total_discount_percent:string>>"))
     z = ZERO.cast("decimal(28,4)")
-    payout = F.aggregate(arr, z, lambda acc, x: acc + money_lenient(x["payout"])).cast(MONEY)
-    fees = F.aggregate(arr, z, lambda acc, x: acc + money_lenient(x["commission_amount"])).cast(MONEY)
+    payout = F.aggregate(arr, z, lambda acc, x: (acc + money_lenient(x["payout"])).cast("decimal(28,4)")).cast(MONEY)
+    fees = F.aggregate(arr, z, lambda acc, x: (acc + money_lenient(x["commission_amount"])).cast("decimal(28,4)")).cast(MONEY)
     return payout, fees
 
 

@@ -109,7 +109,10 @@ def insert_absent(old: DataFrame, new: DataFrame, keys) -> DataFrame:
     """``ON CONFLICT DO NOTHING`` (U02, U10): new keys not yet present are
     added (once each); existing rows are untouched."""
     keys = _keys(keys)
-    fresh = new.select(*old.columns).dropDuplicates(keys).join(old.select(*keys), keys, "left_anti")
+    types = dict(old.dtypes)
+    shaped = new.select(*[F.col(c) if c in new.columns else F.lit(None).cast(types[c]).alias(c)
+                          for c in old.columns])
+    fresh = shaped.dropDuplicates(keys).join(old.select(*keys), keys, "left_anti")
     return old.unionByName(fresh)
 
 

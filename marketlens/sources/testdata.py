@@ -299,4 +299,5 @@ def campaign_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("2024-01-"), F.lpad(s(F.col("s_suppkey") % 28 + 1), 2, "0"), F.lit("T00:00:00Z")).alias("createdAt"),
         F.concat(F.lit("2024-02-"), F.lpad(s(F.col("s_suppkey") % 28 + 1), 2, "0"), F.lit("T00:00:00Z")).alias("updatedAt"),
         F.col("s_suppkey").alias("ordinal"),
+        F.col("s_nationkey").alias("nation"),
     )

@@ -78,10 +78,10 @@ def with_fixtures(select_sql: str, *names: str) -> str:
     ctes = [f"{n} AS ({FIXTURES[n][1].strip()})" for n in order]
     body = select_sql.strip()
     m = re.match(r"(?is)^WITH\s+", body)
-    if m:
-        return "WITH " + ",\n".join(ctes) + ",\n" + body[m.end():]
     if not ctes:
         return body
+    if m:
+        return "WITH " + ",\n".join(ctes) + ",\n" + body[m.end():]
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 

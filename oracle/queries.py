@@ -244,3 +244,138 @@ WITH x AS (SELECT CAST(FLOOR(datediff('day', DATE '1995-01-01', CAST(occurred_at
 SELECT window_no, CAST(DATE '1995-01-01' + CAST(window_no * 10 AS INTEGER) AS DATE) AS window_start,
        CAST(DATE '1995-01-01' + CAST((window_no + 1) * 10 AS INTEGER) AS DATE) AS window_end,
        CAST(COUNT(*) AS BIGINT) AS n FROM x GROUP BY window_no""", "fx_fees")
+
+
+# --- ads ----------------------------------------------------------------------------
+ATTR_SEL = f"""campaign_id, campaign_title, order_id, ext_order_id, sku, offer_id, product_name, stat_date,
+  CAST(price AS {D}) AS price, CAST(amount AS {D}) AS amount, CAST(spent AS {D}) AS spent,
+  CAST(bid AS {D}) AS bid, CAST(bid_percent AS {D}) AS bid_percent, qty"""
+DAILY_SEL = f"""campaign_id, campaign_title, stat_date, impressions, clicks, CAST(spend AS {D}) AS spend,
+  CAST(avg_bid AS {D}) AS avg_bid, orders_cnt, CAST(orders_amount AS {D}) AS orders_amount"""
+
+sql("flatten_attribution", f"SELECT {ATTR_SEL} FROM fx_attribution", "fx_attribution")
+sql("insert_ignore_attribution", f"SELECT {ATTR_SEL} FROM fx_attribution", "fx_attribution")
+sql("resolve_prefix", """
+SELECT r.cand, p.order_id, r.cand AS ext_order_id FROM fx_attr_raw r LEFT JOIN fx_attr_prefix p ON p.cand = r.cand""",
+    "fx_attr_raw", "fx_attr_prefix")
+sql("attribution_match_rate", """
+SELECT CAST(COUNT(p.order_id) AS BIGINT) AS matched, CAST(COUNT(*) - COUNT(p.order_id) AS BIGINT) AS unmatched
+FROM fx_attr_raw r LEFT JOIN fx_attr_prefix p ON p.cand = r.cand""", "fx_attr_raw", "fx_attr_prefix")
+ATTR_AGG = """x AS (SELECT order_id, MAX(campaign_id) AS campaign_id, MAX(campaign_title) AS campaign_title,
+                SUM(spent) AS spend FROM fx_attribution
+           WHERE order_id IS NOT NULL AND stat_date >= DATE '1996-01-01' AND stat_date <= DATE '1998-12-31'
+           GROUP BY order_id)"""
+sql("order_campaign", f"""WITH {ATTR_AGG}
+SELECT o.order_id, x.campaign_id, x.campaign_title FROM fx_orders o LEFT JOIN x ON x.order_id = o.order_id""",
+    "fx_orders", "fx_attribution")
+sql("order_ad_spend", f"""WITH {ATTR_AGG}
+SELECT o.order_id, CAST(CASE WHEN x.order_id IS NOT NULL THEN COALESCE(x.spend, 0) END AS {D}) AS ads_attributed
+FROM fx_orders o LEFT JOIN x ON x.order_id = o.order_id""", "fx_orders", "fx_attribution")
+
+sql("flatten_campaign_daily", f"SELECT {DAILY_SEL} FROM fx_daily", "fx_daily")
+sql("spend_by_day", f"SELECT stat_date, CAST(SUM(spend) AS {D}) AS spend FROM fx_daily GROUP BY 1 ORDER BY 1 DESC",
+    "fx_daily")
+sql("upsert_campaign_daily", f"""
+WITH old AS (SELECT * FROM fx_daily WHERE stat_date < DATE '2024-01-20'),
+new AS (SELECT campaign_id, campaign_title, stat_date, impressions, clicks, spend + 1 AS spend, avg_bid, orders_cnt,
+               orders_amount FROM fx_daily WHERE stat_date >= DATE '2024-01-15')
+SELECT {DAILY_SEL} FROM old o WHERE NOT EXISTS (
+  SELECT 1 FROM new n WHERE n.campaign_id = o.campaign_id AND n.stat_date = o.stat_date)
+UNION ALL SELECT {DAILY_SEL} FROM new""", "fx_daily")
+
+CAMPAIGN_SRC = """SELECT 'c' || CAST(s_suppkey % 10 AS VARCHAR) AS campaign_id, s_name AS title,
+  CASE WHEN s_acctbal > 0 THEN 'CAMPAIGN_STATE_RUNNING' ELSE 'CAMPAIGN_STATE_STOPPED' END AS state,
+  'SKU' AS adv_object_type, CASE WHEN s_nationkey % 2 = 0 THEN 'CPC' ELSE 'CPO' END AS payment_type,
+  '2024-01-' || lpad(CAST(s_suppkey % 28 + 1 AS VARCHAR), 2, '0') || 'T00:00:00Z' AS created_at,
+  '2024-02-' || lpad(CAST(s_suppkey % 28 + 1 AS VARCHAR), 2, '0') || 'T00:00:00Z' AS updated_at,
+  s_suppkey AS ordinal, s_nationkey FROM supplier"""
+sql("flatten_campaigns", f"""SELECT campaign_id, title, state, adv_object_type, payment_type, created_at, updated_at,
+  ordinal FROM ({CAMPAIGN_SRC}) c""")
+sql("upsert_campaigns", f"""
+WITH src AS ({CAMPAIGN_SRC}),
+l1 AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY campaign_id ORDER BY ordinal DESC) rn
+                      FROM src WHERE s_nationkey < 15) t WHERE rn = 1),
+l2 AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY campaign_id ORDER BY ordinal DESC) rn
+                      FROM src WHERE s_nationkey >= 10) t WHERE rn = 1)
+SELECT COALESCE(n.campaign_id, o.campaign_id) AS campaign_id,
+       CASE WHEN n.campaign_id IS NOT NULL THEN n.title || ' v2' ELSE o.title END AS title,
+       CASE WHEN n.campaign_id IS NOT NULL THEN n.state ELSE o.state END AS state,
+       CASE WHEN n.campaign_id IS NOT NULL THEN n.adv_object_type ELSE o.adv_object_type END AS adv_object_type,
+       CASE WHEN n.campaign_id IS NOT NULL THEN n.payment_type ELSE o.payment_type END AS payment_type,
+       CASE WHEN o.campaign_id IS NOT NULL THEN o.created_at ELSE '2030-01-01T00:00:00Z' END AS created_at,
+       CASE WHEN n.campaign_id IS NOT NULL THEN n.updated_at ELSE o.updated_at END AS updated_at
+FROM l1 o FULL OUTER JOIN l2 n ON n.campaign_id = o.campaign_id""")
+
+# --- orders tables ---------------------------------------------------------------------
+fx_header = """header AS (
+  SELECT o.order_id, CAST(o.o_custkey AS VARCHAR) AS customer_id, o.order_date, o.status,
+         COALESCE(SUM(i.price * i.quantity), 0) AS revenue, COALESCE(SUM(-(i.price * i.disc)), 0) AS fees_total,
+         COALESCE(SUM(i.price - i.price * i.disc), 0) AS payout
+  FROM fx_orders_landed o LEFT JOIN fx_items i ON i.order_id = o.order_id
+  GROUP BY o.order_id, o.o_custkey, o.order_date, o.status)"""
+sql("flatten_order_header", f"""WITH {fx_header}
+SELECT order_id, customer_id, order_date, status, CAST(revenue AS {D}) AS revenue FROM header""",
+    "fx_orders_landed", "fx_items")
+sql("posting_totals", f"""WITH {fx_header}
+SELECT order_id, CAST(fees_total AS {D}) AS fees_total, CAST(payout AS {D}) AS payout FROM header""",
+    "fx_orders_landed", "fx_items")
+sql("flatten_order_items", f"""
+SELECT order_id, sku, 'Товар ' || CAST(sku AS VARCHAR) AS name, CAST(quantity AS {D}) AS quantity,
+       CAST(price AS {D}) AS price, CAST(price * quantity AS {D}) AS revenue FROM fx_items""", "fx_items")
+sql("upsert_orders", f"""WITH {fx_header},
+old AS (SELECT * FROM fx_orders WHERE NOT COALESCE(order_date >= TIMESTAMP '2000-01-01', FALSE)),
+new AS (SELECT * FROM header WHERE order_date >= TIMESTAMP '1999-01-01')
+SELECT COALESCE(n.order_id, o.order_id) AS order_id,
+       CASE WHEN n.order_id IS NOT NULL THEN n.customer_id ELSE o.customer_id END AS customer_id,
+       CASE WHEN n.order_id IS NOT NULL THEN n.order_date ELSE o.order_date END AS order_date,
+       CASE WHEN n.order_id IS NOT NULL THEN n.status ELSE o.status END AS status,
+       CAST(CASE WHEN n.order_id IS NOT NULL THEN n.revenue ELSE o.revenue END AS {D}) AS revenue,
+       o.campaign, o.is_first_order,
+       CAST(n.fees_total AS {D}) AS fees_total, CAST(n.payout AS {D}) AS payout
+FROM old o FULL OUTER JOIN new n ON n.order_id = o.order_id""", "fx_orders_landed", "fx_items", "fx_orders")
+sql("insert_absent_customers", f"""
+WITH old AS (
+  SELECT customer_id, CAST(MIN(order_date) AS DATE) AS first_order_date, COUNT(*) AS orders_count,
+         SUM(revenue) AS total_revenue
+  FROM fx_orders WHERE order_date < TIMESTAMP '1998-01-01' AND customer_id IS NOT NULL GROUP BY customer_id)
+SELECT customer_id, first_order_date, CAST(orders_count AS BIGINT) AS orders_count,
+       CAST(total_revenue AS {D}) AS total_revenue FROM old
+UNION ALL
+SELECT DISTINCT CAST(o_custkey AS VARCHAR), CAST(NULL AS DATE), CAST(NULL AS BIGINT), CAST(NULL AS {D})
+FROM fx_orders_landed WHERE CAST(o_custkey AS VARCHAR) NOT IN (SELECT customer_id FROM old)""",
+    "fx_orders", "fx_orders_landed")
+sql("upsert_products", """
+SELECT sku, 'old ' || name AS name, flavor, grams FROM fx_products WHERE sku NOT IN (SELECT sku FROM fx_items)
+UNION ALL
+SELECT DISTINCT i.sku, 'Товар ' || CAST(i.sku AS VARCHAR), p.flavor, p.grams
+FROM fx_items i LEFT JOIN fx_products p ON p.sku = i.sku""", "fx_products", "fx_items")
+sql("replace_items_by_order", f"""
+WITH scope AS (SELECT order_id FROM fx_orders_landed WHERE order_date >= TIMESTAMP '1999-01-01')
+SELECT order_id, sku, CAST(quantity AS {D}) AS quantity, CAST(price AS {D}) AS price,
+       CAST(CAST(price * quantity AS DECIMAL(18,4)) AS {D}) AS revenue
+FROM fx_items WHERE order_id NOT IN (SELECT order_id FROM scope)
+UNION ALL
+SELECT order_id, sku, CAST(quantity + 1 AS {D}), CAST(price AS {D}), CAST(price * quantity AS {D})
+FROM fx_items WHERE order_id IN (SELECT order_id FROM scope)""", "fx_items", "fx_orders_landed")
+sql("mark_missing", """
+WITH seen AS (SELECT DISTINCT order_id FROM fx_items)
+SELECT o.order_id, o.order_date,
+       CASE WHEN s.order_id IS NOT NULL THEN FALSE
+            WHEN o.order_date >= TIMESTAMP '1998-01-01' AND o.order_date < TIMESTAMP '1999-01-01' THEN TRUE END AS missing,
+       CASE WHEN s.order_id IS NULL AND o.order_date >= TIMESTAMP '1998-01-01' AND o.order_date < TIMESTAMP '1999-01-01'
+            THEN TIMESTAMP '2025-01-01 00:00:00' END AS missing_at
+FROM fx_orders o LEFT JOIN seen s ON s.order_id = o.order_id""", "fx_orders", "fx_items")
+sql("dq_foreign_key", """
+SELECT order_id, customer_id FROM fx_orders WHERE customer_id IS NOT NULL AND customer_id NOT IN (
+  SELECT customer_id FROM fx_orders WHERE order_date < TIMESTAMP '1999-01-01' AND customer_id IS NOT NULL)""",
+    "fx_orders")
+sql("dq_not_null", """
+SELECT 'order_id' AS column_name, CAST(COUNT(*) - COUNT(order_id) AS BIGINT) AS null_count FROM fx_attribution
+UNION ALL SELECT 'ext_order_id', CAST(COUNT(*) - COUNT(ext_order_id) AS BIGINT) FROM fx_attribution
+UNION ALL SELECT 'sku', CAST(COUNT(*) - COUNT(sku) AS BIGINT) FROM fx_attribution
+UNION ALL SELECT 'campaign_title', CAST(COUNT(*) - COUNT(campaign_title) AS BIGINT) FROM fx_attribution""",
+    "fx_attribution")
+sql("dq_date_bounds", "SELECT MIN(order_date) AS min_date, MAX(order_date) AS max_date FROM fx_orders", "fx_orders")
+sql("lookback_window", """
+SELECT order_id, order_date FROM fx_orders
+WHERE order_date >= TIMESTAMP '1998-07-03' AND order_date < TIMESTAMP '1998-08-03'""", "fx_orders")
