@@ -14,7 +14,7 @@ from pyspark.sql.types import DecimalType
 
 MONEY = DecimalType(18, 4)
 ZERO = F.lit(0).cast(MONEY)
-NBSP = " "
+NBSP = "\u00a0"
 # Characters Python's str.strip() removes (ASCII subset); SQL trim only drops ' '.
 WHITESPACE = " \t\n\r\x0b\x0c"
 

@@ -217,7 +217,7 @@ def localized_money(c: Column, nbsp: Column, scale: int = 2) -> Column:
     thousands space is a no-break space where ``nbsp`` is true."""
     txt = F.format_number(c, scale)  # 1,234.56
     ru = F.replace(F.replace(F.replace(txt, F.lit(","), F.lit("~")), F.lit("."), F.lit(",")), F.lit("~"), F.lit(" "))
-    return F.when(nbsp, F.replace(ru, F.lit(" "), F.lit(" "))).otherwise(ru)
+    return F.when(nbsp, F.replace(ru, F.lit(" "), F.lit("\u00a0"))).otherwise(ru)
 
 
 def attribution_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -379,3 +379,119 @@ sql("dq_date_bounds", "SELECT MIN(order_date) AS min_date, MAX(order_date) AS ma
 sql("lookback_window", """
 SELECT order_id, order_date FROM fx_orders
 WHERE order_date >= TIMESTAMP '1998-07-03' AND order_date < TIMESTAMP '1998-08-03'""", "fx_orders")
+
+
+# --- scalar functions ------------------------------------------------------------------
+NB = "chr(160)"
+MONEY_BASE = "'1' || ' ' || replace(CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), '.', ',')"
+
+
+def _money_text(junk: bool, nbsp: bool, blank: bool) -> str:
+    t = MONEY_BASE
+    if nbsp:
+        t = f"CASE WHEN event_id % 2 = 0 THEN replace({MONEY_BASE}, ' ', {NB}) ELSE {t} END"
+    if blank:
+        t = f"CASE WHEN event_id % 11 = 0 THEN '' ELSE {t} END"
+    if junk:
+        t = f"CASE WHEN event_id % 13 = 0 THEN 'n/a' ELSE {t} END"
+    return t
+
+
+def _parse(text: str) -> str:
+    return f"TRY_CAST(replace(replace({text}, ' ', ''), ',', '.') AS DECIMAL(18,4))"
+
+
+sql("money_lenient", f"""
+WITH t AS (SELECT event_id, {_money_text(True, True, True)} AS text FROM events)
+SELECT event_id, text, CAST(COALESCE({_parse('text')}, 0) AS {D}) AS amount FROM t""")
+sql("money_strict", f"""
+WITH t AS (SELECT event_id, {_money_text(False, False, False)} AS text FROM events)
+SELECT event_id, text, CAST(CAST(replace(replace(text, ' ', ''), ',', '.') AS DECIMAL(18,4)) AS {D}) AS amount FROM t""")
+sql("money_localized", f"""
+WITH t AS (SELECT event_id, {_money_text(False, True, True)} AS text FROM events)
+SELECT event_id, text, CAST(CASE WHEN replace(replace(trim(text), ' ', ''), {NB}, '') = '' THEN 0
+  ELSE CAST(replace(replace(replace(trim(text), ' ', ''), {NB}, ''), ',', '.') AS DECIMAL(18,4)) END AS {D}) AS amount
+FROM t""")
+sql("money_report", f"""
+WITH t AS (SELECT event_id, CASE WHEN event_id % 13 = 0 THEN 'NaN' WHEN event_id % 17 = 0 THEN NULL
+                                 ELSE {_money_text(False, False, False)} END AS text FROM events)
+SELECT event_id, text, CAST(CASE WHEN text IS NULL OR lower(trim(text)) = 'nan' THEN 0
+  ELSE CAST(replace(replace(text, ' ', ''), ',', '.') AS DECIMAL(18,4)) END AS {D}) AS amount FROM t""")
+
+OID = "CAST(o_custkey AS VARCHAR) || '-' || CAST(o_orderkey AS VARCHAR) || '-1'"
+POSTING_TEXT = f"""CASE o_orderkey % 5 WHEN 0 THEN {OID} WHEN 1 THEN replace({OID}, '-', '_') WHEN 2 THEN ' '
+  WHEN 3 THEN '  ' || {OID} || ' ' END"""
+sql("customer_from_posting", f"""
+WITH t AS (SELECT o_orderkey, {POSTING_TEXT} AS text FROM orders), s AS (SELECT *, trim(text) AS st FROM t)
+SELECT o_orderkey, text, CASE WHEN st IS NULL OR st = '' THEN 'unknown'
+  WHEN contains(st, '-') THEN split_part(st, '-', 1) WHEN contains(st, '_') THEN split_part(st, '_', 1)
+  ELSE st END AS customer_id FROM s""")
+sql("customer_from_posting_simple", f"""
+WITH t AS (SELECT o_orderkey, {POSTING_TEXT} AS text FROM orders)
+SELECT o_orderkey, text, CASE WHEN text IS NULL OR text = '' THEN '' ELSE split_part(text, '-', 1) END AS customer_id
+FROM t""")
+
+
+def _date_text(lenient: bool) -> str:
+    n = 5 if lenient else 4
+    t = (f"CASE o_orderkey % {n} WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%d.%m.%Y') "
+         f"WHEN 2 THEN CAST(day(o_orderdate) AS VARCHAR) || '.' || CAST(month(o_orderdate) AS VARCHAR) || '.' || CAST(year(o_orderdate) AS VARCHAR) "
+         f"WHEN 3 THEN strftime(o_orderdate, '%d/%m/%Y') ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') END")
+    t = f"CASE WHEN o_orderkey % 50 = 0 THEN '' ELSE {t} END"
+    if lenient:
+        t = f"CASE WHEN o_orderkey % 7 = 0 THEN 'n/a' ELSE {t} END"
+    return t
+
+
+sql("date_any", f"""
+WITH t AS (SELECT o_orderkey, {_date_text(False)} AS text FROM orders)
+SELECT o_orderkey, text, CASE WHEN text IS NULL OR text = '' THEN NULL ELSE CAST(COALESCE(
+  try_strptime(trim(text), '%Y-%m-%d'), try_strptime(trim(text), '%d.%m.%Y'), try_strptime(trim(text), '%d/%m/%Y')) AS DATE) END AS parsed
+FROM t""")
+sql("date_any_lenient", f"""
+WITH t AS (SELECT o_orderkey, {_date_text(True)} AS text FROM orders)
+SELECT o_orderkey, text, CASE WHEN text IS NULL OR text = '' THEN NULL ELSE CAST(COALESCE(
+  try_strptime(trim(text), '%Y-%m-%d'), try_strptime(trim(text), '%d.%m.%Y'),
+  try_strptime(trim(text), '%Y-%m-%dT%H:%M:%SZ'), try_strptime(trim(text), '%Y-%m-%dT%H:%M:%S')) AS DATE) END AS parsed
+FROM t""")
+
+from oracle.fixtures import SERVICE_NAME_SQL, classify_sql, normalize_sql  # noqa: E402
+
+NAME_TEXT = f"""CASE l_linenumber % 5 WHEN 1 THEN upper({SERVICE_NAME_SQL}) WHEN 2 THEN 'LastMile' || CAST(sku AS VARCHAR)
+  WHEN 3 THEN NULL WHEN 4 THEN '' ELSE {SERVICE_NAME_SQL} END"""
+sql("fee_name_normalize", f"""
+WITH t AS (SELECT o_orderkey, l_linenumber, {NAME_TEXT} AS name FROM fx_items)
+SELECT o_orderkey, l_linenumber, name, {normalize_sql('name')} AS fee_name FROM t""", "fx_items")
+sql("fee_group_classify", f"""
+WITH t AS (SELECT o_orderkey, l_linenumber, {NAME_TEXT} AS name FROM fx_items)
+SELECT o_orderkey, l_linenumber, name, {classify_sql('name')} AS fee_group FROM t""", "fx_items")
+sql("fee_uid", """
+SELECT o_orderkey, l_linenumber, sku, md5(
+  'finance_api' || '|' || CASE WHEN l_linenumber % 2 = 0 THEN order_id ELSE '' END || '|'
+  || CASE WHEN l_linenumber % 2 = 1 THEN order_id ELSE '' END || '|'
+  || CASE WHEN l_linenumber % 3 <> 0 THEN 'OperationAgentDeliveredToCustomer' ELSE '' END || '|' || '' || '|'
+  || 'svc' || CAST(l_suppkey AS VARCHAR) || '|' || strftime(l_shipdate, '%Y-%m-%d') || '|'
+  || CASE WHEN l_linenumber % 4 <> 0 AND sku <> 0 THEN CAST(sku AS VARCHAR) ELSE '' END) AS uid
+FROM fx_items""", "fx_items")
+sql("posting_id_normalize", """
+WITH t AS (SELECT o_orderkey, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN order_id WHEN 1 THEN ' ' || order_id || ' '
+  WHEN 2 THEN CAST(o_orderkey AS VARCHAR) ELSE order_id || '-x' END AS text FROM fx_items)
+SELECT o_orderkey, l_linenumber, text,
+  CASE WHEN regexp_full_match(trim(text), '[0-9]+-[0-9]+-[0-9]+') THEN trim(text) END AS order_id FROM t""", "fx_items")
+sql("int_lenient", """
+WITH t AS (SELECT l_orderkey, l_linenumber, CASE l_linenumber % 4
+  WHEN 0 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) WHEN 1 THEN ' ' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || ' '
+  WHEN 2 THEN CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) ELSE 'abc' END AS text FROM lineitem)
+SELECT l_orderkey, l_linenumber, text,
+  CASE WHEN regexp_full_match(trim(text), '[+-]?[0-9]+') THEN CAST(trim(text) AS BIGINT) END AS qty FROM t""")
+sql("first_present", """
+WITH t AS (SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'c' || CAST(l_suppkey % 10 AS VARCHAR) END AS "campaignId",
+                  CASE WHEN l_linenumber % 2 = 1 THEN 'c' || CAST(l_suppkey % 10 AS VARCHAR) END AS campaign_id,
+                  CAST(NULL AS VARCHAR) AS id FROM fx_items)
+SELECT "campaignId", campaign_id, id, COALESCE(NULLIF("campaignId", ''), NULLIF(campaign_id, ''), NULLIF(id, ''), '0') AS campaign
+FROM t""", "fx_items")
+sql("line_revenue", f"""
+SELECT order_id, sku, l_linenumber,
+  CAST(price * COALESCE(CASE WHEN l_linenumber % 6 <> 0 THEN quantity END, 0) AS {D}) AS revenue FROM fx_items""",
+    "fx_items")
+sql("iso_window_bounds", "SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') AS iso FROM lineitem")
