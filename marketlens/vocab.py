@@ -63,3 +63,15 @@ FEE_BUCKETS: list[tuple[str, str]] = [
 
 # Regular expression for a full posting number (customer-number-part).
 POSTING_NUMBER_PATTERN = r"^\d+-\d+-\d+$"
+
+# --- FIXED VALUES: accrual report header labels -> column names ---------------
+ACCRUAL_LABELS: dict[str, str] = {
+    "ID начисления": "accrual_id",
+    "Дата начисления": "accrual_date",
+    "Группа услуг": "service_group",
+    "Тип начисления": "accrual_type",
+    "SKU": "sku",
+    "Дата принятия заказа в обработку или оказания услуги": "accepted_at",
+    "Сумма итого, руб.": "total_amount",
+    "Вознаграждение Ozon, %": "commission_percent",
+}

@@ -495,3 +495,27 @@ SELECT order_id, sku, l_linenumber,
   CAST(price * COALESCE(CASE WHEN l_linenumber % 6 <> 0 THEN quantity END, 0) AS {D}) AS revenue FROM fx_items""",
     "fx_items")
 sql("iso_window_bounds", "SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') AS iso FROM lineitem")
+
+
+# --- sources -----------------------------------------------------------------------------
+sql("src_postings", f"""WITH {fx_header}
+SELECT order_id, customer_id, order_date, status, CAST(revenue AS {D}) AS revenue, CAST(fees_total AS {D}) AS fees_total,
+       CAST(payout AS {D}) AS payout FROM header""", "fx_orders_landed", "fx_items")
+sql("src_postings_by_scheme", """
+SELECT o.order_id, CASE WHEN o.status = 'F' THEN 'fbo' ELSE 'fbs' END AS scheme, o.status,
+       CAST(COUNT(i.order_id) AS INTEGER) AS n_products
+FROM fx_orders_landed o LEFT JOIN fx_items i ON i.order_id = o.order_id GROUP BY o.order_id, o.status""",
+    "fx_orders_landed", "fx_items")
+sql("src_finance_ops", f"SELECT {FEE_SEL} FROM fx_fin_rows", "fx_fin_rows")
+sql("src_campaigns", f"""SELECT campaign_id, title, state, adv_object_type, payment_type, created_at, updated_at
+FROM ({CAMPAIGN_SRC}) c""")
+sql("src_campaign_daily", f"SELECT {DAILY_SEL} FROM fx_daily", "fx_daily")
+sql("src_attribution_rows", f"""
+SELECT r.campaign_id, r.campaign_title, p.order_id, r.cand AS ext_order_id, r.sku, r.offer_id, r.product_name,
+       r.stat_date, CAST(r.price AS {D}) AS price, CAST(r.amount AS {D}) AS amount, CAST(r.spent AS {D}) AS spent,
+       CAST(r.bid AS {D}) AS bid, CAST(r.bid_percent AS {D}) AS bid_percent, r.qty
+FROM fx_attr_raw r LEFT JOIN fx_attr_prefix p ON p.cand = r.cand""", "fx_attr_raw", "fx_attr_prefix")
+sql("src_accruals", f"SELECT {FEE_SEL} FROM fx_accrual_fees", "fx_accrual_fees")
+sql("dim_catalog", "SELECT sku, flavor, grams FROM fx_products", "fx_products")
+sql("param_scan", f"""SELECT order_id, customer_id, CAST(revenue AS {D}) AS revenue FROM fx_orders
+WHERE campaign = '2-HIGH' AND revenue > 100000""", "fx_orders")
