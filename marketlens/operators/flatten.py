@@ -40,6 +40,7 @@ def flatten_order_header(postings: DataFrame) -> DataFrame:
         posting_revenue("products").alias("revenue"),
         fees.alias("fees_total"),
         payout.alias("payout"),
+        *[c for c in p.columns if c == "_ordinal"],
     )
 
 
