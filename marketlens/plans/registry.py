@@ -158,4 +158,4 @@ def q_first_order_flag(spark, d):
 
 
 # Queries of the other domains register themselves on import.
-from marketlens.plans import q_ads, q_batch, q_fees, q_functions, q_sources  # noqa: E402,F401
+from marketlens.plans import q_ads, q_batch, q_fees, q_functions, q_sources, q_streams  # noqa: E402,F401

@@ -44,9 +44,14 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def write_version(df: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as a new version of the table at ``root``."""
-    path = f"{root.rstrip('/')}/v={int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
+def write_version(df: DataFrame, root: str, partition_by: list[str] | None = None,
+                  tag: str | None = None) -> str:
+    """Write ``df`` as a new version of the table at ``root``.
+
+    ``tag`` (e.g. a stream epoch) makes the version recognisable, so a
+    replayed writer can tell that its version is already committed."""
+    suffix = tag or uuid.uuid4().hex[:8]
+    path = f"{root.rstrip('/')}/v={int(time.time() * 1000):015d}-{suffix}"
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -67,6 +72,20 @@ def latest_version(spark: SparkSession, root: str) -> str | None:
     return max(done) if done else None
 
 
+def version_exists(spark: SparkSession, root: str, tag: str) -> bool:
+    """Is a committed version with this tag present?"""
+    fs, p = _fs(spark, root)
+    if not fs.exists(p):
+        return False
+    jvm = spark.sparkContext._jvm
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("v=") and name.endswith("-" + tag) and fs.exists(
+                jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            return True
+    return False
+
+
 def read_table(spark: SparkSession, root: str, schema=None) -> DataFrame:
     """Current version of a table, or an empty table of ``schema``."""
     v = latest_version(spark, root)

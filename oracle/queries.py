@@ -570,3 +570,15 @@ sql("batch_attribution", f"""WITH {ATTR_AGG}
 SELECT o.order_id, x.campaign_id, x.campaign_title,
        CAST(CASE WHEN x.order_id IS NOT NULL THEN COALESCE(x.spend, 0) END AS {D}) AS ads_attributed
 FROM fx_orders_landed o LEFT JOIN x ON x.order_id = o.order_id""", "fx_orders_landed", "fx_attribution")
+
+
+# --- streaming (batch-equal) ------------------------------------------------------------
+sql("stream_upsert", f"SELECT {DAILY_SEL} FROM fx_daily", "fx_daily")
+sql("stream_dedup", "SELECT event_id, ts, user_id, event_type, value FROM events")
+sql("stream_campaign_daily", f"""
+SELECT 'c' || CAST(user_id % 10 AS VARCHAR) AS campaign_id, CAST(ts AS DATE) AS stat_date,
+       CAST(COUNT(*) AS BIGINT) AS events,
+       CAST(COUNT(CASE WHEN event_type = 'click' THEN 1 END) AS BIGINT) AS clicks,
+       CAST(COUNT(CASE WHEN event_type = 'purchase' THEN 1 END) AS BIGINT) AS orders_cnt,
+       CAST(COALESCE(SUM(CASE WHEN event_type = 'click' THEN CAST(value AS DECIMAL(18,2)) END), 0) AS {D}) AS spend
+FROM events GROUP BY 1, 2""")
