@@ -44,7 +44,5 @@ def text_to_ntz(c) -> Column:
     """ISO text (optionally ending in 'Z') -> wall-clock ``timestamp_ntz``.
 
     A 'Z' is dropped rather than applied, as a TIMESTAMP-without-zone column
-    stores it.
-    """
-    s = F.regexp_replace(strip(c), "Z$", "")
-    return F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")).cast("timestamp_ntz")
+    stores it; unparseable text gives NULL."""
+    return strip(c).try_cast("timestamp_ntz")

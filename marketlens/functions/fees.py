@@ -9,9 +9,11 @@ from marketlens import vocab
 from marketlens.functions.money import _col
 
 
-def fee_group_classify(c) -> Column:
-    """P10: ordered keyword rules over the lower-cased name, first match wins."""
-    s = F.lower(F.coalesce(_col(c).cast("string"), F.lit("")))
+def fee_group_of_lower(lc) -> Column:
+    """P10 over an already lower-cased name: keyword rules top-down, first
+    match wins, else 'other'. Reference a column computed in an earlier
+    projection so the lower-casing runs once per row, not once per keyword."""
+    s = _col(lc)
     out = None
     for group, keywords in vocab.FEE_GROUP_RULES:
         cond = None
@@ -22,6 +24,15 @@ def fee_group_classify(c) -> Column:
     return out.otherwise(F.lit(vocab.FEE_GROUP_OTHER))
 
 
+def lower_name(c) -> Column:
+    return F.lower(F.coalesce(_col(c).cast("string"), F.lit("")))
+
+
+def fee_group_classify(c) -> Column:
+    """P10: ordered keyword rules over the lower-cased name, first match wins."""
+    return fee_group_of_lower(lower_name(c))
+
+
 def fee_name_normalize(c) -> Column:
     """Readable name for known service codes; blank -> 'UNKNOWN'; else as is."""
     s = _col(c).cast("string")

@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 MONEY = DecimalType(18, 4)
-ZERO = F.lit(0).cast(MONEY)
+
+
+def zero() -> Column:
+    """0 as money (built per call: no Column exists before a session does)."""
+    return F.lit(0).cast(MONEY)
 NBSP = "\u00a0"
 # Characters Python's str.strip() removes (ASCII subset); SQL trim only drops ' '.
 WHITESPACE = " \t\n\r\x0b\x0c"
@@ -36,13 +40,13 @@ def _strict(text: Column, shown: Column) -> Column:
 def money_lenient(c) -> Column:
     """NULL -> 0; spaces dropped, ',' -> '.'; unparseable -> 0."""
     c = _col(c)
-    return F.coalesce((_normalized(c)).try_cast(MONEY), ZERO)
+    return F.coalesce((_normalized(c)).try_cast(MONEY), zero())
 
 
 def money_strict(c) -> Column:
     """NULL -> 0; spaces dropped, ',' -> '.'; unparseable (even '') raises."""
     c = _col(c)
-    return F.when(c.isNull(), ZERO).otherwise(_strict(_normalized(c), c.cast("string")))
+    return F.when(c.isNull(), zero()).otherwise(_strict(_normalized(c), c.cast("string")))
 
 
 def money_localized(c, strip_nbsp: bool = True, blank_is_zero: bool = True) -> Column:
@@ -60,9 +64,9 @@ def money_localized(c, strip_nbsp: bool = True, blank_is_zero: bool = True) -> C
         cleaned = F.replace(c, F.lit(" "), F.lit(""))
         blank = c == F.lit("")
     text = F.replace(cleaned, F.lit(","), F.lit("."))
-    out = F.when(c.isNull(), ZERO)
+    out = F.when(c.isNull(), zero())
     if blank_is_zero:
-        out = out.when(blank, ZERO)
+        out = out.when(blank, zero())
     return out.otherwise(_strict(text, c))
 
 
@@ -71,9 +75,9 @@ def money_report(c) -> Column:
     c = _col(c)
     s = c.cast("string")
     is_nan = F.lower(F.btrim(s, F.lit(WHITESPACE))) == F.lit("nan")
-    return F.when(c.isNull() | is_nan, ZERO).otherwise(_strict(_normalized(c), s))
+    return F.when(c.isNull() | is_nan, zero()).otherwise(_strict(_normalized(c), s))
 
 
 def line_revenue(price, quantity) -> Column:
     """Price x quantity, a NULL quantity counts as 0."""
-    return _col(price) * F.coalesce(_col(quantity), ZERO)
+    return _col(price) * F.coalesce(_col(quantity), zero())

@@ -18,7 +18,10 @@ from marketlens.functions.money import (MONEY, line_revenue, money_lenient, mone
                                         money_report, money_strict)
 from marketlens.operators.orders import posting_revenue, posting_totals
 
-NULL_S = F.lit(None).cast("string")
+
+
+def null_s() -> Column:
+    return F.lit(None).cast("string")
 
 
 def _has_key(c: str) -> Column:
@@ -95,9 +98,9 @@ def flatten_posting_fees(postings: DataFrame) -> DataFrame:
     ), lambda r: r["amount"] != F.lit(0))
     y = x.select("order_id", fp["product_id"].alias("product_id"), F.inline(rows))
     return y.select(
-        NULL_S.alias("uid"), "order_id", NULL_S.alias("ext_order_id"), "fee_group", "fee_name",
+        null_s().alias("uid"), "order_id", null_s().alias("ext_order_id"), "fee_group", "fee_name",
         "amount", "percent", "product_id", F.lit(None).cast("bigint").alias("sku"),
-        NULL_S.alias("operation_type"), F.lit(None).cast("timestamp_ntz").alias("occurred_at"),
+        null_s().alias("operation_type"), F.lit(None).cast("timestamp_ntz").alias("occurred_at"),
         F.lit(vocab.SOURCE_POSTING).alias("source"),
     )
 
@@ -120,20 +123,19 @@ def finance_service_rows(ops: DataFrame) -> DataFrame:
         F.col("services"),
         *[c for c in ops.columns if c == "_ordinal"],
     )
-    svc_t = "array<struct<name:string,amount:string,sku:string,pos:int>>"
-    from_services = F.transform(
-        F.coalesce(F.col("services"), F.array()),
-        lambda s, i: F.struct(
-            first_present(s["name"], s["type"], default=vocab.FEE_NAME_UNKNOWN).alias("name"),
-            F.coalesce(s["price"], s["amount"]).alias("amount"),
-            s["sku"].alias("sku"), i.alias("pos")))
-    from_op = F.array(F.struct(F.col("op_name").alias("name"), F.col("op_amount").alias("amount"),
-                               NULL_S.alias("sku"), F.lit(0).alias("pos")))
-    rows = F.when(F.size(F.coalesce(F.col("services"), F.array())) == 0, from_op.cast(svc_t)) \
-        .otherwise(from_services.cast(svc_t))
     keep = [c for c in base.columns if c not in ("services",)]
-    x = base.select(*keep, F.inline(rows))
-    return x.select(
+    # posexplode_outer yields one row per service, or one row with a NULL
+    # position when an operation has no services: that row is the operation's.
+    x = base.select(*keep, F.posexplode_outer("services").alias("pos", "svc"))
+    is_op = F.col("pos").isNull()
+    svc = F.col("svc")
+    name = F.when(is_op, F.col("op_name")).otherwise(
+        first_present(svc["name"], svc["type"], default=vocab.FEE_NAME_UNKNOWN))
+    amount = F.when(is_op, F.col("op_amount")).otherwise(F.coalesce(svc["price"], svc["amount"]))
+    sku = F.when(~is_op, svc["sku"])
+    y = x.select(*keep, name.alias("name"), amount.alias("amount"), sku.alias("sku"),
+                 F.coalesce(F.col("pos"), F.lit(0)).alias("pos"))
+    return y.select(
         F.when(F.col("cand") != F.lit(""), F.col("cand")).alias("cand"),
         "op_date", "operation_type",
         fee_group_classify(F.col("name")).alias("fee_group"),
@@ -151,7 +153,7 @@ def finance_fee_rows(resolved: DataFrame) -> DataFrame:
                 F.col("operation_type"), F.col("fee_group"), F.col("fee_name"), F.col("op_date"),
                 F.col("sku")).alias("uid"),
         "order_id", "ext_order_id", "fee_group", "fee_name", "amount",
-        F.lit(None).cast(MONEY).alias("percent"), NULL_S.alias("product_id"), "sku",
+        F.lit(None).cast(MONEY).alias("percent"), null_s().alias("product_id"), "sku",
         "operation_type", text_to_ntz(F.col("op_date")).alias("occurred_at"),
         F.lit(vocab.SOURCE_FINANCE_API).alias("source"),
         *[c for c in resolved.columns if c in ("_ordinal", "pos")],
@@ -248,13 +250,13 @@ def flatten_accruals(report: DataFrame) -> DataFrame:
     typ = strip(F.col("accrual_type"))
     pct = F.col("commission_percent") if "commission_percent" in report.columns else F.lit(None).cast("string")
     return report.select(
-        NULL_S.alias("uid"),
+        null_s().alias("uid"),
         posting_id_normalize(F.col("accrual_id")).alias("order_id"),
-        NULL_S.alias("ext_order_id"),
+        null_s().alias("ext_order_id"),
         grp.alias("fee_group"), typ.alias("fee_name"),
         money_report(F.col("total_amount")).alias("amount"),
         F.when(pct.isNotNull() & (F.lower(F.btrim(pct)) != F.lit("nan")), money_report(pct)).alias("percent"),
-        NULL_S.alias("product_id"),
+        null_s().alias("product_id"),
         int_lenient(F.col("sku")).alias("sku"),
         typ.alias("operation_type"),
         F.try_to_timestamp(strip(F.col("accepted_at")), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz").alias("occurred_at"),

@@ -8,7 +8,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.functions.money import MONEY, ZERO, line_revenue, money_lenient
+from marketlens.functions.money import MONEY, line_revenue, money_lenient, zero
 from marketlens.operators.upsert import update_from
 
 
@@ -17,7 +17,7 @@ def posting_revenue(products="products") -> Column:
     arr = F.coalesce(F.col(products) if isinstance(products, str) else products,
                      F.array().cast("array<struct<sku:string,name:string,quantity:string,price:string>>"))
     acc_t = "decimal(38,4)"
-    return F.aggregate(arr, ZERO.cast(acc_t),
+    return F.aggregate(arr, zero().cast(acc_t),
                        lambda acc, x: (acc + money_lenient(x["price"]) * money_lenient(x["quantity"])).cast(acc_t)
                        ).cast(MONEY)
 
@@ -28,7 +28,7 @@ def posting_totals(fin_products="financial_data.products") -> tuple[Column, Colu
     arr = F.coalesce(F.col(fin_products), F.array().cast(
         "array<struct<product_id:string,commission_amount:string,commission_percent:string,"
         "payout:string,total_discount_value:string,total_discount_percent:string>>"))
-    z = ZERO.cast("decimal(28,4)")
+    z = zero().cast("decimal(28,4)")
     payout = F.aggregate(arr, z, lambda acc, x: (acc + money_lenient(x["payout"])).cast("decimal(28,4)")).cast(MONEY)
     fees = F.aggregate(arr, z, lambda acc, x: (acc + money_lenient(x["commission_amount"])).cast("decimal(28,4)")).cast(MONEY)
     return payout, fees

@@ -39,6 +39,12 @@ class Warehouse:
     def read(self, name: str) -> DataFrame:
         return tables.read_table(self.spark, self.path(name), tables.TABLE_SCHEMAS[name])
 
+    def stage(self, name: str, df: DataFrame) -> DataFrame:
+        """Write an intermediate once (a lineage cut that several later
+        writes read) and return it read back."""
+        p = tables.write_version(df, self.path(f"_staging/{name}"))
+        return self.spark.read.parquet(p)
+
     def write(self, name: str, df: DataFrame) -> DataFrame:
         """Write a new version (conformed to the table schema, M01) and
         return it read back from storage."""
@@ -61,7 +67,8 @@ def batch_orders(wh: Warehouse, postings: DataFrame, date_from, date_to, now,
     """Flatten postings -> upsert orders / customers / products / items /
     posting fees -> mark missing -> customer aggregates -> first-order flags
     -> order finance and fee breakdown."""
-    postings = _ordered(postings)
+    # The batch's documents feed five tables: land them once as Parquet.
+    postings = wh.stage("postings", _ordered(postings))
     header = flatten.flatten_order_header(postings)
     items = flatten.flatten_order_items(postings)
     posting_fees = flatten.flatten_posting_fees(postings)
@@ -113,7 +120,7 @@ def batch_finance(wh: Warehouse, operations: DataFrame, date_from, date_to) -> d
     svc = flatten.finance_service_rows(operations)
     res = resolve.resolve_order_id(svc, orders, "cand")
     rows = flatten.finance_fee_rows(res)
-    rows = rows.withColumn("_ord", F.struct("_ordinal", "pos")).drop("_ordinal", "pos")
+    rows = wh.stage("finance_rows", rows.withColumn("_ord", F.struct("_ordinal", "pos")).drop("_ordinal", "pos"))
     old = wh.read("order_fee_items")
     # Drop old finance rows whose pre-resolution key is re-delivered.
     new_keys = raw_fee_key(rows).select("_raw_key").distinct()
