@@ -235,3 +235,29 @@ def q_q05(spark, d):
 def q_f02(spark, d):
     o = qo.lookback_window(Inputs(spark, d).orders(), "order_date", "1998-08-02", 30)
     return o.select("order_id", "order_date")
+
+
+@query("flatten_accruals")
+def q_p24(spark, d):
+    from marketlens.plans.q_fees import fee_out
+    from marketlens.sources import testdata as td
+    return fee_out(flatten.flatten_accruals(td.accrual_rows(spark, d)))
+
+
+@query("update_from_aggregate")
+def q_j06(spark, d):
+    """UPDATE orders SET revenue = <revenue of MEDIUM products> FROM (...):
+    orders with such items take the aggregate, all others keep their value."""
+    inp = Inputs(spark, d)
+    medium = inp.items().join(inp.products().filter(F.col("flavor") == "MEDIUM").select("sku"), "sku", "left_semi")
+    agg = medium.groupBy("order_id").agg(F.sum(F.col("price") * F.col("quantity")).alias("medium_revenue"))
+    out = upsert.update_from(inp.orders(), agg, "order_id", {"revenue": F.col("medium_revenue").cast(MONEY)})
+    return out.select("order_id", dbl("revenue"))
+
+
+@query("existence_limit")
+def q_o02(spark, d):
+    """Top-1 probe: the newest order (a NULL date sorts first, as in the source)."""
+    o = Inputs(spark, d).orders_landed()
+    return o.orderBy(F.col("order_date").desc_nulls_first(), F.col("order_id").desc()).limit(1) \
+        .select("order_id", "order_date")

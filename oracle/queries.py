@@ -582,3 +582,13 @@ SELECT 'c' || CAST(user_id % 10 AS VARCHAR) AS campaign_id, CAST(ts AS DATE) AS
        CAST(COUNT(CASE WHEN event_type = 'purchase' THEN 1 END) AS BIGINT) AS orders_cnt,
        CAST(COALESCE(SUM(CASE WHEN event_type = 'click' THEN CAST(value AS DECIMAL(18,2)) END), 0) AS {D}) AS spend
 FROM events GROUP BY 1, 2""")
+
+sql("flatten_accruals", f"SELECT {FEE_SEL} FROM fx_accrual_fees", "fx_accrual_fees")
+sql("update_from_aggregate", f"""
+WITH agg AS (SELECT i.order_id, SUM(i.price * i.quantity) AS medium_revenue
+             FROM fx_items i JOIN fx_products p ON p.sku = i.sku WHERE p.flavor = 'MEDIUM' GROUP BY i.order_id)
+SELECT o.order_id, CAST(CASE WHEN a.order_id IS NOT NULL THEN a.medium_revenue ELSE o.revenue END AS {D}) AS revenue
+FROM fx_orders o LEFT JOIN agg a ON a.order_id = o.order_id""", "fx_orders", "fx_items", "fx_products")
+sql("existence_limit", """
+SELECT order_id, order_date FROM fx_orders_landed ORDER BY order_date DESC NULLS FIRST, order_id DESC LIMIT 1""",
+    "fx_orders_landed")
