@@ -123,26 +123,28 @@ def _iso(c) -> Column:
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 posting documents (one row per order, nested products and financial data).
 
-    Item arrays are built per order (a posting holds a handful of products).
+    Lines are grouped per order key (partial collect before the shuffle), then
+    orders are left-joined on the same key, which reuses that partitioning: one
+    shuffle of each table. An order holds a handful of lines; orders without
+    lines get NULL arrays.
     """
-    it = items(spark, sf_dir)
-    per_order = it.groupBy("order_id").agg(
-        F.collect_list(F.struct(
-            s("sku").alias("sku"), F.lit("Товар ").alias("name_prefix"),
-            s("quantity").alias("quantity"), s("price").alias("price"),
-            s((-(F.col("price") * F.col("disc")))).alias("commission_amount"),
-            s("disc").alias("commission_percent"),
-            s(F.col("price") - F.col("price") * F.col("disc")).alias("payout"),
-            s(F.col("price") * F.col("tax")).alias("total_discount_value"),
-            s("tax").alias("total_discount_percent"),
-        )).alias("lines"))
-    o = orders_landed(spark, sf_dir)
-    doc = o.join(per_order, "order_id", "left").select(
+    o = orders_landed(spark, sf_dir).withColumn("_okey", F.split("order_id", "-").getItem(1).cast("bigint"))
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", m("l_quantity").alias("q"), m("l_extendedprice").alias("p"),
+        m("l_discount").alias("dsc"), m("l_tax").alias("tx"))
+    line = F.struct(
+        s("l_partkey").alias("sku"), s("q").alias("quantity"), s("p").alias("price"),
+        s(-(F.col("p") * F.col("dsc"))).alias("commission_amount"), s("dsc").alias("commission_percent"),
+        s(F.col("p") - F.col("p") * F.col("dsc")).alias("payout"),
+        s(F.col("p") * F.col("tx")).alias("total_discount_value"), s("tx").alias("total_discount_percent"))
+    per_order = li.groupBy("l_orderkey").agg(F.collect_list(line).alias("lines"))
+    g = o.join(per_order, o["_okey"] == per_order["l_orderkey"], "left")
+    return g.select(
         F.col("order_id").alias("posting_number"),
         _iso("order_date").alias("in_process_at"),
         F.col("status"),
         F.transform("lines", lambda x: F.struct(
-            x["sku"].alias("sku"), F.concat(x["name_prefix"], x["sku"]).alias("name"),
+            x["sku"].alias("sku"), F.concat(F.lit("Товар "), x["sku"]).alias("name"),
             x["quantity"].alias("quantity"), x["price"].alias("price"))).alias("products"),
         F.struct(F.transform("lines", lambda x: F.struct(
             x["sku"].alias("product_id"), x["commission_amount"].alias("commission_amount"),
@@ -151,7 +153,6 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
             x["total_discount_percent"].alias("total_discount_percent"))).alias("products")
         ).alias("financial_data"),
     )
-    return doc
 
 
 def finance_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
