@@ -177,7 +177,12 @@ def batch_all(wh: Warehouse, inputs: dict[str, DataFrame], date_from, date_to, n
               enable: dict[str, bool] | None = None, strict: bool = True):
     """Orders -> finance -> (campaigns, daily, attribution), each behind
     an enable flag. Required steps always raise; optional ones raise in
-    strict mode and are logged otherwise. Returns (tables, step log)."""
+    strict mode and are logged otherwise. Returns (tables, step log).
+
+    One range for every step: ``[date_from, date_to)``; attribution, whose
+    bounds are inclusive dates, gets ``[date_from, date_to - 1 day]``."""
+    import datetime as _dt
+    attr_to = (_dt.date.fromisoformat(str(date_to)[:10]) - _dt.timedelta(days=1)).isoformat()
     enable = {"finance": True, "campaigns": True, "daily": True, "attribution": True, **(enable or {})}
     steps = [Step("orders", lambda: batch_orders(wh, inputs["postings"], date_from, date_to, now, catalog), True)]
     if enable["finance"] and "operations" in inputs:
@@ -187,7 +192,7 @@ def batch_all(wh: Warehouse, inputs: dict[str, DataFrame], date_from, date_to, n
     if enable["daily"] and "daily" in inputs:
         steps.append(Step("daily", lambda: batch_daily(wh, inputs["daily"]), False))
     if enable["attribution"] and "attribution" in inputs:
-        steps.append(Step("attribution", lambda: batch_attribution(wh, inputs["attribution"], date_from, date_to), False))
+        steps.append(Step("attribution", lambda: batch_attribution(wh, inputs["attribution"], date_from, attr_to), False))
     out: dict[str, DataFrame] = {}
     log = []
     for s in steps:

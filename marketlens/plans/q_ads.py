@@ -12,7 +12,7 @@ from marketlens.operators import metrics as mx
 from marketlens.operators import orders as oo
 from marketlens.operators import quality as qo
 from marketlens.plans.inputs import Inputs
-from marketlens.plans.registry import dbl, query
+from marketlens.plans.qbase import dbl, query
 
 ATTR_COLS = ["campaign_id", "campaign_title", "order_id", "ext_order_id", "sku", "offer_id", "product_name",
              "stat_date", "price", "amount", "spent", "bid", "bid_percent", "qty"]

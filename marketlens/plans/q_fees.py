@@ -9,7 +9,7 @@ from marketlens.operators import fees as fo
 from marketlens.operators import flatten, resolve, upsert
 from marketlens.operators import quality as qo
 from marketlens.plans.inputs import Inputs
-from marketlens.plans.registry import dbl, query
+from marketlens.plans.qbase import dbl, query
 
 FULL_FROM, FULL_TO = "1995-01-01", "2002-01-01"
 FEE_COLS = ["uid", "order_id", "ext_order_id", "fee_group", "fee_name", "amount", "percent", "product_id",

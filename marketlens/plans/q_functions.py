@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from marketlens import functions as fn
 from marketlens.sources import testdata as td
-from marketlens.plans.registry import dbl, query
+from marketlens.plans.qbase import dbl, query
 
 NBSP = "\u00a0"
 

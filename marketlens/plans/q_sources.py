@@ -14,7 +14,7 @@ from marketlens.operators import flatten, resolve
 from marketlens.plans.inputs import Inputs
 from marketlens.plans.q_ads import attr_out, daily_out, CAMPAIGN_COLS
 from marketlens.plans.q_fees import fee_out
-from marketlens.plans.registry import dbl, query
+from marketlens.plans.qbase import dbl, query
 from marketlens.session import scratch_path
 from marketlens.sources import accruals, json_docs, tables
 from marketlens.sources import testdata as td

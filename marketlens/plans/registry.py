@@ -8,16 +8,13 @@ tables with ``Inputs`` and returns the operator's output as a DataFrame
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.operators import metrics as mx
 from marketlens.operators import orders as ops_orders
 from marketlens.plans.inputs import Inputs
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from marketlens.plans.qbase import QUERIES, dbl, query  # noqa: F401
 
 # Parameters of the filtered metric variants (the filters are the feature).
 FILTERED = mx.OrderFilter(date_from="1996-01-01", date_to="1999-12-31", first_order_only=False,
@@ -25,17 +22,6 @@ FILTERED = mx.OrderFilter(date_from="1996-01-01", date_to="1999-12-31", first_or
 CAMPAIGN_FILTER = mx.OrderFilter(campaign="1-URGENT", first_order_only=True, grams=25)
 
 
-def query(name: str):
-    def deco(fn):
-        QUERIES[name] = fn
-        return fn
-    return deco
-
-
-def dbl(c: str):
-    return F.col(c).cast("double").alias(c)
-
-
 # --- metrics -------------------------------------------------------------------
 
 @query("summary")
