@@ -91,7 +91,9 @@ def filter_orders(orders: DataFrame, flt: OrderFilter, items: DataFrame | None =
             raise ValueError("a flavor/grams filter needs items and products")
         matching = items.select("order_id", "sku").join(
             products.filter(product_conditions(flt)).select("sku"), "sku", "left_semi")
-        out = out.join(matching.select("order_id"), "order_id", "left_semi")
+        # distinct first: an order with many matching items is one row on the
+        # semi join's build side (AQE can split a skewed probe side, not this one)
+        out = out.join(matching.select("order_id").distinct(), "order_id", "left_semi")
     return out
 
 

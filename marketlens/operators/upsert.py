@@ -61,7 +61,7 @@ def replace_by_key(old: DataFrame, new: DataFrame, keys, ordinal: str | None = N
     if ordinal is not None:
         new = last_write_wins(new, keys, ordinal)
     new = new.select(*old.columns)
-    new_keys = new.filter(~_any_null(keys)).select(*keys)
+    new_keys = new.filter(~_any_null(keys)).select(*keys).distinct()
     kept = old.join(new_keys, keys, "left_anti")
     return kept.unionByName(new)
 
