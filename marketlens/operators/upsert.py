@@ -154,7 +154,3 @@ def update_from(target: DataFrame, agg: DataFrame, keys, columns: dict[str, Colu
             out.append(F.col(c))
     return j.select(*out)
 
-
-def agg_col(name: str, target_columns: list[str]) -> Column:
-    """Reference an aggregate column inside ``update_from`` expressions."""
-    return F.col(f"_a_{name}") if name in target_columns else F.col(name)

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketlens.operators import metrics as mx
-from marketlens.operators import orders as ops_orders
 from marketlens.plans.inputs import Inputs
 
 from marketlens.plans.qbase import QUERIES, dbl, query  # noqa: F401

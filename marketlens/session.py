@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -68,15 +67,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = base.rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_dir_of(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def makedirs_if_local(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_dir_of(path), exist_ok=True)
