@@ -7,7 +7,7 @@ it checks the Spark plans rather than restating them.
 
 from __future__ import annotations
 
-from oracle.fixtures import with_fixtures
+from oracle.fixtures import normalize_sql, with_fixtures
 
 SQL: dict[str, str] = {}
 
@@ -235,7 +235,7 @@ SELECT CAST(NULL AS VARCHAR) AS uid, order_id, CAST(NULL AS VARCHAR) AS ext_orde
        CAST(NULL AS BIGINT) AS sku, CAST(NULL AS VARCHAR) AS operation_type, CAST(NULL AS TIMESTAMP) AS occurred_at,
        'posting_financial' AS source FROM fx_posting_fees""", "fx_posting_fees")
 sql("drop_keyless_rows", f"""
-SELECT cand, {__import__('oracle.fixtures', fromlist=['normalize_sql']).normalize_sql('name')} AS fee_name,
+SELECT cand, {normalize_sql('name')} AS fee_name,
        CAST(amount AS {D}) AS amount FROM fx_fin_raw WHERE cand IS NOT NULL AND cand <> ''""", "fx_fin_raw")
 sql("backfill_window_counts", """
 WITH x AS (SELECT CAST(FLOOR(datediff('day', DATE '1995-01-01', CAST(occurred_at AS DATE)) / 10) AS BIGINT) AS window_no
@@ -455,7 +455,7 @@ SELECT o_orderkey, text, CASE WHEN text IS NULL OR text = '' THEN NULL ELSE CAST
   try_strptime(trim(text), '%Y-%m-%dT%H:%M:%SZ'), try_strptime(trim(text), '%Y-%m-%dT%H:%M:%S')) AS DATE) END AS parsed
 FROM t""")
 
-from oracle.fixtures import SERVICE_NAME_SQL, classify_sql, normalize_sql  # noqa: E402
+from oracle.fixtures import SERVICE_NAME_SQL, classify_sql  # noqa: E402
 
 NAME_TEXT = f"""CASE l_linenumber % 5 WHEN 1 THEN upper({SERVICE_NAME_SQL}) WHEN 2 THEN 'LastMile' || CAST(sku AS VARCHAR)
   WHEN 3 THEN NULL WHEN 4 THEN '' ELSE {SERVICE_NAME_SQL} END"""
