@@ -4,7 +4,7 @@ UPDATE ... FROM (J06).
 Parquet tables have no MERGE, so an upsert is a join on the key followed by
 a per-column choice between the old and the new value. Each function returns
 the new table version as a DataFrame; writing it to a fresh path and swapping
-(``sources.sink``) keeps a reader of the old version safe.
+(``sources.tables.write_version``) keeps a reader of the old version safe.
 
 Every operator here is one shuffle on the key (join or aggregate). Hot keys
 are handled by map-side partial aggregation (``max_by``) and AQE skew-join
