@@ -123,11 +123,13 @@ def q_u06(spark, d):
     """Old table: finance rows up to 1999; a reload from mid-1999 brings
     corrected amounts (last arrival per uid wins)."""
     inp = Inputs(spark, d)
-    old = inp.finance_fees().filter(F.col("occurred_at") < F.lit("2000-01-01").cast("timestamp_ntz"))
-    rows = flatten.finance_fee_rows(inp.finance_resolved())
-    new = rows.filter(F.col("occurred_at") >= F.lit("1999-07-01").cast("timestamp_ntz")) \
-        .withColumn("amount", (F.col("amount") - F.lit(1)).cast("decimal(18,4)")) \
+    # one plan for the finance rows; both loads are cut from it (shared exchanges are reused)
+    rows = flatten.finance_fee_rows(inp.finance_resolved()) \
         .withColumn("_ord", F.struct("_ordinal", "pos")).drop("_ordinal", "pos")
+    old = upsert.last_write_wins(rows, "uid", "_ord") \
+        .filter(F.col("occurred_at") < F.lit("2000-01-01").cast("timestamp_ntz"))
+    new = rows.filter(F.col("occurred_at") >= F.lit("1999-07-01").cast("timestamp_ntz")) \
+        .withColumn("amount", (F.col("amount") - F.lit(1)).cast("decimal(18,4)"))
     return fee_out(upsert.replace_by_key(old, new.select(*old.columns, "_ord"), "uid", ordinal="_ord"))
 
 
