@@ -25,7 +25,8 @@ def read_accruals(spark: SparkSession, path: str, labels: dict[str, str], sep: s
     The header is read from line 2 of the reports (a two-line probe, the same
     thing a CSV header option does), data lines are parsed by position with
     ``from_csv`` against an all-text schema, and the preamble and header lines
-    of every file are dropped by content, so files may be split freely.
+    of every file are dropped by content, so files may be split freely. All
+    report files of one load must share the same header layout.
     """
     probe = spark.read.text(path).limit(2).collect()  # bounded: two lines
     if len(probe) < 2:
