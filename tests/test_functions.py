@@ -103,3 +103,17 @@ def test_iso_z(spark):
     df = spark.sql("select timestamp_ntz'2025-01-02 03:04:05' as t")
     assert df.select(fn.iso_z("t")).first()[0] == "2025-01-02T03:04:05Z"
     assert spark.sql("select '2025-01-02T03:04:05Z' as s").select(fn.text_to_ntz("s")).first()[0].hour == 3
+
+
+def test_parsers_do_not_depend_on_ansi_mode(spark):
+    prev = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert one_col(spark, ["12.5", " 12 "], fn.int_lenient) == [None, 12]
+        assert one_col(spark, ["abc"], fn.money_lenient) == [Decimal("0")]
+        with pytest.raises(Exception):
+            one_col(spark, ["abc"], fn.money_strict)
+        with pytest.raises(Exception):
+            one_col(spark, ["2025/12/05"], fn.date_any)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", prev)
