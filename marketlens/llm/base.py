@@ -92,4 +92,15 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["arrow_limits", "ensure_checkpoint_dir", "per_batch", "pick", "position", "saved"]
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int, learn=None) -> DataFrame:
+    """``(doc_id, text, y)`` of at most ``sample`` labelled documents, by the smallest hashes of
+    their ids. Labels other than 0 and 1, and null ids, are left out; a document labelled more than
+    once takes its largest label. The chosen ids are broadcast: their number is bounded."""
+    rows = pick(labels, "doc_id", label).toDF("doc_id", "y").filter("doc_id is not null and y in (0, 1)")
+    if learn is not None:
+        rows = rows.filter(learn(F.col("doc_id")))
+    rows = rows.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(sample)
+    return pick(docs, "doc_id", "text").filter("text is not null").join(F.broadcast(rows), "doc_id").select("doc_id", "text", "y")
+
+
+__all__ = ["arrow_limits", "ensure_checkpoint_dir", "labelled_sample", "per_batch", "pick", "position", "saved"]

@@ -134,7 +134,7 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     classes = saved(ids.groupBy(*same).agg(F.min("doc_id").alias("class_id")), "nj-classes")
     member = saved(ids.join(classes, same).select("doc_id", *same, "class_id"), "nj-members")
     # rows of one id with different texts link as one document
-    tied = member.join(repeats, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("b")).filter("a < b")
+    tied = member.join(repeats, "doc_id", "left_semi").select(F.col("class_id").alias("a"), F.col("doc_id").alias("b")).filter("a < b").distinct()
     reps = some.join(classes.withColumnRenamed("class_id", "doc_id"), ["doc_id", *same], "left_semi")
     rows = reps.select(F.explode("sigs").alias("sig"), F.col("doc_id").alias("doc"), F.col("n_shingles").cast("int").alias("size"))
     shared = rows.groupBy("sig").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("sig")

@@ -20,6 +20,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_int8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every embedding."""
+    from marketlens.llm import vectors
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op1_int8_near_dup"] = """
+WITH RECURSIVE ok AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+component AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT c.vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, c.vec_id = c.component_id AS kept
+FROM component c LEFT JOIN n USING (vec_id)"""
+
+
+@query
+def op2_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest inner products of every 50th embedding."""
+    from marketlens.llm import mtree
+    return mtree.top_k(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op2_mtree_top_k"] = """
+WITH ok AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM ok q JOIN ok c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
 @query
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Severity of every document."""
@@ -42,6 +80,29 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(table(spark, sf_dir, "documents"), TARGETS).drop("h2")
 
 
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    from marketlens.llm import quality
+    docs = table(spark, sf_dir, "documents")
+    return quality.scores(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from marketlens.llm import html_text
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extracted(pages, html_text.fit(pages))
+
+
+@query
+def op8_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probabilities of every document."""
+    from marketlens.llm import class_lm
+    return class_lm.corpus_scores(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-copy component of every document."""
