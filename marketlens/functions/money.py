@@ -38,9 +38,15 @@ def _strict(text: Column, shown: Column) -> Column:
 
 
 def money_lenient(c) -> Column:
-    """NULL -> 0; spaces dropped, ',' -> '.'; unparseable -> 0."""
+    """NULL -> 0; spaces dropped, ',' -> '.'; unparseable -> 0. A number
+    that money cannot hold is not unparseable: it raises."""
     c = _col(c)
-    return F.coalesce((_normalized(c)).try_cast(MONEY), zero())
+    text = _normalized(c)
+    amount = text.try_cast(MONEY)
+    too_large = amount.isNull() & text.try_cast("double").isNotNull() & ~F.isnan(text.try_cast("double")) \
+        & (F.abs(text.try_cast("double")) != float("inf"))
+    error = F.raise_error(F.concat(F.lit("money value out of range: "), c.cast("string"))).cast(MONEY)
+    return F.when(too_large, error).otherwise(F.coalesce(amount, zero()))
 
 
 def money_strict(c) -> Column:

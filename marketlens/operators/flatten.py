@@ -49,9 +49,12 @@ def flatten_order_header(postings: DataFrame) -> DataFrame:
 
 def flatten_order_items(postings: DataFrame) -> DataFrame:
     """One item row per posting product: order_id, sku, name, quantity,
-    price, revenue (= P15 price x quantity)."""
+    price, revenue (= P15 price x quantity); and the arrival order (posting,
+    then position) if the postings have one."""
     p = postings.filter(_has_key("posting_number"))
-    x = p.select(F.col("posting_number").alias("order_id"), F.explode("products").alias("it"))
+    arrived = "_ordinal" in p.columns
+    x = p.select(F.col("posting_number").alias("order_id"), *(["_ordinal"] if arrived else []),
+                 F.posexplode("products").alias("pos", "it"))
     price = money_lenient(F.col("it.price"))
     qty = money_lenient(F.col("it.quantity"))
     return x.select(
@@ -61,6 +64,7 @@ def flatten_order_items(postings: DataFrame) -> DataFrame:
         qty.alias("quantity"),
         price.alias("price"),
         line_revenue(price, qty).cast(MONEY).alias("revenue"),
+        *([F.struct("_ordinal", "pos").alias("_ordinal")] if arrived else []),
     )
 
 
@@ -161,14 +165,16 @@ def finance_fee_rows(resolved: DataFrame) -> DataFrame:
 
 
 def flatten_campaigns(campaigns: DataFrame) -> DataFrame:
-    """Campaign rows (id required) and the raw document as JSON text."""
+    """Campaign rows (id required) and the raw document as JSON text: the
+    whole landed one (``_raw``) where the reader kept it, else the columns."""
     c = campaigns.filter(F.col("id").isNotNull())
-    doc_cols = [x for x in c.columns if x != "_ordinal"]
+    doc_cols = [x for x in c.columns if x not in ("_ordinal", "_raw")]
+    raw = F.col("_raw") if "_raw" in c.columns else F.to_json(F.struct(*doc_cols))
     return c.select(
         F.col("id").alias("campaign_id"), "title", "state",
         F.col("advObjectType").alias("adv_object_type"), F.col("PaymentType").alias("payment_type"),
         F.col("createdAt").alias("created_at"), F.col("updatedAt").alias("updated_at"),
-        F.to_json(F.struct(*doc_cols)).alias("raw"),
+        raw.alias("raw"),
         *[x for x in c.columns if x == "_ordinal"],
     )
 
@@ -233,14 +239,30 @@ ATTRIBUTION_PAYLOAD = ["campaign_id", "campaign_title", "order_id", "ext_order_i
 
 
 def attribution_rows(resolved: DataFrame) -> DataFrame:
-    """P23 (after J04): attribution table rows with a content-hash key, so a
-    re-run inserts nothing twice (insert-ignore needs a key to conflict on)."""
-    key = F.sha2(F.to_json(F.struct(*[F.col(c) for c in ATTRIBUTION_PAYLOAD])), 256)
+    """P23 (after J04): attribution table rows with a content-hash key over the
+    report's own fields. The candidate id counts, not the order it resolves to:
+    a row landed again after a newer order took its prefix is the same row."""
+    own = ["cand" if c == "order_id" else c for c in ATTRIBUTION_PAYLOAD if c != "ext_order_id"]
+    key = F.sha2(F.to_json(F.struct(*[F.col(c) for c in own])), 256)
     return resolved.select(key.alias("row_key"), *ATTRIBUTION_PAYLOAD,
                            F.lit(vocab.SOURCE_PERFORMANCE).alias("source"),
                            *[c for c in resolved.columns if c == "_ordinal"])
 
 
+# --- FIXED VALUES: date layouts of the report's "accepted" column
+ACCEPTED_LAYOUTS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd.MM.yyyy HH:mm:ss", "dd.MM.yyyy"]
+
+
+def _accepted_at(c: Column) -> Column:
+    """Timestamp of a report row; blank (or a blank cell's 'nan', 'NaT') is NULL, any
+    other text that is no date raises."""
+    text = strip(c)
+    blank = text.isNull() | F.lower(text).isin("", "nan", "nat")
+    parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(x)) for x in ACCEPTED_LAYOUTS])
+    bad = F.raise_error(F.concat(F.lit("bad date in accrual report: "), F.coalesce(text, F.lit("NULL")))).cast("timestamp")
+    return F.when(~blank, F.coalesce(parsed, bad)).cast("timestamp_ntz")
+
+
 def flatten_accruals(report: DataFrame) -> DataFrame:
     """Accrual report rows -> fee rows of source 'finance_report'.
 
@@ -259,6 +281,6 @@ def flatten_accruals(report: DataFrame) -> DataFrame:
         null_s().alias("product_id"),
         int_lenient(F.col("sku")).alias("sku"),
         typ.alias("operation_type"),
-        F.try_to_timestamp(strip(F.col("accepted_at")), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz").alias("occurred_at"),
+        _accepted_at(F.col("accepted_at")).alias("occurred_at"),
         F.lit(vocab.SOURCE_FINANCE_REPORT).alias("source"),
     )

@@ -57,17 +57,19 @@ def customer_aggregates(orders: DataFrame) -> DataFrame:
     )
 
 
-def first_order_flag(orders: DataFrame) -> DataFrame:
+def first_order_flag(orders: DataFrame, customers: DataFrame | None = None) -> DataFrame:
     """``is_first_order = (order_date = min(order_date) of the customer)``.
 
     Ties are all TRUE; a NULL date gives NULL; rows without a customer, or of
     a customer with no dated order, keep their old flag. The minimum is a
     partial aggregate joined back (not a window), so a customer holding a
-    large share of all orders is not gathered into one task.
+    large share of all orders is not gathered into one task. With ``customers``
+    (a ``customer_id`` column) only their orders are flagged.
     """
     if "is_first_order" not in orders.columns:
         orders = orders.withColumn("is_first_order", F.lit(None).cast("boolean"))
-    firsts = orders.filter(F.col("customer_id").isNotNull() & F.col("order_date").isNotNull()) \
+    own = orders if customers is None else orders.join(customers.select("customer_id"), "customer_id", "left_semi")
+    firsts = own.filter(F.col("customer_id").isNotNull() & F.col("order_date").isNotNull()) \
         .groupBy("customer_id").agg(F.min("order_date").alias("_first_date"))
     return update_from(orders, firsts, "customer_id",
                        {"is_first_order": F.col("order_date") == F.col("_first_date")})

@@ -4,11 +4,14 @@ and time windows (F02, A23)."""
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from marketlens import schemas
+
 
 def conform_schema(df: DataFrame, target: StructType, defaults: dict | None = None) -> DataFrame:
     """Give ``df`` exactly the target columns: present ones are cast,
@@ -40,6 +43,27 @@ def dq_foreign_key(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> Dat
     return child.filter(F.col(fk).isNotNull()).join(p, F.col(fk) == F.col("_pk"), "left_anti")
 
 
+def dq_primary_keys(tables: dict[str, DataFrame]) -> DataFrame:
+    """Q01 for the declared key of each table: ``table_name, key (its parts as
+    text, joined by '|'), n``."""
+    out = []
+    for name, df in tables.items():
+        keys = schemas.TABLE_KEYS[name]
+        found = dq_primary_key(df, keys)
+        out.append(found.select(F.lit(name).alias("table_name"), F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("key"), "n"))
+    return reduce(DataFrame.unionByName, out)
+
+
+def dq_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
+    """Q02 for each declared reference: ``child, column, value, n`` (child rows without that parent)."""
+    out = []
+    for child, fk, parent, pk in schemas.REFERENCES:
+        lost = dq_foreign_key(tables[child], tables[parent], fk, pk)
+        out.append(lost.groupBy(F.col(fk).cast("string").alias("value")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+                   .select(F.lit(child).alias("child"), F.lit(fk).alias("column"), "value", "n"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def dq_not_null(df: DataFrame, cols: list[str]) -> DataFrame:
     """Q03: NULL count per required column, in one pass."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).cast("bigint").alias(c) for c in cols])

@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from marketlens.functions.ids import strip
 
 
+NULL_KEYS = 4096   # keys over which rows without a candidate are spread
+
+
 def hyphen_prefixes(order_id) -> Column:
     """All texts before some '-' of the id: 'a-b-c' -> ['a', 'a-b'].
 
@@ -78,7 +81,11 @@ def resolve_order_id(df: DataFrame, orders: DataFrame, cand_col: str, *, exact:
     cand = F.when(cand != F.lit(""), cand)
     keep = [c for c in df.columns if c not in (out_order, out_ext)]
     left = df.select(*keep, cand.alias("_cand"))
-    j = left.join(lk, left["_cand"] == lk["key"], "left")
+    # Rows without a candidate match nothing. They get keys that no order has, so
+    # that the shuffle spreads them instead of sending them all to one task.
+    spread = F.concat(F.lit("\u0000"), (F.monotonically_increasing_id() % NULL_KEYS).cast("string"))
+    left = left.withColumn("_key", F.coalesce("_cand", spread))
+    j = left.join(lk, left["_key"] == lk["key"], "left")
     return j.select(
         *keep,
         F.col("resolved_id").alias(out_order),

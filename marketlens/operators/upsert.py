@@ -51,6 +51,13 @@ def last_write_wins(df: DataFrame, keys, ordinal: str, null_keys_pass: bool = Tr
     return out.select(*[c for c in df.columns if c != ordinal])
 
 
+def latest_documents(df: DataFrame, key: str, ordinal: str = "_ordinal") -> DataFrame:
+    """The last version of each document of a load, with its ordinal. Documents
+    without a key are left out (F03)."""
+    keyed = df.filter(F.col(key).isNotNull() & (F.col(key) != F.lit(""))).withColumn("_last", F.col(ordinal))
+    return last_write_wins(keyed, key, "_last")
+
+
 def replace_by_key(old: DataFrame, new: DataFrame, keys, ordinal: str | None = None) -> DataFrame:
     """Upsert where every column of a matched row is overwritten.
 
@@ -62,8 +69,9 @@ def replace_by_key(old: DataFrame, new: DataFrame, keys, ordinal: str | None = N
         new = last_write_wins(new, keys, ordinal)
     new = new.select(*old.columns)
     new_keys = new.filter(~_any_null(keys)).select(*keys).distinct()
-    kept = old.join(new_keys, keys, "left_anti")
-    return kept.unionByName(new)
+    # NULL keys match nothing: their rows go round the join, not through one task of it
+    kept = old.filter(~_any_null(keys)).join(new_keys, keys, "left_anti")
+    return kept.unionByName(old.filter(_any_null(keys))).unionByName(new)
 
 
 def upsert(old: DataFrame, new: DataFrame, keys, update_cols: list[str] | None = None,
@@ -125,12 +133,20 @@ def replace_scope(old: DataFrame, new: DataFrame, scope_keys: DataFrame, keys,
     zero children still has its old children deleted.
     """
     keys = _keys(keys)
-    scope = scope_keys.select(*keys).distinct().withColumn("_in_scope", F.lit(True))
-    j = old.join(scope, keys, "left")
-    hit = F.col("_in_scope").isNotNull()
+    scope = scope_keys.select(*keys).distinct()
+    may = ~_any_null(keys)
     if predicate is not None:
-        hit = hit & F.coalesce(predicate, F.lit(False))
-    kept = j.filter(~hit).select(*old.columns)
+        may = may & F.coalesce(predicate, F.lit(False))
+    # only rows that can be in scope take part in the join; the others (NULL keys, other
+    # sources) go round it
+    kept = old.filter(may).join(scope, keys, "left_anti").unionByName(old.filter(~may))
+    return kept.select(*old.columns).unionByName(new.select(*old.columns))
+
+
+def replace_source(old: DataFrame, new: DataFrame, source: str, column: str = "source") -> DataFrame:
+    """All old rows of ``source`` are replaced by ``new``; rows without a
+    source stay. A filter and a union, no shuffle."""
+    kept = old.filter(~F.coalesce(F.col(column) == F.lit(source), F.lit(False)))
     return kept.unionByName(new.select(*old.columns))
 
 

@@ -19,6 +19,7 @@ def _strings(*names) -> StructType:
     return _struct(*[(n, S) for n in names])
 
 
+# --- FIXED VALUES: field names of the landed documents (A1-A5)
 # --- A1 posting --------------------------------------------------------------
 POSTING_PRODUCT = _strings("sku", "name", "quantity", "price")
 POSTING_FIN_PRODUCT = _strings("product_id", "commission_amount", "commission_percent", "payout",
@@ -98,3 +99,11 @@ TABLE_KEYS: dict[str, list[str]] = {
     "campaign_daily": ["campaign_id", "stat_date"],
     "period_costs": ["cost_date", "fee_group", "fee_name"],
 }
+
+# Declared references (Q02): child, column, parent, column.
+REFERENCES: list[tuple[str, str, str, str]] = [
+    ("orders", "customer_id", "customers", "customer_id"),
+    ("order_items", "order_id", "orders", "order_id"),
+    ("order_items", "sku", "products", "sku"),
+    ("order_fee_items", "order_id", "orders", "order_id"),
+]

@@ -8,58 +8,72 @@ report language is configuration.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 # Column names the flattener (P24) expects.
 REQUIRED = ["accrual_id", "accrual_date", "service_group", "accrual_type", "sku", "accepted_at",
             "total_amount"]
 OPTIONAL = ["commission_percent"]
+MAX_COLUMNS = 64   # cells of a line that are read; a header with more is refused
 
 
-def read_accruals(spark: SparkSession, path: str, labels: dict[str, str], sep: str = ";",
-                  preamble_prefix: str | None = None) -> DataFrame:
+def read_accruals(spark: SparkSession, path: str, labels: dict[str, str], sep: str = ";") -> DataFrame:
     """Read report files; ``labels`` maps header label -> column name.
 
-    The header is read from line 2 of the reports (a two-line probe, the same
-    thing a CSV header option does), data lines are parsed by position with
-    ``from_csv`` against an all-text schema, and the preamble and header lines
-    of every file are dropped by content, so files may be split freely. All
-    report files of one load must share the same header layout.
-    """
-    probe = spark.read.text(path).limit(2).collect()  # bounded: two lines
-    if len(probe) < 2:
-        raise RuntimeError("accrual report has no header line")
-    preamble, header_line = probe[0][0], probe[1][0]
-    header = [h.strip().strip('"') for h in header_line.split(sep)]
-    names = [labels.get(h, h) for h in header]
-    missing = [c for c in REQUIRED if c not in names]
-    if missing:
-        raise RuntimeError(f"accrual report is missing columns: {missing}")
-    schema = StructType([StructField(f"_c{i}", StringType(), True) for i in range(len(names))])
-    lines = spark.read.text(path)
-    prefix = preamble_prefix if preamble_prefix is not None else preamble.split(":")[0]
-    data = lines.filter((F.col("value") != F.lit(header_line))
-                        & ~F.col("value").startswith(prefix)
-                        & (F.btrim(F.col("value")) != F.lit("")))
-    parsed = data.select(F.from_csv(F.col("value"), schema.simpleString(), {"sep": sep}).alias("r"))
-    return parsed.select(*[F.col(f"r._c{i}").alias(n) for i, n in enumerate(names)])
+    The preamble and the header are the first two lines of each file, found by
+    position: the lines with the two smallest (block start, read position) of
+    their file. Each file's lines are read by that file's own header, so
+    layouts may differ from file to file; a required column that any file
+    lacks, or a file without a header, fails the load. A data line may hold
+    anything, also text like the preamble's.
+
+    The header table has one row per report file. It is joined to the lines on
+    the file, so files may be split freely between tasks."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
+        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+        F.monotonically_increasing_id().alias("r"), "value")
+    # the two first lines of a file, by a partial aggregate in each task
+    at = F.struct("b", "r")
+    begin = lines.filter("b = 0")
+    first = begin.groupBy("f").agg(F.min(at).alias("top"))
+    second = (begin.join(first, "f").filter(at > F.col("top"))
+              .groupBy("f").agg(F.min(at).alias("head"), F.min_by("value", at).alias("header")))
+    heads = first.select("f").join(second, "f", "left").withColumn(
+        "names", F.transform(F.split("header", re.escape(sep), -1), lambda h: F.btrim(F.btrim(h), F.lit('"'))))
+    known = F.create_map(*[F.lit(x) for k, v in labels.items() for x in (k, v)])
+    heads = heads.withColumn("names", F.transform("names", lambda h: F.coalesce(known[h], h)))
+    lacking = F.array_except(F.array(*[F.lit(c) for c in REQUIRED]), F.coalesce("names", F.array().cast("array<string>")))
+    heads = heads.withColumn("names", F.when((F.size(lacking) == 0) & (F.size("names") <= MAX_COLUMNS), F.col("names")).otherwise(
+        F.raise_error(F.concat(F.lit("accrual report "), F.col("f"), F.lit(" is too wide or misses columns: "), F.array_join(lacking, ", "))).cast("array<string>")))
+    data = lines.join(heads.select("f", "head", "names"), "f").filter((at > F.col("head")) | F.col("names").isNull())
+    cells = F.from_csv(F.col("value"), ", ".join(f"_c{i} string" for i in range(MAX_COLUMNS)), {"sep": sep})
+    parsed = data.filter(F.btrim("value") != F.lit("")).select("names", cells.alias("r"))
+    row = F.array(*[F.col(f"r._c{i}") for i in range(MAX_COLUMNS)])
+
+    def cell(name: str):
+        place = F.array_position("names", F.lit(name))
+        return F.when(place > 0, F.get(row, (place - 1).cast("int")))
+
+    return parsed.select(*[cell(c).alias(c) for c in REQUIRED + OPTIONAL])
 
 
 def land_accruals(rows: DataFrame, path: str, labels: dict[str, str], period: str, sep: str = ";",
-                  files: int = 4) -> str:
-    """Write accrual rows as ``files`` report files, each starting with the
-    preamble and header lines."""
+                  rows_per_file: int = 500_000) -> str:
+    """Write accrual rows as report files of about ``rows_per_file`` rows, each
+    starting with the preamble and header lines."""
     inv = {v: k for k, v in labels.items()}
     cols = REQUIRED + [c for c in OPTIONAL if c in rows.columns]
     header = sep.join(inv.get(c, c) for c in cols)
-    body = rows.select(F.pmod(F.xxhash64(*cols), F.lit(files)).alias("f"), F.lit(2).alias("o"),
+    files = max(2, -(-rows.count() // rows_per_file))
+    body = rows.select(F.pmod(F.xxhash64(*cols), F.lit(files)).cast("bigint").alias("f"), F.lit(2).alias("o"),
                        F.concat_ws(sep, *[F.coalesce(F.col(c), F.lit("")) for c in cols]).alias("value"))
-    spark = rows.sparkSession
-    heads = [(f, 0, f"Период: {period}") for f in range(files)] + [(f, 1, header) for f in range(files)]
-    top = spark.createDataFrame(heads, "f int, o int, value string")
-    out = top.unionByName(body.select(F.col("f").cast("int").alias("f"), "o", "value"))
-    out.repartition(files, "f").sortWithinPartitions("f", "o").select("value") \
-        .write.mode("errorifexists").text(path)
+    top = rows.sparkSession.range(files).select(F.col("id").alias("f"), F.inline(F.array(
+        F.struct(F.lit(0).alias("o"), F.lit(f"Период: {period}").alias("value")),
+        F.struct(F.lit(1).alias("o"), F.lit(header).alias("value")))))
+    # one range of report numbers per task and file: its lines start with its preamble
+    out = top.unionByName(body).repartition(files, "f").sortWithinPartitions("f", "o")
+    out.select("f", "value").write.mode("errorifexists").partitionBy("f").text(path)
     return path
