@@ -1,20 +1,23 @@
 """Batch plans (K01-K04): landed documents -> maintained tables.
 
-Tables live in a ``Warehouse``: a folder of versioned Parquet tables under a
-shared location. Every step reads the current versions, computes the new
-ones as DataFrame plans, and writes them as new versions. Writing is what
-cuts lineage (no ``localCheckpoint``): a lost executor only recomputes the
-current step from durable inputs, and a re-run of a step over the same
-documents produces the same tables (idempotent upserts).
+Each plan is one transaction on a ``Warehouse`` (``sources.warehouse``): it
+reads the current state, rewrites only the partitions whose rows change, and
+publishes all its tables at once. Orders and items are partitioned by the
+month of the order, fee rows by source and month, attribution by month, daily
+statistics by day, customers by a hash. Derived columns are recomputed only
+for the orders and customers a batch meets. Written folders cut the lineage
+(no ``localCheckpoint``): a lost executor repeats the current step from durable
+inputs, and a re-run over the same documents gives the same tables.
 """
 
 from __future__ import annotations
 
+import json
 import time
 import traceback
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens import vocab
@@ -23,50 +26,23 @@ from marketlens.operators import attribution as ao
 from marketlens.operators import fees as fo
 from marketlens.operators import flatten, resolve, upsert
 from marketlens.operators import orders as oo
-from marketlens.operators import quality as qo
-from marketlens.sources import tables
+from marketlens.sources.warehouse import PART, Transaction, Warehouse
 
+ORDER_LOADED = ["customer_id", "order_date", "status", "revenue", "fees_total", "payout"]
+WHOLE = "all"              # label of tables that are not partitioned
+CUSTOMER_PARTS = 8
 
-@dataclass
-class Warehouse:
-    spark: SparkSession
-    root: str
-    written: dict = field(default_factory=dict)
-
-    def path(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{name}"
-
-    # Tables changed only inside a recent window are partitioned by day and
-    # upserted partition-wise; the others are written as whole versions.
-    PARTITIONED = {"campaign_daily": "stat_date"}
-
-    def read(self, name: str) -> DataFrame:
-        if name in self.PARTITIONED:
-            return tables.read_partitioned(self.spark, self.path(name), tables.TABLE_SCHEMAS[name])
-        return tables.read_table(self.spark, self.path(name), tables.TABLE_SCHEMAS[name])
-
-    def upsert_partitioned(self, name: str, new: DataFrame, keys: list[str], ordinal: str | None = None) -> DataFrame:
-        schema = tables.TABLE_SCHEMAS[name]
-        tables.upsert_partitions(self.spark, self.path(name), new, keys, self.PARTITIONED[name], schema,
-                                 self.path(f"_staging/{name}-{time.time_ns()}"), ordinal=ordinal)
-        return self.read(name)
-
-    def stage(self, name: str, df: DataFrame) -> DataFrame:
-        """Write an intermediate once (a lineage cut that several later
-        writes read) and return it read back."""
-        p = tables.write_version(df, self.path(f"_staging/{name}"))
-        return self.spark.read.parquet(p)
-
-    def write(self, name: str, df: DataFrame) -> DataFrame:
-        """Write a new version (conformed to the table schema, M01) and
-        return it read back from storage."""
-        conformed = qo.conform_schema(df, tables.TABLE_SCHEMAS[name])
-        p = tables.write_version(conformed, self.path(name))
-        self.written[name] = p
-        return self.spark.read.parquet(p)
 
+def month(c: str) -> Column:
+    return F.coalesce(F.date_format(c, "yyyy-MM"), F.lit("none"))
 
-ORDER_LOADED = ["customer_id", "order_date", "status", "revenue", "fees_total", "payout"]
+
+def fee_part(source: str, at: Column) -> Column:
+    return F.concat(F.lit(source + "~"), at)
+
+
+def customer_part() -> Column:
+    return F.concat(F.lit("h"), F.pmod(F.xxhash64("customer_id"), F.lit(CUSTOMER_PARTS)).cast("string"))
 
 
 def _ordered(df: DataFrame) -> DataFrame:
@@ -74,45 +50,78 @@ def _ordered(df: DataFrame) -> DataFrame:
     return df if "_ordinal" in df.columns else df.withColumn("_ordinal", F.monotonically_increasing_id())
 
 
+def _changed(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Rows of ``new`` that are not in ``old`` as they are."""
+    cols = sorted(old.columns)
+    before = old.select(F.col(key).alias("_k"), F.xxhash64(*cols).alias("_h0"))
+    joined = new.withColumn("_h1", F.xxhash64(*cols)).join(before, F.col(key) == F.col("_k"), "left")
+    return joined.filter(F.col("_h0").isNull() | (F.col("_h0") != F.col("_h1"))).select(*old.columns)
+
+
+def _write_orders(tx: Transaction, old: DataFrame, new: DataFrame) -> None:
+    """Replace changed orders; one that moves to another month leaves its old one."""
+    changed = tx.stage("orders_changed", _changed(old, new, "order_id"))
+    before = old.join(changed.select("order_id"), "order_id", "left_semi").select("order_id", month("order_date").alias(PART))
+    rows = changed.withColumn(PART, month("order_date"))
+    tx.replace("orders", rows, before.unionByName(rows.select("order_id", PART)), ["order_id"])
+
+
 def batch_orders(wh: Warehouse, postings: DataFrame, date_from, date_to, now,
                  catalog: DataFrame) -> dict[str, DataFrame]:
     """Flatten postings -> upsert orders / customers / products / items /
     posting fees -> mark missing -> customer aggregates -> first-order flags
-    -> order finance and fee breakdown."""
-    # The batch's documents feed five tables: land them once as Parquet.
-    postings = wh.stage("postings", _ordered(postings))
+    -> order finance and fee breakdown. Of a posting that comes more than once
+    the last version counts, with its items and fees."""
+    tx = wh.begin()
+    landed = tx.stage("landed", _ordered(postings))
+    postings = tx.stage("postings", upsert.latest_documents(landed, "posting_number"))
     header = flatten.flatten_order_header(postings)
+    ids = header.select("order_id")
+    tx.counts = {"postings": landed.count(), "orders": postings.count(),
+                 "skipped": landed.filter("posting_number is null or posting_number = ''").count()}
+
+    # Orders in scope: in the batch, in the window, or of a customer the batch meets. The
+    # narrow columns of all orders are scanned; whole rows are read from their months only.
+    narrow = tx.read("orders").select("order_id", "customer_id", "order_date")
+    again = narrow.join(ids, "order_id", "left_semi")
+    met = tx.stage("met", header.select("customer_id").unionByName(again.select("customer_id")).filter("customer_id is not null").distinct())
+    in_window = (F.col("order_date") >= F.lit(str(date_from)).cast("timestamp_ntz")) & (F.col("order_date") < F.lit(str(date_to)).cast("timestamp_ntz"))
+    scope = (again.select("order_id", "order_date").unionByName(narrow.filter(in_window).select("order_id", "order_date"))
+             .unionByName(narrow.join(met, "customer_id", "left_semi").select("order_id", "order_date")).distinct())
+    scope = tx.stage("scope", scope.withColumn(PART, month("order_date")))
+    months = [r[0] for r in scope.select(PART).distinct().collect()]   # partition labels
+    old = tx.stage("orders_scope", tx.read("orders", months).join(scope, "order_id", "left_semi"))
+
+    # Delete-then-insert per incoming order, in the months it is or was in.
+    when = header.select("order_id", month("order_date").alias(PART))
+    was = again.select("order_id", month("order_date").alias(PART)).unionByName(when)
     items = flatten.flatten_order_items(postings)
-    posting_fees = flatten.flatten_posting_fees(postings)
-    batch_ids = header.select("order_id").distinct()
-
-    # Every posting's customer exists.
-    customers = upsert.insert_absent(wh.read("customers"), header.select("customer_id"), "customer_id")
-    # Six loaded columns are replaced, derived columns of known orders kept.
-    orders = upsert.upsert(wh.read("orders"), header, "order_id", update_cols=ORDER_LOADED, ordinal="_ordinal")
-    # Products from the items, enriched from the catalog (J02), last one wins.
-    prod_rows = flatten.products_from_items(
-        items.withColumn("_ordinal", F.col("order_id")), catalog)
-    products = upsert.replace_by_key(wh.read("products"), prod_rows.select("sku", "name", "flavor", "grams", "_ordinal"),
-                                     "sku", ordinal="_ordinal")
-    # Delete-then-insert per incoming order.
-    order_items = upsert.replace_scope(wh.read("order_items"), items.select("order_id", "sku", "quantity", "price", "revenue"),
-                                       batch_ids, "order_id")
-    fee_items = upsert.replace_scope(wh.read("order_fee_items"), posting_fees, batch_ids, "order_id",
-                                     F.col("source") == F.lit(vocab.SOURCE_POSTING))
-    fee_items = wh.write("order_fee_items", fee_items)
-    wh.write("order_items", order_items)
-    wh.write("products", products)
-
-    # J07, then the set-based recalculations.
-    orders = oo.mark_missing(orders, header.select("order_id"), date_from, date_to, now)
-    orders = wh.write("orders", orders)
-    customers = upsert.upsert(customers, oo.customer_aggregates(orders), "customer_id")
-    customers = wh.write("customers", customers)
-    orders = oo.first_order_flag(orders)
-    orders = fo.recalc_order_finance(orders, fee_items, breakdown=True)
-    orders = wh.write("orders", orders)
-    return {"orders": orders, "customers": customers, "order_fee_items": fee_items}
+    tx.replace("order_items", items.join(when, "order_id").select("order_id", "sku", "quantity", "price", "revenue", PART), was, ["order_id"])
+    posting_fees = flatten.flatten_posting_fees(postings).join(when, "order_id")
+    tx.replace("order_fee_items", posting_fees.withColumn(PART, fee_part(vocab.SOURCE_POSTING, F.col(PART))),
+               was.withColumn(PART, fee_part(vocab.SOURCE_POSTING, F.col(PART))), ["order_id"])
+    # Products from the items, enriched from the catalog (J02), the last to arrive wins.
+    prod_rows = flatten.products_from_items(items, catalog).select("sku", "name", "flavor", "grams", "_ordinal")
+    products = upsert.replace_by_key(tx.read("products"), prod_rows, "sku", ordinal="_ordinal")
+    tx.write("products", products.withColumn(PART, F.lit(WHOLE)), [WHOLE])
+
+    # Six loaded columns are replaced, derived columns of known orders kept. J07, then
+    # first-order flags of the customers met and finance of the orders loaded.
+    orders = upsert.upsert(old, header.drop("_ordinal"), "order_id", update_cols=ORDER_LOADED)
+    orders = oo.mark_missing(orders, ids, date_from, date_to, now)
+    orders = tx.stage("orders_new", oo.first_order_flag(orders, met))
+    loaded = orders.join(ids, "order_id", "left_semi")
+    fees = tx.read("order_fee_items").join(ids, "order_id", "left_semi")
+    final = fo.recalc_order_finance(loaded, fees, breakdown=True).unionByName(orders.join(ids, "order_id", "left_anti"))
+    _write_orders(tx, old, final)
+    # Every customer met exists, with aggregates over all its orders.
+    have = tx.read("customers").join(met, "customer_id", "left_semi")
+    customers = upsert.upsert(upsert.insert_absent(have, met, "customer_id"),
+                              oo.customer_aggregates(orders.join(met, "customer_id", "left_semi")), "customer_id")
+    customers = customers.withColumn(PART, customer_part())
+    tx.replace("customers", customers, met.withColumn(PART, customer_part()), ["customer_id"])
+    tx.publish()
+    return {"orders": wh.read("orders"), "customers": wh.read("customers"), "order_fee_items": wh.read("order_fee_items"), "_counts": tx.counts}
 
 
 def raw_fee_key(df: DataFrame) -> DataFrame:
@@ -125,57 +134,112 @@ def raw_fee_key(df: DataFrame) -> DataFrame:
                                              F.col("occurred_at").cast("string"), F.col("sku")))
 
 
+def _recalc(tx: Transaction, ids: DataFrame) -> None:
+    """A05-A08 for the orders ``ids``, from all their fee rows (Z5: the breakdown too)."""
+    narrow = tx.read("orders").select("order_id", "order_date").join(ids, "order_id", "left_semi")
+    months = [r[0] for r in narrow.select(month("order_date")).distinct().collect()]   # partition labels
+    old = tx.stage("orders_scope", tx.read("orders", months).join(ids, "order_id", "left_semi"))
+    fees = tx.read("order_fee_items").join(ids, "order_id", "left_semi")
+    _write_orders(tx, old, fo.recalc_order_finance(old, fees, breakdown=True))
+
+
 def batch_finance(wh: Warehouse, operations: DataFrame, date_from, date_to) -> dict[str, DataFrame]:
     """P20 -> J05 -> P11 -> U06 -> A05-A08 -> A09/U08 (period costs)."""
-    operations = _ordered(operations)
-    orders = wh.read("orders")
-    svc = flatten.finance_service_rows(operations)
-    res = resolve.resolve_order_id(svc, orders, "cand")
+    tx = wh.begin()
+    svc = flatten.finance_service_rows(_ordered(operations))
+    res = resolve.resolve_order_id(svc, tx.read("orders").select("order_id", "order_date"), "cand")
     rows = flatten.finance_fee_rows(res)
-    rows = wh.stage("finance_rows", rows.withColumn("_ord", F.struct("_ordinal", "pos")).drop("_ordinal", "pos"))
-    old = wh.read("order_fee_items")
-    # Drop old finance rows whose pre-resolution key is re-delivered.
+    rows = rows.withColumn("_ord", F.struct("_ordinal", "pos")).drop("_ordinal", "pos")
+    rows = tx.stage("finance_rows", rows.withColumn(PART, fee_part(vocab.SOURCE_FINANCE_API, month("occurred_at"))))
+    tx.counts = {"rows": rows.count(), "matched": rows.filter("order_id is not null").count(),
+                 "unmatched": rows.filter("order_id is null and ext_order_id is not null").count()}
+    labels = [r[0] for r in rows.select(PART).distinct().collect()]   # partition labels
+    old = tx.read("order_fee_items", labels, with_part=True)
+    # Old rows whose pre-resolution key is delivered again go; so do those with the same uid.
     new_keys = raw_fee_key(rows).select("_raw_key").distinct()
-    old_fin = raw_fee_key(old.filter(F.col("source") == F.lit(vocab.SOURCE_FINANCE_API)))
-    old_kept = old.filter(~F.coalesce(F.col("source") == F.lit(vocab.SOURCE_FINANCE_API), F.lit(False))) \
-        .unionByName(old_fin.join(new_keys, "_raw_key", "left_anti").drop("_raw_key"))
-    fee_items = upsert.replace_by_key(old_kept, rows.select(*old.columns, "_ord"), "uid", ordinal="_ord")
-    fee_items = wh.write("order_fee_items", fee_items)
-    orders = fo.recalc_order_finance(orders, fee_items, breakdown=True)  # Z5: breakdown too
-    orders = wh.write("orders", orders)
-    costs = fo.replace_range_period_costs(wh.read("period_costs"),
-                                          fo.period_costs(fee_items, date_from, date_to), date_from, date_to)
-    costs = wh.write("period_costs", costs)
-    return {"orders": orders, "order_fee_items": fee_items, "period_costs": costs}
+    keyed = raw_fee_key(old)
+    kept = keyed.join(new_keys, "_raw_key", "left_anti").drop("_raw_key")
+    left = tx.stage("finance_left", keyed.join(new_keys, "_raw_key", "left_semi").select("order_id"))
+    merged = upsert.replace_by_key(kept.select(*old.columns), rows.select(*old.columns, "_ord"), "uid", ordinal="_ord")
+    tx.write("order_fee_items", merged, labels)
+    ids = rows.select("order_id").unionByName(left).filter("order_id is not null").distinct()
+    _recalc(tx, tx.stage("finance_ids", ids))
+    months = [p for p in tx.parts("order_fee_items") if p.startswith(vocab.SOURCE_FINANCE_API + "~")
+              and str(date_from)[:7] <= p.split("~")[1] <= str(date_to)[:7]]
+    costs = fo.replace_range_period_costs(tx.read("period_costs"), fo.period_costs(tx.read("order_fee_items", months), date_from, date_to),
+                                          date_from, date_to)
+    tx.write("period_costs", costs.withColumn(PART, F.lit(WHOLE)), [WHOLE])
+    tx.publish()
+    return {"orders": wh.read("orders"), "order_fee_items": wh.read("order_fee_items"), "period_costs": wh.read("period_costs"), "_counts": tx.counts}
+
+
+def batch_accruals(wh: Warehouse, report: DataFrame) -> dict[str, DataFrame]:
+    """Accrual reports: P24 -> U11 (all rows of the source are replaced) -> A05-A08 of the
+    orders that have or had such rows."""
+    tx = wh.begin()
+    source = vocab.SOURCE_FINANCE_REPORT
+    rows = flatten.flatten_accruals(report).withColumn(PART, fee_part(source, month("occurred_at")))
+    rows = tx.stage("accruals", rows)
+    mine = [p for p in tx.parts("order_fee_items") if p.startswith(source + "~")]
+    labels = sorted({*mine, *[r[0] for r in rows.select(PART).distinct().collect()]})   # partition labels
+    old = tx.read("order_fee_items", mine, with_part=True)
+    ids = tx.stage("accrual_ids", old.select("order_id").unionByName(rows.select("order_id")).filter("order_id is not null").distinct())
+    tx.write("order_fee_items", upsert.replace_source(old, rows, source), labels)
+    _recalc(tx, ids)
+    tx.counts = {"rows": rows.count(), "unmatched": rows.filter("order_id is null").count()}
+    tx.publish()
+    return {"orders": wh.read("orders"), "order_fee_items": wh.read("order_fee_items"), "_counts": tx.counts}
 
 
 def batch_attribution(wh: Warehouse, rows: DataFrame, date_from, date_to) -> dict[str, DataFrame]:
-    """P23 -> J04 -> U10 (content key) -> A10 + A11."""
-    orders = wh.read("orders")
+    """P23 -> J04 -> U10 (content key; a row landed again takes its new order) -> A10 + A11.
+    An order that loses its last row to another one loses its campaign and spend."""
+    tx = wh.begin()
     fields = flatten.attribution_fields(rows)
-    res = resolve.resolve_order_id(fields, orders, "cand", exact=False)
+    res = resolve.resolve_order_id(fields, tx.read("orders").select("order_id", "order_date"), "cand", exact=False)
     new = flatten.attribution_rows(res)
-    new = new.drop("_ordinal") if "_ordinal" in new.columns else new
-    attribution = upsert.insert_absent(wh.read("order_attribution"), new, "row_key")
-    attribution = wh.write("order_attribution", attribution)
-    orders = ao.apply_attribution(orders, attribution, date_from, date_to)
-    orders = wh.write("orders", orders)
-    return {"orders": orders, "order_attribution": attribution}
+    new = tx.stage("attribution", new.drop("_ordinal").dropDuplicates(["row_key"]).withColumn(PART, month("stat_date")))
+    tx.counts = ao.attribution_match_rate(new).first().asDict()
+    labels = [r[0] for r in new.select(PART).distinct().collect()]   # partition labels
+    old = tx.read("order_attribution", labels, with_part=True)
+    moved = (old.select("row_key", F.col("order_id").alias("_was")).join(new.select("row_key", "order_id"), "row_key")
+             .filter("_was is not null and not (_was <=> order_id)").select(F.col("_was").alias("order_id")).distinct())
+    moved = tx.stage("attribution_moved", moved)
+    tx.write("order_attribution", upsert.upsert(old, new, "row_key", update_cols=["order_id", "ext_order_id"]), labels)
+    within = [p for p in tx.parts("order_attribution") if str(date_from)[:7] <= p <= str(date_to)[:7]]
+    table = tx.read("order_attribution", within)
+    some = ao.order_campaign_agg(table, date_from, date_to)
+    ids = tx.stage("attribution_ids", some.select("order_id").unionByName(moved).distinct())
+    narrow = tx.read("orders").select("order_id", "order_date").join(ids, "order_id", "left_semi")
+    months = [r[0] for r in narrow.select(month("order_date")).distinct().collect()]   # partition labels
+    before = tx.stage("orders_scope", tx.read("orders", months).join(ids, "order_id", "left_semi"))
+    cleared = before.join(moved.withColumn("_moved", F.lit(True)), "order_id", "left")
+    cleared = cleared.select(*[F.when(F.col("_moved").isNull(), F.col(c)).alias(c) if c in ("campaign_id", "campaign_title", "ads_attributed")
+                               else F.col(c) for c in before.columns])
+    _write_orders(tx, before, ao.apply_attribution(cleared, table, date_from, date_to))
+    tx.publish()
+    return {"orders": wh.read("orders"), "order_attribution": wh.read("order_attribution"), "_counts": tx.counts}
 
 
 def batch_campaigns(wh: Warehouse, campaigns: DataFrame) -> dict[str, DataFrame]:
     """Campaign list -> U07 (created_at insert-only)."""
+    tx = wh.begin()
     rows = flatten.flatten_campaigns(_ordered(campaigns))
-    out = upsert.upsert(wh.read("campaigns"), rows, "campaign_id", insert_only_cols=["created_at"],
-                        ordinal="_ordinal")
-    return {"campaigns": wh.write("campaigns", out)}
+    out = upsert.upsert(tx.read("campaigns"), rows, "campaign_id", insert_only_cols=["created_at"], ordinal="_ordinal")
+    tx.write("campaigns", out.withColumn(PART, F.lit(WHOLE)), [WHOLE])
+    tx.publish()
+    return {"campaigns": wh.read("campaigns")}
 
 
 def batch_daily(wh: Warehouse, daily_rows: DataFrame) -> dict[str, DataFrame]:
     """Daily statistics -> U09 by (campaign_id, stat_date)."""
-    rows = flatten.flatten_campaign_daily(_ordered(daily_rows))
-    out = wh.upsert_partitioned("campaign_daily", rows, ["campaign_id", "stat_date"], ordinal="_ordinal")
-    return {"campaign_daily": out}
+    tx = wh.begin()
+    keys = ["campaign_id", "stat_date"]
+    rows = tx.stage("daily", flatten.flatten_campaign_daily(_ordered(daily_rows)))
+    rows = upsert.last_write_wins(rows, keys, "_ordinal").withColumn(PART, F.coalesce(F.col("stat_date").cast("string"), F.lit("none")))
+    tx.replace("campaign_daily", rows, rows.select(*keys, PART), keys)
+    tx.publish()
+    return {"campaign_daily": wh.read("campaign_daily")}
 
 
 @dataclass
@@ -187,18 +251,20 @@ class Step:
 
 def batch_all(wh: Warehouse, inputs: dict[str, DataFrame], date_from, date_to, now, catalog: DataFrame,
               enable: dict[str, bool] | None = None, strict: bool = True):
-    """Orders -> finance -> (campaigns, daily, attribution), each behind
-    an enable flag. Required steps always raise; optional ones raise in
+    """Orders -> finance -> accruals -> (campaigns, daily, attribution),
+    each behind an enable flag. Required steps always raise; optional ones raise in
     strict mode and are logged otherwise. Returns (tables, step log).
 
     One range for every step: ``[date_from, date_to)``; attribution, whose
     bounds are inclusive dates, gets ``[date_from, date_to - 1 day]``."""
     import datetime as _dt
     attr_to = (_dt.date.fromisoformat(str(date_to)[:10]) - _dt.timedelta(days=1)).isoformat()
-    enable = {"finance": True, "campaigns": True, "daily": True, "attribution": True, **(enable or {})}
+    enable = {"finance": True, "accruals": True, "campaigns": True, "daily": True, "attribution": True, **(enable or {})}
     steps = [Step("orders", lambda: batch_orders(wh, inputs["postings"], date_from, date_to, now, catalog), True)]
     if enable["finance"] and "operations" in inputs:
         steps.append(Step("finance", lambda: batch_finance(wh, inputs["operations"], date_from, date_to), True))
+    if enable["accruals"] and "accruals" in inputs:
+        steps.append(Step("accruals", lambda: batch_accruals(wh, inputs["accruals"]), True))
     if enable["campaigns"] and "campaigns" in inputs:
         steps.append(Step("campaigns", lambda: batch_campaigns(wh, inputs["campaigns"]), False))
     if enable["daily"] and "daily" in inputs:
@@ -210,14 +276,16 @@ def batch_all(wh: Warehouse, inputs: dict[str, DataFrame], date_from, date_to, n
     for s in steps:
         t0 = time.time()
         try:
-            out.update(s.fn())
-            log.append((s.name, s.required, "ok", round(time.time() - t0, 3), None))
+            made = s.fn()
+            counts = made.pop("_counts", None)
+            out.update(made)
+            log.append((s.name, s.required, "ok", round(time.time() - t0, 3), None, json.dumps(counts) if counts else None))
         except Exception as e:  # noqa: BLE001
             log.append((s.name, s.required, "failed", round(time.time() - t0, 3),
-                        f"{type(e).__name__}: {str(e)[:300]}"))
+                        f"{type(e).__name__}: {str(e)[:300]}", None))
             if s.required or strict:
                 raise
             traceback.print_exc()
-    log_df = wh.spark.createDataFrame(log, "step string, required boolean, status string, seconds double, error string")
+    log_df = wh.spark.createDataFrame(log, "step string, required boolean, status string, seconds double, error string, counts string")
     return out, log_df
 

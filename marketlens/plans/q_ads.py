@@ -69,13 +69,23 @@ def q_a11(spark, d):
 @query("insert_ignore_attribution")
 def q_u10(spark, d):
     """Old table holds the rows up to 1998; re-landing all rows adds only the
-    new ones (content key), so a replay changes nothing."""
+    new ones (content key)."""
     inp = Inputs(spark, d)
     all_rows = inp.attribution()
     old = all_rows.filter(F.col("stat_date") < F.lit("1999-01-01").cast("date"))
-    once = upsert.insert_absent(old, all_rows, "row_key")
-    twice = upsert.insert_absent(once, all_rows, "row_key")
-    return attr_out(twice)
+    return attr_out(upsert.insert_absent(old, all_rows, "row_key"))
+
+
+@query("relink_attribution")
+def q_u10_relink(spark, d):
+    """Rows landed while only orders up to 1997 exist, then again when all do:
+    each row is there once, with the order it resolves to now."""
+    inp = Inputs(spark, d)
+    fields = flatten.attribution_fields(inp.attribution_raw())
+    few = inp.orders_landed().filter(F.col("order_date") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    first, again = (flatten.attribution_rows(resolve.resolve_order_id(fields, o, "cand", exact=False)).drop("_ordinal")
+                    .dropDuplicates(["row_key"]) for o in (few, inp.orders_landed()))
+    return attr_out(upsert.upsert(first, again, "row_key", update_cols=["order_id", "ext_order_id"]))
 
 
 @query("flatten_campaign_daily")
@@ -182,10 +192,14 @@ def q_u02(spark, d):
 
 @query("upsert_products")
 def q_u03(spark, d):
+    """Item names differ from order to order; the order with the highest key
+    (numerically) lands last, whatever its id looks like as text."""
     inp = Inputs(spark, d)
     old = inp.products().withColumn("name", F.concat(F.lit("old "), F.col("name")))
-    items = flatten.flatten_order_items(inp.postings())
-    new = flatten.products_from_items(items.withColumn("_ordinal", F.col("order_id")), inp.products())
+    key = F.split("posting_number", "-")[1].cast("bigint")
+    items = flatten.flatten_order_items(inp.postings().withColumn("_ordinal", key))
+    items = items.withColumn("name", F.concat("name", F.lit(" / "), F.split("order_id", "-")[1]))
+    new = flatten.products_from_items(items, inp.products())
     out = upsert.replace_by_key(old, new.select("sku", "name", "flavor", "grams", "_ordinal"), "sku",
                                 ordinal="_ordinal")
     return out.select("sku", "name", "flavor", "grams")
@@ -214,6 +228,17 @@ def q_j07(spark, d):
     return out.select("order_id", "order_date", "missing", "missing_at")
 
 
+@query("dq_foreign_keys_all")
+def q_q02_all(spark, d):
+    """Q02 over every declared reference, against tables from which some parents are missing."""
+    inp = Inputs(spark, d)
+    orders = inp.orders().filter(F.col("order_date") < F.lit("2000-01-01").cast("timestamp_ntz"))
+    tables = {"customers": oo.customer_aggregates(orders.filter(F.col("order_date") < F.lit("1999-01-01").cast("timestamp_ntz"))),
+              "orders": orders, "order_items": inp.order_items(), "order_fee_items": inp.posting_fees(),
+              "products": inp.products().filter(F.col("grams") <= 25)}
+    return qo.dq_foreign_keys(tables)
+
+
 @query("dq_foreign_key")
 def q_q02(spark, d):
     inp = Inputs(spark, d)

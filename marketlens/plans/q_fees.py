@@ -136,10 +136,8 @@ def q_u06(spark, d):
 @query("replace_source_accruals")
 def q_u11(spark, d):
     inp = Inputs(spark, d)
-    old = inp.fees()
     new = inp.accrual_fees().withColumn("amount", (F.col("amount") * 2).cast("decimal(18,4)"))
-    kept = old.filter(~F.coalesce(F.col("source") == F.lit("finance_report"), F.lit(False)))
-    return fee_out(kept.unionByName(new.select(*old.columns)))
+    return fee_out(upsert.replace_source(inp.fees(), new, "finance_report"))
 
 
 @query("replace_fees_by_order_source")
@@ -161,6 +159,17 @@ def q_q01(spark, d):
     return qo.dq_primary_key(rows, ["uid"])
 
 
+@query("dq_primary_keys_all")
+def q_q01_all(spark, d):
+    """Q01 for every declared key: values held by more than one row, per table."""
+    inp = Inputs(spark, d)
+    fees = flatten.finance_fee_rows(inp.finance_resolved())
+    campaigns = flatten.flatten_campaigns(inp.campaigns_raw().drop("nation").withColumnRenamed("ordinal", "_ordinal"))
+    return qo.dq_primary_keys({
+        "customers": inp.customers(), "orders": inp.orders(), "products": inp.products(), "order_fee_items": fees,
+        "campaigns": campaigns, "campaign_daily": inp.daily(), "period_costs": fo.period_costs(inp.fees(), FULL_FROM, FULL_TO)})
+
+
 @query("dq_counts_by_source")
 def q_q04(spark, d):
     return qo.dq_counts_by_source(Inputs(spark, d).fees())

@@ -44,30 +44,55 @@ def q_orders_filter(spark, d):
 
 
 @query("total_orders")
+def q_total_orders_all(spark, d):
+    return mx.total_orders(Inputs(spark, d).orders())
+
+
+@query("total_orders_filtered")
 def q_total_orders(spark, d):
     inp = Inputs(spark, d)
     return mx.total_orders(mx.filter_orders(inp.orders(), FILTERED, inp.items(), inp.products()))
 
 
 @query("total_customers")
+def q_total_customers_all(spark, d):
+    return mx.total_customers(Inputs(spark, d).orders())
+
+
+@query("total_customers_filtered")
 def q_total_customers(spark, d):
     inp = Inputs(spark, d)
     return mx.total_customers(mx.filter_orders(inp.orders(), FILTERED, inp.items(), inp.products()))
 
 
 @query("total_revenue")
+def q_total_revenue_all(spark, d):
+    return mx.total_revenue(Inputs(spark, d).orders())
+
+
+@query("total_revenue_filtered")
 def q_total_revenue(spark, d):
     inp = Inputs(spark, d)
     return mx.total_revenue(mx.filter_orders(inp.orders(), FILTERED, inp.items(), inp.products()))
 
 
 @query("avg_order_value")
+def q_avg_order_value_all(spark, d):
+    return mx.avg_order_value(Inputs(spark, d).orders())
+
+
+@query("avg_order_value_filtered")
 def q_avg_order_value(spark, d):
     inp = Inputs(spark, d)
     return mx.avg_order_value(mx.filter_orders(inp.orders(), FILTERED, inp.items(), inp.products()))
 
 
 @query("avg_revenue_per_customer")
+def q_avg_revenue_per_customer_all(spark, d):
+    return mx.avg_revenue_per_customer(Inputs(spark, d).orders())
+
+
+@query("avg_revenue_per_customer_filtered")
 def q_avg_revenue_per_customer(spark, d):
     inp = Inputs(spark, d)
     return mx.avg_revenue_per_customer(mx.filter_orders(inp.orders(), FILTERED, inp.items(), inp.products()))
@@ -95,11 +120,23 @@ def q_cohort(spark, d):
 def q_orders_by_product(spark, d):
     inp = Inputs(spark, d)
     j = mx.orders_by_product(inp.orders(), inp.items(), inp.products())
-    return j.filter(F.col("flavor") == "MEDIUM").select("order_id", "sku", "flavor", "grams", dbl("revenue"))
+    return j.select("order_id", "sku", "flavor", "grams", dbl("revenue"))
+
+
+@query("orders_by_product_filtered")
+def q_orders_by_product_filtered(spark, d):
+    return q_orders_by_product(spark, d).filter(F.col("flavor") == "MEDIUM")
 
 
 @query("distinct_orders")
 def q_distinct_orders(spark, d):
+    inp = Inputs(spark, d)
+    j = mx.orders_by_product(inp.orders(), inp.items(), inp.products())
+    return mx.distinct_orders(j).select("order_id", "customer_id", dbl("revenue"))
+
+
+@query("distinct_orders_filtered")
+def q_distinct_orders_filtered(spark, d):
     inp = Inputs(spark, d)
     j = mx.orders_by_product(inp.orders(), inp.items(), inp.products()).filter(F.col("grams") <= 10)
     return mx.distinct_orders(j).select("order_id", "customer_id", dbl("revenue"))

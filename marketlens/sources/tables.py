@@ -36,7 +36,8 @@ def param_scan(spark: SparkSession, sql_text: str, args: dict | None = None,
 # A table is a folder of immutable versions: <root>/v=<millis>-<id>/. A new
 # version is written next to the current one and becomes current once its
 # _SUCCESS marker exists, so a reader never sees a half-written table and a
-# path being read is never overwritten.
+# path being read is never overwritten. ``sources.warehouse`` has partitioned
+# tables that are published together.
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -83,34 +84,3 @@ TABLE_SCHEMAS = {
     "campaigns": schemas.CAMPAIGNS, "campaign_daily": schemas.CAMPAIGN_DAILY,
     "order_attribution": schemas.ATTRIBUTION, "period_costs": schemas.PERIOD_COSTS,
 }
-
-
-# --- date-partitioned tables ----------------------------------------------------
-# For tables that are only ever changed within a recent window (daily ad
-# statistics, windowed stream output), an upsert rewrites just the partitions
-# it touches: old rows are read through a semi join on the partition column
-# (dynamic partition pruning skips the untouched partitions), the new content
-# of the touched partitions is staged (so no path being read is overwritten),
-# then written with dynamic partition overwrite.
-
-def read_partitioned(spark: SparkSession, path: str, schema) -> DataFrame:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
-
-
-def upsert_partitions(spark: SparkSession, path: str, new: DataFrame, keys: list[str], partition_col: str,
-                      schema, staging: str, ordinal: str | None = None) -> None:
-    """Upsert ``new`` by ``keys`` into the table at ``path`` partitioned by
-    ``partition_col`` (part of the key), rewriting only touched partitions."""
-    from marketlens.operators import upsert
-    touched = new.select(partition_col).distinct()
-    old = read_partitioned(spark, path, schema)
-    old_touched = old.join(touched, partition_col, "left_semi")
-    merged = upsert.replace_by_key(old_touched.select(*[f.name for f in schema.fields]),
-                                   new if ordinal else new.select(*[f.name for f in schema.fields]),
-                                   keys, ordinal=ordinal)
-    merged.write.mode("errorifexists").parquet(staging)
-    (spark.read.schema(schema).parquet(staging).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))

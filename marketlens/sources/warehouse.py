@@ -1,0 +1,205 @@
+"""Partitioned tables that are published together.
+
+A table is a set of partitions, each a folder of Parquet files that is never
+changed. A transaction writes new folders beside the current ones and ends by
+creating one small pointer file, ``_pointer/<number>.json``, that names the
+folder of every partition of every table. Until then readers see the state
+before; a crash leaves folders that nothing points to. Two writers that begin
+at the same state try to create the same pointer file, and the second fails.
+
+An update reads and rewrites only the partitions it touches. Partition labels
+are few (months, days, sources), so the pointer and the label lists that the
+driver holds stay small whatever the tables hold. Each row carries its label
+in the column ``_part``, so kept rows go back where they came from.
+"""
+
+from __future__ import annotations
+
+import json
+import time
+import uuid
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
+
+from marketlens.operators.quality import conform_schema
+from marketlens.sources.tables import TABLE_SCHEMAS, _fs
+
+PART = "_part"
+FILES = 16   # tasks that write one partition, at most
+
+
+class ConcurrentWrite(RuntimeError):
+    """Another transaction was published since this one began."""
+
+
+@dataclass
+class Warehouse:
+    spark: SparkSession
+    root: str
+    schemas: dict[str, StructType] = field(default_factory=lambda: TABLE_SCHEMAS)
+
+    def _path(self, *parts: str) -> str:
+        return "/".join([self.root.rstrip("/"), *parts])
+
+    def pointers(self) -> list[int]:
+        """Numbers of the pointer files, newest last."""
+        fs, p = _fs(self.spark, self._path("_pointer"))
+        if not fs.exists(p):
+            return []
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        return sorted(int(n.split(".")[0]) for n in names if n.endswith(".json"))
+
+    def _load(self, number: int) -> dict | None:
+        fs, p = _fs(self.spark, self._path("_pointer", f"{number:012d}.json"))
+        stream = fs.open(p)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        try:
+            return json.loads(text)
+        except ValueError:   # cut off by a crash: never was published
+            return None
+
+    def state(self) -> tuple[int, dict[str, dict[str, str]]]:
+        """``(number, table -> label -> folder)`` as last published."""
+        for number in reversed(self.pointers()):
+            tables = self._load(number)
+            if tables is not None:
+                return number, tables
+        return 0, {}
+
+    def read(self, name: str, parts: list[str] | None = None) -> DataFrame:
+        return Transaction(self).read(name, parts)
+
+    def begin(self) -> Transaction:
+        return Transaction(self)
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete folders that none of the last ``keep`` published states names, and
+        staging folders. Not to be run beside a transaction. Returns what went."""
+        held = {f for n in self.pointers()[-keep:] for t in (self._load(n) or {}).values() for f in t.values()}
+        versions = {f.rsplit("/", 1)[0] for f in held}
+        gone = []
+        for name in [*self.schemas, "_staging"]:
+            fs, p = _fs(self.spark, self._path(name))
+            if not fs.exists(p):
+                continue
+            for st in fs.listStatus(p):
+                path = self._path(name, st.getPath().getName())
+                if path not in versions:
+                    fs.delete(st.getPath(), True)
+                    gone.append(path)
+                    continue
+                for part in fs.listStatus(st.getPath()):
+                    leaf = f"{path}/{part.getPath().getName()}"
+                    if part.isDirectory() and leaf not in held:
+                        fs.delete(part.getPath(), True)
+                        gone.append(leaf)
+        return gone
+
+
+class Transaction:
+    """Reads see the state at its begin and its own writes."""
+
+    def __init__(self, wh: Warehouse):
+        self.wh, self.spark = wh, wh.spark
+        self.base, self.tables = wh.state()
+        self.counts: dict[str, int] = {}
+        self.changed: set[str] = set()
+
+    def stage(self, name: str, df: DataFrame) -> DataFrame:
+        """Write an intermediate once (a lineage cut that several later steps read)."""
+        path = self.wh._path("_staging", f"{name}-{time.time_ns()}-{uuid.uuid4().hex[:6]}")
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def parts(self, name: str) -> list[str]:
+        return sorted(self.tables.get(name, {}))
+
+    def read(self, name: str, parts: list[str] | None = None, with_part: bool = False) -> DataFrame:
+        """The table, or only some of its partitions."""
+        schema = self.wh.schemas[name]
+        if with_part:
+            schema = StructType(list(schema.fields)).add(PART, StringType())
+        held = self.tables.get(name, {})
+        folders = sorted(held[p] for p in (held if parts is None else parts) if p in held)
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*folders)
+
+    def write(self, name: str, rows: DataFrame, touched: list[str]) -> None:
+        """Give the ``touched`` partitions the content ``rows`` (which has ``_part``); a
+        touched partition without rows is dropped."""
+        schema = self.wh.schemas[name]
+        out = conform_schema(rows, StructType(list(schema.fields)).add(PART, StringType()))
+        version = self.wh._path(name, f"v={time.time_ns() // 1_000_000:015d}-{uuid.uuid4().hex[:8]}")
+        spread = F.pmod(F.xxhash64(*[f.name for f in schema.fields]), F.lit(FILES))
+        (out.withColumn("_p", F.col(PART)).repartition(PART, spread)
+         .write.mode("errorifexists").partitionBy("_p").parquet(version))
+        fs, p = _fs(self.spark, version)
+        now = {k: v for k, v in self.tables.get(name, {}).items() if k not in touched}
+        unquote = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+        for st in fs.listStatus(p):
+            folder = st.getPath().getName()
+            if st.isDirectory() and folder.startswith("_p="):
+                now[unquote(folder[3:])] = f"{version}/{folder}"
+        self.tables = self.tables | {name: now}
+        self.changed.add(name)
+
+    def replace(self, name: str, rows: DataFrame, gone: DataFrame | None = None, keys: list[str] | None = None) -> None:
+        """Rows of the partitions that ``rows`` or ``gone`` name, without those whose keys
+        ``gone`` lists, and with ``rows``. ``gone`` has the keys and the ``_part`` they may be in."""
+        labels = rows.select(PART)
+        if gone is not None:
+            labels = labels.unionByName(gone.select(PART))
+        touched = sorted({r[0] for r in labels.distinct().collect()})   # few: partition labels
+        if not touched:
+            return
+        kept = self.read(name, touched, with_part=True)
+        if gone is not None:
+            some = F.lit(True)
+            for k in keys:
+                some = some & F.col(k).isNotNull()
+            kept = kept.filter(some).join(gone.select(*keys).distinct(), keys, "left_anti").unionByName(kept.filter(~some))
+        self.write(name, kept.unionByName(rows.select(*kept.columns), allowMissingColumns=False), touched)
+
+    def publish(self) -> int:
+        """Make every write of this transaction visible at once."""
+        if not self.changed:
+            return self.base
+        numbers = self.wh.pointers()
+        if self.wh.state()[0] != self.base:
+            raise ConcurrentWrite(f"{self.wh.root} has changed since state {self.base}")
+        number = (numbers[-1] if numbers else 0) + 1
+        fs, p = _fs(self.spark, self.wh._path("_pointer", f"{number:012d}.json"))
+        try:
+            stream = fs.create(p, False)   # fails if the file exists
+        except Exception as e:
+            raise ConcurrentWrite(f"{self.wh.root}: state {number} was published meanwhile") from e
+        stream.write(bytearray(json.dumps(self.tables).encode()))
+        stream.close()
+        self.base, self.changed = number, set()
+        return number
+
+
+def upsert_by_day(spark: SparkSession, root: str, name: str, new: DataFrame, keys: list[str], day: str, schema: StructType,
+                  ordinal: str | None = None) -> None:
+    """Upsert ``new`` by ``keys`` (of which ``day`` is one) into a table of its own at ``root``, partitioned by
+    day. The batch is written once and then read, and the result is published in one step."""
+    from marketlens.operators import upsert
+    tx = Warehouse(spark, root, {name: schema}).begin()
+    fields = [f.name for f in schema.fields]
+    rows = tx.stage(name, new.select(*fields, *([ordinal] if ordinal else [])))
+    if ordinal:
+        rows = upsert.last_write_wins(rows, keys, ordinal)
+    rows = rows.withColumn(PART, F.coalesce(F.col(day).cast("string"), F.lit("none")))
+    tx.replace(name, rows, rows.select(*keys, PART), keys)
+    tx.publish()
+
+
+def read_by_day(spark: SparkSession, root: str, name: str, schema: StructType) -> DataFrame:
+    return Warehouse(spark, root, {name: schema}).read(name)
