@@ -75,7 +75,8 @@ def with_fixtures(select_sql: str, *names: str) -> str:
 
     for n in names:
         visit(n)
-    ctes = [f"{n} AS ({FIXTURES[n][1].strip()})" for n in order]
+    # materialized: several statements read the same derived table
+    ctes = [f"{n} AS MATERIALIZED ({FIXTURES[n][1].strip()})" for n in order]
     body = select_sql.strip()
     m = re.match(r"(?is)^WITH\s+", body)
     if not ctes:
@@ -86,6 +87,7 @@ def with_fixtures(select_sql: str, *names: str) -> str:
 
 
 # --- fees ------------------------------------------------------------------------
+# --- FIXED VALUES: fee-group labels as the reports spell them
 COMMISSION = "Вознаграждение Ozon"
 DELIVERY = "Услуги доставки"
 ACQUIRING = "Услуги агентов"
@@ -139,16 +141,19 @@ SELECT CASE WHEN l_linenumber % 5 = 0 THEN CAST(o_custkey AS {V})
        o_orderkey, l_linenumber, sku, l_suppkey, quantity, price, disc, tax, l_shipdate
 FROM fx_items""")
 
-# Resolution cascade (J05) with a prefix theta join.
+# Every text that an order id starts with up to one of its hyphens.
+fx("fx_prefixes", ["fx_orders_landed"], """
+SELECT array_to_string(parts[1:i], '-') AS prefix, order_id, order_date
+FROM (SELECT order_id, order_date, string_split(order_id, '-') AS parts FROM fx_orders_landed) o,
+     UNNEST(range(1, len(parts))) AS t(i)""")
+
+# Resolution cascade.
 fx("fx_fin_cands", ["fx_fin_raw"], "SELECT DISTINCT cand FROM fx_fin_raw WHERE cand IS NOT NULL")
 fx("fx_fin_exact", ["fx_fin_cands", "fx_orders_landed"], """
 SELECT c.cand FROM fx_fin_cands c WHERE EXISTS (SELECT 1 FROM fx_orders_landed o WHERE o.order_id = c.cand)""")
-fx("fx_fin_prefix", ["fx_fin_cands", "fx_orders_landed"], """
-SELECT cand, order_id FROM (
-  SELECT c.cand, o.order_id, ROW_NUMBER() OVER (PARTITION BY c.cand
-         ORDER BY o.order_date DESC NULLS FIRST, o.order_id DESC) AS rn
-  FROM fx_fin_cands c JOIN fx_orders_landed o ON starts_with(o.order_id, c.cand || '-')) t
-WHERE rn = 1""")
+fx("fx_fin_prefix", ["fx_fin_cands", "fx_prefixes"], """
+SELECT c.cand, o.order_id FROM fx_fin_cands c JOIN fx_prefixes o ON o.prefix = c.cand
+QUALIFY ROW_NUMBER() OVER (PARTITION BY c.cand ORDER BY o.order_date DESC NULLS FIRST, o.order_id DESC) = 1""")
 fx("fx_fin_resolved", ["fx_fin_raw", "fx_fin_exact", "fx_fin_prefix"], """
 SELECT r.*, CASE WHEN e.cand IS NOT NULL THEN r.cand ELSE p.order_id END AS order_id,
        CASE WHEN r.cand IS NOT NULL AND e.cand IS NULL THEN r.cand END AS ext_order_id
@@ -212,12 +217,9 @@ SELECT 'c' || CAST(l_suppkey % 10 AS {V}) AS campaign_id, 'Campaign ' || CAST(l_
        CAST(quantity AS BIGINT) AS qty
 FROM fx_items""")
 fx("fx_attr_cands", ["fx_attr_raw"], "SELECT DISTINCT cand FROM fx_attr_raw")
-fx("fx_attr_prefix", ["fx_attr_cands", "fx_orders_landed"], """
-SELECT cand, order_id FROM (
-  SELECT c.cand, o.order_id, ROW_NUMBER() OVER (PARTITION BY c.cand
-         ORDER BY o.order_date DESC NULLS FIRST, o.order_id DESC) AS rn
-  FROM fx_attr_cands c JOIN fx_orders_landed o ON starts_with(o.order_id, c.cand || '-')) t
-WHERE rn = 1""")
+fx("fx_attr_prefix", ["fx_attr_cands", "fx_prefixes"], """
+SELECT c.cand, o.order_id FROM fx_attr_cands c JOIN fx_prefixes o ON o.prefix = c.cand
+QUALIFY ROW_NUMBER() OVER (PARTITION BY c.cand ORDER BY o.order_date DESC NULLS FIRST, o.order_id DESC) = 1""")
 fx("fx_attribution", ["fx_attr_raw", "fx_attr_prefix"], """
 SELECT DISTINCT r.campaign_id, r.campaign_title, p.order_id, r.cand AS ext_order_id, r.sku, r.offer_id,
        r.product_name, r.stat_date, r.price, r.amount, r.spent, r.bid, r.bid_percent, r.qty

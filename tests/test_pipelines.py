@@ -1,12 +1,22 @@
 """Batch plans and streams: idempotence and replay safety."""
 
+import datetime as dt
+import json
+import os
+
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from conftest import SMALL
+from marketlens import vocab
+from marketlens.functions.money import money_lenient
+from marketlens.operators import flatten, resolve, upsert
 from marketlens.plans import batch
 from marketlens.plans.inputs import Inputs
 from marketlens.session import scratch_path
-from marketlens.sources import tables
+from marketlens.sources import accruals, json_docs, tables
+from marketlens.sources.warehouse import ConcurrentWrite, Warehouse, upsert_by_day
 
 
 def snapshot(df, cols):
@@ -64,22 +74,196 @@ def test_versioned_tables_never_overwrite(spark):
     assert spark.read.parquet(a).count() == 3
 
 
+DAY_SCHEMA = StructType([StructField("k", StringType()), StructField("d", DateType()), StructField("v", LongType())])
+
+
+def folders(wh, name):
+    return wh.state()[1].get(name, {})
+
+
 def test_partitioned_upsert_rewrites_only_touched_days(spark):
-    import datetime as dt
-    import os
-    from marketlens.sources.tables import upsert_partitions
-    from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
-    schema = StructType([StructField("k", StringType()), StructField("d", DateType()), StructField("v", LongType())])
     path = scratch_path(spark, "ptab")
     d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
-    first = spark.createDataFrame([("a", d1, 1), ("b", d2, 2)], schema)
-    upsert_partitions(spark, path, first, ["k", "d"], "d", schema, scratch_path(spark, "stg"))
-    local = path[len("file:"):] if path.startswith("file:") else path
-    untouched = os.path.join(local, "d=2024-01-01")
-    before = sorted(os.listdir(untouched))
-    second = spark.createDataFrame([("b", d2, 20), ("c", d2, 3)], schema)
-    upsert_partitions(spark, path, second, ["k", "d"], "d", schema, scratch_path(spark, "stg"))
-    upsert_partitions(spark, path, second, ["k", "d"], "d", schema, scratch_path(spark, "stg"))  # replay
-    assert sorted(os.listdir(untouched)) == before
-    got = sorted(tuple(r) for r in spark.read.schema(schema).parquet(path).select("k", "v").collect())
-    assert got == [("a", 1), ("b", 20), ("c", 3)]
+    wh = Warehouse(spark, path, {"t": DAY_SCHEMA})
+    upsert_by_day(spark, path, "t", spark.createDataFrame([("a", d1, 1), ("b", d2, 2)], DAY_SCHEMA), ["k", "d"], "d", DAY_SCHEMA)
+    before = folders(wh, "t")
+    second = spark.createDataFrame([("b", d2, 20), ("c", d2, 3)], DAY_SCHEMA)
+    upsert_by_day(spark, path, "t", second, ["k", "d"], "d", DAY_SCHEMA)
+    upsert_by_day(spark, path, "t", second, ["k", "d"], "d", DAY_SCHEMA)  # replay
+    assert folders(wh, "t")["2024-01-01"] == before["2024-01-01"] and folders(wh, "t")["2024-01-02"] != before["2024-01-02"]
+    assert sorted(tuple(r) for r in wh.read("t").select("k", "v").collect()) == [("a", 1), ("b", 20), ("c", 3)]
+
+
+def test_nothing_shows_before_publish_and_a_crash_loses_nothing(spark):
+    wh = Warehouse(spark, scratch_path(spark, "wh-test"), {"t": DAY_SCHEMA, "u": DAY_SCHEMA})
+    d = dt.date(2024, 1, 1)
+    row = lambda v: spark.createDataFrame([("a", d, v, "p")], "k string, d date, v long, _part string")
+    tx = wh.begin()
+    tx.write("t", row(1), ["p"])
+    tx.write("u", row(1), ["p"])
+    assert wh.read("t").count() == 0
+    tx.publish()
+    dead = wh.begin()                       # writes, then dies before it publishes
+    dead.write("t", row(2), ["p"])
+    assert [r["v"] for r in wh.read("t").collect()] == [1] and [r["v"] for r in wh.read("u").collect()] == [1]
+    late = wh.begin()
+    tx = wh.begin()
+    tx.write("t", row(3), ["p"])
+    tx.publish()
+    late.write("t", row(4), ["p"])
+    with pytest.raises(ConcurrentWrite):    # began before the last state
+        late.publish()
+    assert [r["v"] for r in wh.read("t").collect()] == [3]
+    gone = wh.vacuum(keep=1)
+    assert len(gone) == 3 and [r["v"] for r in wh.read("t").collect()] == [3] and wh.read("u").count() == 1
+
+
+def posting(number, day, items, status="s"):
+    """items: (sku, name, price, commission)"""
+    return {"posting_number": number, "in_process_at": f"{day}T10:00:00Z", "status": status,
+            "products": [{"sku": s, "name": n, "quantity": "1", "price": p} for s, n, p, _ in items],
+            "financial_data": {"products": [{"product_id": s, "commission_amount": c} for s, _, p, c in items]}}
+
+
+def landed(spark, pages, folder=None, name="part.json", landing=None):
+    root = folder or scratch_path(spark, "landed").removeprefix("file:")
+    at = os.path.join(root, f"landing-{landing:015d}") if landing else root
+    os.makedirs(at, exist_ok=True)
+    with open(os.path.join(at, name), "w") as f:
+        f.write("\n".join(p if isinstance(p, str) else json.dumps(p) for p in pages))
+    return root
+
+
+CATALOG = "sku long, flavor string, grams int"
+
+
+def load(spark, wh, postings, day_from="2024-01-01", day_to="2024-12-31"):
+    docs = json_docs.read_postings(spark, landed(spark, [{"result": postings}])) if isinstance(postings, list) else postings
+    return batch.batch_orders(wh, docs, day_from, day_to, "2025-01-01 00:00:00", spark.createDataFrame([], CATALOG))
+
+
+def test_last_version_of_a_posting_counts(spark):
+    wh = Warehouse(spark, scratch_path(spark, "wh-test"))
+    out = load(spark, wh, [posting("9-1-1", "2024-03-01", [("1", "a", "10", "-1")]), {"posting_number": ""},
+                           posting("9-1-1", "2024-03-01", [("1", "a", "10", "-1")], "new")])
+    assert out["_counts"] == {"postings": 3, "orders": 1, "skipped": 1}
+    r = wh.read("orders").first()
+    assert (wh.read("order_items").count(), wh.read("order_fee_items").count(), r["status"]) == (1, 1, "new")
+    assert (float(r["fees_total"]), float(r["profit"])) == (-1, 9)
+
+
+def test_product_name_of_the_last_arrival(spark):
+    """Order 10 lands after order 9, though it sorts before it as text; landing order beats file names."""
+    wh = Warehouse(spark, scratch_path(spark, "wh-test"))
+    root = landed(spark, [{"result": [posting("9-1-1", "2024-03-01", [("1", "older", "1", "0")])]}], name="z.json", landing=1)
+    landed(spark, [{"result": [posting("10-1-1", "2024-03-01", [("1", "newer", "1", "0")])]}], root, "a.json", landing=2)
+    load(spark, wh, json_docs.read_postings(spark, root))
+    assert wh.read("products").first()["name"] == "newer"
+
+
+def test_modification_time_orders_plain_files(spark):
+    root = landed(spark, [{"rows": [{"id": "c", "date": "2024-01-01", "clicks": "1"}]}], name="z.json")
+    landed(spark, [{"rows": [{"id": "c", "date": "2024-01-01", "clicks": "2"}]}], root, "a.json")
+    os.utime(os.path.join(root, "z.json"), (1, 1_000))
+    rows = json_docs.read_campaign_daily(spark, root)
+    assert [r["clicks"] for r in rows.orderBy("_ordinal").collect()] == ["1", "2"]
+
+
+def test_a_day_of_orders_touches_its_month_alone(spark):
+    wh = Warehouse(spark, scratch_path(spark, "wh-test"))
+    load(spark, wh, [posting("1-1-1", "2024-01-10", [("1", "a", "5", "-1")]), posting("2-2-1", "2024-02-10", [("2", "b", "6", "-2")]),
+                     posting("3-3-1", "2024-03-10", [("3", "c", "7", "-3")])])
+    before = {t: folders(wh, t) for t in ("orders", "order_items", "order_fee_items")}
+    load(spark, wh, [posting("2-2-1", "2024-02-10", [("2", "b", "8", "-4")]), posting("4-4-1", "2024-02-11", [("2", "b", "1", "0")])], "2024-02-10", "2024-02-12")
+    for t, was in before.items():
+        now = folders(wh, t)
+        assert {p for p in now if now[p] != was.get(p)} == {p for p in now if p.endswith("2024-02")}, t
+    assert {r["order_id"]: float(r["profit"] or 0) for r in wh.read("orders").collect()} == {"1-1-1": 4, "2-2-1": 4, "3-3-1": 4, "4-4-1": 0}
+    # an order that moves to another month leaves its old one; a missing one is marked
+    load(spark, wh, [posting("2-2-1", "2024-03-20", [("2", "b", "8", "-4")])], "2024-02-01", "2024-03-01")
+    rows = {r["order_id"]: r for r in wh.read("orders").collect()}
+    assert len(rows) == 4 and rows["4-4-1"]["missing"] and not rows["2-2-1"]["missing"] and wh.read("order_items").count() == 4
+
+
+def test_first_orders_follow_an_older_order(spark):
+    wh = Warehouse(spark, scratch_path(spark, "wh-test"))
+    load(spark, wh, [posting("7-1-1", "2024-05-01", []), posting("8-1-1", "2024-05-01", [])])
+    load(spark, wh, [posting("7-2-1", "2024-01-01", [])], "2024-01-01", "2024-01-02")
+    assert {r["order_id"]: r["is_first_order"] for r in wh.read("orders").collect()} == {"7-1-1": False, "7-2-1": True, "8-1-1": True}
+    assert {r["customer_id"]: r["orders_count"] for r in wh.read("customers").collect()} == {"7": 2, "8": 1}
+
+
+def test_ad_row_moves_to_the_newer_order(spark):
+    wh = Warehouse(spark, scratch_path(spark, "wh-test"))
+    ads = [{"rows": [{"campaignId": "c1", "date": "2024-03-05", "orderNumber": "5", "moneySpent": "7,00"}]}]
+    rows = json_docs.read_attribution(spark, landed(spark, ads))
+    load(spark, wh, [posting("5-1-1", "2024-03-01", [])])
+    assert batch.batch_attribution(wh, rows, "2024-03-01", "2024-03-31")["_counts"] == {"matched": 1, "unmatched": 0}
+    load(spark, wh, [posting("5-2-1", "2024-03-04", [])], "2024-03-04", "2024-03-05")
+    batch.batch_attribution(wh, rows, "2024-03-01", "2024-03-31")
+    assert wh.read("order_attribution").count() == 1
+    assert {r["order_id"]: (r["campaign_id"], r["ads_attributed"]) for r in wh.read("orders").collect()} == {"5-1-1": (None, None), "5-2-1": ("c1", 7)}
+
+
+@pytest.mark.parametrize("read,page", [
+    (json_docs.read_postings, '{"result": "none"}'), (json_docs.read_postings, '{"x": 1}'), (json_docs.read_postings, '{"result": [{"posting_'),
+    (json_docs.read_finance_ops, '{"result": {"operations": [{"amount": "1"}, {"am'), (json_docs.read_campaign_daily, '{"rows": [{"id": "c"}'),
+    (json_docs.read_attribution, '{"rows": {"campaignId": "c"}}'), (json_docs.read_campaigns, '{"list": "x"}'), (json_docs.read_campaigns, '{"list": [')])
+def test_undecodable_pages_fail_the_load(spark, read, page):
+    good = {"result": {"operations": [{"amount": "1"}]}} if read is json_docs.read_finance_ops else {"result": []} if read is json_docs.read_postings else {"rows": [], "list": []}
+    with pytest.raises(Exception):
+        read(spark, landed(spark, [good, page])).collect()
+
+
+def test_empty_pages_and_undeclared_fields(spark):
+    assert json_docs.read_postings(spark, landed(spark, [{"result": {"has_next": False}}, {"result": []}, {"result": {"postings": None}}])).count() == 0
+    row = json_docs.read_campaigns(spark, landed(spark, [{"list": [{"id": "1", "title": "t", "budget": {"daily": 5}}]}])).first()
+    assert row["id"] == "1" and json.loads(row["_raw"])["budget"] == {"daily": 5}
+
+
+HEAD = ["ID начисления", "Дата начисления", "Группа услуг", "Тип начисления", "SKU", "Дата принятия заказа в обработку или оказания услуги", "Сумма итого, руб."]
+
+
+def test_accrual_files_keep_every_row_and_their_own_header(spark):
+    root = scratch_path(spark, "accruals").removeprefix("file:")
+    os.makedirs(root)
+
+    def report(name, order, rows):
+        with open(os.path.join(root, name), "w") as f:
+            f.write("\n".join(["Период: 01.2024", ";".join(HEAD[i] for i in order), *[";".join(r[i] for i in order) for r in rows]]))
+
+    report("a.csv", range(7), [("1-2-3", "2024-01-01", "g", "t", "5", "2024-01-01 10:00:00", "1,5"), ("Период: x", "", "g", "t", "", "", "2")])
+    report("b.csv", [6, 5, 4, 3, 2, 1, 0], [("9", "2024-01-02", "h", "u", "6", "02.01.2024", "3")])
+    got = sorted(tuple(r) for r in accruals.read_accruals(spark, root, vocab.ACCRUAL_LABELS).select("accrual_id", "service_group", "total_amount").collect())
+    assert got == [("1-2-3", "g", "1,5"), ("9", "h", "3"), ("Период: x", "g", "2")]
+    flat = flatten.flatten_accruals(accruals.read_accruals(spark, root, vocab.ACCRUAL_LABELS))
+    assert sorted(str(r["occurred_at"]) for r in flat.collect()) == ["2024-01-01 10:00:00", "2024-01-02 00:00:00", "None"]
+    report("c.csv", range(6), [])
+    with pytest.raises(Exception, match="misses columns"):
+        accruals.read_accruals(spark, root, vocab.ACCRUAL_LABELS).collect()
+
+
+def test_bad_values_raise(spark):
+    bad = spark.createDataFrame([("123456789012345", "soon")], "m string, d string")
+    for c in (money_lenient("m"), flatten._accepted_at(F.col("d"))):
+        with pytest.raises(Exception):
+            bad.select(c).collect()
+
+
+def test_null_keys_do_not_pile_up(spark):
+    """Three quarters of the rows have a NULL key: no task of the join gets them all."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.range(40_000).select(F.when(F.col("id") % 4 == 0, F.col("id").cast("string")).alias("cand"), F.col("id").cast("string").alias("uid"))
+        orders = spark.range(0, 40_000, 8).select(F.concat(F.col("id").cast("string"), F.lit("-1")).alias("order_id"), F.lit(None).cast("timestamp_ntz").alias("order_date"))
+        out = resolve.resolve_order_id(rows, orders, "cand")
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 40_000 and max(sizes) < 2 * 40_000 / len(sizes)
+        old = rows.select(F.col("cand").alias("k"), "uid")
+        for made in (upsert.replace_by_key(old, old.limit(0), "k"), upsert.replace_scope(old, old.limit(0), old.select("k").limit(5), "k")):
+            joined = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
+            assert max(joined) < 40_000 / 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -9,13 +9,15 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SMALL
+from marketlens.plans.registry import QUERIES as REGISTERED
 
 # Queries that write (sources, batch plans, streams) are checked through their
 # operators elsewhere; explaining them would re-run their landing steps.
 SKIP_PREFIX = ("src_", "batch_", "stream_", "dim_catalog")
+NAMES = sorted(n for n in REGISTERED if not n.startswith(SKIP_PREFIX))
 
 
-@pytest.mark.parametrize("name", sorted(n for n in E.queries() if not n.startswith(SKIP_PREFIX)))
+@pytest.mark.parametrize("name", NAMES)
 def test_plan_shape(spark, name):
     df = E.queries()[name](spark, SMALL)
     buf = io.StringIO()
