@@ -8,6 +8,7 @@ shuffle and by joins whose many-row side Spark may split."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,3 +53,16 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     if found is None:
         return links.select(F.col("b").alias("node"), F.col("a").alias("component"))
     return found.select("node", F.col("root").alias("component"))
+
+
+def merge_labels(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Labels (smallest index reachable) after adding links ``i - j``."""
+    while True:
+        a, b = label[i], label[j]
+        differ = a != b
+        if not differ.any():
+            return
+        lo, hi = np.minimum(a, b)[differ], np.maximum(a, b)[differ]
+        np.minimum.at(label, hi, lo)
+        while (label != label[label]).any():
+            label[:] = label[label]

@@ -9,12 +9,13 @@ made for each part and each choice of ``n2 - k // n1`` of its pieces, so sets th
 signature. A set makes those of its own band, and those of the next band if a linked partner may
 lie there.
 
-Sets that are equal are one class, found by grouping on a fingerprint. Of the classes that
-share a signature one is the pivot; pairs with the pivot are checked exactly on the sets themselves,
-and links give components. Classes that share a signature but are still in
-different components are checked against further pivots (the one with most links first) and at the
-end pair by pair, so no candidate pair between components goes unchecked, and pairs
-inside one need none."""
+Sets that are equal are one class, found by grouping on a fingerprint. Classes that share a
+signature, directly or through others, are a cluster: links never leave it. Clusters are found without
+writing out pairs (a star in each signature, then connected components). Inside a cluster all
+pairs are checked exactly on the sets, as products of incidence matrices. Small clusters are dealt
+into tasks many at a time; a large one is cut into blocks, with a task for each pair of blocks, so no task
+holds more than two blocks. A task returns, for each class, its number of links there and one link
+towards the smallest member it is connected with, so rows grow with classes times blocks, not with pairs."""
 
 from __future__ import annotations
 
@@ -26,13 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.base import per_batch, pick, position, saved
-from marketlens.llm.components import components
+from marketlens.llm.components import components, merge_labels
 from marketlens.llm.shingles import mix, shingle_set
 
 SHINGLE, NUM, DEN = 3, 90, 100    # link when DEN * intersection >= NUM * union
 BAND = 1.3                        # ratio of a size band's ends
 PIECES, FREE = 3, 1               # second level: pieces, and how many of them may differ
-PIVOT_ROUNDS = 3
+BLOCK_DOCS, BLOCK_SHINGLES = 2_048, 1 << 20   # a block of a large cluster, on average
+BROADCAST_IDS = 500_000           # ids of clustered classes that are broadcast at most
+_TILE, _WIDTH = 1_024, 4_096      # rows and columns of an incidence matrix held at once
 
 
 def bands(size: int, ratio: float = BAND) -> tuple[int, int, int]:
@@ -95,86 +98,145 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
     return per_batch(docs, run, "doc_id bigint, n_shingles bigint, f1 bigint, f2 bigint, sigs array<bigint>")
 
 
-def _linked(docs: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
-    """The pairs ``(a, b)`` that link, checked exactly. Only the texts of
-    documents in a pair are read again."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-
-    def run(batch: pa.RecordBatch) -> dict:
-        return {"doc_id": batch.column(0), "elements": pa.array([shingle_set(t, n).tobytes() for t in batch.column(1).to_pylist()], pa.binary())}
-
-    def agree(batch: pa.RecordBatch) -> dict:
-        x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-        ok = []
-        for p, q in zip(x, y, strict=True):
-            p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-            both = len(p) + len(q) - len(np.union1d(p, q))
-            ok.append(DEN * both >= NUM * (len(p) + len(q) - both))
-        return {"a": batch.column(0), "b": batch.column(1), "ok": pa.array(ok, pa.bool_())}
-
-    texts = docs.join(ids, "doc_id", "left_semi")
-    sets = saved(per_batch(texts, run, "doc_id bigint, elements binary"), "nj-sets")
-    left, right = (sets.select(F.col("doc_id").alias(x), F.col("elements").alias("e" + x)) for x in "ab")
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "ea", "eb")
-    return per_batch(both, agree, "a bigint, b bigint, ok boolean").filter("ok").select("a", "b")
+def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set on the left with each on the right (sorted sets)."""
+    sides = []
+    for sets in (left, right):
+        sizes = [len(x) for x in sets]
+        sides.append((np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)))
+    both = np.intersect1d(sides[0][0], sides[1][0])   # only shared elements count
+    columns = []
+    for elements, row in sides:
+        at = np.searchsorted(both, elements)
+        known = at < len(both)
+        known[known] = both[at[known]] == elements[known]
+        at, row = at[known], row[known]
+        order = np.argsort(at, kind="stable")
+        columns.append((at[order], row[order]))
+    out = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, len(both), _WIDTH):
+        tiles = []
+        for (at, row), n in zip(columns, (len(left), len(right)), strict=True):
+            i, j = np.searchsorted(at, (start, start + _WIDTH))
+            tile = np.zeros((n, min(_WIDTH, len(both) - start)), np.float32)
+            tile[row[i:j], at[i:j] - start] = 1.0
+            tiles.append(tile)
+        out += tiles[0] @ tiles[1].T    # counts below 2 ** 24 are exact
+    return out
+
+
+def _linked(left: list[np.ndarray], right: list[np.ndarray], same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the pairs that link; ``same``: of one list, each pair once."""
+    a, b = (np.array([len(x) for x in sets], np.int64) for sets in (left, right))
+    found = []
+    for i in range(0, len(left), _TILE):
+        for j in range(i if same else 0, len(right), _TILE):
+            both = intersections(left[i:i + _TILE], right[j:j + _TILE]).astype(np.int64)
+            union = a[i:i + _TILE, None] + b[None, j:j + _TILE] - both
+            x, y = np.nonzero((DEN * both >= NUM * union) & (union > 0))
+            x, y = x + i, y + j
+            keep = x < y if same else slice(None)
+            found.append((x[keep], y[keep]))
+    return tuple(np.concatenate(f) for f in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 2
+
+
+_FOUND = "doc bigint, links bigint, root bigint"
+
+
+def _cell(key, rows):
+    """Links among the classes of one task: of whole small clusters, or between two blocks of a large one."""
+    _, low, high = (k.as_py() for k in key)
+    doc, many, cluster, block = (np.asarray(rows.column(c)) for c in ("doc_id", "many", "cluster", "block"))
+    sets = [np.frombuffer(x, np.uint64) for x in rows.column("elements").to_pylist()]
+    order = np.argsort(doc, kind="stable")
+    links, label = np.zeros(len(doc), np.int64), np.arange(len(doc))
+    if low < 0:
+        by_cluster = order[np.argsort(cluster[order], kind="stable")]
+        cuts = np.flatnonzero(np.diff(cluster[by_cluster])) + 1
+        jobs = [(part, part) for part in np.split(by_cluster, cuts)]
+    else:
+        a = order[block[order] == low]
+        jobs = [(a, a if low == high else order[block[order] == high])]
+    rank = np.empty(len(doc), np.int64)
+    rank[order] = np.arange(len(doc))      # labels follow the order of ids
+    for a, b in jobs:
+        i, j = _linked([sets[x] for x in a], [sets[x] for x in b], a is b)
+        i, j = a[i], b[j]
+        differ = doc[i] != doc[j]
+        i, j = i[differ], j[differ]
+        links += np.bincount(i, many[j], minlength=len(doc)).astype(np.int64) + np.bincount(j, many[i], minlength=len(doc)).astype(np.int64)
+        merge_labels(label, rank[i], rank[j])
+    some = np.flatnonzero(links)
+    return pa.table({"doc": doc[some], "links": links[some], "root": doc[order[label[rank[some]]]]},
+                    schema=pa.schema([("doc", pa.int64()), ("links", pa.int64()), ("root", pa.int64())]))
+
+
+def _clusters(reps: DataFrame) -> DataFrame:
+    """``(doc_id, cluster)`` of the classes that share a signature with another, from ``doc_id, sigs``."""
+    rows = reps.select(F.explode("sigs").alias("sig"), F.col("doc_id").alias("doc"))
+    shared = rows.groupBy("sig").count().filter("count > 1").select("sig")
+    rows = saved(rows.join(shared, "sig").select("sig", "doc"), "nj-shared")
+    star = rows.join(rows.groupBy("sig").agg(F.min("doc").alias("hub")), "sig").filter("hub <> doc").select("hub", "doc").distinct()
+    top = components(star, "hub", "doc")
+    return saved(top.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
+                 .unionByName(top.select(F.col("component").alias("doc_id"), F.col("component").alias("cluster")).distinct()), "nj-clusters")
 
 
 def near_copies(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id`` (smallest ``doc_id`` reachable by
-    links, itself included), ``class_id`` (smallest with the same set). Null and
-    empty texts have an empty set and link with nothing; a null ``doc_id`` keeps its row with null
+    links, itself included), ``class_id`` (smallest with the same set), ``n_links`` (other documents
+    linked directly). Null and empty texts have an empty set and link with nothing; a null ``doc_id`` keeps its row with null
     component and links with nothing. Rows that repeat a ``doc_id`` are one document: it links where
-    any of its texts does, and each row keeps its own ``n_shingles``. An empty table gives no rows."""
+    any of its texts does, and each row keeps its own ``n_shingles`` and ``n_links``. An empty table gives no rows."""
     docs = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
     sets = saved(_sets(docs, shingle), "nj-sets")
     some = sets.filter("doc_id is not null and n_shingles > 0")
     same = ["n_shingles", "f1", "f2"]
     ids = some.select("doc_id", *same).distinct()
     repeats = ids.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    classes = saved(ids.groupBy(*same).agg(F.min("doc_id").alias("class_id")), "nj-classes")
-    member = saved(ids.join(classes, same).select("doc_id", *same, "class_id"), "nj-members")
+    classes = saved(ids.groupBy(*same).agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("many")), "nj-classes")
+    member = saved(ids.join(classes, same).select("doc_id", *same, "class_id", "many"), "nj-members")
     # rows of one id with different texts link as one document
     tied = member.join(repeats, "doc_id", "left_semi").select(F.col("class_id").alias("a"), F.col("doc_id").alias("b")).filter("a < b").distinct()
     reps = some.join(classes.withColumnRenamed("class_id", "doc_id"), ["doc_id", *same], "left_semi")
-    rows = reps.select(F.explode("sigs").alias("sig"), F.col("doc_id").alias("doc"), F.col("n_shingles").cast("int").alias("size"))
-    shared = rows.groupBy("sig").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("sig")
-    rows = saved(rows.join(shared, "sig"), "nj-shared")
-    links = saved(tied.select("a", "b"), "nj-links")
-    comp = _label(rows, links)
-    checked = links
-    for turn in range(PIVOT_ROUNDS + 1):
-        open_ = comp.groupBy("sig").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 < c2").select("sig")
-        left = saved(comp.join(open_, "sig"), "nj-open")
-        if left.isEmpty():
-            break
-        if turn < PIVOT_ROUNDS:
-            pivot = left.groupBy("sig").agg(F.max_by(F.struct("doc", "size", "comp"), F.struct("degree", -F.col("doc"))).alias("p"))
-            both = left.join(pivot, "sig").select("doc", "size", "comp", F.col("p.doc").alias("doc2"), F.col("p.size").alias("size2"), F.col("p.comp").alias("comp2"))
-        else:
-            other = left.select("sig", F.col("doc").alias("doc2"), F.col("size").alias("size2"), F.col("comp").alias("comp2"))
-            both = left.join(other, "sig").filter("doc < doc2")
-        pairs = (both.filter(f"comp <> comp2 and {DEN} * least(size, size2) >= {NUM} * greatest(size, size2)")
-                 .select(F.least("doc", "doc2").alias("a"), F.greatest("doc", "doc2").alias("b")).distinct().join(checked, ["a", "b"], "left_anti"))
-        pairs = saved(pairs, "nj-pairs")
-        found = saved(_linked(docs, pairs, shingle).distinct(), "nj-found")
-        checked = saved(checked.unionByName(pairs).distinct(), "nj-checked")
-        links = links.unionByName(found)
-        comp = _label(rows, saved(links, "nj-links"))
-    top = components(links, "a", "b").select(F.col("node").alias("class_id"), "component")
+    clusters = _clusters(reps)
+    found = _cluster_links(docs, clusters, classes, shingle)
+    top = components(found.select(F.col("doc").alias("a"), F.col("root").alias("b")).unionByName(tied), "a", "b")
+    near = found.groupBy(F.col("doc").alias("class_id")).agg(F.sum("links").alias("near"))
     # a component is named by its smallest id, and a class by the smallest with its set
-    out = member.join(top, "class_id", "left").withColumn("component_id", F.coalesce("component", "class_id"))
-    return sets.drop("sigs").join(out.drop("component"), ["doc_id", *same], "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"))
-
-
-def _label(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """``rows`` with each class's component so far and its number of links."""
-    if links.isEmpty():
-        return rows.withColumn("comp", F.col("doc")).withColumn("degree", F.lit(0).cast("bigint"))
-    top = components(links, "a", "b").select(F.col("node").alias("doc"), "component")
-    degree = links.select(F.explode(F.array("a", "b")).alias("doc")).groupBy("doc").agg(F.count(F.lit(1)).alias("degree"))
-    return saved(rows.join(top, "doc", "left").join(degree, "doc", "left").select(
-        "sig", "doc", "size", F.coalesce("component", "doc").alias("comp"), F.coalesce("degree", F.lit(0)).alias("degree")), "nj-labels")
+    out = member.join(top.withColumnRenamed("node", "class_id"), "class_id", "left").join(near, "class_id", "left")
+    out = out.select("doc_id", *same, "class_id", F.coalesce("component", "class_id").alias("component_id"), (F.col("many") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"))
+    return sets.drop("sigs").join(out, ["doc_id", *same], "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+
+
+def _cluster_links(docs: DataFrame, clusters: DataFrame, classes: DataFrame, n: int) -> DataFrame:
+    """``doc, links, root`` from all pairs inside the clusters. The texts of their classes are read again."""
+    sized = clusters.join(classes.select(F.col("class_id").alias("doc_id"), "many", "n_shingles"), "doc_id")
+    of = sized.groupBy("cluster").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_shingles").alias("shingles"))
+    of = of.withColumn("blocks", F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int"))
+    small = of.filter("blocks = 1").agg(F.sum("docs").alias("docs"), F.sum("shingles").alias("shingles")).first()
+    bins = max(1, (small["docs"] or 0) // 256, (small["shingles"] or 0) // (BLOCK_SHINGLES // 2))
+    spread = F.pmod(F.xxhash64(F.lit(21), "doc_id"), F.col("blocks").cast("bigint")).cast("int")
+    info = sized.join(of.select("cluster", "blocks"), "cluster").groupBy("doc_id", "cluster", "blocks").agg(F.max("many").alias("many"))
+    info = saved(info.withColumn("block", spread), "nj-info")
+    # a scan of all texts meets the ids: broadcast while they are few, else a shuffled join
+    few = info.count() <= BROADCAST_IDS
+    texts = docs.join(F.broadcast(info) if few else info, "doc_id").select("doc_id", "text", "cluster", "blocks", "block", "many").distinct()
+
+    def run(batch: pa.RecordBatch) -> dict:
+        out = {c: batch.column(c) for c in ("doc_id", "cluster", "blocks", "block", "many")}
+        return out | {"elements": pa.array([shingle_set(t, n).tobytes() for t in batch.column("text").to_pylist()], pa.binary())}
+
+    rows = per_batch(texts, run, "doc_id bigint, cluster bigint, blocks int, block int, many bigint, elements binary")
+    bin_of = (F.lit(-1) - F.pmod(F.xxhash64(F.lit(22), "cluster"), F.lit(bins).cast("bigint"))).cast("int")
+    other = F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = rows.withColumn("other", other).select(
+        F.when(F.col("blocks") == 1, F.lit(0)).otherwise(F.col("cluster")).alias("large"),
+        F.when(F.col("blocks") == 1, bin_of).otherwise(F.least("block", "other")).alias("low"),
+        F.when(F.col("blocks") == 1, bin_of).otherwise(F.greatest("block", "other")).alias("high"), "doc_id", "cluster", "block", "many", "elements")
+    return saved(cells.groupBy("large", "low", "high").applyInArrow(_cell, _FOUND), "nj-links")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.base import arrow_limits, pick, saved
-from marketlens.llm.components import components
+from marketlens.llm.components import components, merge_labels
 
 THRESHOLD = 0.9
 BLOCK = 8_192      # classes in a block, on average
@@ -72,19 +72,6 @@ def linked_pairs(u: np.ndarray, v: np.ndarray, x: np.ndarray, y: np.ndarray, thr
                     yield a[ok], b[ok]
 
 
-def _join(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
-    """Labels (smallest index reachable) after adding links ``i - j``."""
-    while True:
-        a, b = label[i], label[j]
-        differ = a != b
-        if not differ.any():
-            return
-        lo, hi = np.minimum(a, b)[differ], np.maximum(a, b)[differ]
-        np.minimum.at(label, hi, lo)
-        while (label != label[label]).any():
-            label[:] = label[label]
-
-
 def _matrix(column: pa.ChunkedArray, d: int) -> np.ndarray:
     flat = column.combine_chunks().flatten() if isinstance(column, pa.ChunkedArray) else column.flatten()
     return np.asarray(flat, dtype=np.float64).reshape(-1, d)
@@ -136,7 +123,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, block: int =
         for i, j in linked_pairs(u[a], u[b], x[a], x[b], threshold, low == high):
             i, j = a[i], b[j]
             links += np.bincount(i, many[j], minlength=len(rep)).astype(np.int64) + np.bincount(j, many[i], minlength=len(rep)).astype(np.int64)
-            _join(label, i, j)
+            merge_labels(label, i, j)
         some = np.flatnonzero(links)
         return pa.table({"h1": key[some], "rep": rep[some], "links": links[some], "root": rep[label[some]]}, schema=pa.schema([(n, pa.int64()) for n in ("h1", "rep", "links", "root")]))
 
