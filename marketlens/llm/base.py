@@ -15,8 +15,8 @@ from marketlens.session import ensure_checkpoint_dir, scratch_path
 
 # Rows in one Arrow batch handed to Python. Long texts make a batch large, so
 # it is far below Spark's default of 10,000; the byte bound cuts it further.
-BATCH_ROWS = 1000
-BATCH_BYTES = 16 << 20
+BATCH_ROWS = 500
+BATCH_BYTES = 4 << 20
 
 
 def position(df: DataFrame, name: str) -> int:
