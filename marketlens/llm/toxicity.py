@@ -6,7 +6,7 @@ severity is the sum of the three probabilities; a document is rejected when
 ``P(grade >= 1) >= 0.5``.
 
 Features are words (letters and digits, lower case) and their beginnings of 3 to 6
-letters, ``x = log(1 + count)``. Only features that the labels tie to toxic texts enter the
+letters, ``x = 1 + log(count)``. Only features that the labels tie to toxic texts enter the
 model, so the thousands of neutral words of a long text add no noise to its score; of a word and
 its beginnings the shortest that say as much.
 
@@ -46,7 +46,7 @@ class Model:
 
     def at_least(self, counts: dict[int, int]) -> np.ndarray:
         """P(grade >= 1), ..., P(grade >= GRADES)."""
-        z = sum(self.weights[i] * np.log1p(n) for i, n in counts.items())
+        z = sum(self.weights[i] * (1 + np.log(n)) for i, n in counts.items())
         return 1 / (1 + np.exp(-(z - self.thresholds)))
 
 
@@ -125,12 +125,12 @@ def _rows(sample: DataFrame, index: dict[str, int]) -> list:
     return per_batch(sample, run, "y int, hits int, at array<int>, n array<int>").collect()   # bounded by the sample
 
 
-def _regress(rows: list, size: int, steps: int = 400, rate: float = 0.1, l2: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
+def _regress(rows: list, size: int, steps: int = 600, rate: float = 0.1, l2: float = 1e-6) -> tuple[np.ndarray, np.ndarray]:
     """Full-gradient Adam on the ordinal log-likelihood. Thresholds are a first
     value and positive steps, so they stay in order."""
     y = np.array([0 if not r["y"] else 1 if r["hits"] <= 1 else 2 if r["hits"] <= 3 else 3 for r in rows])
     at = np.concatenate([np.asarray(r["at"], np.int64) for r in rows] or [np.empty(0, np.int64)])
-    x = np.log1p(np.concatenate([np.asarray(r["n"], float) for r in rows] or [np.empty(0)]))
+    x = 1 + np.log(np.concatenate([np.asarray(r["n"], float) for r in rows] or [np.empty(0)]))
     row = np.repeat(np.arange(len(rows)), [len(r["at"]) for r in rows])
     target = (y[:, None] >= np.arange(1, GRADES + 1)).astype(float)
     p = np.concatenate([np.zeros(size), [1.0], np.zeros(GRADES - 1)])
