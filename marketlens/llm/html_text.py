@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from marketlens.llm.base import arrow_limits, per_batch, pick
 
 SAMPLE = 400       # pages of the table learnt from, at most
-TEMPLATES = 400    # made pages
+TEMPLATES = 600    # made pages
 _LONG = 300        # blocks of a training page that are used, from its start
 
 # --- fixed values: kinds of elements ------------------------------------------
@@ -48,6 +48,7 @@ class Block:
     tags: tuple[str, ...]        # ancestors, outermost first
     names: frozenset[str]        # words of their class, id and role
     linked: float                # share of text inside links
+    inner: str                   # what the innermost telling ancestor is: furniture, article or nothing
     label: str | None            # data-y of the innermost ancestor that has it
 
 
@@ -63,6 +64,16 @@ def _attributes(tail: str) -> tuple[frozenset[str], str | None]:
     return frozenset(names), label
 
 
+@lru_cache(maxsize=4096)
+def _kind(tag: str, names: frozenset[str]) -> str | None:
+    """What an element's names, or else its tag, say about what is inside."""
+    if names & _furniture():
+        return "furniture"
+    if names & _article_names():
+        return "article"
+    return "furniture" if tag in FURNITURE_TAGS else "article" if tag in MAIN_TAGS else None
+
+
 def blocks(page: str) -> list[Block]:
     """Leaf blocks with text, in page order. Scripts, styles, comments and the like have none."""
     out: list[Block] = []
@@ -79,7 +90,8 @@ def blocks(page: str) -> list[Block]:
             if text:
                 names = frozenset().union(*[s[1] for s in stack])
                 label = next((s[2] for s in reversed(stack) if s[2] is not None), None)
-                out.append(Block(text, tuple(s[0] for s in stack), names, min(1.0, links / max(1, len(raw))), label))
+                inner = next((k for k in (_kind(s[0], s[1]) for s in reversed(stack)) if k), "nothing")
+                out.append(Block(text, tuple(s[0] for s in stack), names, min(1.0, links / max(1, len(raw))), inner, label))
         pieces, links = [], 0
 
     def close(index: int):
@@ -154,6 +166,7 @@ def features(page: list[Block]) -> list[list[str]]:
         f = ["bias", "tag=" + own, f"words={n.bit_length()}", f"links={round(b.linked * 4)}", f"end={b.text[-1] if not b.text[-1].isalnum() else 'a'}"]
         f += ["in=" + t for t in set(b.tags) if t not in ("html", "body")]
         f += ["name=" + w for w in b.names]
+        f += ["inner=" + b.inner, f"inner={b.inner} links={round(b.linked * 2)}"]
         f.append(f"first={i < 2}")
         if n <= 12:
             f += ["word=" + w.strip(".,:;!?()").lower() for w in set(b.text.split())]
@@ -201,13 +214,13 @@ MAIN_TAGS = frozenset(("article", "main"))
 FURNITURE_TAGS = frozenset("nav header footer aside form menu button select head title dialog".split())
 FURNITURE_NAMES = ("ad ads advert advertisement advertising banner sponsor sponsored promo promotion sidebar side widget menu nav navigation navbar breadcrumb breadcrumbs "
                    "header masthead topbar footer foot copyright legal cookie cookies consent notice notices alert warning disclaimer gdpr popup modal overlay newsletter subscribe signup login register "
-                   "form search comment comments reply replies discussion disqus feedback share sharing social related recommended popular trending tags pagination pager toolbar skip").split()
+                   "form search comment comments commentlist respond reply replies discussion disqus feedback share sharing social related recommended popular trending tags pagination pager toolbar skip").split()
 ARTICLE_NAMES = "content article post entry story body main text blog news".split()
 
 
 def _markup_labels(page: list[Block]) -> list[int] | None:
     """Labels by markup; None if the page has no marked article."""
-    y = [int(bool(MAIN_TAGS & set(b.tags)) and not FURNITURE_TAGS & set(b.tags) and not b.names & _furniture()) for b in page]
+    y = [int(b.inner == "article" and bool(MAIN_TAGS & set(b.tags)) and not FURNITURE_TAGS & set(b.tags)) for b in page]
     return y if any(y) else None
 
 
@@ -216,6 +229,11 @@ def _furniture() -> frozenset[str]:
     return frozenset(FURNITURE_NAMES)
 
 
+@lru_cache(maxsize=1)
+def _article_names() -> frozenset[str]:
+    return frozenset(ARTICLE_NAMES)
+
+
 def template_page(rng: random.Random) -> str:
     """A made page; ``data-y`` tells whether what is inside is main text."""
     syllables = "ba ce di fo gu ha je ki lo mu na pe ri so tu va we xi yo za".split()
@@ -249,7 +267,8 @@ def template_page(rng: random.Random) -> str:
             lambda: f"<form data-y='0'><label>{words(1, 3, '')}</label><input name='q'><button>{words(1, 2, '')}</button></form>"])()
 
     def article():
-        out = [f"<h{rng.choice('112')}>{words(3, 10, rng.choice(['', '.', '']))}</h1>"] if rng.random() < 0.85 else []
+        level = rng.choice("112")
+        out = [f"<h{level}>{words(3, 10, rng.choice(['', '.', '']))}</h{level}>"] if rng.random() < 0.85 else []
         for _ in range(rng.randint(1, 8)):
             x = rng.random()
             if x < 0.7:
@@ -292,7 +311,7 @@ def _templates(n: int) -> list[tuple[list[list[str]], list[int]]]:
     return out
 
 
-def train(pages: list[tuple[list[list[str]], list[int]]], steps: int = 120, rate: float = 0.15, l2: float = 2e-3) -> Model:
+def train(pages: list[tuple[list[list[str]], list[int]]], steps: int = 120, rate: float = 0.15, l2: float = 1e-3) -> Model:
     """Maximum conditional likelihood by Adam; forward and backward passes run over all pages at once."""
     pages = [(f[:_LONG], y[:_LONG]) for f, y in pages if f]
     if not pages:

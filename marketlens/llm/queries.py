@@ -110,6 +110,25 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_copies(table(spark, sf_dir, "documents"))
 
 
+SQL["op9_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\x20\x09-\x0D]+'), lambda x: x <> '') AS t FROM documents),
+s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(t) = 0 THEN [] WHEN len(t) < 3 THEN [array_to_string(t, ' ')]
+        ELSE list_transform(range(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2]) END)) AS e FROM w),
+n AS (SELECT doc_id, len(e) AS size FROM s),
+x AS (SELECT doc_id, unnest(e) AS g FROM s),
+both_have AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+pairs AS (SELECT a, b FROM both_have JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 90 * (na.size + nb.size - k)),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+component AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a),
+class AS (SELECT doc_id, IF(len(e) = 0, doc_id, min(doc_id) OVER (PARTITION BY e)) AS class_id FROM s),
+linked AS (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT doc_id, n.size AS n_shingles, component_id, class_id, coalesce(n_links, 0) AS n_links
+FROM n JOIN component USING (doc_id) JOIN class USING (doc_id) LEFT JOIN linked USING (doc_id)"""
+
+
 @query
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's tokens and of what they decode to."""
