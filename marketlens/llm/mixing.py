@@ -27,7 +27,7 @@ from marketlens.llm.base import pick, position, saved
 OTHERS = "*"          # the class of sources without a weight of their own
 BLOCK_CHARS = 65_536
 CYCLE = 1_000
-BUCKET_DOCS = 20_000  # documents in one bucket of a source, on average
+BUCKET_DOCS = 5_000   # documents in one bucket of a source, on average
 
 
 def shares(weights: dict[str, float], cycle: int = CYCLE) -> dict[str, int]:
