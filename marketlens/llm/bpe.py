@@ -38,7 +38,7 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SUFFIX = "</w>"
 
 MAX_FILE = 64 << 20     # a vocabulary above this is refused: it is broadcast
-MAX_CACHED = 250_000    # words in each of a worker's two generations of cached words
+MAX_CACHED = 150_000    # words in each of a worker's two generations of cached words
 _END = 0x1000           # shift of a word's last symbol, which has its own alphabet
 _RENDER = 1 << 20       # tokens rendered to text at once
 

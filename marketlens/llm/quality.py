@@ -32,7 +32,7 @@ EPOCHS = 4
 THRESHOLD = 0.3
 FOLDS = 5            # documents with crc32(doc_id) % FOLDS == 0 are held out
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
-_KNOWN = 400_000
+_KNOWN = 200_000
 _KIND = np.uint64(0x9E3779B97F4A7C15)
 _SALT = np.arange(1, 6, dtype=np.uint64) * _KIND   # by kind: words, pairs, one to three shapes
 _SCALE = (1.0, 1.0, 4.0, 4.0, 4.0)

@@ -8,7 +8,7 @@ import xxhash
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))   # A-Z alone
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD))
 _S = np.uint64(32)
-_KNOWN = 500_000   # words remembered by a worker
+_KNOWN = 200_000   # words remembered by a worker
 
 
 def words(text: str) -> list[bytes]:

@@ -34,7 +34,7 @@ FEATURES = 4_096      # features of the model, at most
 PREFIXES = (3, 4, 5, 6)
 GRADES = 3
 _WORD = re.compile(r"[^\W_]+")
-_KNOWN = 300_000      # words remembered by a worker
+_KNOWN = 150_000      # words remembered by a worker
 
 
 @dataclass(frozen=True)
@@ -91,7 +91,7 @@ def _word_counts(batches):
     for batch in batches:
         for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist(), strict=True):
             seen[y].update(set(_WORD.findall(text.lower())))
-        if len(seen[0]) + len(seen[1]) > 500_000:
+        if len(seen[0]) + len(seen[1]) > 250_000:
             yield from out()
             seen = (Counter(), Counter())
     yield from out()
