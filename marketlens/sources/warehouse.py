@@ -28,7 +28,6 @@ from marketlens.operators.quality import conform_schema
 from marketlens.sources.tables import TABLE_SCHEMAS, _fs
 
 PART = "_part"
-FILES = 16   # tasks that write one partition, at most
 
 
 class ConcurrentWrite(RuntimeError):
@@ -137,8 +136,8 @@ class Transaction:
         schema = self.wh.schemas[name]
         out = conform_schema(rows, StructType(list(schema.fields)).add(PART, StringType()))
         version = self.wh._path(name, f"v={time.time_ns() // 1_000_000:015d}-{uuid.uuid4().hex[:8]}")
-        spread = F.pmod(F.xxhash64(*[f.name for f in schema.fields]), F.lit(FILES))
-        (out.withColumn("_p", F.col(PART)).repartition(PART, spread)
+        # rebalance: small partitions share a task, a large one is split over several
+        (out.withColumn("_p", F.col(PART)).hint("rebalance", "_p")
          .write.mode("errorifexists").partitionBy("_p").parquet(version))
         fs, p = _fs(self.spark, version)
         now = {k: v for k, v in self.tables.get(name, {}).items() if k not in touched}
