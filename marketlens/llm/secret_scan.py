@@ -41,9 +41,6 @@ _VALUE = r"""(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[^\s"',;#(){}\[\]<>|+][^
 PAIR = re.compile(rf"""(?<![\w.\-])([A-Za-z_][\w.\-]*+)["']?[\x20\t]*(?::=|=>|==?|:)[\x20\t]*({_VALUE}(?:[\x20\t]*\+[\x20\t]*{_VALUE})*)""", re.ASCII)
 VALUE = re.compile(_VALUE)
 IDENTIFIER = re.compile(r"[A-Za-z_][\w.]*", re.ASCII)
-#: A text without any of these has no sensitive name.
-HINT = re.compile(r"pass|pwd|secret|token|key|cred|auth|salt|private|signature", re.IGNORECASE)
-
 #: How sensitive the words of a name are.
 SENSITIVE = {"password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "secret": 1.0, "token": 0.9,
              "apikey": 1.0, "credential": 0.9, "credentials": 0.9, "auth": 0.6, "authorization": 0.7, "bearer": 0.8,
@@ -51,6 +48,9 @@ SENSITIVE = {"password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "sec
 #: Pairs of words that say more together.
 TOGETHER = {("api", "key"): 1.0, ("private", "key"): 1.0, ("access", "key"): 0.9, ("secret", "key"): 1.0,
             ("auth", "key"): 0.9, ("encryption", "key"): 0.9, ("signing", "key"): 0.9, ("session", "key"): 0.7}
+_NEEDED = {*SENSITIVE, *(last for _, last in TOGETHER)}
+#: A text without any of these has no sensitive name: each name that scores has one of them.
+HINT = re.compile("|".join(sorted(w for w in _NEEDED if not any(o in w for o in _NEEDED - {w}))), re.IGNORECASE)
 PLACEHOLDER = re.compile(r"(?i)change_?me|example|placeholder|your[_-]|dummy|xxx|\*\*\*|todo|none|null|true|false|undefined|^\$\{|^\$\(|^%\w+%$|^\{\{")
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 

@@ -110,6 +110,17 @@ def test_secret_pairs(text, value):
     assert [text[s:e] for s, e, _, _ in secret_scan.pairs(text)] == [value]
 
 
+def test_every_sensitive_name_alone_in_a_text():
+    literal = "Zq8vT1mXr5Lw0KdB7nYc3HsG9pJf2UaE"
+    names = [*secret_scan.SENSITIVE, *map("_".join, secret_scan.TOGETHER)]
+    assert "bearer" in names
+    for name in names:
+        for spelt in (name, name.upper(), name.title()):
+            text = f'{spelt} = "{literal}"'
+            scored = secret_scan.sensitivity(spelt) * secret_scan.strength(literal) >= secret_scan.THRESHOLD
+            assert [text[s:e] for s, e, _, _ in secret_scan.pairs(text)] == [literal] * scored, spelt
+
+
 def test_secret_pairs_leave_plain_values():
     for text in ("password = changeme", "password = ${DB_PASSWORD}", "title: The key to it", "name = 'q9X!t7Lm#2'", "password: is long"):
         assert secret_scan.pairs(text) == []
