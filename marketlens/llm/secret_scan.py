@@ -51,7 +51,8 @@ TOGETHER = {("api", "key"): 1.0, ("private", "key"): 1.0, ("access", "key"): 0.9
 _NEEDED = {*SENSITIVE, *(last for _, last in TOGETHER)}
 #: A text without any of these has no sensitive name: each name that scores has one of them.
 HINT = re.compile("|".join(sorted(w for w in _NEEDED if not any(o in w for o in _NEEDED - {w}))), re.IGNORECASE)
-PLACEHOLDER = re.compile(r"(?i)change_?me|example|placeholder|your[_-]|dummy|xxx|\*\*\*|todo|none|null|true|false|undefined|^\$\{|^\$\(|^%\w+%$|^\{\{")
+PLACEHOLDER = re.compile(r"(?i)change_?me|example[_-]?[a-z]*|placeholder|your[_-][a-z_-]*|dummy[_-]?[a-z]*|x{3,}|\*{3,}|todo|none|null|true|false|undefined"
+                         r"|\$\{[^}]*\}?|\$\([^)]*\)?|%\w+%|\{\{.*?(?:\}\}|\Z)")
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 
@@ -63,12 +64,17 @@ def sensitivity(name: str) -> float:
     return max(single, double)
 
 
+def _is_placeholder(literal: str) -> bool:
+    """Words of a placeholder make up half of the literal or more; a long random one may hold some by chance."""
+    return 2 * sum(m.end() - m.start() for m in PLACEHOLDER.finditer(literal)) >= len(literal)
+
+
 def strength(literal: str) -> float:
     """0 to 1: how much a literal looks like key material."""
-    if len(literal) < 6 or PLACEHOLDER.search(literal) or " " in literal.strip():
+    if len(literal) < 6 or " " in literal.strip() or _is_placeholder(literal):
         return 0.0
-    counts = Counter(literal[:4096]).values()   # the mixture of characters shows soon
-    n = sum(counts)
+    counts = Counter(literal).values()
+    n = len(literal)
     bits = -sum(c / n * math.log2(c / n) for c in counts)
     classes = sum(bool(re.search(p, literal)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
     return min(1.0, 0.35 + bits / 8 + 0.1 * (classes - 1))

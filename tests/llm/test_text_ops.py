@@ -126,6 +126,16 @@ def test_secret_pairs_leave_plain_values():
         assert secret_scan.pairs(text) == []
 
 
+def test_secret_strength_counts_the_whole_literal():
+    rng = random.Random(4)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    key = "".join(rng.choice(signs) for _ in range(1600))
+    for literal in ("A" * 4096 + key * 3, key[:800] + "xXx" + key[800:], key + "null", "TODO" + key[:60]):
+        assert [literal] == [t[s:e] for t in (f'api_key = "{literal}"',) for s, e, _, _ in secret_scan.pairs(t)]
+    for literal in ("xxxxxxxxxxxx", "your_password_here", "example_key", "${A}:${B}", "{{ vault.key }}", "%API_KEY%", "********", "null-null", "changeme1!"):
+        assert secret_scan.pairs(f'api_key = "{literal}"') == []
+
+
 def test_secret_redaction(spark):
     out = {r["doc_id"]: r for r in secret_scan.redacted(awkward(spark)).collect()}
     assert out[6]["text"] == "token = '[REDACTED]'" and out[6]["n_chars"] == len(out[6]["text"])
