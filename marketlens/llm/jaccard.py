@@ -1,12 +1,13 @@
 """N-gram Jaccard join (operator 9): PartEnum signatures.
 
-Two documents link when the Jaccard similarity of their sets of 3-word shingles
-is at least 0.9. Sets are put in bands of size; two sets in a band ``[low, high)`` that
+Two documents link when the Jaccard similarity of their sets of shingles is at least
+``num / den``: by default 3-word shingles and 0.9, the values of the op9 query. Sets are put in bands of size; two sets in a band ``[low, high)`` that
 link differ in at most ``k`` elements, ``k = floor(2 high (1 - s) / (1 + s))``. The domain of
 the elements is cut into ``n1`` parts, so in one part they differ in at most ``k // n1``;
 that part is cut into ``n2`` pieces, of which at least ``n2 - k // n1`` agree. A signature is
 made for each part and each choice of ``n2 - k // n1`` of its pieces, so sets that link share a
-signature. A set makes those of its own band, and those of the next band if a linked partner may
+signature. Under a bound below 0.9 parts have few elements; there are some to spare then, and signatures of
+common shingles alone are left out as far as the spare parts allow. A set makes those of its own band, and those of the next band if a linked partner may
 lie there.
 
 Sets that are equal are one class, found by grouping on a fingerprint. Classes that share a
@@ -35,6 +36,7 @@ BAND = 1.3                        # ratio of a size band's ends
 PIECES, FREE = 3, 1               # second level: pieces, and how many of them may differ
 BLOCK_DOCS, BLOCK_SHINGLES = 2_048, 1 << 20   # a block of a large cluster, on average
 BROADCAST_IDS = 500_000           # ids of clustered classes that are broadcast at most
+COMMON_DOCS, COMMON = 4_096, 65_536   # texts looked at for common shingles, about, and shingles at most
 _TILE, _WIDTH = 1_024, 4_096      # rows and columns of an incidence matrix held at once
 
 
@@ -48,13 +50,30 @@ def bands(size: int, ratio: float = BAND) -> tuple[int, int, int]:
         band, low = band + 1, high
 
 
-def _signatures_in(elements: np.ndarray, band: int, high: int, num: int, den: int) -> np.ndarray:
-    """PartEnum signatures of a sorted set for one band (sizes below ``high``)."""
+def levels(high: int, num: int, den: int) -> tuple[int, int, int, int]:
+    """``(parts, pieces, free, spare)`` for sets of fewer than ``high`` elements: ``spare + 1`` parts at least differ in at
+    most ``free`` elements, of ``pieces`` pieces of a part."""
     k = 2 * (high - 1) * (den - num) // (den + num)   # most elements that differ
-    # parts so many that one of them differs in at most FREE elements
-    n1 = k // (FREE + 1) + 1
-    free = k // n1
-    n2 = PIECES if free else 1
+    if 10 * num >= 9 * den:
+        # parts so many that one of them differs in at most FREE elements
+        n1 = k // (FREE + 1) + 1
+        free = k // n1
+        return n1, PIECES if free else 1, free, 0
+    # a lower bound makes parts of fewer elements: small sets are one part, others have parts to spare
+    if k <= 3:
+        return 1, 2 * k + 1 - (k == 3), k, 0
+    if k <= 12:
+        n1 = k // 4 + 1
+        return n1, 7, k // n1, 0
+    spare = k // 12 + 2
+    return k + 1 + spare, 1, 0, spare
+
+
+def _signatures_in(elements: np.ndarray, rare: np.ndarray, band: int, high: int, num: int, den: int) -> np.ndarray:
+    """PartEnum signatures of a sorted set for one band (sizes below ``high``). Chosen pieces without any rare element
+    are left out if at most ``spare`` parts have such a choice: one more part agrees, in pieces that have some. Which
+    elements count as rare changes the number of signatures alone."""
+    n1, n2, free, spare = levels(high, num, den)
     # elements are uniform hashes in order: equal ranges of the domain are runs
     width = (1 << 64) // (n1 * n2)
     cuts = np.searchsorted(elements, np.arange(1, n1 * n2, dtype=np.uint64) * np.uint64(width)) if n1 * n2 > 1 else np.empty(0, np.int64)
@@ -62,32 +81,57 @@ def _signatures_in(elements: np.ndarray, band: int, high: int, num: int, den: in
     at = np.concatenate([[0], cuts, [len(elements)]])
     pieces = (sums[at[1:]] - sums[at[:-1]]).reshape(n1, n2)   # sums are the same for the same elements
     part = np.arange(n1, dtype=np.uint64) + (np.uint64(band) << np.uint64(40))
+    # choices of the same part have different numbers
+    choices = list(combinations(range(n2), n2 - free))
+    factor = np.uint64(max(PIECES, len(choices)))
+    filled = (np.diff(np.concatenate([[0], np.cumsum(rare)])[at]) > 0).reshape(n1, n2)
+    weak = (n2 - filled.sum(1)) >= n2 - free     # some choice of the part is empty
+    drop = spare > 0 and weak.sum() <= spare
     out = []
-    for i, chosen in enumerate(combinations(range(n2), n2 - free)):
-        h = mix(part * np.uint64(PIECES) + np.uint64(i))
+    for i, chosen in enumerate(choices):
+        h = mix(part * factor + np.uint64(i))
         for j in chosen:
             h = mix(h + pieces[:, j])
-        out.append(h)
+        out.append(h[filled[:, chosen].any(1)] if drop else h)
     return np.concatenate(out)
 
 
-def signatures(elements: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
-    """Distinct signatures (int64) of a set; sets that link share one."""
+def signatures(elements: np.ndarray, num: int = NUM, den: int = DEN, common: np.ndarray | None = None) -> np.ndarray:
+    """Distinct signatures (int64) of a set; sets that link share one, whatever the sorted elements ``common``
+    are (the same for all sets)."""
     size = len(elements)
     if not size:
         return np.empty(0, np.int64)
     band, low, high = bands(size)
-    out = [_signatures_in(elements, band, high, num, den)]
+    rare = np.ones(size, bool)
+    if common is not None and len(common):
+        rare = common[np.minimum(np.searchsorted(common, elements), len(common) - 1)] != elements
+    out = [_signatures_in(elements, rare, band, high, num, den)]
     if size * den >= high * num:      # a linked partner may have ``high`` elements or more
-        out.append(_signatures_in(elements, band + 1, bands(high)[2], num, den))
+        out.append(_signatures_in(elements, rare, band + 1, bands(high)[2], num, den))
     return np.unique(np.concatenate(out)).view(np.int64)
 
 
-def _sets(docs: DataFrame, n: int) -> DataFrame:
+def _common(docs: DataFrame, n: int) -> np.ndarray:
+    """Shingles that some texts of a bounded sample share, sorted. They only save signatures: any choice gives the same links."""
+    total = docs.count()
+    few = docs.filter(F.pmod(F.xxhash64(F.lit(23), "text"), F.lit(max(1, total))) < COMMON_DOCS).select("text").distinct()
+
+    def run(batch: pa.RecordBatch) -> dict:
+        sets = [shingle_set(t, n) for t in batch.column(0).to_pylist()]
+        return {"e": np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)}
+
+    seen = per_batch(few, run, "e bigint").groupBy("e").count().filter("count >= 3").orderBy(F.desc("count"), "e").limit(COMMON)
+    return np.sort(np.asarray(seen.select("e").toArrow().column(0), dtype=np.int64).view(np.uint64))
+
+
+def _sets(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """``doc_id, n_shingles, f1, f2, sigs`` for each row."""
+    common = _common(docs, n) if 10 * num < 9 * den else None
+
     def run(batch: pa.RecordBatch) -> dict:
         sets = [shingle_set(t, n) for t in batch.column(1).to_pylist()]
-        sigs = [signatures(s) for s in sets]
+        sigs = [signatures(s, num, den, common) for s in sets]
         ends = np.concatenate([[0], np.cumsum([len(s) for s in sigs])]).astype(np.int32)
         flat = np.concatenate(sigs) if sigs else np.empty(0, np.int64)
         return {"doc_id": batch.column(0), "n_shingles": np.array([len(s) for s in sets], np.int64),
@@ -125,7 +169,7 @@ def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     return out
 
 
-def _linked(left: list[np.ndarray], right: list[np.ndarray], same: bool) -> tuple[np.ndarray, np.ndarray]:
+def _linked(left: list[np.ndarray], right: list[np.ndarray], same: bool, num: int = NUM, den: int = DEN) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the pairs that link; ``same``: of one list, each pair once."""
     a, b = (np.array([len(x) for x in sets], np.int64) for sets in (left, right))
     found = []
@@ -133,7 +177,7 @@ def _linked(left: list[np.ndarray], right: list[np.ndarray], same: bool) -> tupl
         for j in range(i if same else 0, len(right), _TILE):
             both = intersections(left[i:i + _TILE], right[j:j + _TILE]).astype(np.int64)
             union = a[i:i + _TILE, None] + b[None, j:j + _TILE] - both
-            x, y = np.nonzero((DEN * both >= NUM * union) & (union > 0))
+            x, y = np.nonzero((den * both >= num * union) & (union > 0))
             x, y = x + i, y + j
             keep = x < y if same else slice(None)
             found.append((x[keep], y[keep]))
@@ -143,7 +187,7 @@ def _linked(left: list[np.ndarray], right: list[np.ndarray], same: bool) -> tupl
 _FOUND = "doc bigint, links bigint, root bigint"
 
 
-def _cell(key, rows):
+def _cell(key, rows, num: int, den: int):
     """Links among the classes of one task: of whole small clusters, or between two blocks of a large one."""
     _, low, high = (k.as_py() for k in key)
     doc, many, cluster, block = (np.asarray(rows.column(c)) for c in ("doc_id", "many", "cluster", "block"))
@@ -160,7 +204,7 @@ def _cell(key, rows):
     rank = np.empty(len(doc), np.int64)
     rank[order] = np.arange(len(doc))      # labels follow the order of ids
     for a, b in jobs:
-        i, j = _linked([sets[x] for x in a], [sets[x] for x in b], a is b)
+        i, j = _linked([sets[x] for x in a], [sets[x] for x in b], a is b, num, den)
         i, j = a[i], b[j]
         differ = doc[i] != doc[j]
         i, j = i[differ], j[differ]
@@ -182,14 +226,14 @@ def _clusters(reps: DataFrame) -> DataFrame:
                  .unionByName(top.select(F.col("component").alias("doc_id"), F.col("component").alias("cluster")).distinct()), "nj-clusters")
 
 
-def near_copies(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """One row per input row: ``doc_id, n_shingles, component_id`` (smallest ``doc_id`` reachable by
+def near_copies(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
+    """Documents link by sets of ``shingle`` words and a similarity of ``num / den`` or more. One row per input row: ``doc_id, n_shingles, component_id`` (smallest ``doc_id`` reachable by
     links, itself included), ``class_id`` (smallest with the same set), ``n_links`` (other documents
     linked directly). Null and empty texts have an empty set and link with nothing; a null ``doc_id`` keeps its row with null
     component and links with nothing. Rows that repeat a ``doc_id`` are one document: it links where
     any of its texts does, and each row keeps its own ``n_shingles`` and ``n_links``. An empty table gives no rows."""
     docs = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    sets = saved(_sets(docs, shingle), "nj-sets")
+    sets = saved(_sets(docs, shingle, num, den), "nj-sets")
     some = sets.filter("doc_id is not null and n_shingles > 0")
     same = ["n_shingles", "f1", "f2"]
     ids = some.select("doc_id", *same).distinct()
@@ -200,7 +244,7 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     tied = member.join(repeats, "doc_id", "left_semi").select(F.col("class_id").alias("a"), F.col("doc_id").alias("b")).filter("a < b").distinct()
     reps = some.join(classes.withColumnRenamed("class_id", "doc_id"), ["doc_id", *same], "left_semi")
     clusters = _clusters(reps)
-    found = _cluster_links(docs, clusters, classes, shingle)
+    found = _cluster_links(docs, clusters, classes, shingle, num, den)
     top = components(found.select(F.col("doc").alias("a"), F.col("root").alias("b")).unionByName(tied), "a", "b")
     near = found.groupBy(F.col("doc").alias("class_id")).agg(F.sum("links").alias("near"))
     # a component is named by its smallest id, and a class by the smallest with its set
@@ -211,7 +255,7 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
 
 
-def _cluster_links(docs: DataFrame, clusters: DataFrame, classes: DataFrame, n: int) -> DataFrame:
+def _cluster_links(docs: DataFrame, clusters: DataFrame, classes: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """``doc, links, root`` from all pairs inside the clusters. The texts of their classes are read again."""
     sized = clusters.join(classes.select(F.col("class_id").alias("doc_id"), "many", "n_shingles"), "doc_id")
     of = sized.groupBy("cluster").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_shingles").alias("shingles"))
@@ -236,16 +280,19 @@ def _cluster_links(docs: DataFrame, clusters: DataFrame, classes: DataFrame, n:
         F.when(F.col("blocks") == 1, F.lit(0)).otherwise(F.col("cluster")).alias("large"),
         F.when(F.col("blocks") == 1, bin_of).otherwise(F.least("block", "other")).alias("low"),
         F.when(F.col("blocks") == 1, bin_of).otherwise(F.greatest("block", "other")).alias("high"), "doc_id", "cluster", "block", "many", "elements")
-    return saved(cells.groupBy("large", "low", "high").applyInArrow(_cell, _FOUND), "nj-links")
+
+    def check(key, rows):
+        return _cell(key, rows, num, den)
+
+    return saved(cells.groupBy("large", "low", "high").applyInArrow(check, _FOUND), "nj-links")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is its component's smallest, one row for
-    each; rows with a null ``doc_id`` stay. Same columns. Of rows that repeat an id with
-    different texts any one stays."""
-    at = position(docs, "doc_id")
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` is its component's smallest; rows with a null ``doc_id``
+    stay. Same columns. Of rows that repeat an id with the same text one stays; every different text of a
+    repeated id stays."""
+    key, text = (f"_in{position(docs, n)}" for n in ("doc_id", "text"))
     flat = docs.toDF(*[f"_in{i}" for i in range(len(docs.columns))])
-    key = f"_in{at}"
-    keep = near_copies(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    named = flat.filter(F.col(key).isNotNull()).join(keep, F.col(key).cast("bigint") == F.col("_keep"), "left_semi").dropDuplicates([key])
+    keep = near_copies(docs, shingle, num, den).filter("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
+    named = flat.filter(F.col(key).isNotNull()).join(keep, F.col(key).cast("bigint") == F.col("_keep"), "left_semi").dropDuplicates([key, text])
     return named.unionByName(flat.filter(F.col(key).isNull())).toDF(*docs.columns)

@@ -1,7 +1,11 @@
 """The corpus pipeline on the smallest tables, stage by stage."""
 
+import random
 import re
 
+import numpy as np
+
+from marketlens.llm import jaccard
 from tests.llm.test_text_ops import brute_components
 
 SMALL = "/root/testdata/sf0.001"
@@ -35,3 +39,69 @@ def test_run_and_empty(spark, tmp_path):
     for t in ("documents", "labels"):
         spark.read.parquet(f"{SMALL}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_copies_of_two_percent_and_repeated_ids(spark):
+    import corpus_pipeline as cp
+    from tests.llm.test_text_ops import docs_of
+    long = [f"w{i}" for i in range(50)]
+    texts = [" ".join(long), " ".join(long[:25] + ["other"] + long[26:]), " ".join(f"v{i}" for i in range(100)), " ".join("u" if i in (30, 70) else f"v{i}" for i in range(100))]
+    docs = docs_of(spark, texts)
+    assert sorted(r["doc_id"] for r in cp.without_near_copies(spark, docs, SMALL).collect()) == [0, 2]
+    again = docs.unionByName(docs.filter("doc_id = 0")).unionByName(docs.filter("doc_id = 2").selectExpr("0L as doc_id", "'quite another text' as text", "lang", "source", "n_chars"))
+    got = sorted((r["doc_id"], r["text"]) for r in cp.without_near_copies(spark, again, SMALL).collect())
+    assert got == [(0, "quite another text"), (0, texts[0]), (2, texts[2])]
+
+
+def brute(texts, n, num):
+    """Components by all pairs."""
+    sets = {}
+    for i, t in texts.items():
+        w = (t or "").lower().split()
+        sets[i] = {tuple(w[j:j + n]) for j in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
+    top = {i: i for i in sets}
+
+    def find(x):
+        return x if top[x] == x else find(top[x])
+
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                top[y] = x
+    return {i: find(i) for i in sets}
+
+
+def test_near_copies_equal_brute_force(spark):
+    import corpus_pipeline as cp
+    from tests.llm.test_text_ops import docs_of
+    rng, texts = random.Random(6), ["", None, "one", "One", "one two three four five"]
+    passage = " ".join(f"p{i}" for i in range(12))
+    for size in (6, 9, 14, 20, 27, 40, 60, 90, 140, 250, 400):
+        base = [f"s{size}x{i}" for i in range(size)]
+        for i in range(14):
+            words = list(base)
+            for _ in range(rng.randint(0, max(1, size // 30))):
+                words[rng.randrange(size)] = f"n{rng.randint(0, 10**6)}"
+            texts.append(" ".join(words[:size - rng.randint(0, size // 10)] + ([passage] if i % 3 == 0 else [])))
+    docs = docs_of(spark, texts)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_copies(docs, **cp.NEAR).collect()}
+    assert got == brute(dict(enumerate(texts)), cp.NEAR["shingle"], cp.NEAR["num"])
+    assert len(set(got.values())) < len(texts) - 40
+
+
+def test_signatures_at_the_bound_of_the_pipeline():
+    rng = random.Random(9)
+    for _ in range(600):
+        a = {rng.getrandbits(64) for _ in range(rng.choice([rng.randint(1, 80), rng.randint(1, 700)]))}
+        b = last = set(a)
+        while b and 100 * len(a & b) >= 80 * len(a | b):
+            last = set(b)
+            if rng.random() < 0.5:
+                b.remove(rng.choice(sorted(b)))
+            if rng.random() < 0.7:
+                b.add(rng.getrandbits(64))
+        common = np.array(sorted(rng.sample(sorted(a), rng.choice([0, len(a) // 10, len(a) // 2, len(a)])) + [1, 1 << 63]), np.uint64)
+        x, y = (np.array(sorted(s), np.uint64) for s in (a, last))
+        for c in (None, common):
+            assert set(jaccard.signatures(x, 80, 100, c).tolist()) & set(jaccard.signatures(y, 80, 100, c).tolist())
