@@ -139,14 +139,24 @@ def schedule(docs: DataFrame, weights: dict[str, float], block_chars: int = BLOC
                        F.col("place").cast("bigint").alias("place"), "h2")
 
 
-def mixed(docs: DataFrame, weights: dict[str, float], **options) -> DataFrame:
-    """All rows and columns of ``docs`` in the order of the mix: files follow one another by range of
-    slots, and the rows of a file are in order. Rows with the same id and text go to the same place."""
+def placed(docs: DataFrame, weights: dict[str, float], **options) -> DataFrame:
+    """All rows and columns of ``docs``, then ``slot`` and ``place`` of the schedule (columns of these names in the
+    input are replaced): sorted by them the rows are in the order of the mix. Rows with the same id and text go to the
+    same place."""
     order = schedule(docs, weights, **options)
     flat = docs.toDF(*[f"_in{i}" for i in range(len(docs.columns))])
+    kept = [i for i, c in enumerate(docs.columns) if c.lower() not in ("slot", "place")]
     key, text = (F.col(f"_in{position(docs, n)}") for n in ("doc_id", "text"))
     first = order.groupBy("doc_id", "h2").agg(F.min(F.struct("slot", "place")).alias("at"))
     first = first.select(F.col("doc_id").alias("_id"), F.col("h2").alias("_h2"), F.col("at.slot").alias("_slot"), F.col("at.place").alias("_place"))
-    placed = flat.join(first, key.eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_h2")))
-    placed = placed.repartitionByRange("_slot", "_place").sortWithinPartitions("_slot", "_place")
-    return placed.select(flat.columns).toDF(*docs.columns)
+    out = flat.join(first, key.eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_h2")))
+    return out.select(*[f"_in{i}" for i in kept], "_slot", "_place").toDF(*[docs.columns[i] for i in kept], "slot", "place")
+
+
+def mixed(docs: DataFrame, weights: dict[str, float], **options) -> DataFrame:
+    """All rows and columns of ``docs`` in the order of the mix: files follow one another by range of
+    slots, and the rows of a file are in order. Files may be read in any order: ``placed`` tells the place."""
+    flat = docs.toDF(*[f"_in{i}" for i in range(len(docs.columns))])
+    named = flat.withColumnsRenamed({f"_in{position(docs, n)}": n for n in ("doc_id", "source", "text")})
+    out = placed(named, weights, **options).repartitionByRange("slot", "place").sortWithinPartitions("slot", "place")
+    return out.select(named.columns).toDF(*docs.columns)

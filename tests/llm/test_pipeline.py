@@ -105,3 +105,31 @@ def test_signatures_at_the_bound_of_the_pipeline():
         x, y = (np.array(sorted(s), np.uint64) for s in (a, last))
         for c in (None, common):
             assert set(jaccard.signatures(x, 80, 100, c).tolist()) & set(jaccard.signatures(y, 80, 100, c).tolist())
+
+
+def test_mix_order_comes_with_the_token_ids(spark, tmp_path):
+    """The encode stage reads many files in any order; sorted by slot and place each source keeps to its target."""
+    import corpus_pipeline as cp
+    from marketlens.llm import mixing
+    from marketlens.llm.queries import TARGETS
+    from tests.llm.test_text_ops import docs_of
+    rng = random.Random(8)
+    size = mixing.BLOCK_CHARS // 4
+    sources = [rng.choice(["src0", "src0", "src1", "src2", "src3", "a", "b", "c"]) for _ in range(240)]
+    docs = docs_of(spark, [f"{i} " + "x" * (size - len(str(i)) - 1) for i in range(240)], sources)
+    cp.mixed(spark, docs, SMALL).repartition(7, "doc_id").write.parquet(f"{tmp_path}/mix")
+    rows = cp.encoded(spark, spark.read.schema(docs.schema).parquet(f"{tmp_path}/mix"), SMALL).drop("text").collect()
+    want = {r["doc_id"]: (r["slot"], r["place"]) for r in mixing.schedule(docs, TARGETS).collect()}
+    assert {r["doc_id"]: (r["slot"], r["place"]) for r in rows} == want
+    rows.sort(key=lambda r: (r["slot"], r["place"]))
+    of = [r["source"] if r["source"] in TARGETS else "*" for r in rows]
+    blocks = {k: -(-of.count(k) // 4) for k in TARGETS}
+    sent, slots = dict.fromkeys(TARGETS, 0), {}
+    for r, k in zip(rows, of, strict=True):
+        slots[r["slot"]] = k
+    for n, slot in enumerate(sorted(slots), 1):
+        sent[slots[slot]] += 1
+        if any(sent[k] == blocks[k] for k in TARGETS):   # a source runs out: its slots go to the others
+            break
+        assert all(abs(sent[k] - n * w) < 1 for k, w in TARGETS.items())
+    assert n > 20
