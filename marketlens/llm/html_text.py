@@ -26,19 +26,22 @@ from marketlens.llm.base import arrow_limits, per_batch, pick
 
 SAMPLE = 400       # pages of the table learnt from, at most
 TEMPLATES = 600    # made pages
-_LONG = 300        # blocks of a training page that are used, from its start
 
 # --- fixed values: kinds of elements ------------------------------------------
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rb rt rp s samp small span strike strong sub sup time tt u var wbr".split())
-RAW = frozenset("script style noscript template iframe object svg math canvas".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rb rt rp s samp small span strike strong sub sup time tt u var wbr "
+                   "math annotation menclose mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder munderover semantics".split())
+FOREIGN = frozenset("svg math".split())
+#: Elements besides foreign and custom ones that ``/>`` closes, as XHTML pages write them.
+EMBEDDED = frozenset("script style noscript template iframe object svg math canvas".split())
 CLOSES_P = frozenset("address article aside blockquote center details dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 #: An opening tag ends an open one of these, up to the nearest of the limits.
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
             "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, {"html"})}
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|object|svg|math|canvas)\b[^>]*+>.*?(?:</\1\s*+>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>|<[!?/][^>]*+>""", re.DOTALL | re.IGNORECASE)
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>])(?!(?:[^>]*(?:["'\s]|\s[\w-]+))?/>)[^>]*+>.*?(?:</\1(?=[\s/>])[^>]*+>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>|<[!?/][^>]*+>""", re.DOTALL | re.IGNORECASE)
 _ATTR = re.compile(r"""\b(class|id|role|data-y|hidden|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
+_CLOSED = re.compile(r"""(?:^|["'\s]|\s[\w-]+)/$""")   # not the end of a value without quotes
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -149,6 +152,8 @@ def blocks(page: str) -> list[Block]:
         if tag not in INLINE:
             flush()
         tail = m[4] or m[7] or ""
+        if tail.endswith("/") and (tag in EMBEDDED or "-" in tag or any(s[0] in FOREIGN for s in stack)) and _CLOSED.search(tail):
+            continue
         names, label = _attributes(tail.strip()) if "=" in tail else (frozenset(), None)
         stack.append((tag, names, label))
         in_link += tag == "a"
@@ -313,45 +318,48 @@ def _templates(n: int) -> list[tuple[list[list[str]], list[int]]]:
 
 def train(pages: list[tuple[list[list[str]], list[int]]], steps: int = 120, rate: float = 0.15, l2: float = 1e-3) -> Model:
     """Maximum conditional likelihood by Adam; forward and backward passes run over all pages at once."""
-    pages = [(f[:_LONG], y[:_LONG]) for f, y in pages if f]
+    # longest first, so that the blocks at one position are those of the first pages; arrays have a row for each block
+    pages = sorted(((f, y) for f, y in pages if f), key=lambda p: -len(p[0]))
     if not pages:
         return Model({}, np.zeros((2, 2)))
     index: dict[str, int] = {}
-    n, longest = len(pages), max(len(f) for f, _ in pages)
+    n = len(pages)
+    length = np.array([len(f) for f, _ in pages])
+    many = [int(np.searchsorted(-length, -t, side="left")) for t in range(length[0])]     # pages that have position t
+    start = np.concatenate([[0], np.cumsum(many)])
+    size = int(start[-1])
     at, row = [], []
-    for i, (f, _) in enumerate(pages):
+    y = np.zeros(size, np.int64)
+    for i, (f, labels) in enumerate(pages):
+        y[start[:len(labels)] + i] = labels
         for t, names in enumerate(f):
             for x in names:
                 at.append(index.setdefault(x, len(index)))
-                row.append(t * n + i)
+                row.append(start[t] + i)
     at, row = np.array(at), np.array(row)
-    length = np.array([len(f) for f, _ in pages])
-    y = np.zeros((longest, n), np.int64)
-    for i, (_, labels) in enumerate(pages):
-        y[:len(labels), i] = labels
-    live = np.arange(longest)[:, None] < length[None, :]
-    pair = live[1:] & live[:-1]
+    page = np.concatenate([np.arange(k) for k in many])
+    cur = np.arange(many[0], size)
+    prev = start[np.repeat(np.arange(len(many) - 1), many[1:])] + page[cur]
+    last = start[length - 1] + np.arange(n)
     p = np.zeros(len(index) + 4)
     m, v = np.zeros_like(p), np.zeros_like(p)
-    want_moves = np.array([[(pair & (y[:-1] == a) & (y[1:] == b)).sum() for b in (0, 1)] for a in (0, 1)], float)
+    want_moves = np.array([[((y[prev] == a) & (y[cur] == b)).sum() for b in (0, 1)] for a in (0, 1)], float)
     for step in range(1, steps + 1):
-        e = np.bincount(row, p[at], minlength=longest * n).reshape(longest, n)
-        e = np.stack([np.zeros_like(e), e], axis=2)
+        e = np.bincount(row, p[at], minlength=size)
+        e = np.stack([np.zeros_like(e), e], axis=1)
         moves = p[-4:].reshape(2, 2)
-        forward, backward = np.zeros((longest, n, 2)), np.zeros((longest, n, 2))
-        forward[0] = e[0]
-        for t in range(1, longest):
-            step_to = np.logaddexp(forward[t - 1][:, 0, None] + moves[0], forward[t - 1][:, 1, None] + moves[1]) + e[t]
-            forward[t] = np.where(live[t][:, None], step_to, forward[t - 1])
-        for t in range(longest - 2, -1, -1):
-            x = e[t + 1] + backward[t + 1]
-            step_to = np.logaddexp(moves[None, :, 0] + x[:, 0, None], moves[None, :, 1] + x[:, 1, None])
-            backward[t] = np.where(live[t + 1][:, None], step_to, 0.0)
-        z = np.logaddexp(forward[-1][:, 0], forward[-1][:, 1])
-        p1 = np.exp(np.minimum(forward[:, :, 1] + backward[:, :, 1] - z, 0.0)) * live
-        g_e = (p1 - y * live)
-        g_moves = np.array([[(np.exp(np.minimum(forward[:-1, :, a] + moves[a, b] + e[1:, :, b] + backward[1:, :, b] - z, 0.0)) * pair).sum() for b in (0, 1)] for a in (0, 1)]) - want_moves
-        g = np.concatenate([np.bincount(at, g_e.ravel()[row], minlength=len(index)), g_moves.ravel()]) / n + l2 * p
+        forward, backward = np.zeros((size, 2)), np.zeros((size, 2))
+        forward[:many[0]] = e[:many[0]]
+        for t in range(1, len(many)):
+            f, k = forward[start[t - 1]:], many[t]
+            forward[start[t]:start[t + 1]] = np.logaddexp(f[:k, 0, None] + moves[0], f[:k, 1, None] + moves[1]) + e[start[t]:start[t + 1]]
+        for t in range(len(many) - 2, -1, -1):
+            x = e[start[t + 1]:start[t + 2]] + backward[start[t + 1]:start[t + 2]]
+            backward[start[t]:start[t] + many[t + 1]] = np.logaddexp(moves[None, :, 0] + x[:, 0, None], moves[None, :, 1] + x[:, 1, None])
+        z = np.logaddexp(forward[last, 0], forward[last, 1])[page]
+        g_e = np.exp(np.minimum(forward[:, 1] + backward[:, 1] - z, 0.0)) - y
+        g_moves = np.array([[np.exp(np.minimum(forward[prev, a] + moves[a, b] + e[cur, b] + backward[cur, b] - z[cur], 0.0)).sum() for b in (0, 1)] for a in (0, 1)]) - want_moves
+        g = np.concatenate([np.bincount(at, g_e[row], minlength=len(index)), g_moves.ravel()]) / n + l2 * p
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         p = p - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
     return Model({x: float(p[i]) for x, i in index.items() if abs(p[i]) > 1e-4}, p[-4:].reshape(2, 2))
@@ -364,7 +372,7 @@ def fit(pages: DataFrame, sample: int = SAMPLE, templates: int = TEMPLATES) -> M
     def run(batch: pa.RecordBatch) -> dict:
         out, labels = [], []
         for page in batch.column(1).to_pylist():
-            found = blocks(page)[:_LONG]
+            found = blocks(page)
             y = _markup_labels(found)
             out.append(features(found) if y else [])
             labels.append(y or [])

@@ -185,3 +185,23 @@ def test_lm_edges(spark):
     model, counts = class_lm.fit(docs_of(spark, []))
     alone = class_lm.scores(docs_of(spark, ["a b"]), model, counts).collect()[0]
     assert alone["base_score"] == 0 and alone["n_known"] == 0 and alone["train_tokens"] == 0
+
+
+def test_html_elements_do_not_swallow_what_follows():
+    def texts(page):
+        return [b.text for b in html_text.blocks(page)]
+
+    for tag in ("<svg-icon name='x'></svg-icon>", "<object-x>", "<template-card/>", "<svg width='1'/>", "<math/>", "<object data='x'>", "<canvas id=c>", "<script src='x'/>", "<style-box>", "<script async/>"):
+        assert "the whole article" in " ".join(texts(f"<article>{tag}<p>the whole article</p></article>")), tag
+    assert texts("<p>a</p><script>x < 1 </p></script ><style media=a>b</style><p>c</p>") == ["a", "c"]
+    assert texts("<p>let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> hold</p>") == ["let x=1 hold"]
+    found = html_text.blocks("<noscript><p>plain</p></noscript><object><p>instead</p></object><svg><path d='M0'/><text>icon</text></svg><p>after</p>")
+    assert [b.text for b in found] == ["plain", "instead", "icon", "after"]
+    assert [[t for t in b.tags if t != "p"] for b in found] == [["noscript"], ["object"], ["svg", "text"], []]
+    assert "in=svg" in html_text.features(found)[2]
+
+
+def test_html_trains_on_whole_pages():
+    names = [["a"]] * 400 + [["b"]] * 40
+    model = html_text.train([(names, [0] * 400 + [1] * 40), ([["a"]] * 3, [0, 0, 0])])
+    assert html_text.decode(model, names) == [False] * 400 + [True] * 40
