@@ -136,6 +136,73 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.default_vocabulary())
 
 
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four whitened coordinates of every embedding."""
+    from marketlens.llm import whitening
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and verification of every document."""
+    from marketlens.llm import merkle
+    return merkle.verified(table(spark, sf_dir, "documents"))
+
+
+def _merkle_sql(levels: int = 8, tops: int = 8) -> str:
+    """The tree by plain grouping, level by level; up to 16^8 rows a source, and as many sources."""
+    def field(c: str, text: str | None = None) -> str:
+        return f"coalesce(CAST(strlen(CAST({text or c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({text or c} AS VARCHAR), '-')"
+
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    leaf, altered = (" || ".join(field(c, t if c == "text" else None) for c in ("doc_id", "source", "lang", "n_chars", "text")) for t in (None, low))
+    crc = ("list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))), "
+           "lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END))")
+    out = [f"d AS (SELECT doc_id, source, sha256({leaf}) AS leaf, CASE WHEN xor({crc}, 4294967295) % 5 = 0 THEN sha256({altered}) END AS altered FROM documents)",
+           "a0 AS MATERIALIZED (SELECT *, source AS tree, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY source) AS n, leaf AS h "
+           "FROM d WINDOW w AS (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf))"]
+
+    def climb(t: str, top: int) -> None:
+        for k in range(top):
+            side = "coalesce(string_agg(h, '') OVER (PARTITION BY tree, i // 16 ORDER BY i ROWS BETWEEN {}), '')"
+            out.append(f"{t}s{k} AS MATERIALIZED (SELECT tree, i, {side.format('UNBOUNDED PRECEDING AND 1 PRECEDING')} AS l, "
+                       f"{side.format('1 FOLLOWING AND UNBOUNDED FOLLOWING')} AS r FROM {t}{k} WHERE n > 1)")
+            out.append(f"{t}{k + 1} AS MATERIALIZED (SELECT tree, i // 16 AS i, (max(n) + 15) // 16 AS n, CASE WHEN max(n) > 1 THEN sha256(string_agg(h, '' ORDER BY i)) "
+                       f"ELSE max(h) END AS h FROM {t}{k} GROUP BY tree, i // 16)")
+
+    climb("a", levels)
+    out.append(f"b0 AS MATERIALIZED (SELECT tree AS source, 0 AS tree, row_number() OVER (ORDER BY encode(tree) NULLS FIRST) - 1 AS i, count(*) OVER () AS n, h FROM a{levels})")
+    climb("b", tops)
+    out.append("p0 AS (SELECT a0.doc_id, a0.source, a0.leaf, coalesce(a0.altered, a0.leaf) AS f, '' AS proof, a0.i, b0.i AS j, b0.h AS subroot FROM a0 JOIN b0 ON a0.source IS NOT DISTINCT FROM b0.source)")
+    for k in range(levels + tops):
+        t, m, place = ("a", k, "i") if k < levels else ("b", k - levels, "j")
+        tree = "p.source IS NOT DISTINCT FROM s.tree" if t == "a" else "true"
+        out.append(f"p{k + 1} AS (SELECT p.* REPLACE (CASE WHEN s.l IS NULL THEN f ELSE sha256(s.l || f || s.r) END AS f, proof || coalesce(s.l || s.r, '') AS proof) "
+                   f"FROM p{k} p LEFT JOIN {t}s{m} s ON {tree} AND p.{place} // {16 ** m} = s.i)")
+    return (f"WITH {', '.join(out)} SELECT doc_id, leaf, subroot, b{tops}.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = b{tops}.h AS verified "
+            f"FROM p{levels + tops}, b{tops}")
+
+
+SQL["op12_merkle"] = _merkle_sql()
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of the lines that every document keeps."""
+    from marketlens.llm import lines
+    return lines.digest(table(spark, sf_dir, "documents"))
+
+
+SQL["op13_line_dedup"] = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(1, 1 + len(string_split(coalesce(text, ''), chr(10))))) AS pos FROM documents),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, min(doc_id) AS keeper FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+m AS (SELECT k.*, f.key IS NOT NULL AND k.doc_id <> f.keeper AS gone FROM k LEFT JOIN f USING (key))
+SELECT doc_id, count(*) AS n_lines, count_if(gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""
