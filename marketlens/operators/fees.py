@@ -29,8 +29,8 @@ def fee_union(*fee_frames: DataFrame) -> DataFrame:
     return out
 
 
-def order_fee_sums(fees: DataFrame) -> DataFrame:
-    """Everything A05-A08 need, per order, in one aggregation."""
+def order_fee_sums(fees: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Everything A05-A08 need, per order (or per ``by``), in one aggregation."""
     g = F.col("fee_group")
     amt = F.col("amount")
     counted = not_double_counted()  # NULL -> the row is not counted (WHERE semantics)
@@ -46,7 +46,18 @@ def order_fee_sums(fees: DataFrame) -> DataFrame:
                     .alias(f"_{col_name}"))
     aggs.append(F.sum(F.when(counted & ~g.isin(*BUCKET_GROUPS), amt).when(counted, F.lit(0)))
                 .alias("_other_fee"))
-    return fees.filter(F.col("order_id").isNotNull()).groupBy("order_id").agg(*aggs)
+    return fees.filter(F.col("order_id").isNotNull()).groupBy(*(by or ["order_id"])).agg(*aggs)
+
+
+def order_fee_parts(fees: DataFrame, part: Column) -> DataFrame:
+    """Partial result of ``order_fee_sums`` for each ``part`` of the fee rows."""
+    return order_fee_sums(fees.withColumn("fee_part", part), ["order_id", "fee_part"])
+
+
+def merged_fee_sums(parts: DataFrame) -> DataFrame:
+    """``order_fee_sums`` from its partial results."""
+    cols = [c for c in parts.columns if c.startswith("_") and c != "_part"]
+    return parts.groupBy("order_id").agg(*[F.sum(c).alias(c) if c.startswith("_n_") else F.sum(c).cast(SUM_T).alias(c) for c in cols])
 
 
 def _z(c: str) -> Column:
@@ -98,9 +109,9 @@ def fee_breakdown(orders: DataFrame, fees: DataFrame, sums: DataFrame | None = N
     return update_from(orders, sums.filter(F.col("_n_fees") > 0), "order_id", sets)
 
 
-def recalc_order_finance(orders: DataFrame, fees: DataFrame, breakdown: bool = True) -> DataFrame:
-    """A05 -> A06 -> A07 (-> A08) over one shared aggregation and one join."""
-    sums = order_fee_sums(fees).withColumn("_matched_any", F.lit(True))
+def recalc_order_finance(orders: DataFrame, fees: DataFrame | None, breakdown: bool = True, sums: DataFrame | None = None) -> DataFrame:
+    """A05 -> A06 -> A07 (-> A08) over one shared aggregation (of ``fees``, or ``sums`` as given) and one join."""
+    sums = (order_fee_sums(fees) if sums is None else sums).withColumn("_matched_any", F.lit(True))
     cols = ["sales_report", "fees_total", "payout", "profit", "other_fee"] + [c for c, _ in vocab.FEE_BUCKETS]
     orders = _ensure(orders, cols)
     j = orders.join(sums, "order_id", "left")

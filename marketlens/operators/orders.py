@@ -57,6 +57,32 @@ def customer_aggregates(orders: DataFrame) -> DataFrame:
     )
 
 
+def customer_months(orders: DataFrame, part: Column, customers: DataFrame | None = None) -> DataFrame:
+    """Partial result of A03 and A04 for each ``part`` of the orders; with ``customers`` of these only."""
+    own = orders.filter(F.col("customer_id").isNotNull()).withColumn("month", part)
+    if customers is not None:
+        own = own.join(customers.select("customer_id").distinct(), "customer_id", "left_semi")
+    return own.groupBy("customer_id", "month").agg(
+        F.min("order_date").alias("first_at"), F.max("order_date").alias("last_at"), F.count(F.lit(1)).alias("orders_count"),
+        F.sum("revenue").cast("decimal(28,4)").alias("total_revenue"))
+
+
+def merged_customers(parts: DataFrame) -> DataFrame:
+    """A03 from its partial results, and each customer's first order time (A04) as ``first_at``. A part that an order
+    left is a row fewer or a row anew, so an extreme that goes needs no rescan."""
+    return parts.groupBy("customer_id").agg(
+        F.min("first_at").alias("first_at"), F.max("last_at").cast("date").alias("last_order_date"),
+        F.sum("orders_count").alias("orders_count"), F.sum("total_revenue").cast("decimal(28,4)").alias("total_revenue"),
+    ).withColumn("first_order_date", F.col("first_at").cast("date"))
+
+
+def flag_first_orders(orders: DataFrame, firsts: DataFrame) -> DataFrame:
+    """A04 with the first order times ``(customer_id, first_at)`` given; orders of other customers, and of those without a
+    dated order, keep their flag."""
+    firsts = firsts.filter("customer_id is not null and first_at is not null").select("customer_id", F.col("first_at").alias("_first_date"))
+    return update_from(orders, firsts, "customer_id", {"is_first_order": F.col("order_date") == F.col("_first_date")})
+
+
 def first_order_flag(orders: DataFrame, customers: DataFrame | None = None) -> DataFrame:
     """``is_first_order = (order_date = min(order_date) of the customer)``.
 

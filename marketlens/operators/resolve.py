@@ -58,6 +58,32 @@ def order_lookup(orders: DataFrame, include_exact: bool = True, order_id: str =
         (F.max("_exact") == 1).alias("is_exact"))
 
 
+def key_parts(orders: DataFrame, part: Column, keys: DataFrame | None = None) -> DataFrame:
+    """Partial result of ``order_lookup`` for each ``part`` of the orders: ``key, exact, month, order_id,
+    order_date``, the newest order of the part with that prefix (or that id). With ``keys`` (a column ``key``) of these keys only."""
+    o = orders.select(F.col("order_id").alias("_oid"), F.col("order_date").alias("_od"), part.alias("month")).filter("_oid is not null")
+    keyed = o.select(F.explode(hyphen_prefixes("_oid")).alias("key"), F.lit(False).alias("exact"), "month", "_oid", "_od").unionByName(
+        o.select(F.col("_oid").alias("key"), F.lit(True).alias("exact"), "month", "_oid", "_od"))
+    if keys is not None:
+        keyed = keyed.join(keys.select("key").distinct(), "key", "left_semi")
+    newest = F.max_by(F.struct("_oid", "_od"), _newest_rank(F.col("_od"), F.col("_oid"))).alias("_o")
+    return keyed.groupBy("key", "exact", "month").agg(newest).select(
+        "key", "exact", "month", F.col("_o")["_oid"].alias("order_id"), F.col("_o")["_od"].alias("order_date"))
+
+
+def merged_lookup(parts: DataFrame, include_exact: bool = True) -> DataFrame:
+    """``order_lookup`` from its partial results: key -> (resolved order_id, is_exact)."""
+    if not include_exact:
+        parts = parts.filter(~F.col("exact"))
+    rank = F.struct("exact", _newest_rank(F.col("order_date"), F.col("order_id")))
+    return parts.groupBy("key").agg(F.max_by("order_id", rank).alias("resolved_id"), F.max("exact").alias("is_exact"))
+
+
+def candidate_keys(df: DataFrame, cand_col: str) -> DataFrame:
+    """The distinct candidates of ``resolve_order_id``, as ``key``."""
+    return df.select(strip(F.col(cand_col)).alias("key")).filter("key is not null and key <> ''").distinct()
+
+
 def latest_per_key(df: DataFrame, key: str | list[str], value: str, order_col: str,
                    out: str = "latest") -> DataFrame:
     """Per key, the value of the row with the newest ``order_col``

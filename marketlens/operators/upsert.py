@@ -3,8 +3,8 @@ UPDATE ... FROM (J06).
 
 Parquet tables have no MERGE, so an upsert is a join on the key followed by
 a per-column choice between the old and the new value. Each function returns
-the new table version as a DataFrame; writing it to a fresh path and swapping
-(``sources.tables.write_version``) keeps a reader of the old version safe.
+the new rows as a DataFrame; ``sources.store`` stages them before it overwrites
+partitions.
 
 Every operator here is one shuffle on the key (join or aggregate). Hot keys
 are handled by map-side partial aggregation (``max_by``) and AQE skew-join
@@ -55,7 +55,7 @@ def latest_documents(df: DataFrame, key: str, ordinal: str = "_ordinal") -> Data
     """The last version of each document of a load, with its ordinal. Documents
     without a key are left out (F03)."""
     keyed = df.filter(F.col(key).isNotNull() & (F.col(key) != F.lit(""))).withColumn("_last", F.col(ordinal))
-    return last_write_wins(keyed, key, "_last")
+    return last_write_wins(keyed, key, "_last", null_keys_pass=False)   # none is NULL
 
 
 def replace_by_key(old: DataFrame, new: DataFrame, keys, ordinal: str | None = None) -> DataFrame:

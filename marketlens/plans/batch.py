@@ -1,14 +1,15 @@
 """Batch plans (K01-K04): landed documents -> maintained tables.
 
-Each plan is one transaction on a ``Warehouse`` (``sources.warehouse``): it
-reads the current state, rewrites only the partitions whose rows change, and
-publishes all its tables at once. Orders and items are partitioned by the
-month of the order, fee rows by source and month, attribution by month, daily
-statistics by day, customers by a hash. Derived columns are recomputed only
-for the orders and customers a batch meets. Written folders cut the lineage
-(no ``localCheckpoint``): a lost executor repeats the current step from durable
-inputs, and a re-run over the same documents gives the same tables.
-"""
+Each plan is one batch on a ``Store`` (``sources.store``): it reads the partitions that its documents meet, stages their new
+content, and overwrites just those. Orders and items are partitioned by the month of the order, fee rows by source and
+month, attribution by month, daily statistics by day, period costs by month, tables with one row a key by a hash of the key.
+
+What a batch needs to know of orders outside its months comes from three small tables of partial aggregates, kept by key and part:
+``order_keys`` (the newest order of a month for every id prefix, J04/J05), ``customer_months`` (a customer's orders of a month,
+A03/A04) and ``order_fee_parts`` (an order's sums over one partition of fee rows, A05-A08). A batch computes the partial rows of its keys and
+parts anew and replaces them, so a correction is a row replaced, never a difference added, and a run repeated gives the same.
+Only the hash partitions of the keys met, or the months of the orders met, are read; no plan scans all orders or all fee rows.
+Staged folders cut the lineage (no ``localCheckpoint``): a lost executor repeats the current step from durable inputs."""
 
 from __future__ import annotations
 
@@ -17,7 +18,7 @@ import time
 import traceback
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from marketlens import vocab
@@ -26,11 +27,10 @@ from marketlens.operators import attribution as ao
 from marketlens.operators import fees as fo
 from marketlens.operators import flatten, resolve, upsert
 from marketlens.operators import orders as oo
-from marketlens.sources.warehouse import PART, Transaction, Warehouse
+from marketlens.sources.store import PART, Batch, Store, labels_of
 
 ORDER_LOADED = ["customer_id", "order_date", "status", "revenue", "fees_total", "payout"]
-WHOLE = "all"              # label of tables that are not partitioned
-CUSTOMER_PARTS = 8
+UNKNOWN = "unknown"        # partition of the fee sums of ids that no order has (yet)
 
 
 def month(c: str) -> Column:
@@ -41,87 +41,139 @@ def fee_part(source: str, at: Column) -> Column:
     return F.concat(F.lit(source + "~"), at)
 
 
-def customer_part() -> Column:
-    return F.concat(F.lit("h"), F.pmod(F.xxhash64("customer_id"), F.lit(CUSTOMER_PARTS)).cast("string"))
+def _ordered(df: DataFrame) -> DataFrame:
+    """Rows without an arrival ordinal get one from their content: the same on every run, however the input is split."""
+    return df if "_ordinal" in df.columns else df.withColumn("_ordinal", F.xxhash64(*df.columns))
 
 
-def _ordered(df: DataFrame) -> DataFrame:
-    """Give rows an arrival ordinal if the reader did not."""
-    return df if "_ordinal" in df.columns else df.withColumn("_ordinal", F.monotonically_increasing_id())
+def _between(parts: list[str], date_from, date_to, prefix: str = "") -> list[str]:
+    """Labels of the months from ``date_from`` to ``date_to``."""
+    return [p for p in parts if p.startswith(prefix) and str(date_from)[:7] <= p[len(prefix):] <= str(date_to)[:7]]
+
+
+def known_keys(b: Batch, keys: DataFrame, exact_only: bool = False) -> DataFrame:
+    """Rows of ``order_keys`` for these keys (column ``key``): only their hash partitions are read."""
+    keys = keys.select("key", b.store.bucket("key").alias(PART))
+    found = b.read("order_keys", labels_of(keys)).join(keys.select("key").distinct(), "key", "left_semi")
+    return found.filter("exact") if exact_only else found
+
 
+def order_months(b: Batch, ids: DataFrame) -> DataFrame:
+    """``(order_id, month)`` of the orders among ``ids``."""
+    found = known_keys(b, ids.select(F.col("order_id").alias("key")).filter("key is not null"), exact_only=True)
+    return found.select("order_id", "month").distinct()
 
-def _changed(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Rows of ``new`` that are not in ``old`` as they are."""
-    cols = sorted(old.columns)
-    before = old.select(F.col(key).alias("_k"), F.xxhash64(*cols).alias("_h0"))
-    joined = new.withColumn("_h1", F.xxhash64(*cols)).join(before, F.col(key) == F.col("_k"), "left")
-    return joined.filter(F.col("_h0").isNull() | (F.col("_h0") != F.col("_h1"))).select(*old.columns)
 
+def _update_keys(b: Batch, ids: DataFrame, orders: DataFrame, months: list[str]) -> None:
+    """``order_keys`` of the ids met and their prefixes, in the months rewritten; ``orders`` is their new content."""
+    met = ids.select(F.explode(F.concat(resolve.hyphen_prefixes("order_id"), F.array("order_id"))).alias("key")).distinct()
+    met = b.stage("keys_met", met.withColumn(PART, b.store.bucket("key")))
+    touched = labels_of(met)
+    new = resolve.key_parts(orders, month("order_date"), met).withColumn(PART, b.store.bucket("key"))
+    old = b.read("order_keys", touched, with_part=True)
+    gone = met.select("key").withColumn("_met", F.lit(True))
+    kept = old.join(gone, "key", "left").filter(F.col("_met").isNull() | ~F.col("month").isin(months)).select(*old.columns)
+    b.write("order_keys", kept.unionByName(new), touched)
 
-def _write_orders(tx: Transaction, old: DataFrame, new: DataFrame) -> None:
-    """Replace changed orders; one that moves to another month leaves its old one."""
-    changed = tx.stage("orders_changed", _changed(old, new, "order_id"))
-    before = old.join(changed.select("order_id"), "order_id", "left_semi").select("order_id", month("order_date").alias(PART))
-    rows = changed.withColumn(PART, month("order_date"))
-    tx.replace("orders", rows, before.unionByName(rows.select("order_id", PART)), ["order_id"])
 
+def _update_fee_parts(b: Batch, ids: DataFrame, placed: DataFrame, fee_rows: DataFrame, dropped: Column, also: list[str]) -> tuple[DataFrame, list[str]]:
+    """``order_fee_parts`` of the orders ``ids``: rows that ``dropped`` names go, those of ``fee_rows`` come, and every row
+    is in the month of its order (``placed``: ``order_id, month``). Returns the sums of these orders, and their months."""
+    placed = b.stage("placed", ids.join(placed, "order_id", "left").select("order_id", F.coalesce("month", F.lit(UNKNOWN)).alias(PART)))
+    months = labels_of(placed)
+    touched = sorted({*months, *also, UNKNOWN})
+    old = b.read("order_fee_parts", touched, with_part=True)
+    others = old.join(ids, "order_id", "left_anti")
+    mine = old.join(ids, "order_id", "left_semi").filter(~dropped).drop(PART)
+    new = fo.order_fee_parts(fee_rows.join(ids, "order_id", "left_semi"), F.col(PART))
+    cols = mine.columns
+    mine = b.stage("fee_parts", mine.unionByName(new.select(*[F.col(c).cast(mine.schema[c].dataType).alias(c) for c in cols])).join(placed, "order_id"))
+    b.write("order_fee_parts", others.unionByName(mine.select(*others.columns)), touched)
+    return fo.merged_fee_sums(mine.drop(PART)), [m for m in months if m != UNKNOWN]
 
-def batch_orders(wh: Warehouse, postings: DataFrame, date_from, date_to, now,
+
+def batch_orders(wh: Store, postings: DataFrame, date_from, date_to, now,
                  catalog: DataFrame) -> dict[str, DataFrame]:
     """Flatten postings -> upsert orders / customers / products / items /
     posting fees -> mark missing -> customer aggregates -> first-order flags
     -> order finance and fee breakdown. Of a posting that comes more than once
     the last version counts, with its items and fees."""
-    tx = wh.begin()
-    landed = tx.stage("landed", _ordered(postings))
-    postings = tx.stage("postings", upsert.latest_documents(landed, "posting_number"))
-    header = flatten.flatten_order_header(postings)
+    b = wh.begin()
+    seen = Observation()
+    no_id = F.col("posting_number").isNull() | (F.col("posting_number") == "")
+    landed = _ordered(postings).observe(seen, F.count(F.lit(1)).alias("postings"), F.count_if(no_id).alias("skipped"))
+    postings = b.stage("postings", upsert.latest_documents(landed, "posting_number"))
+    header = b.stage("header", flatten.flatten_order_header(postings).drop("_ordinal"))
+    b.counts = {**seen.get, "orders": header.count()}
     ids = header.select("order_id")
-    tx.counts = {"postings": landed.count(), "orders": postings.count(),
-                 "skipped": landed.filter("posting_number is null or posting_number = ''").count()}
-
-    # Orders in scope: in the batch, in the window, or of a customer the batch meets. The
-    # narrow columns of all orders are scanned; whole rows are read from their months only.
-    narrow = tx.read("orders").select("order_id", "customer_id", "order_date")
-    again = narrow.join(ids, "order_id", "left_semi")
-    met = tx.stage("met", header.select("customer_id").unionByName(again.select("customer_id")).filter("customer_id is not null").distinct())
-    in_window = (F.col("order_date") >= F.lit(str(date_from)).cast("timestamp_ntz")) & (F.col("order_date") < F.lit(str(date_to)).cast("timestamp_ntz"))
-    scope = (again.select("order_id", "order_date").unionByName(narrow.filter(in_window).select("order_id", "order_date"))
-             .unionByName(narrow.join(met, "customer_id", "left_semi").select("order_id", "order_date")).distinct())
-    scope = tx.stage("scope", scope.withColumn(PART, month("order_date")))
-    months = [r[0] for r in scope.select(PART).distinct().collect()]   # partition labels
-    old = tx.stage("orders_scope", tx.read("orders", months).join(scope, "order_id", "left_semi"))
-
-    # Delete-then-insert per incoming order, in the months it is or was in.
-    when = header.select("order_id", month("order_date").alias(PART))
-    was = again.select("order_id", month("order_date").alias(PART)).unionByName(when)
+
+    # Months that change: those where the batch's orders are or were, and the window.
+    now_in = header.select("order_id", month("order_date").alias(PART))
+    was_in = order_months(b, ids).withColumnRenamed("month", PART)
+    own = labels_of(now_in.unionByName(was_in))
+    months = sorted({*own, *_between(b.store.parts("orders"), date_from, date_to)})
+    old = b.read("orders", months)
+    # Independent parts run beside each other: their small steps do not fill a cluster.
+    b.branch(lambda: _items(b, postings, ids, now_in, own, catalog))
+    fees = b.branch(lambda: _posting_fees(b, postings, ids, now_in, own))
+
+    # Six loaded columns are replaced, derived columns of known orders kept. A customer is met if an order of the batch is
+    # or was theirs; A03 and the first order times follow from the months rewritten and the customer's other months.
+    loaded = b.stage("orders_loaded", upsert.upsert(old, header, "order_id", update_cols=ORDER_LOADED))
+    b.branch(lambda: _update_keys(b, ids, loaded.filter(month("order_date").isin(own)), own))
+    met = header.select("customer_id").unionByName(old.join(ids, "order_id", "left_semi").select("customer_id"))
+    met = b.stage("met", met.filter("customer_id is not null").distinct().withColumn(PART, b.store.bucket("customer_id")))
+    buckets = labels_of(met)
+    was = b.read("customer_months", buckets, with_part=True)
+    keep = was.join(met.select("customer_id", F.lit(True).alias("_met")), "customer_id", "left")
+    keep = keep.filter(F.col("_met").isNull() | ~F.col("month").isin(months)).select(*was.columns)
+    parts = oo.customer_months(loaded, month("order_date"), met).withColumn(PART, b.store.bucket("customer_id"))
+    parts = keep.unionByName(parts.select(*was.columns))
+    b.write("customer_months", parts, buckets)
+    totals = b.stage("totals", oo.merged_customers(parts.join(met.select("customer_id"), "customer_id", "left_semi")))
+    have = b.read("customers", buckets, with_part=True)
+    mine = upsert.insert_absent(have.drop(PART).join(met.select("customer_id"), "customer_id", "left_semi"), met, "customer_id")
+    mine = upsert.upsert(mine, totals.drop("first_at"), "customer_id").withColumn(PART, b.store.bucket("customer_id"))
+    b.write("customers", have.join(met.select("customer_id"), "customer_id", "left_anti").unionByName(mine.select(*have.columns)), buckets)
+
+    # A customer's first order may be one of another month: the months of the old and of the new first order change too.
+    before = oo.merged_customers(was.drop(PART).join(met.select("customer_id"), "customer_id", "left_semi")).select("customer_id", F.col("first_at").alias("_was"))
+    moved = before.join(totals, "customer_id").filter(~F.col("_was").eqNullSafe(F.col("first_at")))
+    moved = moved.select(F.explode(F.array(month("_was"), month("first_at"))).alias(PART))
+    more = [m for m in labels_of(moved) if m not in months and m != "none"]
+    orders = loaded if not more else loaded.unionByName(b.read("orders", more))
+    orders = oo.flag_first_orders(oo.mark_missing(orders, ids, date_from, date_to, now), totals)
+    b.write("orders", _finance(orders, ids, fees.result()).withColumn(PART, month("order_date")), months + more)
+    b.publish()
+    return {"orders": wh.read("orders"), "customers": wh.read("customers"), "order_fee_items": wh.read("order_fee_items"), "_counts": b.counts}
+
+
+def _items(b: Batch, postings: DataFrame, ids: DataFrame, now_in: DataFrame, months: list[str], catalog: DataFrame) -> None:
+    """Items are deleted, then inserted, for each incoming order, in the months it is or was in. U03: products from the items,
+    enriched from the catalog (J02); the last to arrive wins."""
     items = flatten.flatten_order_items(postings)
-    tx.replace("order_items", items.join(when, "order_id").select("order_id", "sku", "quantity", "price", "revenue", PART), was, ["order_id"])
-    posting_fees = flatten.flatten_posting_fees(postings).join(when, "order_id")
-    tx.replace("order_fee_items", posting_fees.withColumn(PART, fee_part(vocab.SOURCE_POSTING, F.col(PART))),
-               was.withColumn(PART, fee_part(vocab.SOURCE_POSTING, F.col(PART))), ["order_id"])
-    # Products from the items, enriched from the catalog (J02), the last to arrive wins.
-    prod_rows = flatten.products_from_items(items, catalog).select("sku", "name", "flavor", "grams", "_ordinal")
-    products = upsert.replace_by_key(tx.read("products"), prod_rows, "sku", ordinal="_ordinal")
-    tx.write("products", products.withColumn(PART, F.lit(WHOLE)), [WHOLE])
-
-    # Six loaded columns are replaced, derived columns of known orders kept. J07, then
-    # first-order flags of the customers met and finance of the orders loaded.
-    orders = upsert.upsert(old, header.drop("_ordinal"), "order_id", update_cols=ORDER_LOADED)
-    orders = oo.mark_missing(orders, ids, date_from, date_to, now)
-    orders = tx.stage("orders_new", oo.first_order_flag(orders, met))
-    loaded = orders.join(ids, "order_id", "left_semi")
-    fees = tx.read("order_fee_items").join(ids, "order_id", "left_semi")
-    final = fo.recalc_order_finance(loaded, fees, breakdown=True).unionByName(orders.join(ids, "order_id", "left_anti"))
-    _write_orders(tx, old, final)
-    # Every customer met exists, with aggregates over all its orders.
-    have = tx.read("customers").join(met, "customer_id", "left_semi")
-    customers = upsert.upsert(upsert.insert_absent(have, met, "customer_id"),
-                              oo.customer_aggregates(orders.join(met, "customer_id", "left_semi")), "customer_id")
-    customers = customers.withColumn(PART, customer_part())
-    tx.replace("customers", customers, met.withColumn(PART, customer_part()), ["customer_id"])
-    tx.publish()
-    return {"orders": wh.read("orders"), "customers": wh.read("customers"), "order_fee_items": wh.read("order_fee_items"), "_counts": tx.counts}
+    kept = b.read("order_items", months, with_part=True).join(ids, "order_id", "left_anti")
+    new = items.join(now_in, "order_id").select("order_id", "sku", "quantity", "price", "revenue", PART)
+    b.write("order_items", kept.unionByName(new), months)
+    products = upsert.last_write_wins(flatten.products_from_items(items, catalog).select("sku", "name", "flavor", "grams", "_ordinal"), "sku", "_ordinal")
+    b.merge("products", b.stage("products", products.withColumn(PART, b.store.bucket("sku"))), ["sku"])
+
+
+def _posting_fees(b: Batch, postings: DataFrame, ids: DataFrame, now_in: DataFrame, months: list[str]) -> DataFrame:
+    """U05 likewise for the fees of the postings. Returns the sums over all fees of the incoming orders."""
+    source = vocab.SOURCE_POSTING
+    labels = [f"{source}~{m}" for m in months]
+    kept = b.read("order_fee_items", labels, with_part=True).join(ids, "order_id", "left_anti")
+    new = b.stage("posting_fees", b.store.shaped("order_fee_items", flatten.flatten_posting_fees(postings).join(now_in, "order_id")
+                                                 .withColumn(PART, fee_part(source, F.col(PART)))))
+    b.write("order_fee_items", kept.unionByName(new.select(*kept.columns)), labels)
+    return _update_fee_parts(b, ids, now_in.withColumnRenamed(PART, "month"), new, F.col("fee_part").startswith(source + "~"), months)[0]
+
+
+def _finance(orders: DataFrame, ids: DataFrame, sums: DataFrame) -> DataFrame:
+    """A05-A08 for the orders ``ids``; the others stay as they are."""
+    theirs = orders.join(ids, "order_id", "left_semi")
+    return fo.recalc_order_finance(theirs, None, sums=sums).unionByName(orders.join(ids, "order_id", "left_anti"))
 
 
 def raw_fee_key(df: DataFrame) -> DataFrame:
@@ -134,111 +186,114 @@ def raw_fee_key(df: DataFrame) -> DataFrame:
                                              F.col("occurred_at").cast("string"), F.col("sku")))
 
 
-def _recalc(tx: Transaction, ids: DataFrame) -> None:
-    """A05-A08 for the orders ``ids``, from all their fee rows (Z5: the breakdown too)."""
-    narrow = tx.read("orders").select("order_id", "order_date").join(ids, "order_id", "left_semi")
-    months = [r[0] for r in narrow.select(month("order_date")).distinct().collect()]   # partition labels
-    old = tx.stage("orders_scope", tx.read("orders", months).join(ids, "order_id", "left_semi"))
-    fees = tx.read("order_fee_items").join(ids, "order_id", "left_semi")
-    _write_orders(tx, old, fo.recalc_order_finance(old, fees, breakdown=True))
+def _recalc(b: Batch, ids: DataFrame, fees: DataFrame, labels: list[str]) -> None:
+    """A05-A08 for the orders ``ids`` (Z5: the breakdown too) after the fee partitions ``labels`` took the rows ``fees``: their sums over
+    other partitions are on record, so no other fee rows are read."""
+    sums, months = _update_fee_parts(b, ids, order_months(b, ids), fees, F.col("fee_part").isin(labels), [])
+    old = b.read("orders", months)
+    b.write("orders", _finance(old, ids, sums).withColumn(PART, month("order_date")), months)
 
 
-def batch_finance(wh: Warehouse, operations: DataFrame, date_from, date_to) -> dict[str, DataFrame]:
+def batch_finance(wh: Store, operations: DataFrame, date_from, date_to) -> dict[str, DataFrame]:
     """P20 -> J05 -> P11 -> U06 -> A05-A08 -> A09/U08 (period costs)."""
-    tx = wh.begin()
-    svc = flatten.finance_service_rows(_ordered(operations))
-    res = resolve.resolve_order_id(svc, tx.read("orders").select("order_id", "order_date"), "cand")
-    rows = flatten.finance_fee_rows(res)
+    b = wh.begin()
+    svc = b.stage("services", flatten.finance_service_rows(_ordered(operations)))
+    lookup = resolve.merged_lookup(known_keys(b, resolve.candidate_keys(svc, "cand")))
+    rows = flatten.finance_fee_rows(resolve.resolve_order_id(svc, None, "cand", lookup=lookup))
     rows = rows.withColumn("_ord", F.struct("_ordinal", "pos")).drop("_ordinal", "pos")
-    rows = tx.stage("finance_rows", rows.withColumn(PART, fee_part(vocab.SOURCE_FINANCE_API, month("occurred_at"))))
-    tx.counts = {"rows": rows.count(), "matched": rows.filter("order_id is not null").count(),
-                 "unmatched": rows.filter("order_id is null and ext_order_id is not null").count()}
-    labels = [r[0] for r in rows.select(PART).distinct().collect()]   # partition labels
-    old = tx.read("order_fee_items", labels, with_part=True)
+    source = vocab.SOURCE_FINANCE_API
+    rows = b.stage("finance_rows", rows.withColumn(PART, fee_part(source, month("occurred_at"))))
+    b.counts = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("order_id").isNotNull()).alias("matched"),
+                        F.count_if(F.col("order_id").isNull() & F.col("ext_order_id").isNotNull()).alias("unmatched")).first().asDict()
+    labels = labels_of(rows)
+    old = b.read("order_fee_items", labels, with_part=True)
     # Old rows whose pre-resolution key is delivered again go; so do those with the same uid.
     new_keys = raw_fee_key(rows).select("_raw_key").distinct()
     keyed = raw_fee_key(old)
     kept = keyed.join(new_keys, "_raw_key", "left_anti").drop("_raw_key")
-    left = tx.stage("finance_left", keyed.join(new_keys, "_raw_key", "left_semi").select("order_id"))
+    left = keyed.join(new_keys, "_raw_key", "left_semi").select("order_id")
     merged = upsert.replace_by_key(kept.select(*old.columns), rows.select(*old.columns, "_ord"), "uid", ordinal="_ord")
-    tx.write("order_fee_items", merged, labels)
-    ids = rows.select("order_id").unionByName(left).filter("order_id is not null").distinct()
-    _recalc(tx, tx.stage("finance_ids", ids))
-    months = [p for p in tx.parts("order_fee_items") if p.startswith(vocab.SOURCE_FINANCE_API + "~")
-              and str(date_from)[:7] <= p.split("~")[1] <= str(date_to)[:7]]
-    costs = fo.replace_range_period_costs(tx.read("period_costs"), fo.period_costs(tx.read("order_fee_items", months), date_from, date_to),
-                                          date_from, date_to)
-    tx.write("period_costs", costs.withColumn(PART, F.lit(WHOLE)), [WHOLE])
-    tx.publish()
-    return {"orders": wh.read("orders"), "order_fee_items": wh.read("order_fee_items"), "period_costs": wh.read("period_costs"), "_counts": tx.counts}
-
-
-def batch_accruals(wh: Warehouse, report: DataFrame) -> dict[str, DataFrame]:
+    b.write("order_fee_items", merged, labels)
+    fees = b.written("order_fee_items")
+    ids = b.stage("finance_ids", rows.select("order_id").unionByName(left).filter("order_id is not null").distinct())
+    _recalc(b, ids, fees, labels)
+    # Unlinked rows of the months of the range, those of this batch as they are now
+    within = _between(sorted({*b.store.parts("order_fee_items"), *labels}), date_from, date_to, source + "~")
+    theirs = b.read("order_fee_items", [p for p in within if p not in labels]).unionByName(fees.filter(F.col(PART).isin(within)).drop(PART))
+    new = fo.period_costs(theirs, date_from, date_to)
+    touched = sorted({"none", *_between(b.store.parts("period_costs"), date_from, date_to), *[p.split("~")[1] for p in within]})
+    costs = fo.replace_range_period_costs(b.read("period_costs", touched), new, date_from, date_to)
+    b.write("period_costs", costs.withColumn(PART, month("cost_date")), touched)
+    b.publish()
+    return {"orders": wh.read("orders"), "order_fee_items": wh.read("order_fee_items"), "period_costs": wh.read("period_costs"), "_counts": b.counts}
+
+
+def batch_accruals(wh: Store, report: DataFrame) -> dict[str, DataFrame]:
     """Accrual reports: P24 -> U11 (all rows of the source are replaced) -> A05-A08 of the
     orders that have or had such rows."""
-    tx = wh.begin()
+    b = wh.begin()
     source = vocab.SOURCE_FINANCE_REPORT
     rows = flatten.flatten_accruals(report).withColumn(PART, fee_part(source, month("occurred_at")))
-    rows = tx.stage("accruals", rows)
-    mine = [p for p in tx.parts("order_fee_items") if p.startswith(source + "~")]
-    labels = sorted({*mine, *[r[0] for r in rows.select(PART).distinct().collect()]})   # partition labels
-    old = tx.read("order_fee_items", mine, with_part=True)
-    ids = tx.stage("accrual_ids", old.select("order_id").unionByName(rows.select("order_id")).filter("order_id is not null").distinct())
-    tx.write("order_fee_items", upsert.replace_source(old, rows, source), labels)
-    _recalc(tx, ids)
-    tx.counts = {"rows": rows.count(), "unmatched": rows.filter("order_id is null").count()}
-    tx.publish()
-    return {"orders": wh.read("orders"), "order_fee_items": wh.read("order_fee_items"), "_counts": tx.counts}
-
-
-def batch_attribution(wh: Warehouse, rows: DataFrame, date_from, date_to) -> dict[str, DataFrame]:
+    rows = b.stage("accruals", b.store.shaped("order_fee_items", rows))
+    mine = [p for p in b.store.parts("order_fee_items") if p.startswith(source + "~")]
+    labels = sorted({*mine, *labels_of(rows)})
+    old = b.read("order_fee_items", mine, with_part=True)
+    ids = b.stage("accrual_ids", old.select("order_id").unionByName(rows.select("order_id")).filter("order_id is not null").distinct())
+    b.write("order_fee_items", upsert.replace_source(old, rows, source), labels)
+    _recalc(b, ids, rows, labels)
+    b.counts = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("order_id").isNull()).alias("unmatched")).first().asDict()
+    b.publish()
+    return {"orders": wh.read("orders"), "order_fee_items": wh.read("order_fee_items"), "_counts": b.counts}
+
+
+def batch_attribution(wh: Store, rows: DataFrame, date_from, date_to) -> dict[str, DataFrame]:
     """P23 -> J04 -> U10 (content key; a row landed again takes its new order) -> A10 + A11.
     An order that loses its last row to another one loses its campaign and spend."""
-    tx = wh.begin()
-    fields = flatten.attribution_fields(rows)
-    res = resolve.resolve_order_id(fields, tx.read("orders").select("order_id", "order_date"), "cand", exact=False)
-    new = flatten.attribution_rows(res)
-    new = tx.stage("attribution", new.drop("_ordinal").dropDuplicates(["row_key"]).withColumn(PART, month("stat_date")))
-    tx.counts = ao.attribution_match_rate(new).first().asDict()
-    labels = [r[0] for r in new.select(PART).distinct().collect()]   # partition labels
-    old = tx.read("order_attribution", labels, with_part=True)
+    b = wh.begin()
+    fields = b.stage("fields", flatten.attribution_fields(rows))
+    lookup = resolve.merged_lookup(known_keys(b, resolve.candidate_keys(fields, "cand")), include_exact=False)
+    new = flatten.attribution_rows(resolve.resolve_order_id(fields, None, "cand", exact=False, lookup=lookup))
+    new = b.stage("attribution", new.drop("_ordinal").dropDuplicates(["row_key"]).withColumn(PART, month("stat_date")))
+    b.counts = ao.attribution_match_rate(new).first().asDict()
+    labels = labels_of(new)
+    old = b.read("order_attribution", labels, with_part=True)
     moved = (old.select("row_key", F.col("order_id").alias("_was")).join(new.select("row_key", "order_id"), "row_key")
              .filter("_was is not null and not (_was <=> order_id)").select(F.col("_was").alias("order_id")).distinct())
-    moved = tx.stage("attribution_moved", moved)
-    tx.write("order_attribution", upsert.upsert(old, new, "row_key", update_cols=["order_id", "ext_order_id"]), labels)
-    within = [p for p in tx.parts("order_attribution") if str(date_from)[:7] <= p <= str(date_to)[:7]]
-    table = tx.read("order_attribution", within)
-    some = ao.order_campaign_agg(table, date_from, date_to)
-    ids = tx.stage("attribution_ids", some.select("order_id").unionByName(moved).distinct())
-    narrow = tx.read("orders").select("order_id", "order_date").join(ids, "order_id", "left_semi")
-    months = [r[0] for r in narrow.select(month("order_date")).distinct().collect()]   # partition labels
-    before = tx.stage("orders_scope", tx.read("orders", months).join(ids, "order_id", "left_semi"))
+    moved = b.stage("attribution_moved", moved)
+    b.write("order_attribution", upsert.upsert(old, new, "row_key", update_cols=["order_id", "ext_order_id"]), labels)
+    now = b.written("order_attribution")
+    within = _between(sorted({*b.store.parts("order_attribution"), *labels}), date_from, date_to)
+    table = b.read("order_attribution", [p for p in within if p not in labels]).unionByName(now.filter(F.col(PART).isin(within)).drop(PART))
+    ids = b.stage("attribution_ids", ao.order_campaign_agg(table, date_from, date_to).select("order_id").unionByName(moved).distinct())
+    months = labels_of(order_months(b, ids), "month")
+    before = b.read("orders", months)
     cleared = before.join(moved.withColumn("_moved", F.lit(True)), "order_id", "left")
     cleared = cleared.select(*[F.when(F.col("_moved").isNull(), F.col(c)).alias(c) if c in ("campaign_id", "campaign_title", "ads_attributed")
                                else F.col(c) for c in before.columns])
-    _write_orders(tx, before, ao.apply_attribution(cleared, table, date_from, date_to))
-    tx.publish()
-    return {"orders": wh.read("orders"), "order_attribution": wh.read("order_attribution"), "_counts": tx.counts}
+    b.write("orders", ao.apply_attribution(cleared, table, date_from, date_to).withColumn(PART, month("order_date")), months)
+    b.publish()
+    return {"orders": wh.read("orders"), "order_attribution": wh.read("order_attribution"), "_counts": b.counts}
 
 
-def batch_campaigns(wh: Warehouse, campaigns: DataFrame) -> dict[str, DataFrame]:
+def batch_campaigns(wh: Store, campaigns: DataFrame) -> dict[str, DataFrame]:
     """Campaign list -> U07 (created_at insert-only)."""
-    tx = wh.begin()
-    rows = flatten.flatten_campaigns(_ordered(campaigns))
-    out = upsert.upsert(tx.read("campaigns"), rows, "campaign_id", insert_only_cols=["created_at"], ordinal="_ordinal")
-    tx.write("campaigns", out.withColumn(PART, F.lit(WHOLE)), [WHOLE])
-    tx.publish()
+    b = wh.begin()
+    rows = b.stage("campaigns", upsert.last_write_wins(flatten.flatten_campaigns(_ordered(campaigns)), "campaign_id", "_ordinal"))
+    touched = labels_of(rows.select(b.store.bucket("campaign_id").alias(PART)))
+    out = upsert.upsert(b.read("campaigns", touched), rows, "campaign_id", insert_only_cols=["created_at"])
+    b.write("campaigns", out.withColumn(PART, b.store.bucket("campaign_id")), touched)
+    b.publish()
     return {"campaigns": wh.read("campaigns")}
 
 
-def batch_daily(wh: Warehouse, daily_rows: DataFrame) -> dict[str, DataFrame]:
+def batch_daily(wh: Store, daily_rows: DataFrame) -> dict[str, DataFrame]:
     """Daily statistics -> U09 by (campaign_id, stat_date)."""
-    tx = wh.begin()
+    b = wh.begin()
     keys = ["campaign_id", "stat_date"]
-    rows = tx.stage("daily", flatten.flatten_campaign_daily(_ordered(daily_rows)))
-    rows = upsert.last_write_wins(rows, keys, "_ordinal").withColumn(PART, F.coalesce(F.col("stat_date").cast("string"), F.lit("none")))
-    tx.replace("campaign_daily", rows, rows.select(*keys, PART), keys)
-    tx.publish()
+    rows = upsert.last_write_wins(flatten.flatten_campaign_daily(_ordered(daily_rows)), keys, "_ordinal")
+    rows = b.stage("daily", rows.withColumn(PART, F.coalesce(F.col("stat_date").cast("string"), F.lit("none"))))
+    b.merge("campaign_daily", rows, keys)
+    b.publish()
     return {"campaign_daily": wh.read("campaign_daily")}
 
 
@@ -249,7 +304,7 @@ class Step:
     required: bool
 
 
-def batch_all(wh: Warehouse, inputs: dict[str, DataFrame], date_from, date_to, now, catalog: DataFrame,
+def batch_all(wh: Store, inputs: dict[str, DataFrame], date_from, date_to, now, catalog: DataFrame,
               enable: dict[str, bool] | None = None, strict: bool = True):
     """Orders -> finance -> accruals -> (campaigns, daily, attribution),
     each behind an enable flag. Required steps always raise; optional ones raise in

@@ -55,7 +55,7 @@ def cmd_update(a) -> int:
     if a.attribution:
         inputs["attribution"] = json_docs.read_attribution(spark, a.attribution)
     skip = {s for s in (a.skip or "").split(",") if s}
-    wh = batch.Warehouse(spark, a.warehouse)
+    wh = Store(spark, a.warehouse)
     _, log = batch.batch_all(wh, inputs, frm.isoformat(), end, now, tables.read_catalog(spark, a.catalog),
                              enable={k: k not in skip for k in ("finance", "accruals", "campaigns", "daily", "attribution")},
                              strict=not a.tolerant)
@@ -74,11 +74,8 @@ def _filtered(a, wh):
 
 def cmd_report(a) -> int:
     from marketlens.operators import metrics as mx
-    from marketlens.sources.warehouse import Warehouse
-    wh = Warehouse(_session(), a.warehouse)
-    if a.cmd == "vacuum":
-        print("\n".join(wh.vacuum()))
-        return 0
+    from marketlens.sources.store import Store
+    wh = Store(_session(), a.warehouse)
     made = {"summary": lambda: mx.summary(_filtered(a, wh)), "retention": lambda: mx.retention_distribution(_filtered(a, wh)),
             "cohorts": lambda: mx.cohort_by_month(wh.read("customers")), "weekly": lambda: mx.weekly_trend(_filtered(a, wh))}[a.cmd]()
     from pyspark.sql import functions as F
@@ -103,7 +100,7 @@ def main(argv=None) -> int:
     u.add_argument("--now")
     u.add_argument("--skip")
     u.add_argument("--tolerant", action="store_true", help="log optional step failures instead of raising")
-    for name in ("summary", "retention", "cohorts", "weekly", "vacuum"):
+    for name in ("summary", "retention", "cohorts", "weekly"):
         s = sub.add_parser(name)
         s.add_argument("--warehouse", required=True)
         s.add_argument("--from", dest="date_from")

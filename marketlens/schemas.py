@@ -7,6 +7,8 @@ from pyspark.sql.types import (ArrayType, BooleanType, DateType, DecimalType, In
                                LongType, StringType, StructField, StructType,
                                TimestampNTZType)
 
+from marketlens import vocab
+
 S = StringType()
 MONEY = DecimalType(18, 4)
 
@@ -89,6 +91,26 @@ ATTRIBUTION = _struct(
 PERIOD_COSTS = _struct(("cost_date", DateType()), ("fee_group", S), ("fee_name", S),
                        ("amount", DecimalType(28, 4)))
 
+
+# Partial aggregates that the batch plans keep, by key and part, so that a batch reads its own keys and parts only.
+#: Of the orders of a month whose id begins with ``key`` (or is ``key``: exact), the newest.
+ORDER_KEYS = _struct(("key", S), ("exact", BooleanType()), ("month", S), ("order_id", S), ("order_date", TimestampNTZType()))
+#: A customer's orders of a month.
+CUSTOMER_MONTHS = _struct(("customer_id", S), ("month", S), ("first_at", TimestampNTZType()), ("last_at", TimestampNTZType()),
+                          ("orders_count", LongType()), ("total_revenue", DecimalType(28, 4)))
+#: Sums over an order's fee rows in one partition of ``order_fee_items``.
+ORDER_FEE_PARTS = _struct(("order_id", S), ("fee_part", S), ("_sales", DecimalType(28, 4)), ("_n_sales", LongType()), ("_fees", DecimalType(28, 4)),
+                          ("_n_fees", LongType()), *[(f"_{c}", DecimalType(28, 4)) for c, _ in vocab.FEE_BUCKETS], ("_other_fee", DecimalType(28, 4)))
+
+TABLES: dict[str, StructType] = {
+    "orders": ORDERS, "customers": CUSTOMERS, "products": PRODUCTS, "order_items": ORDER_ITEMS, "order_fee_items": FEE_ITEMS,
+    "campaigns": CAMPAIGNS, "campaign_daily": CAMPAIGN_DAILY, "order_attribution": ATTRIBUTION, "period_costs": PERIOD_COSTS,
+    "order_keys": ORDER_KEYS, "customer_months": CUSTOMER_MONTHS, "order_fee_parts": ORDER_FEE_PARTS,
+}
+
+#: Columns that a table gained after its first version, with the version and the value of rows written before.
+ADDED: dict[str, list[tuple[int, str, object]]] = {"orders": [(2, "missing", False)]}
+
 # Declared keys, used by upserts and by the key-uniqueness check (Q01).
 TABLE_KEYS: dict[str, list[str]] = {
     "customers": ["customer_id"],

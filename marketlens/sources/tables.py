@@ -1,16 +1,10 @@
-"""Dimension reads (S08), parameterised scans (S09) and versioned table
-writes (S10)."""
+"""Dimension reads (S08) and parameterised scans."""
 
 from __future__ import annotations
 
-import time
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens import schemas
-
 
 def read_catalog(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """Product dimension ``sku, flavor, grams`` from CSV or Parquet."""
@@ -30,57 +24,3 @@ def param_scan(spark: SparkSession, sql_text: str, args: dict | None = None,
         df.createOrReplaceTempView(name)
     out = spark.sql(sql_text, args=args or {})
     return out.limit(1) if one else out
-
-
-# --- versioned tables -----------------------------------------------------------
-# A table is a folder of immutable versions: <root>/v=<millis>-<id>/. A new
-# version is written next to the current one and becomes current once its
-# _SUCCESS marker exists, so a reader never sees a half-written table and a
-# path being read is never overwritten. ``sources.warehouse`` has partitioned
-# tables that are published together.
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def write_version(df: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as a new version of the table at ``root``."""
-    path = f"{root.rstrip('/')}/v={int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
-
-
-def latest_version(spark: SparkSession, root: str) -> str | None:
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return None
-    done = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v=") and fs.exists(
-                spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            done.append(st.getPath().toString())
-    return max(done) if done else None
-
-
-def read_table(spark: SparkSession, root: str, schema=None) -> DataFrame:
-    """Current version of a table, or an empty table of ``schema``."""
-    v = latest_version(spark, root)
-    if v is None:
-        if schema is None:
-            raise FileNotFoundError(root)
-        return spark.createDataFrame([], schema)
-    return spark.read.parquet(v)
-
-
-TABLE_SCHEMAS = {
-    "orders": schemas.ORDERS, "customers": schemas.CUSTOMERS, "products": schemas.PRODUCTS,
-    "order_items": schemas.ORDER_ITEMS, "order_fee_items": schemas.FEE_ITEMS,
-    "campaigns": schemas.CAMPAIGNS, "campaign_daily": schemas.CAMPAIGN_DAILY,
-    "order_attribution": schemas.ATTRIBUTION, "period_costs": schemas.PERIOD_COSTS,
-}
