@@ -101,10 +101,11 @@ def first_order_flag(orders: DataFrame, customers: DataFrame | None = None) -> D
                        {"is_first_order": F.col("order_date") == F.col("_first_date")})
 
 
-def mark_missing(orders: DataFrame, seen_ids: DataFrame, date_from, date_to, now) -> DataFrame:
+def mark_missing(orders: DataFrame, seen_ids: DataFrame, date_from, date_to, now, unseen: bool = True) -> DataFrame:
     """Seen ids -> missing = false, missing_at = NULL; unseen ids dated in
     ``[date_from, date_to)`` -> missing = true, missing_at = ``now``; other
-    rows untouched. An empty ``seen_ids`` marks the whole window missing.
+    rows untouched. An empty ``seen_ids`` marks the whole window missing. With ``unseen=False`` seen ids are
+    cleared and no others marked.
     """
     for c, t in (("missing", "boolean"), ("missing_at", "timestamp_ntz")):
         if c not in orders.columns:
@@ -114,7 +115,7 @@ def mark_missing(orders: DataFrame, seen_ids: DataFrame, date_from, date_to, now
     j = orders.join(seen, "order_id", "left")
     is_seen = F.col("_seen").isNotNull()
     d = F.col("order_date")
-    in_window = (d >= _lit_ts(date_from)) & (d < _lit_ts(date_to))
+    in_window = (d >= _lit_ts(date_from)) & (d < _lit_ts(date_to)) if unseen else F.lit(False)
     missing = F.when(is_seen, F.lit(False)).when(in_window, F.lit(True)).otherwise(F.col("missing"))
     at = (F.when(is_seen, F.lit(None).cast("timestamp_ntz"))
           .when(in_window, _lit_ts(now)).otherwise(F.col("missing_at")))

@@ -58,12 +58,40 @@ def dq_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
     """Q02 for each declared reference: ``child, column, value, n`` (child rows without that parent)."""
     out = []
     for child, fk, parent, pk in schemas.REFERENCES:
-        lost = dq_foreign_key(tables[child], tables[parent], fk, pk)
-        out.append(lost.groupBy(F.col(fk).cast("string").alias("value")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-                   .select(F.lit(child).alias("child"), F.lit(fk).alias("column"), "value", "n"))
+        lost = lost_parents(tables[child], tables[parent], fk, pk)
+        out.append(lost.select(F.lit(child).alias("child"), F.lit(fk).alias("column"), F.col(fk).cast("string").alias("value"), "n"))
     return reduce(DataFrame.unionByName, out)
 
 
+def lost_parents(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
+    """Q02 by value: ``fk, n``. The child is reduced to one row for each value and map task before the shuffle, and the anti join
+    uses that same shuffle, so child rows are never shuffled, however many share a value. (A Bloom filter of the parents could only
+    prove a value lost; those it lets through must be looked up all the same.)"""
+    counted = child.filter(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    p = parent.select(F.col(pk).alias("_pk")).distinct()
+    return counted.join(p, F.col(fk) == F.col("_pk"), "left_anti")
+
+
+#: Tables whose key fixes the partition: a key cannot be in two of them.
+KEY_IN_PART = ("customers", "products", "campaigns", "campaign_daily", "order_attribution", "order_fee_items", "period_costs")
+
+
+def dq_touched_keys(store, name: str, parts: list[str]) -> DataFrame:
+    """Q01 after a batch that touched ``parts``: key values held by more than one row, as ``dq_primary_key`` on the whole table finds
+    them if it had none before. Only these partitions are read. The key of an order does not fix its month: ids that are new to a touched
+    month are looked up in ``order_keys``, which holds every month an id is in, at the hash partitions of these ids."""
+    keys = schemas.TABLE_KEYS.get(name, ["row_key"])
+    rows = store.read(name, parts)
+    found = dq_primary_key(rows, keys)
+    if name in KEY_IN_PART:
+        return found
+    ids = rows.select(F.col(keys[0]).alias("key")).filter("key is not null").distinct()
+    buckets = sorted(r[0] for r in ids.select(store.bucket("key")).distinct().collect())   # partition labels
+    apart = (store.read("order_keys", buckets).filter("exact").join(ids, "key", "left_semi").groupBy("key")
+             .agg(F.count(F.lit(1)).cast("bigint").alias("n")).filter("n > 1").select(F.col("key").alias(keys[0]), "n"))
+    return found.unionByName(apart).groupBy(keys[0]).agg(F.max("n").alias("n"))
+
+
 def dq_not_null(df: DataFrame, cols: list[str]) -> DataFrame:
     """Q03: NULL count per required column, in one pass."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).cast("bigint").alias(c) for c in cols])

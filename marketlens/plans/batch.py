@@ -93,11 +93,12 @@ def _update_fee_parts(b: Batch, ids: DataFrame, placed: DataFrame, fee_rows: Dat
 
 
 def batch_orders(wh: Store, postings: DataFrame, date_from, date_to, now,
-                 catalog: DataFrame) -> dict[str, DataFrame]:
+                 catalog: DataFrame, mark: bool = True) -> dict[str, DataFrame]:
     """Flatten postings -> upsert orders / customers / products / items /
     posting fees -> mark missing -> customer aggregates -> first-order flags
     -> order finance and fee breakdown. Of a posting that comes more than once
-    the last version counts, with its items and fees."""
+    the last version counts, with its items and fees. With ``mark=False`` no order is marked missing: the postings
+    are a part of the window's (``mark_window`` marks when all have come)."""
     b = wh.begin()
     seen = Observation()
     no_id = F.col("posting_number").isNull() | (F.col("posting_number") == "")
@@ -111,7 +112,7 @@ def batch_orders(wh: Store, postings: DataFrame, date_from, date_to, now,
     now_in = header.select("order_id", month("order_date").alias(PART))
     was_in = order_months(b, ids).withColumnRenamed("month", PART)
     own = labels_of(now_in.unionByName(was_in))
-    months = sorted({*own, *_between(b.store.parts("orders"), date_from, date_to)})
+    months = sorted({*own, *(_between(b.store.parts("orders"), date_from, date_to) if mark else [])})
     old = b.read("orders", months)
     # Independent parts run beside each other: their small steps do not fill a cluster.
     b.branch(lambda: _items(b, postings, ids, now_in, own, catalog))
@@ -142,12 +143,23 @@ def batch_orders(wh: Store, postings: DataFrame, date_from, date_to, now,
     moved = moved.select(F.explode(F.array(month("_was"), month("first_at"))).alias(PART))
     more = [m for m in labels_of(moved) if m not in months and m != "none"]
     orders = loaded if not more else loaded.unionByName(b.read("orders", more))
-    orders = oo.flag_first_orders(oo.mark_missing(orders, ids, date_from, date_to, now), totals)
+    orders = oo.mark_missing(orders, ids, date_from, date_to, now, unseen=mark)
+    orders = oo.flag_first_orders(orders, totals)
     b.write("orders", _finance(orders, ids, fees.result()).withColumn(PART, month("order_date")), months + more)
     b.publish()
     return {"orders": wh.read("orders"), "customers": wh.read("customers"), "order_fee_items": wh.read("order_fee_items"), "_counts": b.counts}
 
 
+def mark_window(wh: Store, seen: DataFrame, date_from, date_to, now) -> dict[str, DataFrame]:
+    """J07 alone: ``seen`` (a column ``order_id``) are all ids that came for the window."""
+    b = wh.begin()
+    months = _between(b.store.parts("orders"), date_from, date_to)
+    orders = oo.mark_missing(b.read("orders", months), seen, date_from, date_to, now)
+    b.write("orders", orders.withColumn(PART, month("order_date")), months)
+    b.publish()
+    return {"orders": wh.read("orders")}
+
+
 def _items(b: Batch, postings: DataFrame, ids: DataFrame, now_in: DataFrame, months: list[str], catalog: DataFrame) -> None:
     """Items are deleted, then inserted, for each incoming order, in the months it is or was in. U03: products from the items,
     enriched from the catalog (J02); the last to arrive wins."""

@@ -49,7 +49,7 @@ class Store:
 
     def __init__(self, spark: SparkSession, root: str, tables: dict[str, StructType] | None = None, buckets: int = BUCKETS):
         self.spark, self.root, self.tables = spark, root.rstrip("/"), tables or schemas.TABLES
-        made = self._load("layout", "buckets int").collect()   # one row
+        made = self.load("layout", "buckets int").collect()   # one row
         if not made:
             spark.createDataFrame([(buckets,)], "buckets int").write.mode("overwrite").parquet(self.path("layout"))
         self.buckets = made[0]["buckets"] if made else buckets
@@ -57,13 +57,16 @@ class Store:
     def path(self, *names: str) -> str:
         return "/".join([self.root, *names])
 
-    def _load(self, name: str, schema) -> DataFrame:
+    def load(self, name: str, schema) -> DataFrame:
+        """A folder of the store; one that is not there yet is made, without rows."""
         try:
             return self.spark.read.schema(schema).parquet(self.path(name))
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+        none = self.spark.createDataFrame([], schema)
+        (none.write.partitionBy(PART) if PART in none.columns else none.write).mode("ignore").parquet(self.path(name))
+        return none
 
     def _stored(self, name: str) -> StructType:
         return StructType([*self.tables[name].fields]).add(VERSION, IntegerType()).add(PART, StringType())
@@ -74,11 +77,11 @@ class Store:
 
     def parts(self, name: str) -> list[str]:
         """Labels of the partitions that hold files, from their paths (no rows are read)."""
-        return _labels_in(self._load(name, self._stored(name)))
+        return _labels_in(self.load(name, self._stored(name)))
 
     def read(self, name: str, parts: list[str] | None = None, with_part: bool = False) -> DataFrame:
         """The table, or some of its partitions: the scan reads no others."""
-        df = self._load(name, self._stored(name))
+        df = self.load(name, self._stored(name))
         if parts is not None:
             df = df.filter(F.col(PART).isin(list(parts)))
         df = with_defaults(df, schemas.ADDED.get(name, []))
@@ -99,13 +102,13 @@ class Store:
 
     def finish(self) -> None:
         """Overwrite what a staged batch lists; nothing if there is none."""
-        pending = self._load("pending", "batch string, name string, label string").collect()   # partition labels of a batch
+        pending = self.load("pending", "batch string, name string, label string").collect()   # partition labels of a batch
         if not pending:
             return
         batch = pending[0]["batch"]
 
         def put(name: str) -> None:
-            staged = self._load(f"staging/{batch}/tables/{name}", self._stored(name))
+            staged = self.load(f"staging/{batch}/tables/{name}", self._stored(name))
             self.overwrite(name, staged, [r["label"] for r in pending if r["name"] == name])
 
         with ThreadPoolExecutor(JOBS) as pool:
@@ -160,7 +163,7 @@ class Batch:
     def written(self, name: str) -> DataFrame:
         """The rows staged for a table, with their label."""
         self.jobs[name].result()
-        return self.store._load(f"staging/{self.id}/tables/{name}", self.store._stored(name)).drop(VERSION)
+        return self.store.load(f"staging/{self.id}/tables/{name}", self.store._stored(name)).drop(VERSION)
 
     def merge(self, name: str, rows: DataFrame, keys: list[str]) -> None:
         """Replace by key in the partitions that ``rows`` name; a key never changes its partition."""

@@ -577,6 +577,17 @@ SELECT 'c' || CAST(user_id % 10 AS VARCHAR) AS campaign_id, CAST(ts AS DATE) AS
        CAST(COALESCE(SUM(CASE WHEN event_type = 'click' THEN CAST(value AS DECIMAL(18,2)) END), 0) AS {D}) AS spend
 FROM events GROUP BY 1, 2""")
 
+sql("stream_corrected_daily", f"""
+WITH last AS (SELECT event_id, user_id, event_type, CASE WHEN event_id % 7 = 0 THEN ts + INTERVAL 1 DAY ELSE ts END AS ts,
+                     CASE WHEN event_id % 7 = 0 THEN value + 10 ELSE value END AS value FROM events)
+SELECT 'c' || CAST(user_id % 10 AS VARCHAR) AS campaign_id, CAST(ts AS DATE) AS stat_date,
+       CAST(COUNT(*) AS BIGINT) AS events,
+       CAST(COUNT(CASE WHEN event_type = 'click' THEN 1 END) AS BIGINT) AS clicks,
+       CAST(COUNT(CASE WHEN event_type = 'purchase' THEN 1 END) AS BIGINT) AS orders_cnt,
+       CAST(COALESCE(SUM(CASE WHEN event_type = 'click' THEN CAST(value AS DECIMAL(18,2)) END), 0) AS {D}) AS spend
+FROM last GROUP BY 1, 2""")
+SQL["stream_tables"] = SQL["batch_all"]
+
 sql("flatten_accruals", f"SELECT {FEE_SEL} FROM fx_accrual_fees", "fx_accrual_fees")
 sql("update_from_aggregate", f"""
 WITH agg AS (SELECT i.order_id, SUM(i.price * i.quantity) AS medium_revenue

@@ -17,7 +17,7 @@ CONF = {"spark.driver.memory": "4g", "spark.sql.ui.retainedExecutions": "1", "sp
 def spark():
     """A session for each module: what one leaves behind (broadcasts, shuffles, streams) ends with it."""
     from marketlens.session import get_session
-    s = get_session("local[8]", 8, app_name="marketlens-tests", extra=CONF)
+    s = get_session("local[8]", 4, app_name="marketlens-tests", extra=CONF)
     yield s
     s.stop()
 

@@ -264,7 +264,7 @@ def test_partial_aggregates_equal_a_full_recompute(spark):
     rng = random.Random(11)
     wh = Store(spark, scratch_path(spark, "wh-test"), buckets=4)
     ids = [f"{c}-{n}-{k}" for c in range(6) for n in range(4) for k in (1, 2)]
-    for step in range(5):
+    for step in range(3):
         some = [posting(rng.choice(ids), f"2024-{rng.randint(1, 5):02d}-{rng.randint(1, 28):02d}", [(str(rng.randint(1, 3)), "a", str(rng.randint(1, 50)), str(-rng.randint(0, 3)))
                         for _ in range(rng.randint(0, 2))], f"s{step}") for _ in range(14)]
         load(spark, wh, some, f"2024-{step + 1:02d}-01", f"2024-{step + 1:02d}-20")
@@ -287,6 +287,31 @@ def test_partial_aggregates_equal_a_full_recompute(spark):
     assert orders.count() == orders.select("order_id").distinct().count()
 
 
+def test_touched_keys_are_checked_without_the_rest(spark):
+    from marketlens.operators import quality
+    wh = Store(spark, scratch_path(spark, "wh-test"), buckets=4)
+    load(spark, wh, [posting("1-1-1", "2024-01-10", []), posting("2-1-1", "2024-02-10", []), posting("3-1-1", "2024-03-10", [])])
+    assert quality.dq_touched_keys(wh, "orders", ["2024-02"]).count() == 0 and quality.dq_touched_keys(wh, "customers", wh.parts("customers")).count() == 0
+    b = wh.begin()                                     # a faulty batch puts an order of January into February too
+    twice = wh.read("orders", ["2024-02"], with_part=True).unionByName(wh.read("orders", ["2024-01"]).withColumn(PART, F.lit("2024-02")))
+    b.write("orders", twice, ["2024-02"])
+    keys = wh.read("order_keys", with_part=True)
+    more = keys.filter("exact and order_id = '1-1-1'").withColumn("month", F.lit("2024-02"))
+    b.write("order_keys", keys.unionByName(more), wh.parts("order_keys"))
+    b.publish()
+    got = [tuple(r) for r in quality.dq_touched_keys(wh, "orders", ["2024-02"]).collect()]
+    assert got == [tuple(r) for r in quality.dq_primary_key(wh.read("orders"), ["order_id"]).collect()] == [("1-1-1", 2)]
+
+
+def test_lost_parents_shuffle_values_not_rows(spark):
+    from marketlens.operators import quality
+    child = spark.range(10_000).select((F.col("id") % 5).alias("fk"))
+    parent = spark.range(1, 4).select(F.col("id").alias("pk"))
+    got = quality.lost_parents(child, parent, "fk", "pk")
+    assert sorted(tuple(r) for r in got.collect()) == [(0, 2000), (4, 2000)]
+    assert quality.dq_foreign_key(child, parent, "fk", "pk").count() == 4000
+
+
 def test_fees_of_an_order_that_comes_later_count(spark):
     """Accrual rows name an order before it is loaded: their sums wait in the partition of unknown orders."""
     wh = Store(spark, scratch_path(spark, "wh-test"))

@@ -11,6 +11,7 @@ ALLOWED = {
     ("sources/store.py", ".distinct().collect()"),                     # partition labels of a batch
     ("sources/store.py", '"layout", "buckets int").collect()'),        # one row
     ("sources/store.py", 'label string").collect()'),                  # partition labels of a batch
+    ("operators/quality.py", "store.bucket(\"key\")).distinct().collect()"),   # partition labels
     ("plans/batch.py", "attribution_match_rate(new).first()"),         # two counts
     ("plans/batch.py", '.alias("unmatched")).first()'),                # counts
     ("plans/cli.py", "log.collect()"),               # CLI prints one row per step
