@@ -6,6 +6,8 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -83,15 +85,44 @@ def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[dict]], sch
     return df.mapInArrow(run, schema)
 
 
+_made: list[list[str]] = []
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write to the cluster's shared folder and read back: cuts the lineage, so
     a lost executor does not cause earlier steps to run again."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    if _made:
+        _made[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def emptied(spark: SparkSession, paths: list[str]) -> None:
+    """Free what ``saved`` wrote: each folder is overwritten by a table without rows."""
+    none = spark.createDataFrame([], "x int")
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda p: none.write.mode("overwrite").parquet(p), paths))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Folders that ``saved`` writes within are freed at the end. Yields ``saved`` for what is to stay: a result
+    that is not written by it must not be used afterwards."""
+    _made.append([])
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        out = saved(df, name)
+        _made[-1].pop()
+        return out
+
+    try:
+        yield keep
+    finally:
+        emptied(spark, _made.pop())
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int, learn=None) -> DataFrame:
     """``(doc_id, text, y)`` of at most ``sample`` labelled documents, by the smallest hashes of
     their ids. Labels other than 0 and 1, and null ids, are left out; a document labelled more than

@@ -10,7 +10,10 @@ signature. Under a bound below 0.9 parts have few elements; there are some to sp
 common shingles alone are left out as far as the spare parts allow. A set makes those of its own band, and those of the next band if a linked partner may
 lie there.
 
-Sets that are equal are one class, found by grouping on a fingerprint. Classes that share a
+Sets that are equal are one class, found by grouping on a fingerprint. Signatures are made for one text of each class and
+never stored. They are shuffled as sorted, delta-coded blocks of a few bytes an entry: a task sorts the signatures of
+some thousand classes, cut to as many bits as their number needs, pairs the classes that share one there, and sends one entry for each signature to
+the task of its range, which pairs those of several tasks. Cut signatures that agree by chance cost comparisons only. Classes that share a
 signature, directly or through others, are a cluster: links never leave it. Clusters are found without
 writing out pairs (a star in each signature, then connected components). Inside a cluster all
 pairs are checked exactly on the sets, as products of incidence matrices. Small clusters are dealt
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.base import per_batch, pick, position, saved
+from marketlens.llm.base import arrow_limits, per_batch, pick, position, saved, scratch
 from marketlens.llm.components import components, merge_labels
 from marketlens.llm.shingles import mix, shingle_set
 
@@ -35,7 +38,7 @@ SHINGLE, NUM, DEN = 3, 90, 100    # link when DEN * intersection >= NUM * union
 BAND = 1.3                        # ratio of a size band's ends
 PIECES, FREE = 3, 1               # second level: pieces, and how many of them may differ
 BLOCK_DOCS, BLOCK_SHINGLES = 2_048, 1 << 20   # a block of a large cluster, on average
-BROADCAST_IDS = 500_000           # ids of clustered classes that are broadcast at most
+BROADCAST_IDS = 500_000           # ids of classes that are broadcast at most
 COMMON_DOCS, COMMON = 4_096, 65_536   # texts looked at for common shingles, about, and shingles at most
 _TILE, _WIDTH = 1_024, 4_096      # rows and columns of an incidence matrix held at once
 
@@ -125,21 +128,110 @@ def _common(docs: DataFrame, n: int) -> np.ndarray:
     return np.sort(np.asarray(seen.select("e").toArrow().column(0), dtype=np.int64).view(np.uint64))
 
 
-def _sets(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """``doc_id, n_shingles, f1, f2, sigs`` for each row."""
-    common = _common(docs, n) if 10 * num < 9 * den else None
-
+def _sets(docs: DataFrame, n: int) -> DataFrame:
+    """``doc_id, n_shingles, f1, f2`` for each row."""
     def run(batch: pa.RecordBatch) -> dict:
         sets = [shingle_set(t, n) for t in batch.column(1).to_pylist()]
-        sigs = [signatures(s, num, den, common) for s in sets]
-        ends = np.concatenate([[0], np.cumsum([len(s) for s in sigs])]).astype(np.int32)
-        flat = np.concatenate(sigs) if sigs else np.empty(0, np.int64)
         return {"doc_id": batch.column(0), "n_shingles": np.array([len(s) for s in sets], np.int64),
                 "f1": np.array([int(s.sum(dtype=np.uint64)) for s in sets], np.uint64).view(np.int64),
-                "f2": np.array([int(mix(s).sum(dtype=np.uint64)) for s in sets], np.uint64).view(np.int64),
-                "sigs": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))}
+                "f2": np.array([int(mix(s).sum(dtype=np.uint64)) for s in sets], np.uint64).view(np.int64)}
+
+    return per_batch(docs, run, "doc_id bigint, n_shingles bigint, f1 bigint, f2 bigint")
+
+
+def stars(sig: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of entries sorted by signature: which begin a new one, and the distinct pairs of the first document of
+    a signature and each other that has it."""
+    new = np.concatenate([np.ones(min(1, len(sig)), bool), sig[1:] != sig[:-1]])
+    hub = doc[np.flatnonzero(new)][np.cumsum(new) - 1] if len(sig) else doc
+    pairs = np.unique(np.stack([hub, doc], 1)[hub != doc], axis=0)
+    return new, pairs[:, 0], pairs[:, 1]
+
+
+def packed(sigs: np.ndarray, owner: np.ndarray, docs: np.ndarray, bits: int, ranges: int) -> dict:
+    """Blocks of signatures by range: ``sigs`` (uint64) of the rows ``owner`` of ``docs``. A signature goes with the first document
+    that has it; the others that have it here are pairs with that one (``links``), so a signature that many documents share is one entry a
+    block. A block has its first value, the steps between sorted values in as few bytes as the largest needs, and the
+    owners' numbers among the block's documents. Pairs are dealt over the ranges."""
+    cut = sigs >> np.uint64(64 - bits)
+    order = np.lexsort((owner, cut))
+    cut, owner = cut[order], owner[order]
+    new, hub, other = stars(cut, owner)
+    cut, owner = cut[new], owner[new]
+    span = np.uint64(max(1, -(-(1 << bits) // ranges)))
+    at = np.searchsorted(cut, np.arange(1, ranges, dtype=np.uint64) * span)
+    dealt = hub % ranges
+    out = {"part": [], "first": [], "steps": [], "owners": [], "docs": [], "links": []}
+    for part, (a, b) in enumerate(zip(np.concatenate([[0], at]), np.concatenate([at, [len(cut)]]), strict=True)):
+        pairs = np.stack([docs[hub[dealt == part]], docs[other[dealt == part]]], 1).ravel() if len(hub) else np.empty(0, np.int64)
+        if a == b and not len(pairs):
+            continue
+        steps = np.diff(cut[a:b], prepend=cut[a:a + 1]) if b > a else np.empty(0, np.uint64)
+        width = max(1, (int(steps.max()).bit_length() + 7) // 8) if b > a else 1
+        mine, who = np.unique(owner[a:b], return_inverse=True)
+        out["part"].append(part)
+        out["first"].append(int(cut[a].astype(np.int64)) if b > a else 0)
+        out["steps"].append(bytes([width]) + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes())
+        out["owners"].append(who.astype(np.uint16 if len(mine) <= 1 << 16 else np.uint32).tobytes())
+        out["docs"].append(docs[mine])
+        out["links"].append(pairs)
+    return out
+
 
-    return per_batch(docs, run, "doc_id bigint, n_shingles bigint, f1 bigint, f2 bigint, sigs array<bigint>")
+def unpacked(first: int, steps: bytes, owners: bytes, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures and documents of a block."""
+    width = steps[0]
+    raw = np.frombuffer(steps, np.uint8, offset=1).reshape(-1, width)
+    wide = np.zeros((len(raw), 8), np.uint8)
+    wide[:, :width] = raw
+    values = np.cumsum(wide.view("<u8").ravel(), dtype=np.uint64) + np.uint64(first % (1 << 64))
+    who = np.frombuffer(owners, np.uint16 if len(owners) == 2 * len(raw) else np.uint32)
+    return values, docs[who]
+
+
+_BLOCK = "part int, first bigint, steps binary, owners binary, docs array<bigint>, links array<bigint>"
+FLUSH = 1 << 20           # signatures in a task's blocks at once
+RANGE = 1 << 21           # signatures in a range, about
+
+
+def shared_signatures(texts: DataFrame, classes: int, n: int, num: int, den: int, common: np.ndarray | None) -> DataFrame:
+    """Pairs ``(hub, doc)`` of documents of ``texts`` (``doc_id, text``) that share a signature, cut short: for each signature a star, so
+    that documents sharing one are connected."""
+    each = 64 if 10 * num >= 9 * den else 256          # signatures of a class, about
+    bits = min(64, max(40, (classes * each).bit_length() + 14))
+    ranges = max(16, classes * each // RANGE)
+
+    def blocks(batches):
+        sigs, owner, docs, held = [], [], [], 0
+        for batch in batches:
+            ids = np.asarray(batch.column(0))
+            for i, t in enumerate(batch.column(1).to_pylist()):
+                found = signatures(shingle_set(t, n), num, den, common).view(np.uint64)
+                if len(found):
+                    sigs.append(mix(found))
+                    owner.append(np.full(len(found), len(docs), np.int64))
+                    docs.append(ids[i])
+                    held += len(found)
+            if held >= FLUSH:
+                yield pa.RecordBatch.from_pydict(packed(np.concatenate(sigs), np.concatenate(owner), np.array(docs, np.int64), bits, ranges), schema=schema)
+                sigs, owner, docs, held = [], [], [], 0
+        if held:
+            yield pa.RecordBatch.from_pydict(packed(np.concatenate(sigs), np.concatenate(owner), np.array(docs, np.int64), bits, ranges), schema=schema)
+
+    schema = pa.schema([("part", pa.int32()), ("first", pa.int64()), ("steps", pa.binary()), ("owners", pa.binary()), ("docs", pa.list_(pa.int64())),
+                        ("links", pa.list_(pa.int64()))])
+
+    def twice(key, rows):
+        names = ("first", "steps", "owners", "docs")
+        found = [unpacked(f, s, o, np.array(d, np.int64)) for f, s, o, d in zip(*(rows.column(c).to_pylist() for c in names), strict=True)]
+        sig, doc = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((doc, sig))
+        _, hub, other = stars(sig[order], doc[order])
+        there = np.asarray(rows.column("links").combine_chunks().flatten(), np.int64).reshape(-1, 2)
+        return pa.table({"hub": np.concatenate([hub, there[:, 0]]), "doc": np.concatenate([other, there[:, 1]])})
+
+    arrow_limits(texts.sparkSession)
+    return texts.mapInArrow(blocks, _BLOCK).groupBy("part").applyInArrow(twice, "hub bigint, doc bigint").distinct()
 
 
 def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -215,13 +307,9 @@ def _cell(key, rows, num: int, den: int):
                     schema=pa.schema([("doc", pa.int64()), ("links", pa.int64()), ("root", pa.int64())]))
 
 
-def _clusters(reps: DataFrame) -> DataFrame:
-    """``(doc_id, cluster)`` of the classes that share a signature with another, from ``doc_id, sigs``."""
-    rows = reps.select(F.explode("sigs").alias("sig"), F.col("doc_id").alias("doc"))
-    shared = rows.groupBy("sig").count().filter("count > 1").select("sig")
-    rows = saved(rows.join(shared, "sig").select("sig", "doc"), "nj-shared")
-    star = rows.join(rows.groupBy("sig").agg(F.min("doc").alias("hub")), "sig").filter("hub <> doc").select("hub", "doc").distinct()
-    top = components(star, "hub", "doc")
+def _clusters(links: DataFrame) -> DataFrame:
+    """``(doc_id, cluster)`` of the classes that share a signature with another, from ``hub, doc``."""
+    top = components(links, "hub", "doc")
     return saved(top.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
                  .unionByName(top.select(F.col("component").alias("doc_id"), F.col("component").alias("cluster")).distinct()), "nj-clusters")
 
@@ -233,7 +321,7 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den: in
     component and links with nothing. Rows that repeat a ``doc_id`` are one document: it links where
     any of its texts does, and each row keeps its own ``n_shingles`` and ``n_links``. An empty table gives no rows."""
     docs = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    sets = saved(_sets(docs, shingle, num, den), "nj-sets")
+    sets = saved(_sets(docs, shingle), "nj-sets")
     some = sets.filter("doc_id is not null and n_shingles > 0")
     same = ["n_shingles", "f1", "f2"]
     ids = some.select("doc_id", *same).distinct()
@@ -242,15 +330,19 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den: in
     member = saved(ids.join(classes, same).select("doc_id", *same, "class_id", "many"), "nj-members")
     # rows of one id with different texts link as one document
     tied = member.join(repeats, "doc_id", "left_semi").select(F.col("class_id").alias("a"), F.col("doc_id").alias("b")).filter("a < b").distinct()
-    reps = some.join(classes.withColumnRenamed("class_id", "doc_id"), ["doc_id", *same], "left_semi")
-    clusters = _clusters(reps)
+    common = _common(docs, shingle) if 10 * num < 9 * den else None
+    n = classes.count()
+    # a scan of all texts meets the classes' ids: broadcast while they are few, else a shuffled join
+    first = classes.select(F.col("class_id").alias("doc_id")).distinct()
+    texts = docs.join(F.broadcast(first) if n <= BROADCAST_IDS else first, "doc_id", "left_semi").select("doc_id", "text")
+    clusters = _clusters(shared_signatures(texts, n, shingle, num, den, common))
     found = _cluster_links(docs, clusters, classes, shingle, num, den)
     top = components(found.select(F.col("doc").alias("a"), F.col("root").alias("b")).unionByName(tied), "a", "b")
     near = found.groupBy(F.col("doc").alias("class_id")).agg(F.sum("links").alias("near"))
     # a component is named by its smallest id, and a class by the smallest with its set
     out = member.join(top.withColumnRenamed("node", "class_id"), "class_id", "left").join(near, "class_id", "left")
     out = out.select("doc_id", *same, "class_id", F.coalesce("component", "class_id").alias("component_id"), (F.col("many") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"))
-    return sets.drop("sigs").join(out, ["doc_id", *same], "left").select(
+    return sets.join(out, ["doc_id", *same], "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
 
@@ -293,6 +385,8 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den: in
     repeated id stays."""
     key, text = (f"_in{position(docs, n)}" for n in ("doc_id", "text"))
     flat = docs.toDF(*[f"_in{i}" for i in range(len(docs.columns))])
-    keep = near_copies(docs, shingle, num, den).filter("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
+    with scratch(docs.sparkSession) as stays:
+        keep = near_copies(docs, shingle, num, den).filter("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
+        keep = stays(keep, "nj-keep")
     named = flat.filter(F.col(key).isNotNull()).join(keep, F.col(key).cast("bigint") == F.col("_keep"), "left_semi").dropDuplicates([key, text])
     return named.unionByName(flat.filter(F.col(key).isNull())).toDF(*docs.columns)

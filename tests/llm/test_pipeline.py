@@ -6,7 +6,6 @@ import re
 import numpy as np
 
 from marketlens.llm import jaccard
-from tests.llm.test_text_ops import brute_components
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -21,8 +20,8 @@ def test_stages(spark):
         got = {r["doc_id"]: r for r in rows}
         assert len(got) == len(rows) and (out.columns == columns or i == 4)
         if name == "near_copies":
-            comp = brute_components({k: r["text"] for k, r in seen.items()})
-            assert set(got) == {k for k, (_, c) in comp.items() if c == k}
+            comp = brute({k: r["text"] for k, r in seen.items()}, cp.NEAR["shingle"], cp.NEAR["num"])
+            assert set(got) == {k for k, c in comp.items() if c == k}
         elif name != "toxicity":
             assert set(got) == set(seen)
         if name == "secrets":
@@ -133,3 +132,20 @@ def test_mix_order_comes_with_the_token_ids(spark, tmp_path):
             break
         assert all(abs(sent[k] - n * w) < 1 for k, w in TARGETS.items())
     assert n > 20
+
+
+def test_blocks_of_signatures_come_back():
+    rng = np.random.default_rng(3)
+    for bits, ranges, n in ((40, 16, 5_000), (64, 3, 70_000), (48, 7, 1), (40, 1, 0)):
+        sigs = np.concatenate([rng.integers(0, 1 << 64, n, np.uint64), np.array([0, (1 << 64) - 1], np.uint64)])
+        sigs = np.concatenate([sigs, sigs[: len(sigs) // 3]])
+        owner = rng.integers(0, max(1, n), len(sigs))
+        docs = rng.integers(-(1 << 62), 1 << 62, max(1, n))
+        out = jaccard.packed(sigs, owner, docs, bits, ranges)
+        got = [jaccard.unpacked(*(out[c][i] for c in ("first", "steps", "owners", "docs"))) for i in range(len(out["part"]))]
+        first = {}
+        for s, o in sorted((int(s) >> (64 - bits), int(o)) for s, o in zip(sigs, owner, strict=True)):
+            first.setdefault(s, []).append(int(docs[o]))
+        assert sorted((int(s), int(d)) for v, w in got for s, d in zip(v, w, strict=True)) == sorted((s, d[0]) for s, d in first.items())
+        pairs = {(int(a), int(b)) for x in out["links"] for a, b in np.reshape(x, (-1, 2))}
+        assert pairs == {(d[0], x) for d in first.values() for x in d[1:] if x != d[0]}
