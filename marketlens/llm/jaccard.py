@@ -17,7 +17,7 @@ the task of its range, which pairs those of several tasks. Cut signatures that a
 signature, directly or through others, are a cluster: links never leave it. Clusters are found without
 writing out pairs (a star in each signature, then connected components). Inside a cluster all
 pairs are checked exactly on the sets, as products of incidence matrices. Small clusters are dealt
-into tasks many at a time; a large one is cut into blocks, with a task for each pair of blocks, so no task
+into tasks many at a time; a large one is cut into blocks by size, with a task for each pair of blocks whose sizes allow links, so no task
 holds more than two blocks. A task returns, for each class, its number of links there and one link
 towards the smallest member it is connected with, so rows grow with classes times blocks, not with pairs."""
 
@@ -27,7 +27,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.base import arrow_limits, per_batch, pick, position, saved, scratch
@@ -190,7 +190,7 @@ def unpacked(first: int, steps: bytes, owners: bytes, docs: np.ndarray) -> tuple
 
 
 _BLOCK = "part int, first bigint, steps binary, owners binary, docs array<bigint>, links array<bigint>"
-FLUSH = 1 << 20           # signatures in a task's blocks at once
+FLUSH = 1 << 19           # signatures in a task's blocks at once
 RANGE = 1 << 21           # signatures in a range, about
 
 
@@ -347,31 +347,60 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den: in
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
 
 
+def _lows(most: int = 1 << 40) -> list[int]:
+    """First sizes of the bands."""
+    out, low = [], 1
+    while low < most:
+        out.append(low)
+        low = bands(low)[2]
+    return out
+
+
 def _cluster_links(docs: DataFrame, clusters: DataFrame, classes: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """``doc, links, root`` from all pairs inside the clusters. The texts of their classes are read again."""
+    """``doc, links, root`` from the pairs inside the clusters whose sizes allow a link. The texts of their classes are read again. A
+    large cluster is cut into blocks by band of size, and a block meets those of its own band and of the bands beside it: sets
+    that link are at most one band apart."""
+    lows = _lows()
+    band = (F.size(F.filter(F.array(*[F.lit(x) for x in lows]), lambda x: x <= F.col("n_shingles"))) - 1).alias("band")
     sized = clusters.join(classes.select(F.col("class_id").alias("doc_id"), "many", "n_shingles"), "doc_id")
-    of = sized.groupBy("cluster").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_shingles").alias("shingles"))
-    of = of.withColumn("blocks", F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int"))
+    by_band = sized.groupBy("cluster", band).agg(F.count(F.lit(1)).alias("docs"), F.sum("n_shingles").alias("shingles"))
+    blocks = F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    of = by_band.groupBy("cluster").agg(F.sum("docs").alias("docs"), F.sum("shingles").alias("shingles"),
+                                        F.map_from_entries(F.collect_list(F.struct("band", blocks.alias("blocks")))).alias("per_band"))
+    of = saved(of.withColumn("blocks", blocks), "nj-of")
     small = of.filter("blocks = 1").agg(F.sum("docs").alias("docs"), F.sum("shingles").alias("shingles")).first()
     bins = max(1, (small["docs"] or 0) // 256, (small["shingles"] or 0) // (BLOCK_SHINGLES // 2))
-    spread = F.pmod(F.xxhash64(F.lit(21), "doc_id"), F.col("blocks").cast("bigint")).cast("int")
-    info = sized.join(of.select("cluster", "blocks"), "cluster").groupBy("doc_id", "cluster", "blocks").agg(F.max("many").alias("many"))
-    info = saved(info.withColumn("block", spread), "nj-info")
+    info = sized.groupBy("doc_id", "cluster").agg(F.max("many").alias("many")).join(
+        of.select("cluster", F.when(F.col("blocks") > 1, F.col("per_band")).alias("per_band")), "cluster")
+    info = saved(info, "nj-info")
     # a scan of all texts meets the ids: broadcast while they are few, else a shuffled join
     few = info.count() <= BROADCAST_IDS
-    texts = docs.join(F.broadcast(info) if few else info, "doc_id").select("doc_id", "text", "cluster", "blocks", "block", "many").distinct()
+    texts = docs.join(F.broadcast(info) if few else info, "doc_id").select("doc_id", "text", "cluster", "per_band", "many")
+    texts = texts.dropDuplicates(["doc_id", "text"])
 
     def run(batch: pa.RecordBatch) -> dict:
-        out = {c: batch.column(c) for c in ("doc_id", "cluster", "blocks", "block", "many")}
-        return out | {"elements": pa.array([shingle_set(t, n).tobytes() for t in batch.column("text").to_pylist()], pa.binary())}
+        out = {c: batch.column(c) for c in ("doc_id", "cluster", "per_band", "many")}
+        sets = [shingle_set(t, n) for t in batch.column("text").to_pylist()]
+        at = np.maximum(np.searchsorted(np.array(lows), [len(x) for x in sets], side="right") - 1, 0)
+        return out | {"band": at.astype(np.int32), "elements": pa.array([x.tobytes() for x in sets], pa.binary())}
 
-    rows = per_batch(texts, run, "doc_id bigint, cluster bigint, blocks int, block int, many bigint, elements binary")
+    rows = per_batch(texts, run, "doc_id bigint, cluster bigint, per_band map<int,int>, many bigint, band int, elements binary")
+    large = F.col("per_band").isNotNull()
     bin_of = (F.lit(-1) - F.pmod(F.xxhash64(F.lit(22), "cluster"), F.lit(bins).cast("bigint"))).cast("int")
-    other = F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = rows.withColumn("other", other).select(
-        F.when(F.col("blocks") == 1, F.lit(0)).otherwise(F.col("cluster")).alias("large"),
-        F.when(F.col("blocks") == 1, bin_of).otherwise(F.least("block", "other")).alias("low"),
-        F.when(F.col("blocks") == 1, bin_of).otherwise(F.greatest("block", "other")).alias("high"), "doc_id", "cluster", "block", "many", "elements")
+
+    def numbers(at) -> Column:
+        """Blocks of a band; one for a band without classes."""
+        count = F.coalesce(F.try_element_at("per_band", at), F.lit(1))
+        return F.transform(F.sequence(F.lit(0), count - 1), lambda r: at * 65_536 + r)
+
+    mine = F.col("band")
+    own = F.element_at(numbers(mine), (F.pmod(F.xxhash64(F.lit(21), "doc_id"), F.size(numbers(mine)).cast("bigint")) + 1).cast("int"))
+    rows = rows.withColumn("block", F.when(large, own).otherwise(0))
+    others = F.concat(numbers(mine), numbers(mine + 1), F.when(mine > 0, numbers(mine - 1)).otherwise(F.array().cast("array<int>")))
+    cells = rows.withColumn("other", F.explode(F.when(large, others).otherwise(F.array(F.lit(0))))).select(
+        F.when(large, F.col("cluster")).otherwise(0).alias("large"),
+        F.when(large, F.least("block", "other")).otherwise(bin_of).alias("low"),
+        F.when(large, F.greatest("block", "other")).otherwise(bin_of).alias("high"), "doc_id", "cluster", "block", "many", "elements")
 
     def check(key, rows):
         return _cell(key, rows, num, den)

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from marketlens.llm import jaccard
 
@@ -71,8 +72,12 @@ def brute(texts, n, num):
     return {i: find(i) for i in sets}
 
 
-def test_near_copies_equal_brute_force(spark):
+@pytest.mark.parametrize("block", [(2_048, 1 << 20), (3, 400)])
+def test_near_copies_equal_brute_force(spark, monkeypatch, block):
+    """With blocks of few classes, clusters are cut by size."""
     import corpus_pipeline as cp
+    monkeypatch.setattr(jaccard, "BLOCK_DOCS", block[0])
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", block[1])
     from tests.llm.test_text_ops import docs_of
     rng, texts = random.Random(6), ["", None, "one", "One", "one two three four five"]
     passage = " ".join(f"p{i}" for i in range(12))
