@@ -14,8 +14,7 @@ the range ``[from, to]`` (``to`` inclusive; default: the last
 counts (matched, unmatched, skipped). ``--postings-second`` is the second
 logistics scheme. ``summary`` prints the five dashboard metrics as one JSON
 object; ``retention``, ``cohorts`` and ``weekly`` print one object per row.
-``--to`` is inclusive everywhere. ``vacuum`` deletes folders that the last two
-published states do not name.
+``--to`` is inclusive everywhere.
 """
 
 from __future__ import annotations
