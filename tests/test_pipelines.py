@@ -250,8 +250,8 @@ def test_a_one_day_batch_reads_touched_partitions_only(spark, monkeypatch):
                 assert len(parts) <= 3, (name, parts)      # the prefixes of one id
             else:
                 assert all(p.endswith("2024-08") or p in ("unknown", "none") for p in parts), (name, parts)
-            plan = df._jdf.queryExecution().executedPlan().toString()
-            assert "PartitionFilters: []" not in plan, name
+            if df.inputFiles():      # a table without files yet has no partitions to prune
+                assert "PartitionFilters: []" not in df._jdf.queryExecution().executedPlan().toString(), name
     rows = {r["order_id"]: r for r in wh.read("orders").collect()}
     assert len(rows) == 320 and float(rows["7-8-1"]["fees_total"]) == -5 and float(rows["7-7-1"]["fees_total"]) == -1
 
