@@ -172,6 +172,52 @@ def test_exchange_moves_uphill_and_ends_at_the_top():
             assert likelihood(pairs, other) <= best + 1e-6
 
 
+def test_words_behind_the_core_move_uphill():
+    rng = np.random.default_rng(9)
+    groups, words_, counted = 4, 30, []
+    pairs = rng.poisson(0.6, (words_, words_)).astype(float)
+    of = np.concatenate([np.arange(12) % groups, np.full(words_ - 13, groups), [groups + 1]])     # 12 placed, 17 not yet, the end
+    np.fill_diagonal(pairs, 0)
+    table = np.zeros((groups + 2, groups + 2))
+    np.add.at(table, (np.repeat(of, words_), np.tile(of, words_)), pairs.ravel())
+    for w in range(12, 29):
+        after, before = np.bincount(of, pairs[w], groups + 2), np.bincount(of, pairs[:, w], groups + 2)
+        counted += [(w - 12, c, n) for c, n in enumerate([*after, *before]) if n]
+    got = class_lm.best_classes(table, groups, *(np.array(x) for x in zip(*counted)))
+    for w, c in zip(range(12, 29), got):
+        worth = [likelihood(pairs, np.where(np.arange(words_) == w, b, of)) for b in range(groups)]
+        assert worth[c] >= max(worth) - 1e-5
+
+
+def test_scores_equal_a_plain_class_model(spark):
+    """Classes as found; transitions, emissions and scores counted word by word."""
+    texts = {r["doc_id"]: tokens(r["text"]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    learnt = {i: t for i, t in texts.items() if i % 4}
+    df = spark.createDataFrame([(i, b" ".join(t).decode()) for i, t in texts.items()], "doc_id long, text string")
+    model, rest = class_lm.fit(df.filter("doc_id % 4 <> 0"), frequent=300, classes=8, known=900)
+    of = {w: int(model.word_class[i]) for w, i in model.words.known.items()}
+    of |= {bytes(r["word"]): r["class"] for r in rest.collect()}
+    counts = Counter(w for t in learnt.values() for w in t)
+    assert set(of) == set(counts) and len(model.words.known) < len(of) and set(of.values()) <= set(range(8))   # every known word has a Brown class
+    once, n = sum(c == 1 for c in counts.values()), sum(counts.values()) + len(learnt)
+    table = np.zeros((10, 10))
+    for t in learnt.values():
+        row = [9, *(of[w] for w in t), 9]
+        np.add.at(table, (row[:-1], row[1:]), 1)
+    table[:, 8], table[8] = table.sum(1) * once / n, table.sum(0) * once / n
+    table[8, 8] = once * once / n
+    moves = (table + 0.5) / (table + 0.5).sum(1, keepdims=True)
+    sizes = Counter()
+    for w, c in counts.items():
+        sizes[of[w]] += c + 0.5
+    scored = {r["doc_id"]: r["score"] for r in class_lm.scores(df, model, rest).collect()}
+    for i, t in texts.items():
+        row = [9, *(of.get(w, 8) for w in t), 9]
+        words_ = [(counts[w] + 0.5) / sizes[of[w]] if w in of else 1 / (once + 1) for w in t]
+        plain = sum(map(math.log10, words_)) + sum(math.log10(moves[a, b]) for a, b in zip(row, row[1:]))
+        assert math.isclose(scored[i], plain, rel_tol=1e-9)
+
+
 def test_probabilities_add_up(spark):
     model, _ = class_lm.fit(docs_of(spark, ["a b c a b", "b c a", None, "d"]), frequent=2, classes=2, known=3)
     assert np.allclose((10 ** model.moves).sum(1), 1)
