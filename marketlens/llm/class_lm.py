@@ -12,8 +12,8 @@ training text and smoothed by addition; a text's score is its log10 probability,
 3. Count pairs over the core, words not yet placed and the text's end: at most ``(FREQUENT + 2) ** 2`` cells, on which the driver clusters.
 4. Count (word, neighbouring class) by word and place the words in tasks. The known words' classes are broadcast; the
    other words stay in a table.
-5. Every token of those other words becomes a row that meets its class in a join. Rows of neighbours meet by text and
-   position. Transitions are summed from the rows and the encoded texts, and so are the scores.
+5. Every token of those other words becomes a row that meets its class in a join; neighbours among them meet in a window
+   over the text. Transitions are summed from the rows and the encoded texts, and so are the scores.
 
 Where a word is held does not change its class or any score. The vocabulary is never held in one place and grows with the corpus."""
 
@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.llm.base import arrow_limits, pick, saved
@@ -274,7 +274,7 @@ def _places(table: np.ndarray, groups: int):
 
 
 def _placed(cells: DataFrame, table: np.ndarray, groups: int, kind: str) -> DataFrame:
-    """``word, n, class`` from rows ``word, col, n``; a word has at most two cells for each class."""
+    """``word, n, class`` from rows ``word, col, n`` that are partitioned by word: a word has at most two cells for each class."""
     cells = cells.groupBy("word", "col").agg(F.sum("n").alias("n")).groupBy("word").agg(F.collect_list(F.struct("col", "n")).alias("cells"))
     return cells.mapInArrow(_places(table, groups), f"word {kind}, n bigint, class int")
 
@@ -323,18 +323,12 @@ def _summed(cells: DataFrame, size: int) -> np.ndarray:
 
 
 def _met(tokens: DataFrame, rest: DataFrame, groups: int) -> DataFrame:
-    """Tokens with the class and the count of their word; words that training never saw are in the class ``groups``."""
+    """Tokens with the class and the count of their word, and the class before them; words that training never saw are in the class
+    ``groups``. A text's tokens meet in one task, as the text itself does."""
     found = tokens.select("word", "uid", "learn", "pos", "before", "after").join(rest.select("word", "n", "class"), "word", "left")
-    return saved(found.select("uid", "learn", "pos", "before", "after", F.coalesce("class", F.lit(groups)).alias("class"), F.coalesce("n", F.lit(0)).alias("n")), "lm-met")
-
-
-def _steps(met: DataFrame) -> DataFrame:
-    """``uid, a, b``: the classes of all neighbours of which one has no number at least."""
-    first = met.filter("after < 0").select("uid", (F.col("pos") + 1).alias("pos"), F.col("class").alias("a"))
-    second = met.filter("before < 0").select("uid", "pos", F.col("class").alias("b"))
-    both = first.join(second, ["uid", "pos"]).select("uid", "a", "b")
-    return both.unionAll(met.filter("before >= 0").select("uid", F.col("before").alias("a"), F.col("class").alias("b"))).unionAll(
-        met.filter("after >= 0").select("uid", F.col("class").alias("a"), F.col("after").alias("b")))
+    found = found.select("uid", "learn", "pos", "before", "after", F.coalesce("class", F.lit(groups)).alias("class"), F.coalesce("n", F.lit(0)).alias("n"))
+    ahead = F.lag("class").over(Window.partitionBy("uid").orderBy("pos"))
+    return saved(found.select("uid", "learn", F.when(F.col("before") < 0, ahead).otherwise(F.col("before")).alias("before"), "after", "class", "n"), "lm-met")
 
 
 def _lookup(classes: np.ndarray, end: int, others: int) -> np.ndarray:
@@ -360,13 +354,14 @@ def _learned(texts: DataFrame, vocab: Vocabulary, frequent: int, classes: int) -
     word_class = columns.copy()
     if known > core:
         cells = learn.mapInArrow(_neighbour_counts(look, core, total), "cell bigint, n bigint")
-        cells = cells.select(F.floor(F.col("cell") / (2 * total)).alias("word"), (F.col("cell") % (2 * total)).cast("int").alias("col"), "n")
+        cells = cells.select(F.floor(F.col("cell") / (2 * total)).alias("word"), (F.col("cell") % (2 * total)).cast("int").alias("col"), "n").repartition("word")
         for r in _placed(cells, table, groups, "bigint").collect():   # at most KNOWN rows
             word_class[core + r["word"]] = r["class"]
     lasting = _lookup(word_class, groups + 1, -1)
-    tokens = saved(texts.select("uid", "learn", "ids", "others").mapInArrow(_other_tokens(lasting, look), _TOKEN), "lm-tokens")
-    mine = tokens.filter("learn")
-    cells = mine.select("word", F.col("col_after").alias("col")).unionAll(mine.select("word", (F.col("col_before") + total).alias("col"))).withColumn("n", F.lit(1).cast("bigint"))
+    tokens = texts.filter("size(others) > 0").select("uid", "learn", "ids", "others").mapInArrow(_other_tokens(lasting, look), _TOKEN)
+    # shuffled once by word: a word behind the KNOWN most frequent holds less than one in KNOWN of all tokens
+    mine = tokens.filter("learn").select("word", "col_before", "col_after").repartition("word")
+    cells = mine.select("word", F.explode(F.array(F.col("col_after"), F.col("col_before") + total)).alias("col"), F.lit(1).cast("bigint").alias("n"))
     rest = saved(_placed(cells, table, groups, "binary"), "lm-rest")
     c_tokens = np.bincount(word_class, vocab.n, total) if known else np.zeros(total)
     c_words = np.bincount(word_class, minlength=total).astype(float)
@@ -386,7 +381,8 @@ def _with_moves(model: Model, texts: DataFrame, met: DataFrame) -> Model:
     total = len(model.within)
     lasting = _lookup(model.word_class, total - 1, -1)
     cells = texts.filter("learn").select("ids").mapInArrow(_pair_counts(lasting, total), "cell bigint, n bigint")
-    steps = _steps(met.filter("learn")).groupBy((F.col("a") * total + F.col("b")).cast("bigint").alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    mine = met.filter("learn")    # the step to a token, and from it to a word with a number
+    steps = mine.select(F.col("before").alias("a"), F.col("class").alias("b")).unionAll(mine.filter("after >= 0").select("class", "after")).groupBy((F.col("a") * total + F.col("b")).cast("bigint").alias("cell")).agg(F.count(F.lit(1)).alias("n"))
     table = _summed(cells.unionAll(steps), total)
     unseen = model.words.once / max(1, model.words.tokens)
     table[:, total - 2], table[total - 2] = table.sum(1) * unseen, table.sum(0) * unseen
@@ -427,10 +423,11 @@ def _scored(texts: DataFrame, met: DataFrame, model: Model) -> DataFrame:
     whole = texts.select("uid", "doc_id", "held_out", "ids").mapInArrow(_score_rows(shared), _SCORE)
     base = float(model.words.tokens + model.words.distinct + 1)
     n, zero = F.col("n"), F.lit(0.0)
-    of_words = met.select("uid", (n > 0).cast("bigint").alias("k"), F.log10((n + 1) / F.lit(base)).alias("b"),
-                          F.log10((n + ADD_WORD) / F.get(F.lit(model.within), F.col("class"))).alias("s"))
-    steps = _steps(met).select("uid", F.lit(0).cast("bigint").alias("k"), zero.alias("b"), F.get(F.lit(model.moves.ravel()), F.col("a") * total + F.col("b")).alias("s"))
-    sums = of_words.unionAll(steps).groupBy("uid").agg(F.sum("k").alias("k"), F.sum("b").alias("b"), F.sum("s").alias("s"))
+    moves, c = F.lit(model.moves.ravel()), F.col("class")
+    sums = met.groupBy("uid").agg(
+        F.sum((n > 0).cast("bigint")).alias("k"), F.sum(F.log10((n + 1) / F.lit(base))).alias("b"),
+        F.sum(F.log10((n + ADD_WORD) / F.get(F.lit(model.within), c)) + F.get(moves, F.col("before") * total + c)
+              + F.when(F.col("after") >= 0, F.get(moves, c * total + F.col("after"))).otherwise(zero)).alias("s"))
     out = whole.join(sums, "uid", "left").select(
         "doc_id", "held_out", F.col("n").alias("n_tokens"), (F.col("known") + F.coalesce("k", F.lit(0))).alias("n_known"), F.lit(model.words.tokens).cast("bigint").alias("train_tokens"),
         (F.col("base") + F.coalesce("b", zero)).alias("base_score"), (F.col("score") + F.coalesce("s", zero)).alias("score"))
@@ -452,7 +449,7 @@ def scores(docs: DataFrame, model: Model, rest: DataFrame) -> DataFrame:
     empty table gives no rows."""
     texts = encoded(docs, model.words)
     lasting = _lookup(model.word_class, len(model.within) - 1, -1)
-    tokens = texts.select("uid", "learn", "ids", "others").mapInArrow(_other_tokens(lasting, lasting), _TOKEN)
+    tokens = texts.filter("size(others) > 0").select("uid", "learn", "ids", "others").mapInArrow(_other_tokens(lasting, lasting), _TOKEN)
     return _scored(texts, _met(tokens, rest, len(model.within) - 2), model)
 
 
