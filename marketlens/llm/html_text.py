@@ -39,17 +39,72 @@ CLOSES_P = frozenset("address article aside blockquote center details dir div dl
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
             "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, {"html"})}
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>])(?!(?:[^>]*(?:["'\s]|\s[\w-]+))?/>)[^>]*+>.*?(?:</\1(?=[\s/>])[^>]*+>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>|<[!?/][^>]*+>""", re.DOTALL | re.IGNORECASE)
+_TAG = re.compile(r"""(?P<comment><!--)(?:.*?-->|(?P<rest>.*))|<(?P<raw>script|style)(?=[\s/>])(?!(?:[^>]*(?:["'\s]|\s[\w-]+))?/>)[^>]*+>(?:.*?</(?P=raw)(?=[\s/>])[^>]*+>|(?P<open>.*))|"""
+                  r"""<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<tail>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|"""
+                  r"""<(?P<end2>/?)(?P<tag2>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<tail2>[^>]*+)>|<[!?/][^>]*+>""", re.DOTALL | re.IGNORECASE)
 _ATTR = re.compile(r"""\b(class|id|role|data-y|hidden|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 _CLOSED = re.compile(r"""(?:^|["'\s]|\s[\w-]+)/$""")   # not the end of a value without quotes
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+#: Groups of ``SIBLINGS``, and paragraphs, which every element but inline ones limits.
+_GROUPS = tuple(SIBLINGS) + ("p",)
+_ENDS = {t: [i for i, g in enumerate(_GROUPS[:-1]) if t in SIBLINGS[g][0]] for g in SIBLINGS for t in SIBLINGS[g][0]}
+_LIMITS = {t: [i for i, g in enumerate(_GROUPS[:-1]) if t in SIBLINGS[g][1]] for g in SIBLINGS for t in SIBLINGS[g][1]}
+_P = len(_GROUPS) - 1
+
+NEAR_NAMED = 8     # ancestors whose names are features: the innermost that have any
+NAMES = 32         # words of one element's class, id and role that are features, at most
+TAGS = 40          # different tags of ancestors that are features: the innermost
+
+
+class Node:
+    """An element. What its ancestors say is merged when it is opened, at a bounded cost each, so that
+    deep nesting takes time in proportion to the page."""
+    __slots__ = ("tag", "parent", "depth", "names", "near", "tags", "label", "inner", "link", "foreign", "article", "main", "named",
+                 "furniture", "open", "kids", "first", "last", "parted", "prose")
+
+    def __init__(self, tag: str, parent: Node | None, names: frozenset[str], label: str | None, at: int):
+        self.tag, self.parent, self.names, self.kids, self.first, self.last, self.parted, self.prose = tag, parent, names, None, at, at, False, 0.0
+        kind = _kind(tag, names)
+        if parent is None:
+            self.depth, self.near, self.tags, self.label, self.inner = 0, (), (), label, "nothing"
+            self.link = self.foreign = self.article = self.main = self.furniture = False
+            self.named = None     # the outermost element with a name of an article
+            self.open = (-1,) * len(_GROUPS)
+            return
+        self.depth = parent.depth + 1
+        self.near = (parent.near + (names,))[-NEAR_NAMED:] if names else parent.near
+        self.tags = parent.tags if tag in parent.tags else (parent.tags + (tag,))[-TAGS:]
+        self.label = parent.label if label is None else label
+        self.inner = kind or parent.inner
+        self.link = parent.link or tag == "a"
+        self.foreign = parent.foreign or tag in FOREIGN
+        self.article = parent.article or tag == "article"
+        self.main = parent.main or tag in MAIN_TAGS
+        self.named = parent.named or (self if names & _article_names() else None)
+        self.furniture = parent.furniture or tag in FURNITURE_TAGS
+        self.open = parent.open
+        if tag not in INLINE or tag in _ENDS or tag in _LIMITS:
+            near = list(parent.open)
+            for i in _LIMITS.get(tag, ()):
+                near[i] = -1
+            for i in _ENDS.get(tag, ()):
+                near[i] = self.depth
+            near[_P] = self.depth if tag == "p" else -1
+            self.open = tuple(near)
+            if parent.kids is None:
+                parent.kids = {}
+            parent.kids[tag, names] = parent.kids.get((tag, names), 0) + 1
+            parent.parted = True
+
+
 @dataclass(slots=True)
 class Block:
     text: str
-    tags: tuple[str, ...]        # ancestors, outermost first
-    names: frozenset[str]        # words of their class, id and role
+    node: Node                   # the innermost element around it that is not inline
+    tags: tuple[str, ...]        # different tags of its ancestors, outermost first
+    near: tuple[frozenset[str], ...]   # words of class, id and role of the innermost ancestors that have any
     linked: float                # share of text inside links
     inner: str                   # what the innermost telling ancestor is: furniture, article or nothing
     label: str | None            # data-y of the innermost ancestor that has it
@@ -57,14 +112,14 @@ class Block:
 
 @lru_cache(maxsize=4096)
 def _attributes(tail: str) -> tuple[frozenset[str], str | None]:
-    names, label = set(), None
+    names, label = {}, None
     for m in _ATTR.finditer(tail):
         value = m[2] or m[3] or m[4] or ""
         if m[1].lower() == "data-y":
             label = value
         else:
-            names.update(w.lower() for w in _NAME.findall(value))
-    return frozenset(names), label
+            names.update((w.lower(), None) for w in _NAME.findall(value))
+    return frozenset(list(names)[:NAMES]), label
 
 
 @lru_cache(maxsize=4096)
@@ -78,12 +133,13 @@ def _kind(tag: str, names: frozenset[str]) -> str | None:
 
 
 def blocks(page: str) -> list[Block]:
-    """Leaf blocks with text, in page order. Scripts, styles, comments and the like have none."""
+    """Leaf blocks with text, in page order. Scripts, styles, comments and the like have none. Takes time in
+    proportion to the page, however deep its elements are nested and whatever they leave unclosed."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset[str], str | None]] = []
+    stack = [Node("", None, frozenset(), None, 0)]
+    opened: dict[str, int] = {}
     pieces: list[str] = []
     links = 0
-    in_link = 0
 
     def flush():
         nonlocal pieces, links
@@ -91,42 +147,47 @@ def blocks(page: str) -> list[Block]:
             raw = "".join(pieces)
             text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
             if text:
-                names = frozenset().union(*[s[1] for s in stack])
-                label = next((s[2] for s in reversed(stack) if s[2] is not None), None)
-                inner = next((k for k in (_kind(s[0], s[1]) for s in reversed(stack)) if k), "nothing")
-                out.append(Block(text, tuple(s[0] for s in stack), names, min(1.0, links / max(1, len(raw))), inner, label))
+                top = own = stack[-1]
+                while own.tag in INLINE and own.parent is not None and top.depth - own.depth < TAGS:
+                    own = own.parent
+                out.append(Block(text, own, top.tags, top.near, min(1.0, links / max(1, len(raw))), top.inner, top.label))
         pieces, links = [], 0
 
-    def close(index: int):
-        nonlocal in_link
-        if any(s[0] not in INLINE for s in stack[index:]):
+    def close(depth: int):
+        if any(stack[i].tag not in INLINE for i in range(depth, len(stack))):
             flush()
-        del stack[index:]
-        in_link = sum(s[0] == "a" for s in stack)
+        while len(stack) > depth:
+            gone = stack.pop()
+            gone.last = len(out)
+            opened[gone.tag] -= 1
 
     def add(text: str):
         nonlocal links
         if text:
             pieces.append(text)
-            if in_link:
+            if stack[-1].link:
                 links += len(text)
 
     at = 0
-    for m in _TAG.finditer(page):
+    # behind the last > there is no tag; an unfinished comment or script goes on to the end
+    for m in _TAG.finditer(page, 0, page.rfind(">") + 1):
         add(page[at:m.start()])
         at = m.end()
-        tag = m[3] or m[6]
+        if m["rest"] is not None or m["open"] is not None:
+            at = len(page)
+            break
+        tag = m["tag"] or m["tag2"]
         if tag is None:
             continue
         tag = tag.lower()
-        if m[2] or m[5]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
-            else:
-                if tag not in INLINE:
-                    flush()
+        if m["end"] or m["end2"]:
+            if opened.get(tag):
+                depth = len(stack) - 1
+                while stack[depth].tag != tag:
+                    depth -= 1
+                close(depth)
+            elif tag not in INLINE:
+                flush()
             continue
         if tag in VOID:
             if tag == "br":
@@ -134,44 +195,90 @@ def blocks(page: str) -> list[Block]:
             elif tag == "hr":
                 flush()
             continue
-        if tag in CLOSES_P:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p":
-                    close(i)
-                    break
-                if stack[i][0] not in INLINE:
-                    break
-        if tag in SIBLINGS:
-            ends, limit = SIBLINGS[tag]
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in ends:
-                    close(i)
-                    break
-                if stack[i][0] in limit:
-                    break
+        if tag in CLOSES_P and stack[-1].open[_P] > 0:
+            close(stack[-1].open[_P])
+        if tag in SIBLINGS and stack[-1].open[_GROUPS.index(tag)] > 0:
+            close(stack[-1].open[_GROUPS.index(tag)])
         if tag not in INLINE:
             flush()
-        tail = m[4] or m[7] or ""
-        if tail.endswith("/") and (tag in EMBEDDED or "-" in tag or any(s[0] in FOREIGN for s in stack)) and _CLOSED.search(tail):
+        tail = m["tail"] or m["tail2"] or ""
+        if tail.endswith("/") and (tag in EMBEDDED or "-" in tag or stack[-1].foreign) and _CLOSED.search(tail):
             continue
         names, label = _attributes(tail.strip()) if "=" in tail else (frozenset(), None)
-        stack.append((tag, names, label))
-        in_link += tag == "a"
+        stack.append(Node(tag, stack[-1], names, label, len(out)))
+        opened[tag] = opened.get(tag, 0) + 1
     add(page[at:])
     flush()
+    for node in stack:
+        node.last = len(out)
     return out
 
 
+def _densest(page: list[Block]) -> Node | None:
+    """The element whose children hold most of the text outside links and furniture: a block's characters
+    count for the element around it, and half for the next one out."""
+    found: dict[int, Node] = {}
+    for b in page:
+        if b.inner != "furniture":
+            worth = len(b.text) * (1.0 - b.linked)
+            for node, part in ((b.node.parent, 1.0), (b.node.parent and b.node.parent.parent, 0.5)):
+                if node is not None:
+                    if id(node) not in found:
+                        found[id(node)], node.prose = node, 0.0
+                    node.prose += part * worth
+    return max(found.values(), key=lambda n: (n.prose, -n.first, n.depth), default=None)
+
+
+def _marked(page: list[Block]) -> list[str]:
+    """Whether each block is inside what the page marks as its article, by tag or else by name: in, out, or none
+    if it marks nothing."""
+    size = [len(b.text) if b.inner != "furniture" else 0 for b in page]
+    article, main = (sum(n for n, b in zip(size, page) if getattr(b.node, k)) for k in ("article", "main"))
+    if article or main:      # <main> around a few small <article>s is the article itself
+        scope = "article" if article and 2 * article >= main else "main"
+        return ["in" if getattr(b.node, scope) else "out" for b in page]
+    held: dict[Node, int] = {}
+    for n, b in zip(size, page):
+        if b.node.named:
+            held[b.node.named] = held.get(b.node.named, 0) + n
+    most = max(held, key=lambda k: (held[k], -k.first), default=None)
+    if most is None or 2 * held[most] < sum(size):      # a name counts only with most of the text in it
+        return ["none"] * len(page)
+    return ["in" if b.node.named is most else "out" for b in page]
+
+
+def _repeats(node: Node) -> int:
+    """How often structure like that around a block is repeated: the most siblings with the same tag and names of
+    one of the three elements around it that have parts or names."""
+    most = 0
+    for _ in range(3):
+        if node.parent is None:
+            break
+        if node.parted or node.names:
+            most = max(most, (node.parent.kids or {}).get((node.tag, node.names), 0))
+        node = node.parent
+    return min(most.bit_length(), 4)
+
+
 def features(page: list[Block]) -> list[list[str]]:
     """Feature names of each block."""
     out = []
+    dense, marked = _densest(page), _marked(page)
     for i, b in enumerate(page):
-        own = next((t for t in reversed(b.tags) if t not in INLINE), "")
+        own = b.node.tag
         n = len(b.text.split()) if len(b.text) < 400 else 64
         f = ["bias", "tag=" + own, f"words={n.bit_length()}", f"links={round(b.linked * 4)}", f"end={b.text[-1] if not b.text[-1].isalnum() else 'a'}"]
-        f += ["in=" + t for t in set(b.tags) if t not in ("html", "body")]
-        f += ["name=" + w for w in b.names]
-        f += ["inner=" + b.inner, f"inner={b.inner} links={round(b.linked * 2)}"]
+        f += ["in=" + t for t in b.tags if t not in ("html", "body")]
+        names = frozenset().union(*b.near)
+        f += ["name=" + w for w in names]
+        f += ["begins=" + w for w in {w[:4] for w in names if len(w) > 4}]
+        f += ["inner=" + b.inner, f"inner={b.inner} links={round(b.linked * 2)}", f"inner={b.inner} marked={marked[i]}", "marked=" + marked[i],
+              f"marked={marked[i]} links={round(b.linked * 2)}"]
+        inside = dense is not None and dense.first <= i < dense.last and b.node.depth >= dense.depth
+        place = f"in{min(b.node.depth - dense.depth, 3)}" if inside else "before" if dense is None or i < dense.first else "after"
+        f += ["dense=" + place, f"dense={place} marked={marked[i]}", f"dense={place} inner={b.inner}"]
+        repeats = _repeats(b.node)
+        f += [f"repeats={repeats}", f"repeats={repeats} dense={place}"]
         f.append(f"first={i < 2}")
         if n <= 12:
             f += ["word=" + w.strip(".,:;!?()").lower() for w in set(b.text.split())]
@@ -225,7 +332,7 @@ ARTICLE_NAMES = "content article post entry story body main text blog news".spli
 
 def _markup_labels(page: list[Block]) -> list[int] | None:
     """Labels by markup; None if the page has no marked article."""
-    y = [int(b.inner == "article" and bool(MAIN_TAGS & set(b.tags)) and not FURNITURE_TAGS & set(b.tags)) for b in page]
+    y = [int(b.inner == "article" and b.node.main and not b.node.furniture) for b in page]
     return y if any(y) else None
 
 
@@ -255,8 +362,18 @@ def template_page(rng: random.Random) -> str:
         items = "".join(f"<{kind}><a href='/{word()}'>{words(1, 3, '')}</a></{kind}>" for _ in range(n))
         return f"<ul>{items}</ul>" if kind == "li" else items
 
-    def furniture():
-        name = rng.choice(FURNITURE_NAMES)
+    def thread():
+        """Reader comments: the same structure some times, under any name."""
+        name, part, tag = word(), rng.choice([f" class='{word()}'", ""]), rng.choice(["div", "div", "li", "section"])
+        who = rng.choice([lambda: f"<b>{word()}</b>", lambda: f"<div>{word()}</div>", lambda: f"<span>{word()}</span> <time>{rng.randint(1, 28)}.{rng.randint(1, 12)}.</time>", lambda: ""])
+        flat = rng.random() < 0.4
+        one = (lambda: f"<p>{rng.choice([word() + ': ', ''])}{words(2, 30)}</p>") if flat else (lambda: f"<{tag}{part}>{who()}<p>{words(2, 40)}</p></{tag}>")
+        title = rng.choice(["", f"<h3>{words(1, 2, '')}</h3>"])
+        full = rng.choice([name, f"{rng.choice(ARTICLE_NAMES)}-{name}", f"{name}{rng.randint(1, 9)}", f"{word()}-{rng.choice(ARTICLE_NAMES)}s"])
+        return f"<div {rng.choice(['class', 'id'])}='{full}' data-y='0'>{title}{''.join(one() for _ in range(rng.randint(1 if flat else 2, 6)))}</div>"
+
+    def furniture(listed=True):
+        name = rng.choice(FURNITURE_NAMES) if listed else word()
         tag = rng.choice(["div", "div", "div", "section", "aside", "ul", "p"])
         key = rng.choice(["class", "class", "id"])
         full = rng.choice([name, f"{name}-{rng.choice(['box', 'bar', 'list', 'area', 'wrap'])}", f"{word()} {name}", f"{name}{rng.randint(1, 9)}"])
@@ -284,7 +401,12 @@ def template_page(rng: random.Random) -> str:
                 out.append("<ul>" + "".join(f"<li>{words(2, 20)}</li>" for _ in range(rng.randint(1, 5))) + "</ul>")
             elif x < 0.88:
                 out.append(f"<blockquote>{words(5, 40)}</blockquote>")
-            elif x < 0.91:
+            elif x < 0.90:
+                out.append(f"<ul>{''.join(f'<li><a href=/{word()}>{words(1, 6, rng.choice(list(("", "."))))}</a></li>' for _ in range(rng.randint(1, 6)))}</ul>")
+            elif x < 0.92:
+                out.append(f"<{rng.choice(['div', 'section'])} class='{word()}'><p>{words(8, 80)}</p><p>{words(8, 80)}</p>")
+                out[-1] += f"</{out[-1][1:].split(' ')[0]}>"
+            elif x < 0.94:
                 out.append(f"<p>{words(3, 20, '')} <a href='/x'>{words(1, 4, '')}</a> {words(3, 30)}</p>")
             else:
                 out.append(rng.choice([furniture, by_tag])())
@@ -300,8 +422,13 @@ def template_page(rng: random.Random) -> str:
         body = f"<div {rng.choice(['class', 'id'])}='{rng.choice(ARTICLE_NAMES)}{rng.choice(['', '-body', '-text', ' full'])}' data-y='1'>{inner}</div>"
     else:
         body = f"<div data-y='1'>{inner}</div>"
-    before = "".join(rng.choice([furniture, by_tag])() for _ in range(rng.randint(0, 3)))
-    after = "".join(rng.choice([furniture, furniture, by_tag])() for _ in range(rng.randint(0, 3)))
+    def unseen():
+        return furniture(False)
+
+    # an article that nothing marks has only listed names and threads beside it
+    plain = [furniture] if kind >= 0.9 else [furniture, unseen]
+    before = "".join(rng.choice([*plain, by_tag])() for _ in range(rng.randint(0, 3)))
+    after = "".join(rng.choice([*plain, by_tag, thread])() for _ in range(rng.randint(0, 3)))
     head = f"<header data-y='0'><div>{words(1, 4, '')}</div>{links(rng.randint(0, 4))}</header>" if rng.random() < 0.4 else ""
     foot = f"<footer data-y='0'>&copy; {words(1, 6)} {words(2, 14)}</footer>" if rng.random() < 0.7 else ""
     return f"<html><head><title data-y='0'>{words(2, 9, '')}</title></head><body>{head}{before}{body}{after}{foot}</body></html>"

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -247,6 +248,47 @@ def test_html_elements_do_not_swallow_what_follows():
     assert "in=svg" in html_text.features(found)[2]
 
 
+def test_html_names_that_training_never_saw(model):
+    """Comments, notices and sidebars go by where they stand and how they repeat; a list of links in the article stays."""
+    text = ["The title of it", "First paragraph of the article that goes on for a number of words here.", "Second paragraph, also of some length, and with words.",
+            "One further reading", "Another page", "Third."]
+    inner = (f"<h1>{text[0]}</h1><p>{text[1]}</p><p>{text[2]}</p><ul><li><a href=/x>{text[3]}</a></li><li><a href=/y>{text[4]}</a></li></ul><p>{text[5]}</p>")
+    flat = "<p>bob: I liked that a lot, thank you.</p><p>eve: I did not like it, no.</p>"
+    parts = "<div class=one><b>bob</b><p>I liked that a lot, thank you.</p></div><div class=one><b>eve</b><p>I did not.</p></div>"
+    top = "<body><nav><ul><li><a href=/>Home</a></li><li><a href=/n>News</a></li></ul></nav>"
+    for name in ("story-reactions", "thread", "user-posts", "qx3", "kommentare"):
+        for wrap in ("<article>{}</article>", "<main>{}</main>", "<div class='content'>{}</div>", "<div class='zz'>{}</div>"):
+            for said in (flat, parts):
+                page = f"{top}{wrap.format(inner)}<div class='{name}'>{said}</div><footer>&copy; Site</footer></body>"
+                assert html_text.main_text(model, page) == " ".join(text), (name, wrap, said)
+        for wrap in ("<article>{}</article>", "<main>{}</main>"):
+            page = f"{top}<div class='{name}'>This site keeps small files on your device.</div>{wrap.format(inner)}<div class='{name}'><h3>Also</h3><p>Something else to read here.</p></div></body>"
+            assert html_text.main_text(model, page) == " ".join(text), (name, wrap)
+
+
+@pytest.mark.parametrize("part", ["<div>a", "<b>x", "<a ", "<ul><li>x<div>", "<p title=\"a'>", "<script ", "</i>x</em>", "<!--", "<x-{}>a", "<div class='n{} m'>a"])
+def test_html_time_grows_with_the_page(part):
+    """Deep nesting, tags that never end and stray end tags: no more than in proportion, and nothing is lost."""
+    def seconds(n):
+        page = "".join(part.replace("{}", str(i)) for i in range(n))
+        start = time.process_time()
+        found = html_text.blocks(page)
+        html_text.features(found)
+        return time.process_time() - start, found
+
+    small, _ = seconds(10_000)
+    large, found = seconds(80_000)
+    assert large < 8 * 4 * max(small, 0.05)
+    if part in ("<div>a", "<x-{}>a"):
+        assert [b.text for b in found] == ["a"] * 80_000
+
+
+def test_html_unfinished_comment_and_script_go_to_the_end():
+    assert [b.text for b in html_text.blocks("<p>a</p><!-- <p>b</p> and so on")] == ["a"]
+    assert [b.text for b in html_text.blocks("<p>a</p><script>x > 1; and so on")] == ["a"]
+    assert [b.text for b in html_text.blocks("<p>a</p> and so on < 3")] == ["a", "and so on < 3"]
+
+
 def test_html_trains_on_whole_pages():
     names = [["a"]] * 400 + [["b"]] * 40
     model = html_text.train([(names, [0] * 400 + [1] * 40), ([["a"]] * 3, [0, 0, 0])])
