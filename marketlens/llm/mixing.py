@@ -10,9 +10,10 @@ than one block away from its target.
 Weights are held as whole shares of a cycle of ``cycle`` slots. Every window
 pattern repeats with the cycle, and so does the schedule: it is made once for
 one cycle, and a block's slot follows by arithmetic. When a source runs out,
-a new phase starts in which the others keep the ratio of their weights. So the
-driver holds a table bounded by the number of weights given and the cycle; it never
-grows with the data."""
+a new phase starts in which the others keep the ratio of their weights.
+
+Every source is a class with a weight of its own: those that are not named share the weight of ``*``
+equally. The driver holds a table bounded by ``OWN`` classes and the cycle; it never grows with the rows."""
 
 from __future__ import annotations
 
@@ -24,10 +25,13 @@ from pyspark.sql import functions as F
 
 from marketlens.llm.base import pick, position, saved
 
-OTHERS = "*"          # the class of sources without a weight of their own
+OTHERS = "*"          # all sources that are not named; as a class: null, and those behind the OWN largest
+OWN = 256             # sources not named that are a class each: the largest by characters
 BLOCK_CHARS = 65_536
 CYCLE = 1_000
 BUCKET_DOCS = 5_000   # documents in one bucket of a source, on average
+BUCKETS = 10          # 2^10 buckets are summed up at a time
+COPIES = 1_000        # copies of one row that a step sets out at a time
 
 
 def shares(weights: dict[str, float], cycle: int = CYCLE) -> dict[str, int]:
@@ -92,43 +96,73 @@ def phases(weights: dict[str, float], blocks: dict[str, int], cycle: int = CYCLE
     return spans, patterns
 
 
+def own_weights(sources: DataFrame, weights: dict[str, float], own: int = OWN) -> dict[str, float]:
+    """Weight of each class of a table of ``(source, total)``. Sources not named share the weight of ``*`` equally;
+    the ``own`` largest are classes of their own, ``*`` stands for null and the rest with the sum of their weights."""
+    named = [k for k in weights if k != OTHERS]
+    # a null source is one more, in class *
+    others = sources.filter(F.col("source").isNull() | ~F.col("source").isin(named))
+    n = others.count()
+    if not n:
+        return {k: weights[k] for k in named}
+    each = weights[OTHERS] / n
+    top = [r["source"] for r in others.filter(F.col("source") != OTHERS).orderBy(F.desc("total"), "source").limit(own).collect()]
+    rest = {OTHERS: (n - len(top)) * each} if n > len(top) else {}
+    return {k: weights[k] for k in named} | dict.fromkeys(top, each) | rest
+
+
+def _starts(sums: DataFrame) -> DataFrame:
+    """``class, bucket, start``: characters of a class in the buckets before. Prefix sums of groups of buckets, then inside each group."""
+    sums = sums.withColumn("high", F.shiftright("bucket", BUCKETS))
+    before = Window.unboundedPreceding, -1
+    tops = sums.groupBy("class", "high").agg(F.sum("total").alias("held"))
+    tops = tops.select("class", "high", F.coalesce(F.sum("held").over(Window.partitionBy("class").orderBy("high").rowsBetween(*before)), F.lit(0)).alias("base"))
+    inside = F.coalesce(F.sum("total").over(Window.partitionBy("class", "high").orderBy("bucket").rowsBetween(*before)), F.lit(0))
+    return sums.withColumn("inside", inside).join(tops, ["class", "high"]).select("class", "bucket", "total", (F.col("base") + F.col("inside")).alias("start"))
+
+
 def schedule(docs: DataFrame, weights: dict[str, float], block_chars: int = BLOCK_CHARS, cycle: int = CYCLE,
-             seed: int = 17) -> DataFrame:
+             seed: int = 17, own: int = OWN) -> DataFrame:
     """One row per input row: ``doc_id, source, class, block, slot, release,
     deadline, place, h2`` (place: order inside the block; h2: hash of the text). Ordering by ``slot, place`` gives the mix.
 
-    ``weights`` gives the share of characters of each named source; ``*`` (added
-    with the mean weight if it is missing) covers every other source and null. Inside
-    a source the order is a seeded hash of ``doc_id``. An empty or null text counts one
-    character, so each row is sent once; a text longer than a block takes
-    the slots of all blocks it covers and stands at the first. Rows with the same or a null
-    ``doc_id`` are rows of their own. No row is dropped or repeated. An empty table gives no
-    rows; a source without rows is left out from the start."""
+    ``weights`` gives the share of characters of each named source; ``*`` (added with the mean weight if it is
+    missing) is shared equally by all other sources, null among them, each of which is a class of its own
+    (``own_weights``; the cycle has at least four slots for each class). Inside a source the order is a seeded hash of ``doc_id`` and
+    text. An empty or null text counts one character, so each row is sent once; a text longer than a block takes
+    the slots of all blocks it covers and stands at the first. Rows with the same or a null ``doc_id`` are rows of their own;
+    equal rows are counted before they are shuffled, and set out again one after the other. No row is dropped or repeated. An empty
+    table gives no rows; a source without rows is left out from the start."""
     if OTHERS not in weights:
         weights = weights | {OTHERS: sum(weights.values()) / len(weights)}
     rows = pick(docs, "doc_id", "source", "text").select(
-        "doc_id", "source", F.when(F.col("source").isin([k for k in weights if k != OTHERS]), F.col("source")).otherwise(F.lit(OTHERS)).alias("class"),
-        F.greatest(F.coalesce(F.char_length("text"), F.lit(0)), F.lit(1)).cast("bigint").alias("size"),
-        F.xxhash64(F.lit(seed), "doc_id").alias("h"), F.xxhash64("text").alias("h2"))
+        "doc_id", "source", F.greatest(F.coalesce(F.char_length("text"), F.lit(0)), F.lit(1)).cast("bigint").alias("size"), F.xxhash64("text").alias("h2"))
+    rows = rows.groupBy("doc_id", "source", "size", "h2").agg(F.count("*").alias("copies")).withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "h2"))
     rows = saved(rows, "mix-rows")
+    per_source = saved(rows.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("total")), "mix-sources")
+    weights = own_weights(per_source, weights, own)
+    cycle = max(cycle, 4 * len(weights))
     n = max(1, rows.count() // BUCKET_DOCS)
     bucket = F.shiftrightunsigned("h", 33).cast("bigint") * n
-    rows = rows.withColumn("bucket", F.shiftright(bucket, 31))
-    sums = rows.groupBy("class", "bucket").agg(F.sum("size").alias("total"))
-    upto = Window.partitionBy("class").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = saved(sums.withColumn("start", F.coalesce(F.sum("total").over(upto), F.lit(0))), "mix-starts")
-    # one row per weight at most
+    named = [k for k in weights if k != OTHERS]
+    rows = rows.withColumn("class", F.when(F.col("source").isin(named), F.col("source")).otherwise(F.lit(OTHERS))).withColumn("bucket", F.shiftright(bucket, 31))
+    starts = saved(_starts(rows.groupBy("class", "bucket").agg(F.sum(F.col("size") * F.col("copies")).alias("total"))), "mix-starts")
+    # one row per class at most
     ends = {r["class"]: r["end"] for r in starts.groupBy("class").agg(F.max(F.col("start") + F.col("total")).alias("end")).collect()}
     blocks = {k: -(-v // block_chars) for k, v in ends.items()}
     spans, patterns = phases(weights, blocks, cycle)
     spark = docs.sparkSession
     spans = spark.createDataFrame(spans, "phase long, class string, first_block long, blocks long, first_slot long, share long, cycle long").filter("blocks > 0")
     patterns = spark.createDataFrame(patterns, "phase long, class string, turn long, offset long, release long, deadline long")
-    before = Window.partitionBy("class", "bucket").orderBy("h", "doc_id", "h2", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("ahead", F.coalesce(F.sum("size").over(before), F.lit(0)))
-    # buckets are many, weights and cycle are bounded: only the latter are broadcast
+    before = Window.partitionBy("class", "bucket").orderBy("h", "doc_id", "h2", "size", "source").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("ahead", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(before), F.lit(0)))
+    # buckets are many, classes and cycle are bounded: only the latter are broadcast
     rows = rows.join(starts.select("class", "bucket", "start"), ["class", "bucket"])
-    at = F.col("start") + F.col("ahead")
+    # copies are set out in steps, which are spread over the tasks
+    rows = rows.withColumn("step", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / COPIES)))).repartition("h", "step")
+    upto = F.least(F.lit(COPIES), F.col("copies") - F.col("step") * COPIES) - 1
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), upto)))
+    at = F.col("start") + F.col("ahead") + (F.col("step") * COPIES + F.col("copy")) * F.col("size")
     rows = rows.select("doc_id", "source", "class", "h2", F.floor(at / block_chars).cast("bigint").alias("block"), (at % block_chars).alias("place"))
     rows = rows.join(F.broadcast(spans), "class").filter("block >= first_block and block < first_block + blocks")
     index = F.col("block") - F.col("first_block")

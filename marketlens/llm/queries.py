@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
-#: Share of characters for each source of the corpus; ``*`` stands for all others.
+#: Share of characters for each source of the corpus; all others share that of ``*`` equally.
 TARGETS = {"src0": 0.20, "src1": 0.10, "src2": 0.10, "src3": 0.10, "*": 0.50}
 
 

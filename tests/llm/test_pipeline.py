@@ -126,16 +126,17 @@ def test_mix_order_comes_with_the_token_ids(spark, tmp_path):
     want = {r["doc_id"]: (r["slot"], r["place"]) for r in mixing.schedule(docs, TARGETS).collect()}
     assert {r["doc_id"]: (r["slot"], r["place"]) for r in rows} == want
     rows.sort(key=lambda r: (r["slot"], r["place"]))
-    of = [r["source"] if r["source"] in TARGETS else "*" for r in rows]
-    blocks = {k: -(-of.count(k) // 4) for k in TARGETS}
-    sent, slots = dict.fromkeys(TARGETS, 0), {}
+    targets = {k: w for k, w in TARGETS.items() if k != "*"} | dict.fromkeys("abc", TARGETS["*"] / 3)
+    of = [r["source"] for r in rows]
+    blocks = {k: -(-of.count(k) // 4) for k in targets}
+    sent, slots = dict.fromkeys(targets, 0), {}
     for r, k in zip(rows, of, strict=True):
         slots[r["slot"]] = k
     for n, slot in enumerate(sorted(slots), 1):
         sent[slots[slot]] += 1
-        if any(sent[k] == blocks[k] for k in TARGETS):   # a source runs out: its slots go to the others
+        if any(sent[k] == blocks[k] for k in targets):   # a source runs out: its slots go to the others
             break
-        assert all(abs(sent[k] - n * w) < 1 for k, w in TARGETS.items())
+        assert all(abs(sent[k] - n * w / mixing.CYCLE) < 1 for k, w in mixing.shares(targets).items())
     assert n > 20
 
 

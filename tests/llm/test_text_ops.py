@@ -183,11 +183,57 @@ def test_schedule_equals_slot_by_slot(spark):
     rows = mixing.schedule(df, weights, block_chars=40, cycle=20).collect()
     assert sorted(r["doc_id"] for r in rows) == list(range(400))
     last = {}
-    for k in ("a", "b", "*"):
-        size = sum(max(1, r["n_chars"]) for r in df.collect() if (r["source"] if r["source"] in ("a", "b") else "*") == k)
+    for k in ("a", "b", "c", "zzz", "*"):
+        size = sum(max(1, r["n_chars"]) for r in df.collect() if (r["source"] or "*") == k)
         last[k] = -(-size // 40)
-    slots = brute_slots(weights, last, 20)
-    assert all(slots[r["class"], r["block"]] == r["slot"] and r["release"] <= r["slot"] < r["deadline"] for r in rows)
+    # c, zzz and null share the weight of *
+    slots = brute_slots({"a": 0.5, "b": 0.3, "c": 0.2 / 3, "zzz": 0.2 / 3, "*": 0.2 / 3}, last, 20)
+    assert all(r["class"] == (r["source"] or "*") for r in rows) and all(slots[r["class"], r["block"]] == r["slot"] and r["release"] <= r["slot"] < r["deadline"] for r in rows)
+
+
+def test_every_source_within_a_block_of_its_weight(spark):
+    """Twenty sources, four of them named, one of them with a third of all rows."""
+    rng = random.Random(3)
+    weights = {"s0": 0.2, "s1": 0.1, "s2": 0.1, "s3": 0.1, "*": 0.5}
+    sources = [f"s{rng.randrange(20)}" if rng.random() < 0.67 else "s7" for _ in range(3000)]
+    rows = mixing.schedule(docs_of(spark, ["x" * rng.randint(1, 60) for _ in sources], sources), weights, block_chars=40).collect()
+    assert len(rows) == 3000
+    of = {}
+    for r in rows:
+        assert r["class"] == r["source"]
+        of.setdefault(r["source"], set()).add(r["block"])
+    slots = {r["slot"]: r["class"] for r in rows}
+    parts = mixing.shares({f"s{i}": weights.get(f"s{i}", 0.5 / 16) for i in range(20)})
+    blocks = {k: max(v) + 1 for k, v in of.items()}
+    end = min(blocks[k] * mixing.CYCLE // n for k, n in parts.items()) - 1      # until a source runs out
+    sent = dict.fromkeys(parts, 0)
+    held = {(r["class"], r["block"]): r["slot"] for r in rows}
+    for k in parts:     # a block that starts no document has no row, but a slot of its own
+        for b in range(blocks[k]):
+            if (k, b) in held and held[k, b] < end:
+                assert b * mixing.CYCLE // parts[k] <= held[k, b] < -(-(b + 1) * mixing.CYCLE // parts[k])
+                sent[k] += 1
+    assert sum(sent.values()) > 100 and min(sent.values()) > 0 and len(slots) == len(held)
+
+
+def test_schedule_of_copies_and_many_sources(spark, monkeypatch):
+    """Equal rows and null ids are set out one after the other; sources behind the largest share class ``*``."""
+    monkeypatch.setattr(mixing, "COPIES", 7)
+    monkeypatch.setattr(mixing, "BUCKET_DOCS", 3)
+    monkeypatch.setattr(mixing, "BUCKETS", 2)
+    rows = [(None, "same text", "a")] * 50 + [(None, f"text {i}", "a") for i in range(30)] + [(4, "z" * 90, f"s{i}") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.schedule(df, {"a": 0.5, "*": 0.5}, block_chars=20, own=2).collect()
+    assert sorted(str((r["doc_id"], r["source"])) for r in got) == sorted(str((r[0], r[2])) for r in rows)
+    assert {r["class"] for r in got} == {"a", "s0", "s1", "*"} and sum(r["class"] == "*" for r in got) == 4
+    assert len({(r["slot"], r["place"]) for r in got}) == len(rows)      # no two rows at one place
+    at = sorted(r["block"] * 20 + r["place"] for r in got if r["class"] == "a")
+    assert at[0] == 0 and {b - a for a, b in zip(at, at[1:])} <= {6, 7, 9}      # no gaps: sizes of the texts
+    assert own_of(spark, {"b": 1.0, "*": 1.0}) == {"b": 1.0, "a": 0.5, "*": 0.5}
+
+
+def own_of(spark, weights):
+    return mixing.own_weights(spark.createDataFrame([("a", 5), (None, 3)], "source string, total long"), weights)
 
 
 def test_mixing_edges(spark):
