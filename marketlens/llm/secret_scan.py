@@ -1,10 +1,11 @@
 """Secret scans (operator 4): assignment-aware lexing.
 
-Source and configuration text is parsed into name-literal pairs (``name =
-"literal"``, ``name: literal``, ``name := 'literal'``, ``"name" => "literal"``,
-joined literals ``"a" + "b"``). Constants are propagated: a pair whose value is
-the name of a literal bound earlier in the text binds that literal to the new
-name as well, through any number of steps. Each literal is then scored by how
+Source and configuration text is lexed from each name on into name-literal pairs: assignments (``name =
+"literal"``, ``name: type = ...``, ``"name" => 'literal'``) whose value is a string (plain, escaped, raw, over several
+lines), strings joined by ``+``, a list of strings, a bare word or an indented YAML block; elements (``<name>literal</name>``),
+options (``--name literal``) and arguments (``set("name", "literal")``). Constants are propagated: a value that
+is the name of another binding - the last one before it, else the first one behind it - hands the target's
+sensitivity on to that binding's literals, through any number of steps. Each literal is then scored by how
 sensitive its target names are and how much it looks like key material; those
 at or above ``THRESHOLD`` become spans of kind ``pair``. Three fixed patterns
 (``assign``, ``access``, ``hex``) give the base spans, which always stay."""
@@ -13,7 +14,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,9 +40,19 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")   # runs are maximal, so shorter ones need no match
 
 # --- the lexer -----------------------------------------------------------------
-_VALUE = r"""(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[^\s"',;#(){}\[\]<>|+][^\s"',;#(){}\[\]<>|]*)"""
-PAIR = re.compile(rf"""(?<![\w.\-])([A-Za-z_][\w.\-]*+)["']?[\x20\t]*(?::=|=>|==?|:)[\x20\t]*({_VALUE}(?:[\x20\t]*\+[\x20\t]*{_VALUE})*)""", re.ASCII)
-VALUE = re.compile(_VALUE)
+#: What may begin a pair: a name and a sign of assignment, an element, an option, or a name and the comma behind it in a call.
+FORM = re.compile(r"""(?<![\w.\-])(?P<name>[A-Za-z_][\w.\-]*+)["']?[\x20\t]*(?P<sign>:=|=>|==?|:)[\x20\t]*"""
+                  r"""|<(?P<element>[A-Za-z_][\w.\-:]*+)(?:\s[^<>]*+)?>\s*(?P<inside>[^<>]*[^<>\s])\s*</(?P=element)\s*>"""
+                  r"""|(?<![\w\-])--(?P<option>[A-Za-z][\w.\-]*+)[\x20\t]+(?!-)"""
+                  r"""|\(\s*+(?P<quote>["'])(?P<argument>[A-Za-z_][\w.\-]*+)(?P=quote)\s*+,\s*+(?=["'`])""", re.ASCII)
+STRING = re.compile(r"""[rRbBfFuU]{0,2}(?:\"{3}(?P<a>.*?)\"{3}|'{3}(?P<b>.*?)'{3}|"(?P<c>(?:[^"\\\n]|\\.)*+)"|'(?P<d>(?:[^'\\\n]|\\.)*+)'|`(?P<e>[^`\n]*+)`)""", re.DOTALL)
+BARE = re.compile(r"""[^\s"',;#(){}\[\]<>|+`][^\s"',;#(){}\[\]<>|`]*+""")
+PLUS = re.compile(r"[\x20\t]*\+[\x20\t]*")
+TYPED = re.compile(r"[\x20\t]*=(?!=)[\x20\t]*")
+LIST = re.compile(r"[\[(]\s*+")
+COMMA = re.compile(r"\s*+,\s*+")
+BLOCK = re.compile(r"[|>][+-]?\d?[+-]?[\x20\t]*+\r?\n")
+LINE = re.compile(r"([\x20\t]*+)([^\r\n]*+)(?:\r?\n|\r|\Z)")
 IDENTIFIER = re.compile(r"[A-Za-z_][\w.]*", re.ASCII)
 #: How sensitive the words of a name are.
 SENSITIVE = {"password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "secret": 1.0, "token": 0.9,
@@ -59,6 +72,7 @@ _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 def sensitivity(name: str) -> float:
     """0 to 1 by the words of a name (snake, kebab, dotted or camel case)."""
     words = [w.lower() for w in _WORDS.findall(name)]
+    words = [w[:-1] if w not in SENSITIVE and w.endswith("s") else w for w in words]
     single = max((SENSITIVE.get(w, 0.0) for w in words), default=0.0)
     double = max((TOGETHER.get(p, 0.0) for p in zip(words, words[1:])), default=0.0)
     return max(single, double)
@@ -80,29 +94,119 @@ def strength(literal: str) -> float:
     return min(1.0, 0.35 + bits / 8 + 0.1 * (classes - 1))
 
 
+@dataclass(slots=True)
+class Binding:
+    """A name, where it stands, and the spans bound to it; ``bare`` ones may be names themselves."""
+    name: str
+    at: int
+    quoted: list[tuple[int, int]]
+    bare: list[tuple[int, int]]
+
+
+def _part(text: str, at: int, found: Binding) -> int:
+    """Lexes one string or bare word; where it ends, -1 if there is none."""
+    m = STRING.match(text, at)
+    if m:
+        found.quoted.append(m.span(m.lastgroup))
+        return m.end()
+    m = BARE.match(text, at)
+    if m:
+        found.bare.append(m.span())
+        return m.end()
+    return -1
+
+
+def _value(text: str, at: int, found: Binding, typed: bool) -> int:
+    """Lexes the value at ``at``. Where to look for the next name: behind bare words, but inside of strings."""
+    block = BLOCK.match(text, at)
+    if block:
+        top, here = LINE.match(text, text.rfind("\n", 0, found.at) + 1), block.end()
+        while here < len(text):
+            line = LINE.match(text, here)
+            if line[2] and len(line[1]) <= len(top[1]):
+                break
+            if line[2].strip():
+                found.quoted.append((line.start(2), line.start(2) + len(line[2].rstrip())))
+            here = line.end()
+        return at + 1
+    some = LIST.match(text, at)
+    if some:
+        here = some.end()
+        while m := STRING.match(text, here):
+            found.quoted.append(m.span(m.lastgroup))
+            comma = COMMA.match(text, m.end())
+            if not comma:
+                break
+            here = comma.end()
+        return some.end()
+    end = here = at
+    while (here := _part(text, here, found)) >= 0:
+        end = here
+        plus = PLUS.match(text, end)
+        if not plus:
+            break
+        here = plus.end()
+    if typed and found.bare and not found.quoted and (m := TYPED.match(text, end)):
+        found.bare.clear()
+        return _value(text, m.end(), found, False)
+    return at + 1 if found.quoted else max(end, at)
+
+
+def bindings(text: str) -> list[Binding]:
+    """All name-literal pairs of a text, in its order."""
+    out, at = [], 0
+    while m := FORM.search(text, at):
+        name = m["name"] or m["element"] or m["option"] or m["argument"]
+        found = Binding(name, m.start(), [], [])
+        if m["element"]:
+            found.quoted.append(m.span("inside"))
+            at = m.start("inside")
+        else:
+            at = _value(text, m.end(), found, m["sign"] == ":")
+        if found.quoted or found.bare:
+            out.append(found)
+        at = max(at, m.start() + 1)
+    return out
+
+
 def pairs(text: str) -> list[tuple[int, int, str, float]]:
     """``(start, end, name, score)`` of the literals bound to names, scored."""
     if not HINT.search(text):
         return []
-    bound: dict[str, list[tuple[int, int]]] = {}
-    best: dict[tuple[int, int], tuple[float, str]] = {}
-    for m in PAIR.finditer(text):
-        name, spans = m[1], []
-        for v in VALUE.finditer(text, m.start(2), m.end(2)):
-            value = v[0]
-            if value[0] in "\"'":
-                spans.append((v.start() + 1, v.end() - 1))
-            elif value in bound and IDENTIFIER.fullmatch(value):
-                spans += bound[value]
+    bound = bindings(text)
+    places: dict[str, list[int]] = {}
+    for i, b in enumerate(bound):
+        places.setdefault(b.name, []).append(i)
+    literals, meant = [], []
+    for i, b in enumerate(bound):
+        spans, others = list(b.quoted), []
+        for s, e in b.bare:
+            at = places.get(text[s:e], []) if IDENTIFIER.fullmatch(text, s, e) else []
+            before = bisect_left(at, i)
+            other = at[before - 1] if before else next((j for j in at[:2] if j != i), None)
+            if other is None:
+                spans += [(s, e)] * (text[s:e] != b.name)     # secret=secret says nothing
             else:
-                spans.append(v.span())
-        bound[name] = spans = list(dict.fromkeys(spans))
-        worth = sensitivity(name)
-        if worth:
-            for s, e in spans:
-                score = worth * strength(text[s:e])
+                others.append(other)
+        literals.append(spans)
+        meant.append(others)
+    worth = [sensitivity(b.name) for b in bound]
+    best: dict[tuple[int, int], tuple[float, str]] = {}
+    seen = [False] * len(bound)
+    for i in sorted(range(len(bound)), key=lambda i: -worth[i]):     # the most sensitive target reaches a binding first
+        if not worth[i]:
+            break
+        waiting = [i]
+        while waiting:
+            j = waiting.pop()
+            if seen[j]:
+                continue
+            seen[j] = True
+            waiting += meant[j]
+            for s, e in literals[j]:
+                score = worth[i] * strength(text[s:e])
                 if score > best.get((s, e), (0.0, ""))[0]:
-                    best[s, e] = (score, name)
+                    best[s, e] = (score, bound[i].name)
     return [(s, e, name, round(score, 6)) for (s, e), (score, name) in best.items() if score >= THRESHOLD]
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import time
 import re
 
 import pytest
@@ -105,11 +106,42 @@ def test_secret_base_spans(spark, small):
     ("DEFAULT = \"q9X!t7Lm#2\"\nuser.passphrase = DEFAULT\n", "q9X!t7Lm#2"),
     ("a = 'z8Yw4!kk1Q'\nb = a\nclient_secret := b", "z8Yw4!kk1Q"),
     ("{\"privateKey\": \"kP3$zz81mQ\"}", "kP3$zz81mQ"),
+    ("<user><password>Xk29aLq8Zp31mN</password></user>", "Xk29aLq8Zp31mN"),
+    ('password = """Xk29aLq8Zp31mN"""', "Xk29aLq8Zp31mN"),
+    ("db:\n  password: |\n    Xk29aLq8Zp31mN\n  user: me\n", "Xk29aLq8Zp31mN"),
+    ('conn.set("password", "Xk29aLq8Zp31mN")', "Xk29aLq8Zp31mN"),
+    ("secret = k\nk = 'Xk29aLq8Zp31mN'", "Xk29aLq8Zp31mN"),
+    ("run --password Xk29aLq8Zp31mN --user me", "Xk29aLq8Zp31mN"),
+    ("passphrase: str = r'Xk29aLq8Zp31mN'", "Xk29aLq8Zp31mN"),
+    ("note = 'use pwd=Xk29aLq8Zp31mN here'", "Xk29aLq8Zp31mN"),
+    ("secret = a\na = b\nb = c\nc = 'Xk29aLq8Zp31mN'\nd = secret", "Xk29aLq8Zp31mN"),
+    ("k = 'Xk29aLq8Zp31mN'\nsecret = k\nk = 'Other7Value9x'", "Xk29aLq8Zp31mN"),
 ])
 def test_secret_pairs(text, value):
     assert [text[s:e] for s, e, _, _ in secret_scan.pairs(text)] == [value]
 
 
+def test_secret_lists_blocks_and_circles():
+    def found(text):
+        return sorted(text[s:e] for s, e, _, _ in secret_scan.pairs(text))
+
+    assert found('PASSWORDS = ["Xk29aLq8Zp31mN", "q9X!t7Lm#2b"]') == ["Xk29aLq8Zp31mN", "q9X!t7Lm#2b"]
+    assert found('password = "Xk29aLq8" + "Zp31mNv7"') == ["Xk29aLq8", "Zp31mNv7"]
+    assert found("a:\n  private_key: |\n    Xk29aLq8Zp31mNv7Bd4\n\n    q9Xt7Lm2bR5wK8jH3x\n  name: Tr0ub4dorTr0ub4dor3x\n") == ["Xk29aLq8Zp31mNv7Bd4", "q9Xt7Lm2bR5wK8jH3x"]
+    assert found("secret = a\na = b\nb = a\n") == [] and found("secret = secret") == []
+
+
+@pytest.mark.parametrize("part", ["password=", "password='", 'k="', "a:", "<password>x", "(\"password\",", "password: |\n ", "token=[\"", "secret = k\nk = secret\n", "--password ", '"""', "a+"])
+def test_secret_time_grows_with_the_text(part):
+    def seconds(n):
+        start = time.process_time()
+        secret_scan.pairs("password " + part * n)
+        return time.process_time() - start
+
+    small = seconds(5_000)
+    assert seconds(40_000) < 8 * 4 * max(small, 0.05)
+
+
 def test_every_sensitive_name_alone_in_a_text():
     literal = "Zq8vT1mXr5Lw0KdB7nYc3HsG9pJf2UaE"
     names = [*secret_scan.SENSITIVE, *map("_".join, secret_scan.TOGETHER)]
