@@ -83,8 +83,7 @@ def q_u10_relink(spark, d):
     inp = Inputs(spark, d)
     fields = flatten.attribution_fields(inp.attribution_raw())
     few = inp.orders_landed().filter(F.col("order_date") < F.lit("1998-01-01").cast("timestamp_ntz"))
-    first, again = (flatten.attribution_rows(resolve.resolve_order_id(fields, o, "cand", exact=False)).drop("_ordinal")
-                    .dropDuplicates(["row_key"]) for o in (few, inp.orders_landed()))
+    first, again = (ao.resolved_rows(fields, o) for o in (few, inp.orders_landed()))
     return attr_out(upsert.upsert(first, again, "row_key", update_cols=["order_id", "ext_order_id"]))
 
 
