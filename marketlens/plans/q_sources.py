@@ -30,8 +30,7 @@ def land_postings(spark, docs, name):
     path = scratch_path(spark, name)
     env = lambda arr, page: F.when(page % 2 == 0, F.to_json(F.struct(arr.alias("result")))) \
         .otherwise(F.to_json(F.struct(F.struct(arr.alias("postings")).alias("result"))))
-    json_docs.land_pages(docs.withColumn("_seq", _posting_seq()), path,
-                         lambda arr, page: F.parse_json(env(arr, page)), "_seq")
+    json_docs.land_pages(docs.withColumn("_seq", _posting_seq()), path, env, "_seq", as_text=True)
     return path
 
 
@@ -101,8 +100,7 @@ def q_s06(spark, d):
     seq = F.monotonically_increasing_id()
     env = lambda arr, page: F.when(page % 2 == 0, F.to_json(F.struct(arr.alias("rows")))).otherwise(
         F.to_json(F.struct(F.array().alias("rows"), arr.alias("list"))))
-    json_docs.land_pages(raw.withColumn("_seq", seq), path, lambda arr, page: F.parse_json(env(arr, page)),
-                         "_seq", 500)
+    json_docs.land_pages(raw.withColumn("_seq", seq), path, env, "_seq", 500, as_text=True)
     fields = flatten.attribution_fields(json_docs.read_attribution(spark, path))
     res = resolve.resolve_order_id(fields, inp.orders_landed(), "cand", exact=False)
     return attr_out(flatten.attribution_rows(res))
