@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
+from marketlens import vocab
 from marketlens.operators import attribution as ao
 from marketlens.operators import flatten, resolve, upsert
 from marketlens.plans.inputs import Inputs
+from marketlens.sources import accruals
 from marketlens.sources import testdata as td
 from marketlens.sources.store import FREE, Store
 
@@ -89,3 +91,25 @@ def test_a_batch_keeps_no_shuffle_files(spark, tmp_path, no_broadcast):
     assert not files() - before
     b.publish()
     assert spark.conf.get(FREE, "false") == "false"
+
+
+def test_report_lines_are_parsed_at_their_width_where_they_are_read(spark, tmp_path, no_broadcast):
+    names = list(vocab.ACCRUAL_LABELS)
+    cells = {"accrual_id": ["1-2-3", '"a;b"', "7"], "total_amount": ["1,5", "", '"2']}
+
+    def report(file, head, lines):
+        (tmp_path / file).write_text("\n".join(["Период", ";".join(head), *lines]))
+
+    def line(head, i, upto=None):
+        return ";".join([cells.get(vocab.ACCRUAL_LABELS.get(h), ["x"] * 3)[i] for h in head][:upto])
+
+    wide = [*(f"other {i}" for i in range(accruals.MAX_COLUMNS - len(names))), *names]
+    report("narrow.csv", names, [line(names, 0), line(names, 1), line(names, 0, 3), line(names, 0) + ";more;cells"])
+    report("wide.csv", wide, [line(wide, 1), line(wide, 2), line(wide, 0, 60)])
+    got = accruals.read_accruals(spark, str(tmp_path), vocab.ACCRUAL_LABELS)
+    whole = got._jdf.queryExecution().optimizedPlan().toString() + plan(got)
+    assert "hashpartitioning" not in plan(got) and "SortMergeJoin" not in whole
+    assert f"StructField(_c{len(names) - 1}," in whole and len(rows(got)) == 7
+    ids = sorted((r["accrual_id"], r["total_amount"]) for r in got.na.fill("-").collect())
+    short = sum(1 for i, t in ids if t == "-" and i in ("1-2-3", "-"))
+    assert ids.count(("1-2-3", "1,5")) == 2 and ids.count(("a;b", "-")) == 2 and short == 2
