@@ -123,14 +123,16 @@ def q_u06(spark, d):
     """Old table: finance rows up to 1999; a reload from mid-1999 brings
     corrected amounts (last arrival per uid wins)."""
     inp = Inputs(spark, d)
-    # one plan for the finance rows; both loads are cut from it (shared exchanges are reused)
-    rows = flatten.finance_fee_rows(inp.finance_resolved()) \
-        .withColumn("_ord", F.struct("_ordinal", "pos")).drop("_ordinal", "pos")
-    old = upsert.last_write_wins(rows, "uid", "_ord") \
-        .filter(F.col("occurred_at") < F.lit("2000-01-01").cast("timestamp_ntz"))
-    new = rows.filter(F.col("occurred_at") >= F.lit("1999-07-01").cast("timestamp_ntz")) \
+    # One plan for the finance rows; both loads are cut from it (shared exchanges are reused). Versions and replacements of a
+    # row meet where the join on the candidate has put them. The uid covers the date, so the versions of a row are in one load.
+    keys = ["_key", "uid"]
+    rows = flatten.finance_fee_rows(inp.finance_resolved(out_key="_key")) \
+        .withColumn("_ord", F.struct("_ordinal", "pos")).drop("_ordinal", "pos").withColumn("_last", F.col("_ord"))
+    latest = upsert.last_write_wins(rows, keys, "_last")
+    old = latest.filter(F.col("occurred_at") < F.lit("2000-01-01").cast("timestamp_ntz")).drop("_ord")
+    new = latest.filter(F.col("occurred_at") >= F.lit("1999-07-01").cast("timestamp_ntz")) \
         .withColumn("amount", (F.col("amount") - F.lit(1)).cast("decimal(18,4)"))
-    return fee_out(upsert.replace_by_key(old, new.select(*old.columns, "_ord"), "uid", ordinal="_ord"))
+    return fee_out(upsert.replace_by_key(old, new.select(*old.columns, "_ord"), keys, ordinal="_ord"))
 
 
 @query("replace_source_accruals")

@@ -113,3 +113,10 @@ def test_report_lines_are_parsed_at_their_width_where_they_are_read(spark, tmp_p
     ids = sorted((r["accrual_id"], r["total_amount"]) for r in got.na.fill("-").collect())
     short = sum(1 for i, t in ids if t == "-" and i in ("1-2-3", "-"))
     assert ids.count(("1-2-3", "1,5")) == 2 and ids.count(("a;b", "-")) == 2 and short == 2
+
+
+def test_a_reload_by_uid_shuffles_rows_once(spark, no_broadcast):
+    """Old rows, reloaded rows and their keys meet where the join put them: none is shuffled again by its uid."""
+    import __spark_entry__ as entry
+    got = entry.queries()["upsert_fees_by_uid"](spark, SMALL)
+    assert "hashpartitioning(uid" not in plan(got) and "hashpartitioning(_key, uid" not in plan(got)
