@@ -13,7 +13,7 @@ more than ``k`` of them besides the query itself.
 
 Queries run in blocks. Each first searches the subtree nearest to it; the distance of its k-th
 result then rules out every other subtree whose nearest possible point is further away. Inside a tree the
-page with the least lower bound is taken first; an entry whose bound ``|d(q, parent) - d(entry, parent)| - radius``
+page with the least lower bound is taken first, for all queries of the block that it can still concern, as one product; an entry whose bound ``|d(q, parent) - d(entry, parent)| - radius``
 exceeds the k-th distance is passed over without computing its distance. Scores are computed in exact integers; bounds have a
 margin for rounding, so ties are never cut."""
 
@@ -91,53 +91,62 @@ def build(points: np.ndarray, page: int = PAGE) -> list[dict]:
     return pages
 
 
-def search(pages: list[dict], q: np.ndarray, own: int, top: float, k: int, worst: float, margin: float) -> tuple[list, int]:
-    """Best-first search for the integer vector ``q``; ``worst``: a distance known to hold ``k`` results.
-    Returns the results as ``(score, -id)`` and the number of distances computed."""
-    lifted = np.append(q, 0.0)
-    reach = float(q @ q) + top
-    heap: list[tuple[float, int]] = []
-
-    def bound() -> float:
-        return min(worst, np.sqrt(max(reach - 2.0 * heap[0][0], 0.0))) + margin if len(heap) == k else worst + margin
-
+def search_block(pages: list[dict], q: np.ndarray, own: np.ndarray, top: float, k: int, worst: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Best-first search for the integer vectors ``q``; ``worst``: distances known to hold ``k`` results. A page is held against all
+    queries that it can still concern at once, each with its own bound. Returns the results as ``(position of the query, id,
+    score)`` arrays and the number of distances computed."""
+    n = len(q)
+    lifted = np.concatenate([q, np.zeros((n, 1))], axis=1)
+    reach = (q * q).sum(1) + top
+    score, ident = np.full((n, k), -np.inf), np.zeros((n, k), np.int64)   # falling scores, ties by rising id
+    limit = worst + margin
     order = count()
-    queue = [(0.0, next(order), 0, None)]
+    queue = [(0.0, next(order), 0, np.arange(n), np.zeros(n), None)]
     computed = 0
     while queue:
-        least, _, number, to_centre = heapq.heappop(queue)
-        limit = bound()
-        if least > limit:
-            break
-        page = pages[number]
+        _, _, number, rows, least, to_centre = heapq.heappop(queue)
+        open_ = least <= limit[rows]
+        if not open_.any():
+            continue
+        rows, least, page = rows[open_], least[open_], pages[number]
         if to_centre is None:   # the root has no parent
-            live = np.arange(len(page["radius"]))
+            live = np.ones((len(rows), len(page["radius"])), bool)
         else:
-            live = np.flatnonzero(np.abs(to_centre - page["to_parent"]) - page["radius"] <= limit)
-        if not len(live):
-            continue
-        computed += len(live)
+            live = np.abs(to_centre[open_, None] - page["to_parent"]) - page["radius"] <= limit[rows, None]
+        computed += int(live.sum())
         if page["leaf"]:
-            scores = page["x"][live] @ q
-            for at in np.argsort(-scores, kind="stable"):
-                s = float(scores[at])
-                if len(heap) == k and s < heap[0][0]:
-                    break
-                for i in page["ids"][live[at]]:
-                    if i != own:
-                        item = (s, -i)
-                        if len(heap) < k:
-                            heapq.heappush(heap, item)
-                        elif item > heap[0]:
-                            heapq.heapreplace(heap, item)
-                        else:
-                            break
+            found = q[rows] @ page["x"].T
+            i, j = np.nonzero(live & (found >= score[rows, -1:]))
+            many = np.array([len(x) for x in page["ids"]])[j]
+            s, i = np.repeat(found[i, j], many), np.repeat(rows[i], many)
+            ids = np.array([v for e in j for v in page["ids"][e]], np.int64)
+            other = ids != own[i]
+            met = np.unique(i[other])
+            if not len(met):
+                continue
+            i, s, ids = (np.concatenate([x, y[other]]) for x, y in ((np.repeat(met, k), i), (score[met].ravel(), s), (ident[met].ravel(), ids)))
+            by = np.lexsort((ids, -s, i))
+            i, s, ids = i[by], s[by], ids[by]
+            begins = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
+            best = begins[:, None] + np.arange(k)
+            score[met], ident[met] = s[best], ids[best]
+            full = met[score[met, -1] > -np.inf]
+            limit[full] = np.minimum(worst[full], np.sqrt(np.maximum(reach[full] - 2.0 * score[full, -1], 0.0))) + margin
         else:
-            d = np.sqrt(np.maximum(reach - 2.0 * (page["lifted"][live] @ lifted), 0.0))
-            lower = np.maximum(d - page["radius"][live], 0.0)
-            for j in np.flatnonzero(lower <= limit):
-                heapq.heappush(queue, (max(least, float(lower[j])), next(order), int(page["entry"][live[j]]), float(d[j])))
-    return heap, computed
+            d = np.sqrt(np.maximum(reach[rows, None] - 2.0 * (lifted[rows] @ page["lifted"].T), 0.0))
+            lower = np.maximum(d - page["radius"], least[:, None])
+            live &= lower <= limit[rows, None]
+            for e in np.flatnonzero(live.any(0)):
+                at = live[:, e]
+                heapq.heappush(queue, (float(lower[at, e].min()), next(order), int(page["entry"][e]), rows[at], lower[at, e], d[at, e]))
+    i, j = np.nonzero(score > -np.inf)
+    return i, ident[i, j], score[i, j], computed
+
+
+def search(pages: list[dict], q: np.ndarray, own: int, top: float, k: int, worst: float, margin: float) -> tuple[list, int]:
+    """``search_block`` for one vector. Returns the results as ``(score, -id)`` and the number of distances computed."""
+    _, ids, scores, computed = search_block(pages, np.asarray(q, dtype=np.float64)[None, :], np.array([own]), top, k, np.array([worst], np.float64), margin)
+    return [(float(s), -int(i)) for s, i in zip(scores, ids, strict=True)], computed
 
 
 _PAGE = "d int, tree long, page int, leaf boolean, entry array<int>, radius array<double>, to_parent array<double>, x array<double>, ids array<array<long>>"
@@ -254,12 +263,11 @@ def _visit(asked: DataFrame, pages: DataFrame, tops: dict, k: int) -> DataFrame:
             x = np.array(r["x"]).reshape(-1, d)
             tree.append({"leaf": r["leaf"], "entry": np.array(r["entry"]), "radius": np.array(r["radius"]), "to_parent": np.array(r["to_parent"]),
                          "x": x, "lifted": _lifted(x, tops[d]), "ids": r["ids"]})
-        out = []
-        margin = _MARGIN * (np.sqrt(tops[d]) + 1)
-        for own, h, x, worst in zip(q.column("query_id").to_pylist(), q.column("h").to_pylist(), _matrix(q.column("x"), d), q.column("worst").to_pylist(), strict=True):
-            hits, _ = search(tree, x, own, tops[d], k, worst, margin)
-            out += [(own, h, -i, int(s)) for s, i in hits]
-        return pa.table([pa.array([o[i] for o in out], pa.int64()) for i in range(4)], names=["query_id", "h", "vec_id", "score"])
+        if not q.num_rows or not tree:
+            return pa.table([pa.array([], pa.int64())] * 4, names=["query_id", "h", "vec_id", "score"])
+        own, h, worst = (np.asarray(q.column(c)) for c in ("query_id", "h", "worst"))
+        i, ids, scores, _ = search_block(tree, _matrix(q.column("x"), d), own, tops[d], k, worst, _MARGIN * (np.sqrt(tops[d]) + 1))
+        return pa.table([own[i], h[i], ids, scores.astype(np.int64)], names=["query_id", "h", "vec_id", "score"])
 
     keys = ("d", "tree", "block")
     return asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(run, _HIT)

@@ -125,3 +125,25 @@ def test_search_passes_over_pages():
         assert sorted((-int(s), -j) for s, j in hits) == best
         computed += n
     assert computed < 50 * 1200          # of 2000 and the inner entries
+
+
+def test_a_block_of_queries_meets_a_page_once():
+    """Queries share the product of a page, each with its own bound: as many results as alone, in far less time than one by one."""
+    rng = np.random.default_rng(5)
+    centres = rng.integers(-4000, 4000, (20, 6))
+    x = np.floor(np.repeat(centres, 100, axis=0) + rng.normal(0, 40, (2000, 6)))
+    x[100:140] = x[100]
+    top = float((x * x).sum(1).max())
+    lifted = mtree._lifted(x, top)
+    pages = mtree.build(lifted, 32)
+    for p in pages:
+        p |= {"x": x[p["centre"]], "lifted": lifted[p["centre"]], "ids": [[int(i), int(i) + 5000] for i in p["entry"]] if p["leaf"] else []}
+    asked = np.arange(0, 2000, 10)
+    i, ids, scores, computed = mtree.search_block(pages, x[asked], asked, top, 5, np.full(len(asked), np.inf), 1e-3)
+    for at, own in enumerate(asked):
+        every = [(-int(x[own] @ y), j + more) for j, y in enumerate(x) for more in (0, 5000) if j + more != own]
+        assert [(-int(s), int(v)) for s, v in zip(scores[i == at], ids[i == at], strict=True)] == sorted(every)[:5]
+    assert computed < len(asked) * 1200          # of 2000 and the inner entries
+    near = np.sqrt(np.maximum((x[asked] ** 2).sum(1) + top - 2 * scores.reshape(len(asked), 5)[:, -1], 0))
+    again = mtree.search_block(pages, x[asked], asked, top, 5, near, 1e-3)
+    assert (again[1] == ids).all() and (again[2] == scores).all() and again[3] <= computed
