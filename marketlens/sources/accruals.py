@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.session import scratch_path
+from marketlens.sources.store import labels_of
 
 # Column names the flattener (P24) expects.
 REQUIRED = ["accrual_id", "accrual_date", "service_group", "accrual_type", "sku", "accepted_at",
@@ -22,6 +23,13 @@ OPTIONAL = ["commission_percent"]
 MAX_COLUMNS = 64   # cells of a line that are read; a header with more is refused
 
 
+def _written(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+    """A small table in a folder of its own, with a size that the planner knows."""
+    path = scratch_path(spark, name)
+    df.coalesce(1).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def read_accruals(spark: SparkSession, path: str, labels: dict[str, str], sep: str = ";") -> DataFrame:
     """Read report files; ``labels`` maps header label -> column name.
 
@@ -32,8 +40,8 @@ def read_accruals(spark: SparkSession, path: str, labels: dict[str, str], sep: s
     lacks, or a file without a header, fails the load. A data line may hold
     anything, also text like the preamble's.
 
-    The header table has one row per report file. It is written once, and joined to the lines
-    as a broadcast, so the lines are not shuffled and files may be split freely between tasks. A line
+    The header table has one row per report file. It is written once, so that its size is known when it is joined
+    to the lines: while it is small the lines are not shuffled, and files may be split freely between tasks. A line
     is parsed with as many columns as its file's header has: the parser pays for every column
     that a line lacks. The different widths, at most ``MAX_COLUMNS``, are known to the driver."""
     lines = spark.read.option("recursiveFileLookup", True).text(path).select(
@@ -42,21 +50,19 @@ def read_accruals(spark: SparkSession, path: str, labels: dict[str, str], sep: s
     # the two first lines of a file, by a partial aggregate in each task
     at = F.struct("b", "r")
     begin = lines.filter("b = 0")
-    first = begin.groupBy("f").agg(F.min(at).alias("top"))
+    first = _written(spark, "accrual-tops", begin.groupBy("f").agg(F.min(at).alias("top")))
     after = F.when(at > F.col("top"), at)
-    heads = begin.join(F.broadcast(first), "f").groupBy("f").agg(F.min(after).alias("head"), F.min_by("value", after).alias("header"))
+    heads = begin.join(first, "f").groupBy("f").agg(F.min(after).alias("head"), F.min_by("value", after).alias("header"))
     heads = heads.withColumn("names", F.transform(F.split("header", re.escape(sep), -1), lambda h: F.btrim(F.btrim(h), F.lit('"')))).drop("header")
-    place = scratch_path(spark, "accrual-heads")
-    heads.coalesce(1).write.parquet(place)
-    heads = spark.read.schema(heads.schema).parquet(place)
-    widths = sorted(r[0] for r in heads.filter("names is not null").select(F.size("names")).distinct().collect())
+    heads = _written(spark, "accrual-heads", heads)
+    widths = labels_of(heads.select(F.size("names").alias("width")).filter(F.col("width").between(1, MAX_COLUMNS)), "width")
     known = F.create_map(*[F.lit(x) for k, v in labels.items() for x in (k, v)])
     heads = heads.withColumn("names", F.transform("names", lambda h: F.coalesce(known[h], h)))
     lacking = F.array_except(F.array(*[F.lit(c) for c in REQUIRED]), F.coalesce("names", F.array().cast("array<string>")))
     heads = heads.withColumn("names", F.when((F.size(lacking) == 0) & (F.size("names") <= MAX_COLUMNS), F.col("names")).otherwise(
         F.raise_error(F.concat(F.lit("accrual report "), F.col("f"), F.lit(" is too wide or misses columns: "), F.array_join(lacking, ", "))).cast("array<string>")))
     heads = heads.select("f", "head", F.size("names").alias("width"), *[F.array_position("names", F.lit(c)).cast("int").alias(f"_p_{c}") for c in REQUIRED + OPTIONAL])
-    data = lines.join(F.broadcast(heads), "f").filter((at > F.col("head")) | F.col("width").isNull())
+    data = lines.join(heads, "f").filter((at > F.col("head")) | F.col("width").isNull())
 
     def cells(width: int):
         parsed = F.from_csv(F.col("value"), ", ".join(f"_c{i} string" for i in range(width)), {"sep": sep})
@@ -64,7 +70,7 @@ def read_accruals(spark: SparkSession, path: str, labels: dict[str, str], sep: s
         return F.transform(F.array(parsed), lambda r: F.array(*[r[f"_c{i}"] for i in range(width)]))[0]
 
     row = F.lit(None).cast("array<string>")
-    for w in [w for w in widths if w <= MAX_COLUMNS]:
+    for w in widths:
         row = F.when(F.col("width") == w, cells(w)).otherwise(row)
     parsed = data.filter(F.btrim("value") != F.lit("")).select(*[c for c in heads.columns if c.startswith("_p_")], row.alias("row"))
 

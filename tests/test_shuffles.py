@@ -93,7 +93,7 @@ def test_a_batch_keeps_no_shuffle_files(spark, tmp_path, no_broadcast):
     assert spark.conf.get(FREE, "false") == "false"
 
 
-def test_report_lines_are_parsed_at_their_width_where_they_are_read(spark, tmp_path, no_broadcast):
+def test_report_lines_are_parsed_at_their_width_where_they_are_read(spark, tmp_path):
     names = list(vocab.ACCRUAL_LABELS)
     cells = {"accrual_id": ["1-2-3", '"a;b"', "7"], "total_amount": ["1,5", "", '"2']}
 
