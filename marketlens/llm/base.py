@@ -19,6 +19,7 @@ from marketlens.session import ensure_checkpoint_dir, scratch_path
 # it is far below Spark's default of 10,000; the byte bound cuts it further.
 BATCH_ROWS = 500
 BATCH_BYTES = 4 << 20
+FILE_ROWS = 50_000   # rows of a file of a table whose size is known, about
 
 
 def position(df: DataFrame, name: str) -> int:
@@ -88,10 +89,14 @@ def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[dict]], sch
 _made: list[list[str]] = []
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write to the cluster's shared folder and read back: cuts the lineage, so
-    a lost executor does not cause earlier steps to run again."""
+    a lost executor does not cause earlier steps to run again. ``rows``: how many there are, about. They are then written in
+    as many files as their number needs, at least one a core, not in one a shuffle partition: on a local file system each
+    file costs the executor several child processes."""
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(1, spark.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
     path = scratch_path(spark, name)
     df.write.parquet(path)
     if _made:
@@ -107,13 +112,13 @@ def emptied(spark: SparkSession, paths: list[str]) -> None:
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+def scratch(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
     """Folders that ``saved`` writes within are freed at the end. Yields ``saved`` for what is to stay: a result
     that is not written by it must not be used afterwards."""
     _made.append([])
 
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        out = saved(df, name)
+    def keep(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        out = saved(df, name, rows)
         _made[-1].pop()
         return out
 

@@ -307,11 +307,11 @@ def _cell(key, rows, num: int, den: int):
                     schema=pa.schema([("doc", pa.int64()), ("links", pa.int64()), ("root", pa.int64())]))
 
 
-def _clusters(links: DataFrame) -> DataFrame:
+def _clusters(links: DataFrame, classes: int) -> DataFrame:
     """``(doc_id, cluster)`` of the classes that share a signature with another, from ``hub, doc``."""
-    top = components(links, "hub", "doc")
+    top = components(links, "hub", "doc", 4 * classes)
     return saved(top.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
-                 .unionByName(top.select(F.col("component").alias("doc_id"), F.col("component").alias("cluster")).distinct()), "nj-clusters")
+                 .unionByName(top.select(F.col("component").alias("doc_id"), F.col("component").alias("cluster")).distinct()), "nj-clusters", classes)
 
 
 def near_copies(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -322,12 +322,13 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den: in
     any of its texts does, and each row keeps its own ``n_shingles`` and ``n_links``. An empty table gives no rows."""
     docs = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
     sets = saved(_sets(docs, shingle), "nj-sets")
+    rows = sets.count()
     some = sets.filter("doc_id is not null and n_shingles > 0")
     same = ["n_shingles", "f1", "f2"]
     ids = some.select("doc_id", *same).distinct()
     repeats = ids.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    classes = saved(ids.groupBy(*same).agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("many")), "nj-classes")
-    member = saved(ids.join(classes, same).select("doc_id", *same, "class_id", "many"), "nj-members")
+    classes = saved(ids.groupBy(*same).agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("many")), "nj-classes", rows)
+    member = saved(ids.join(classes, same).select("doc_id", *same, "class_id", "many"), "nj-members", rows)
     # rows of one id with different texts link as one document
     tied = member.join(repeats, "doc_id", "left_semi").select(F.col("class_id").alias("a"), F.col("doc_id").alias("b")).filter("a < b").distinct()
     common = _common(docs, shingle) if 10 * num < 9 * den else None
@@ -335,9 +336,9 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den: in
     # a scan of all texts meets the classes' ids: broadcast while they are few, else a shuffled join
     first = classes.select(F.col("class_id").alias("doc_id")).distinct()
     texts = docs.join(F.broadcast(first) if n <= BROADCAST_IDS else first, "doc_id", "left_semi").select("doc_id", "text")
-    clusters = _clusters(shared_signatures(texts, n, shingle, num, den, common))
-    found = _cluster_links(docs, clusters, classes, shingle, num, den)
-    top = components(found.select(F.col("doc").alias("a"), F.col("root").alias("b")).unionByName(tied), "a", "b")
+    clusters = _clusters(shared_signatures(texts, n, shingle, num, den, common), n)
+    found = _cluster_links(docs, clusters, classes, n, shingle, num, den)
+    top = components(found.select(F.col("doc").alias("a"), F.col("root").alias("b")).unionByName(tied), "a", "b", n)
     near = found.groupBy(F.col("doc").alias("class_id")).agg(F.sum("links").alias("near"))
     # a component is named by its smallest id, and a class by the smallest with its set
     out = member.join(top.withColumnRenamed("node", "class_id"), "class_id", "left").join(near, "class_id", "left")
@@ -356,8 +357,8 @@ def _lows(most: int = 1 << 40) -> list[int]:
     return out
 
 
-def _cluster_links(docs: DataFrame, clusters: DataFrame, classes: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """``doc, links, root`` from the pairs inside the clusters whose sizes allow a link. The texts of their classes are read again. A
+def _cluster_links(docs: DataFrame, clusters: DataFrame, classes: DataFrame, many: int, n: int, num: int, den: int) -> DataFrame:
+    """``doc, links, root`` of ``many`` classes from the pairs inside the clusters whose sizes allow a link. The texts of their classes are read again. A
     large cluster is cut into blocks by band of size, and a block meets those of its own band and of the bands beside it: sets
     that link are at most one band apart."""
     lows = _lows()
@@ -367,12 +368,12 @@ def _cluster_links(docs: DataFrame, clusters: DataFrame, classes: DataFrame, n:
     blocks = F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     of = by_band.groupBy("cluster").agg(F.sum("docs").alias("docs"), F.sum("shingles").alias("shingles"),
                                         F.map_from_entries(F.collect_list(F.struct("band", blocks.alias("blocks")))).alias("per_band"))
-    of = saved(of.withColumn("blocks", blocks), "nj-of")
+    of = saved(of.withColumn("blocks", blocks), "nj-of", many)
     small = of.filter("blocks = 1").agg(F.sum("docs").alias("docs"), F.sum("shingles").alias("shingles")).first()
     bins = max(1, (small["docs"] or 0) // 256, (small["shingles"] or 0) // (BLOCK_SHINGLES // 2))
     info = sized.groupBy("doc_id", "cluster").agg(F.max("many").alias("many")).join(
         of.select("cluster", F.when(F.col("blocks") > 1, F.col("per_band")).alias("per_band")), "cluster")
-    info = saved(info, "nj-info")
+    info = saved(info, "nj-info", many)
     # a scan of all texts meets the ids: broadcast while they are few, else a shuffled join
     few = info.count() <= BROADCAST_IDS
     texts = docs.join(F.broadcast(info) if few else info, "doc_id").select("doc_id", "text", "cluster", "per_band", "many")
@@ -416,6 +417,6 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den: in
     flat = docs.toDF(*[f"_in{i}" for i in range(len(docs.columns))])
     with scratch(docs.sparkSession) as stays:
         keep = near_copies(docs, shingle, num, den).filter("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-        keep = stays(keep, "nj-keep")
+        keep = stays(keep, "nj-keep", docs.count())
     named = flat.filter(F.col(key).isNotNull()).join(keep, F.col(key).cast("bigint") == F.col("_keep"), "left_semi").dropDuplicates([key, text])
     return named.unionByName(flat.filter(F.col(key).isNull())).toDF(*docs.columns)

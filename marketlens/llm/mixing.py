@@ -138,7 +138,7 @@ def schedule(docs: DataFrame, weights: dict[str, float], block_chars: int = BLOC
     rows = pick(docs, "doc_id", "source", "text").select(
         "doc_id", "source", F.greatest(F.coalesce(F.char_length("text"), F.lit(0)), F.lit(1)).cast("bigint").alias("size"), F.xxhash64("text").alias("h2"))
     rows = rows.groupBy("doc_id", "source", "size", "h2").agg(F.count("*").alias("copies")).withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "h2"))
-    rows = saved(rows, "mix-rows")
+    rows = saved(rows, "mix-rows", docs.count())
     per_source = saved(rows.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("total")), "mix-sources")
     weights = own_weights(per_source, weights, own)
     cycle = max(cycle, 4 * len(weights))

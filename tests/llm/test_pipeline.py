@@ -155,3 +155,34 @@ def test_blocks_of_signatures_come_back():
         assert sorted((int(s), int(d)) for v, w in got for s, d in zip(v, w, strict=True)) == sorted((s, d[0]) for s, d in first.items())
         pairs = {(int(a), int(b)) for x in out["links"] for a, b in np.reshape(x, (-1, 2))}
         assert pairs == {(d[0], x) for d in first.values() for x in d[1:] if x != d[0]}
+
+
+def test_small_tables_are_written_in_few_files(spark, monkeypatch):
+    """Not in a file for each shuffle partition, where Spark does not coalesce them."""
+    from marketlens.llm import components
+    from marketlens.llm.base import saved
+    written = []
+
+    def kept(df, name, *rows):
+        out = saved(df, name, *rows)
+        written.append((name, len(out.inputFiles())))
+        return out
+
+    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "60"}
+    before = {k: spark.conf.get(k) for k in held}
+    for module in (components, jaccard):
+        monkeypatch.setattr(module, "saved", kept)
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        words = [f"w{i}" for i in range(400)]
+        texts = [" ".join(words[i:i + 60]) for i in range(150)] + [" ".join(words[i:i + 60] + ["x"]) for i in range(150)]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+        got = jaccard.one_of_each(docs, 3, 80, 100).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r.doc_id for r in got} == {r.doc_id for r in jaccard.one_of_each(docs, 3, 80, 100).collect()}
+    most = spark.sparkContext.defaultParallelism
+    assert {name for name, _ in written} >= {"nj-classes", "nj-members", "cc-links", "cc-hook", "nj-clusters", "nj-of", "nj-info"}
+    assert not [(name, n) for name, n in written if n > most + 1 and name != "nj-links"]
