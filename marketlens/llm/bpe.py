@@ -1,7 +1,7 @@
 """BPE encoding and decoding (operator 10).
 
 Backtracking encoder: an Aho-Corasick automaton over the vocabulary finds the
-tokens that start at each position of a word; the longest is tried first, and a
+longest token that starts at each position of a word; it is tried first, and a
 token may follow another only if the pair is *compatible*, that is, if merging
 by rank would never merge across their border. When nothing fits, the last
 token is taken back and its next shorter prefix is tried; end positions proved
@@ -20,7 +20,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
+from array import array
 from functools import lru_cache
 
 import ahocorasick
@@ -36,6 +38,7 @@ from marketlens.llm.base import arrow_limits, per_batch, pick, position
 # --- fixed values: the vocabulary's word pattern and suffix -------------------
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SUFFIX = "</w>"
+_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z]+|[0-9]|[^\sA-Za-z0-9]+", re.ASCII)   # the same words of an ASCII piece
 
 MAX_FILE = 64 << 20     # a vocabulary above this is refused: it is broadcast
 MAX_CACHED = 150_000    # words in each of a worker's two generations of cached words
@@ -96,7 +99,7 @@ class Vocabulary:
             symbols[left + right] = symbols[left] + symbols[right]
             self.pairs[ids[left], ids[right]] = whole
             self.halves[whole] = (ids[left], ids[right])
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}    # by left << 32 | right
         self.whole: dict[str, int] = {}
         self.automaton = ahocorasick.Automaton()
         for name, symbol in symbols.items():
@@ -107,6 +110,11 @@ class Vocabulary:
             self.whole[symbol] = token
             self.automaton.add_word(symbol, (token, len(symbol)))
         self.automaton.make_automaton()
+        self.size = [0] * (last + 1)
+        self.shorter: list[int | None] = [None] * (last + 1)   # a token's longest beginning that is a token too
+        for symbol, token in self.whole.items():
+            self.size[token] = len(symbol)
+            self.shorter[token] = next((self.whole[symbol[:n]] for n in range(len(symbol) - 1, 0, -1) if symbol[:n] in self.whole), None)
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special = {k: np.array([v], np.int32).tobytes() for k, v in special.items()}
         self.at_special = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
@@ -141,7 +149,7 @@ class Vocabulary:
 
     def compatible(self, left: int, right: int) -> bool:
         """The pair table, filled as pairs are met."""
-        key = (left, right)
+        key = left << 32 | right
         known = self.fits.get(key)
         if known is None:
             if len(self.fits) >= 4 * MAX_CACHED:
@@ -152,41 +160,50 @@ class Vocabulary:
     def word_ids(self, word: str) -> list[int]:
         """Tokens of one word (not empty)."""
         letters = self.letters
-        text = "".join([letters[b] for b in word.encode()])
+        # printable ASCII stands for itself
+        text = word if word.isascii() and word.isprintable() else "".join([letters[b] for b in word.encode()])
         text = text[:-1] + chr(ord(text[-1]) + _END)
         token = self.whole.get(text)
         if token is not None:
             return [token]
         n = len(text)
-        starts: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
+        longest: list[int | None] = [None] * (n + 1)
         for end, (token, size) in self.automaton.iter(text):
-            starts[end + 1 - size].append((token, end + 1))   # shorter before longer
+            longest[end + 1 - size] = token   # shorter before longer
+        sizes, shorter, fits = self.size, self.shorter, self.fits
         dead = bytearray(n + 1)
-        path: list[tuple[int, int, int]] = []
-        at, choice = 0, len(starts[0]) - 1
+        path: list[int] = []
+        last, at, token = None, 0, longest[0]
         while at < n:
-            options = starts[at]
-            while choice >= 0:
-                token, end = options[choice]
-                if not dead[end] and (not path or self.compatible(path[-1][0], token)):
-                    break
-                choice -= 1
-            if choice >= 0:
-                path.append((token, at, choice))
-                at, choice = end, len(starts[end]) - 1
+            while token is not None:
+                end = at + sizes[token]
+                if not dead[end]:
+                    if last is None:
+                        break
+                    fit = fits.get(last << 32 | token)
+                    if fit or (fit is None and self.compatible(last, token)):
+                        break
+                token = shorter[token]
+            if token is not None:
+                path.append(token)
+                last, at, token = token, end, longest[end]
             else:
                 dead[at] = 1
-                _, at, choice = path.pop()
-                choice -= 1
-        return [p[0] for p in path]
+                token = path.pop()
+                at -= sizes[token]
+                last, token = path[-1] if path else None, shorter[token]
+        return path
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a piece without white space that is not among the recent ones."""
         out = self.older.get(chunk)
         if out is None:
-            words = self.words.findall(chunk)
+            if not chunk.isascii():
+                words = self.words.findall(chunk)
+            else:
+                words = [chunk] if chunk.isalpha() else _ASCII_WORDS.findall(chunk)
             if len(words) == 1:
-                out = np.array(self.word_ids(words[0]), np.int32).tobytes()
+                out = array("i", self.word_ids(words[0])).tobytes()
             else:
                 out = b"".join([self.recent.get(w) or self._chunk(w) for w in words])
         if len(chunk) <= 64:

@@ -65,6 +65,22 @@ def test_bpe_random_texts():
     assert vocab.encode(long).tolist() == t.encode(long, add_special_tokens=False).ids
 
 
+def test_bpe_pieces_in_ascii():
+    """They are cut without the table of all letters, into the same words."""
+    t, rng = library(), random.Random(11)
+    vocab = bpe.Vocabulary(open(bpe.default_vocabulary(), "rb").read())
+    texts = ["".join(rng.choice("abcdehlmnorstvw''..,;-_#$09\x01\x1c\x7f ") for _ in range(60)) for _ in range(300)]
+    texts += ["rendblean thndatin. it's we'll'd 'tis they've--x 12ab3", "ab" * 300, "antionhare" * 40]
+
+    class Unused:
+        def findall(self, piece):
+            raise AssertionError(piece)
+
+    vocab.words = Unused()
+    for text in texts:
+        assert vocab.encode(text).tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_bpe_general_interface(spark):
     path = bpe.default_vocabulary()
     out = bpe.decode(bpe.encode(awkward(spark), path), path).collect()
