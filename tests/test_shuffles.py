@@ -10,6 +10,7 @@ from conftest import SMALL
 from marketlens import vocab
 from marketlens.operators import attribution as ao
 from marketlens.operators import flatten, resolve, upsert
+from marketlens.plans import batch
 from marketlens.plans.inputs import Inputs
 from marketlens.sources import accruals
 from marketlens.sources import testdata as td
@@ -120,3 +121,70 @@ def test_a_reload_by_uid_shuffles_rows_once(spark, no_broadcast):
     import __spark_entry__ as entry
     got = entry.queries()["upsert_fees_by_uid"](spark, SMALL)
     assert "hashpartitioning(uid" not in plan(got) and "hashpartitioning(_key, uid" not in plan(got)
+
+
+DOC = ("posting_number string, in_process_at string, status string, products array<struct<sku:string,name:string,quantity:string,price:string>>, "
+       "financial_data struct<products:array<struct<product_id:string,commission_amount:string,commission_percent:string,payout:string,"
+       "total_discount_value:string,total_discount_percent:string>>>")
+OP = ("operation_id string, operation_date string, date string, operation_type string, operation_type_name string, amount string, "
+      "posting struct<posting_number:string>, posting_number string, order_id string, "
+      "services array<struct<name:string,type:string,price:string,amount:string,sku:string>>, _ordinal int")
+RANGE = ("2024-01-01", "2024-12-31")
+
+
+def first_load(spark, wh, ids):
+    docs = [(i, "2024-03-01T10:00:00Z", "s", [("1", "a", "1", "10")] * 2, ([("1", "-1", None, "9", "2", None)] * 2,)) for i in ids]
+    catalog = spark.createDataFrame([], "sku long, flavor string, grams int")
+    batch.batch_orders(wh, spark.createDataFrame(docs, DOC), *RANGE, "2025-01-01 00:00:00", catalog)
+
+
+def operation(cand, kind, amount, n):
+    return (str(n), "2024-03-02 00:00:00", None, kind, "n", amount, (cand,), None, None, [], n)
+
+
+def test_a_first_load_joins_with_no_absent_partition(spark, no_broadcast, tmp_path, monkeypatch):
+    """Tables without the partitions met take no part in a plan; items and fee rows know their month without a join; and
+    versions of a finance row meet where the join on the candidate put them."""
+    wh, plans, shaped = Store(spark, str(tmp_path / "wh")), {}, Store.shaped
+
+    def spy(self, name, rows):
+        plans.setdefault(name, []).append(plan(rows))
+        return shaped(self, name, rows)
+
+    monkeypatch.setattr(Store, "shaped", spy)
+    first_load(spark, wh, ["7-1-1", "8-2-1"])
+    loaded, plans = plans, {}
+    ops = [operation(c, "t", f"-{a}", a) for c in ("7-1-1", "8", "9-9", None) for a in (1, 2)]
+    counts = batch.batch_finance(wh, spark.createDataFrame(ops, OP), *RANGE)["_counts"]
+    monkeypatch.undo()
+    assert not any("hashpartitioning" in p for p in loaded["order_items"] + loaded["order_fee_items"])
+    assert not any("Join" in p for p in loaded["order_keys"])
+    assert not any("hashpartitioning(uid" in p or "hashpartitioning(_key, uid" in p for p in plans["order_fee_items"])
+    assert counts == {"rows": 8, "matched": 4, "unmatched": 2}
+    fin = wh.read("order_fee_items").filter("source = 'finance_api'")
+    assert rows(fin.select("order_id", "ext_order_id", F.col("amount").cast("int"))) == rows(spark.createDataFrame(
+        [("7-1-1", None, -2), ("8-2-1", "8", -2), (None, "9-9", -2), (None, None, -2)], "a string, b string, c int"))
+    got = {r["order_id"]: float(r["fees_total"]) for r in wh.read("orders").collect()}
+    assert got == {"7-1-1": -8, "8-2-1": -8}       # two commissions of -1, two discounts of -2, the last version of -2
+
+
+def test_candidates_that_share_a_uid_leave_one_row(spark, no_broadcast, tmp_path):
+    """The uid joins its parts by '|': an id that holds one may give the uid of another id."""
+    wh = Store(spark, str(tmp_path / "wh"))
+    ops = [operation("x|y", "z", "-1", 1), operation("x", "y|z", "-2", 2), operation("x", "z", "-3", 3)]
+    for _ in range(2):
+        counts = batch.batch_finance(wh, spark.createDataFrame(ops, OP), *RANGE)["_counts"]
+        assert counts == {"rows": 3, "matched": 0, "unmatched": 3}
+        assert rows(wh.read("order_fee_items").select("ext_order_id", F.col("amount").cast("int"))) == [("x", -2), ("x", -3)]
+
+
+def test_a_batch_of_some_orders_leaves_the_finance_of_others(spark, no_broadcast):
+    table = spark.createDataFrame([("a", 10, 3, 99), ("b", 20, None, 98), (None, 5, 1, 97)], "order_id string, revenue int, fees_total int, payout int")
+    table = table.select("order_id", *[F.col(c).cast("decimal(18,4)").alias(c) for c in table.columns[1:]])
+    fees = spark.createDataFrame([("b", "commission", -4, "g")], "order_id string, source string, amount int, fee_group string")
+    fees = fees.select("order_id", "source", "fee_group", F.col("amount").cast("decimal(18,4)").alias("amount"), F.lit("n").alias("fee_name"))
+    from marketlens.operators import fees as fo
+    wide = fo._ensure(table, ["sales_report", "profit", "other_fee", "delivery_fee", "acquiring_fee", "ads_fee", "sale_commission", "discount"])
+    done = batch._finance(wide, spark.createDataFrame([("b",)], "order_id string"), fo.order_fee_sums(fees))
+    assert done.columns == wide.columns and plan(done).count("Scan ExistingRDD") == 3     # the orders are read once
+    assert [r[:2] for r in rows(done.select("order_id", F.col("payout").cast("int")))] == [("a", 99), ("b", 16), (None, 97)]
