@@ -12,7 +12,7 @@ from marketlens.operators import attribution as ao
 from marketlens.operators import flatten, resolve, upsert
 from marketlens.plans import batch
 from marketlens.plans.inputs import Inputs
-from marketlens.sources import accruals
+from marketlens.sources import accruals, json_docs
 from marketlens.sources import testdata as td
 from marketlens.sources.store import FREE, Store
 
@@ -188,3 +188,19 @@ def test_a_batch_of_some_orders_leaves_the_finance_of_others(spark, no_broadcast
     done = batch._finance(wide, spark.createDataFrame([("b",)], "order_id string"), fo.order_fee_sums(fees))
     assert done.columns == wide.columns and plan(done).count("Scan ExistingRDD") == 3     # the orders are read once
     assert [r[:2] for r in rows(done.select("order_id", F.col("payout").cast("int")))] == [("a", 99), ("b", 16), (None, 97)]
+
+
+def test_landed_pages_are_small_and_keep_their_order(spark, tmp_path):
+    """Pages lie compressed, their documents are shuffled as text, and those that come at one place stay in the order of their fields."""
+    lines = [(i // 3, None if i % 4 == 0 else "ab"[i % 2] * (i % 3 + 1), [("x" if i % 5 else None, "Товар")] * (i % 3)) for i in range(300)]
+    docs = spark.createDataFrame(lines, "seq int, name string, items array<struct<id:string,title:string>>")
+    json_docs.land_pages(docs, str(tmp_path), lambda a, p: F.when(p % 2 == 0, F.to_json(F.struct(a.alias("rows")))).otherwise(
+        F.to_json(F.struct(F.array().alias("rows"), a.alias("list")))), "seq", 10, as_text=True)
+    files = [f for f in tmp_path.glob("landing-*/part-*")]
+    assert files and all(f.name.endswith(".txt.gz") for f in files)
+    got = [r["value"] for r in spark.read.option("recursiveFileLookup", True).text(str(tmp_path)).collect()]
+    whole = docs.groupBy(F.floor(F.col("seq") / 10).alias("p")).agg(F.sort_array(F.collect_list(F.struct("seq", F.struct("name", "items").alias("d")))).alias("e"))
+    whole = whole.select("p", F.transform("e", lambda x: x["d"]).alias("a"))
+    want = whole.select(F.when(F.col("p") % 2 == 0, F.to_json(F.struct(F.col("a").alias("rows")))).otherwise(
+        F.to_json(F.struct(F.array().alias("rows"), F.col("a").alias("list")))).alias("v"))
+    assert sorted(got) == sorted(r["v"] for r in want.collect()) and len(got) == 10
