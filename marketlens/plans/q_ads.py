@@ -71,9 +71,10 @@ def q_u10(spark, d):
     """Old table holds the rows up to 1998; re-landing all rows adds only the
     new ones (content key)."""
     inp = Inputs(spark, d)
-    all_rows = inp.attribution()
+    # both loads are cut from one exchange (it is reused), and meet where the join on the candidate has put them
+    all_rows = inp.attribution(keyed=True)
     old = all_rows.filter(F.col("stat_date") < F.lit("1999-01-01").cast("date"))
-    return attr_out(upsert.insert_absent(old, all_rows, "row_key"))
+    return attr_out(upsert.insert_absent(old, all_rows, ["_key", "row_key"]))
 
 
 @query("relink_attribution")
@@ -83,8 +84,8 @@ def q_u10_relink(spark, d):
     inp = Inputs(spark, d)
     fields = flatten.attribution_fields(inp.attribution_raw())
     few = inp.orders_landed().filter(F.col("order_date") < F.lit("1998-01-01").cast("timestamp_ntz"))
-    first, again = (ao.resolved_rows(fields, o) for o in (few, inp.orders_landed()))
-    return attr_out(upsert.upsert(first, again, "row_key", update_cols=["order_id", "ext_order_id"]))
+    first, again = (ao.resolved_rows(fields, o, keyed=True) for o in (few, inp.orders_landed()))
+    return attr_out(upsert.upsert(first, again, ["_key", "row_key"], update_cols=["order_id", "ext_order_id"]))
 
 
 @query("flatten_campaign_daily")

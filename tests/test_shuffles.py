@@ -204,3 +204,14 @@ def test_landed_pages_are_small_and_keep_their_order(spark, tmp_path):
     want = whole.select(F.when(F.col("p") % 2 == 0, F.to_json(F.struct(F.col("a").alias("rows")))).otherwise(
         F.to_json(F.struct(F.array().alias("rows"), F.col("a").alias("list")))).alias("v"))
     assert sorted(got) == sorted(r["v"] for r in want.collect()) and len(got) == 10
+
+
+def test_attribution_loads_meet_where_they_lie(spark, no_broadcast):
+    """Old rows and rows landed again come from one exchange by candidate; none is shuffled again by its content."""
+    import __spark_entry__ as entry
+    for name in ("relink_attribution", "insert_ignore_attribution"):
+        df = entry.queries()[name](spark, SMALL)
+        p = plan(df)
+        assert "hashpartitioning(row_key" not in p and "hashpartitioning(_key, row_key" not in p and "isnotnull(sha2" not in p
+    inp = Inputs(spark, SMALL)
+    assert rows(inp.attribution(keyed=True).drop("_key")) == rows(inp.attribution())
