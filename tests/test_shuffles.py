@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
-from marketlens import vocab
+from marketlens import schemas, vocab
+from marketlens.functions import dates
 from marketlens.operators import attribution as ao
 from marketlens.operators import flatten, resolve, upsert
 from marketlens.plans import batch
@@ -215,3 +216,28 @@ def test_attribution_loads_meet_where_they_lie(spark, no_broadcast):
         assert "hashpartitioning(row_key" not in p and "hashpartitioning(_key, row_key" not in p and "isnotnull(sha2" not in p
     inp = Inputs(spark, SMALL)
     assert rows(inp.attribution(keyed=True).drop("_key")) == rows(inp.attribution())
+
+
+def test_a_batch_of_attribution_is_written_once_by_label(spark, no_broadcast, tmp_path, monkeypatch):
+    """New rows are laid out where they are stored, not staged before; a row that comes again takes its order, no copy stays."""
+    wh, staged, stage = Store(spark, str(tmp_path / "wh")), [], batch.Batch.stage
+    first_load(spark, wh, ["7-1-1"])
+    monkeypatch.setattr(batch.Batch, "stage", lambda self, name, df: staged.append(name) or stage(self, name, df))
+    cols = [f.name for f in schemas.ATTRIBUTION_ROW.fields]
+    raw = [tuple({"campaignId": "c1", "date": d, "orderNumber": c, "moneySpent": "1,5"}.get(n) for n in cols) for c, d in (("7", "2024-03-01"), ("8", "2.3.2024"), ("7", "2024-03-01"))]
+    df = spark.createDataFrame(raw, schemas.ATTRIBUTION_ROW)
+    batch.batch_attribution(wh, df, *RANGE)
+    monkeypatch.undo()
+    assert "fields" in staged and "attribution" not in staged
+    first_load(spark, wh, ["8-2-1"])
+    batch.batch_attribution(wh, df, *RANGE)
+    assert rows(wh.read("order_attribution").select("order_id", "ext_order_id")) == [("7-1-1", "7"), ("8-2-1", "8")]
+
+
+def test_dates_are_tried_only_where_their_separators_are(spark):
+    texts = ["2024-03-01", "1.3.2024", "01/03/2024", "2024-3-1", " 2024-03-01 ", "2024-03-01T10:00:00Z", "2024-03-01 10:00:00", "2024-03-01 10:00:00.5", "1-3-2024", "x", "2024.03-01", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for layout in [*dates.DATE_FORMATS, *dates.LENIENT_FORMATS]:
+        got = df.select(dates.tried(F.col("t"), layout, F.try_to_date).alias("a"), F.try_to_date("t", layout).alias("b"))
+        assert got.filter("not (a <=> b)").isEmpty()
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
