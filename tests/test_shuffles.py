@@ -1,6 +1,7 @@
 """What the shared steps shuffle, and that their rows are those of the plainer plan."""
 
 import datetime as dt
+import re
 import time
 
 import pytest
@@ -241,3 +242,12 @@ def test_dates_are_tried_only_where_their_separators_are(spark):
         got = df.select(dates.tried(F.col("t"), layout, F.try_to_date).alias("a"), F.try_to_date("t", layout).alias("b"))
         assert got.filter("not (a <=> b)").isEmpty()
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_finance_and_accrual_rows_share_the_lines(spark, no_broadcast):
+    """Both read the lines with the same columns through the same shuffle, which is then run once; the rows are those of the plainer plan."""
+    finance, accruals_ = (lambda w: td.finance_operations(spark, SMALL, w)), (lambda w: td.accrual_rows(spark, SMALL, w))
+    read = [{re.sub(r"#\d+L?", "", c) for c in re.findall(r"FileScan parquet (\[l_orderkey.*?\])", plan(f(True)))} for f in (finance, accruals_)]
+    assert read[0] == read[1] and len(read[0]) == 1
+    for f in (finance, accruals_):
+        assert rows(f(True)) == rows(f(False)) and f(True).columns == f(False).columns
