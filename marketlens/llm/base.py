@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.session import ensure_checkpoint_dir, scratch_path
+from marketlens.sources.store import freed_shuffles
 
 # Rows in one Arrow batch handed to Python. Long texts make a batch large, so
 # it is far below Spark's default of 10,000; the byte bound cuts it further.
@@ -93,12 +94,13 @@ def saved(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write to the cluster's shared folder and read back: cuts the lineage, so
     a lost executor does not cause earlier steps to run again. ``rows``: how many there are, about. They are then written in
     as many files as their number needs, at least one a core, not in one a shuffle partition: on a local file system each
-    file costs the executor several child processes."""
+    file costs the executor several child processes. The write's shuffle files go when it ends."""
     spark = df.sparkSession
     if rows is not None:
         df = df.coalesce(max(1, spark.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with freed_shuffles(spark):
+        df.write.parquet(path)
     if _made:
         _made[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -307,6 +307,22 @@ def _cell(key, rows, num: int, den: int):
                     schema=pa.schema([("doc", pa.int64()), ("links", pa.int64()), ("root", pa.int64())]))
 
 
+def each_text_once(rows: DataFrame, key: str, text: str, repeated: DataFrame | None) -> DataFrame:
+    """One row of each ``key`` and ``text``. ``repeated`` holds the keys that more than one row has (as ``key``); None: there are none. The texts of
+    the others are not shuffled."""
+    if repeated is None:
+        return rows
+    ids = repeated.select(F.col("key").alias("_again"))
+    once = rows.join(ids, F.col(key) == F.col("_again"), "left_anti")
+    return once.unionByName(rows.join(ids, F.col(key) == F.col("_again"), "left_semi").dropDuplicates([key, text]))
+
+
+def _repeated(rows: DataFrame, key: str) -> DataFrame | None:
+    """Keys that more than one row has, for ``each_text_once``."""
+    found = saved(rows.groupBy(F.col(key).alias("key")).count().filter("key is not null and count > 1").select("key"), "nj-repeated")
+    return None if found.isEmpty() else found
+
+
 def _clusters(links: DataFrame, classes: int) -> DataFrame:
     """``(doc_id, cluster)`` of the classes that share a signature with another, from ``hub, doc``."""
     top = components(links, "hub", "doc", 4 * classes)
@@ -337,7 +353,7 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den: in
     first = classes.select(F.col("class_id").alias("doc_id")).distinct()
     texts = docs.join(F.broadcast(first) if n <= BROADCAST_IDS else first, "doc_id", "left_semi").select("doc_id", "text")
     clusters = _clusters(shared_signatures(texts, n, shingle, num, den, common), n)
-    found = _cluster_links(docs, clusters, classes, n, shingle, num, den)
+    found = _cluster_links(docs, clusters, classes, n, shingle, num, den, _repeated(sets, "doc_id"))
     top = components(found.select(F.col("doc").alias("a"), F.col("root").alias("b")).unionByName(tied), "a", "b", n)
     near = found.groupBy(F.col("doc").alias("class_id")).agg(F.sum("links").alias("near"))
     # a component is named by its smallest id, and a class by the smallest with its set
@@ -357,7 +373,7 @@ def _lows(most: int = 1 << 40) -> list[int]:
     return out
 
 
-def _cluster_links(docs: DataFrame, clusters: DataFrame, classes: DataFrame, many: int, n: int, num: int, den: int) -> DataFrame:
+def _cluster_links(docs: DataFrame, clusters: DataFrame, classes: DataFrame, many: int, n: int, num: int, den: int, repeated: DataFrame | None) -> DataFrame:
     """``doc, links, root`` of ``many`` classes from the pairs inside the clusters whose sizes allow a link. The texts of their classes are read again. A
     large cluster is cut into blocks by band of size, and a block meets those of its own band and of the bands beside it: sets
     that link are at most one band apart."""
@@ -377,7 +393,7 @@ def _cluster_links(docs: DataFrame, clusters: DataFrame, classes: DataFrame, man
     # a scan of all texts meets the ids: broadcast while they are few, else a shuffled join
     few = info.count() <= BROADCAST_IDS
     texts = docs.join(F.broadcast(info) if few else info, "doc_id").select("doc_id", "text", "cluster", "per_band", "many")
-    texts = texts.dropDuplicates(["doc_id", "text"])
+    texts = each_text_once(texts, "doc_id", "text", repeated)
 
     def run(batch: pa.RecordBatch) -> dict:
         out = {c: batch.column(c) for c in ("doc_id", "cluster", "per_band", "many")}
@@ -416,7 +432,10 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den: in
     key, text = (f"_in{position(docs, n)}" for n in ("doc_id", "text"))
     flat = docs.toDF(*[f"_in{i}" for i in range(len(docs.columns))])
     with scratch(docs.sparkSession) as stays:
+        repeated = flat.groupBy(F.col(key).alias("key")).count().filter("key is not null and count > 1").select("key")
+        repeated = stays(repeated, "nj-repeated")
         keep = near_copies(docs, shingle, num, den).filter("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
         keep = stays(keep, "nj-keep", docs.count())
-    named = flat.filter(F.col(key).isNotNull()).join(keep, F.col(key).cast("bigint") == F.col("_keep"), "left_semi").dropDuplicates([key, text])
+    named = flat.filter(F.col(key).isNotNull()).join(keep, F.col(key).cast("bigint") == F.col("_keep"), "left_semi")
+    named = each_text_once(named, key, text, None if repeated.isEmpty() else repeated)
     return named.unionByName(flat.filter(F.col(key).isNull())).toDF(*docs.columns)

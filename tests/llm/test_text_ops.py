@@ -7,6 +7,7 @@ import time
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketlens.llm import bpe, jaccard, mixing, secret_scan, toxicity
 from marketlens.llm.shingles import shingle_set
@@ -409,3 +410,15 @@ def test_jaccard_edges(spark):
     kept = jaccard.one_of_each(df)
     assert kept.columns == df.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "3", "4", "5", "6", "None"]
     assert jaccard.near_copies(docs_of(spark, [])).count() == 0
+
+
+def test_texts_are_shuffled_only_for_ids_that_repeat(spark):
+    """One row of each id and text: no shuffle of texts where no id repeats, and the same rows where some do."""
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, None), (2, None), (3, "a"), (4, "a")], "doc_id bigint, text string")
+    got = jaccard.each_text_once(df, "doc_id", "text", jaccard._repeated(df, "doc_id"))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, df.dropDuplicates(["doc_id", "text"]).collect()), key=repr)
+    single = df.filter("doc_id > 2")
+    assert jaccard._repeated(single, "doc_id") is None
+    kept = jaccard.one_of_each(single.withColumn("text", F.concat(F.lit("one two three four "), F.col("doc_id").cast("string"))))
+    assert "hashpartitioning(doc_id" not in (p := kept._jdf.queryExecution().executedPlan().toString()) or "text" not in p.split("hashpartitioning(")[1].split(")")[0]
+    assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4]
